@@ -6,7 +6,7 @@ grouped before any join or shuffle, so a hot value costs one row per task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -176,23 +176,24 @@ def unpaid_has_no_paid_at(payments: DataFrame) -> DataFrame:
     ).select("payment_id", "payment_status", "paid_at")
 
 
-def rules(tables: Tables, now: Column | None = None, minimum: Mapping[str, int] = MIN_ROWS) -> dict[str, DataFrame]:
-    """The sixteen rules over the staging tables and marts, by name."""
-    return {
-        "no_future_orders": no_future_orders(tables["stg_orders"], now),
-        "nonneg_customer_order_counts": negative(tables["mart_customer_metrics"], "customer_id", "order_count"),
-        "nonneg_line_totals": negative(tables["stg_order_items"], "order_item_id", "line_total"),
-        "nonneg_order_counts": negative(tables["mart_daily_revenue"], "order_date", "order_count"),
-        "nonneg_item_prices": negative(tables["stg_order_items"], "order_item_id", "unit_price"),
-        "nonneg_payments": negative(tables["stg_payments"], "payment_id", "amount"),
-        "nonneg_product_prices": negative(tables["stg_products"], "product_id", "unit_price"),
-        "nonneg_revenue": negative(tables["mart_daily_revenue"], "order_date", "revenue"),
-        "nonneg_units_sold": negative(tables["mart_top_products"], "product_id", "units_sold"),
-        "orders_have_items": orders_have_items(tables["fact_orders"], tables["stg_order_items"]),
-        "payment_reconciliation": payment_reconciliation(tables["fact_orders"]),
-        "positive_quantities": positive_quantities(tables["stg_order_items"]),
-        "revenue_matches_items": revenue_matches_items(tables["fact_orders"], tables["stg_order_items"]),
-        "min_row_counts": min_row_counts(tables["source_row_counts"], minimum),
-        "success_has_paid_at": success_has_paid_at(tables["stg_payments"]),
-        "unpaid_has_no_paid_at": unpaid_has_no_paid_at(tables["stg_payments"]),
-    }
+# The sixteen rules by name, over tables by name; ``now`` and ``minimum`` as in the functions above.
+RULES: dict[str, Callable[[Tables, Column | None, Mapping[str, int]], DataFrame]] = {
+    "no_future_orders": lambda t, now, minimum: no_future_orders(t["stg_orders"], now),
+    "nonneg_customer_order_counts": lambda t, now, minimum: negative(
+        t["mart_customer_metrics"], "customer_id", "order_count"
+    ),
+    "nonneg_line_totals": lambda t, now, minimum: negative(t["stg_order_items"], "order_item_id", "line_total"),
+    "nonneg_order_counts": lambda t, now, minimum: negative(t["mart_daily_revenue"], "order_date", "order_count"),
+    "nonneg_item_prices": lambda t, now, minimum: negative(t["stg_order_items"], "order_item_id", "unit_price"),
+    "nonneg_payments": lambda t, now, minimum: negative(t["stg_payments"], "payment_id", "amount"),
+    "nonneg_product_prices": lambda t, now, minimum: negative(t["stg_products"], "product_id", "unit_price"),
+    "nonneg_revenue": lambda t, now, minimum: negative(t["mart_daily_revenue"], "order_date", "revenue"),
+    "nonneg_units_sold": lambda t, now, minimum: negative(t["mart_top_products"], "product_id", "units_sold"),
+    "orders_have_items": lambda t, now, minimum: orders_have_items(t["fact_orders"], t["stg_order_items"]),
+    "payment_reconciliation": lambda t, now, minimum: payment_reconciliation(t["fact_orders"]),
+    "positive_quantities": lambda t, now, minimum: positive_quantities(t["stg_order_items"]),
+    "revenue_matches_items": lambda t, now, minimum: revenue_matches_items(t["fact_orders"], t["stg_order_items"]),
+    "min_row_counts": lambda t, now, minimum: min_row_counts(t["source_row_counts"], minimum),
+    "success_has_paid_at": lambda t, now, minimum: success_has_paid_at(t["stg_payments"]),
+    "unpaid_has_no_paid_at": lambda t, now, minimum: unpaid_has_no_paid_at(t["stg_payments"]),
+}

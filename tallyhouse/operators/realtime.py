@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import or_zero, product_label
-from tallyhouse.operators.upsert import latest_per_key
 
 WATERMARK = "2 minutes"
 PAYMENT_WINDOW = "1 minute"
@@ -124,17 +123,16 @@ def window_series(windows: DataFrame, limit: int = 60) -> DataFrame:
 
 
 def poll_history(polls: DataFrame, limit: int = 20) -> DataFrame:
-    """The newest polls at which the served window differs from the one before.
+    """The newest polls at which the served window differs from the one served before.
 
-    Polls are numbered without gaps, so the previous poll is an equi-join away and no window has to
-    order the whole log. Polls without a window start no entry, and do not end a run of equal ones.
+    ``polls`` are the polls that returned a window, numbered without gaps by ``poll_seq``. So the
+    previous poll is an equi-join away, and no window has to order the whole log.
     """
-    served = polls.filter(F.col("window_start").isNotNull())
     before = polls.select(
         (F.col("poll_seq") + 1).alias("poll_seq"), F.col("window_start").alias("previous_window")
     )
     return (
-        served.join(before, "poll_seq", "left")
+        polls.join(before, "poll_seq", "left")
         .filter(F.col("previous_window").isNull() | (F.col("previous_window") != F.col("window_start")))
         .select("poll_seq", "window_start", "order_count", "revenue")
         .orderBy(F.desc("poll_seq"))
@@ -190,8 +188,3 @@ def lambda_today_revenue(daily: DataFrame, windows: DataFrame, as_of, cutoff=Non
         F.col("revenue").alias("speed_revenue"),
     )
     return merge_layers(batch, speed)
-
-
-def staging_totals(staging: DataFrame) -> DataFrame:
-    """Newest published total of each window in the staging log."""
-    return latest_per_key(staging, ["window_start"], ["ingested_at"])

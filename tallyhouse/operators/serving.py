@@ -180,3 +180,14 @@ def product_recent_orders(
 
 def orders_not_cancelled(orders: DataFrame) -> DataFrame:
     return orders.filter(not_cancelled())
+
+
+def known_products(requested: DataFrame, products: DataFrame) -> DataFrame:
+    """Each requested id once, and whether the catalogue has it."""
+    catalogue = products.select("product_id", F.lit(True).alias("is_known"))
+    return (
+        requested.select("product_id")
+        .distinct()
+        .join(catalogue, "product_id", "left")
+        .select("product_id", F.coalesce("is_known", F.lit(False)).alias("is_known"))
+    )

@@ -7,6 +7,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows sent to the database per statement batch.
 UPSERT_BATCH = 1_000
@@ -69,58 +70,66 @@ def record_run(log: DataFrame, outcome: DataFrame, now: Column | None = None) ->
 # --- stored tables ------------------------------------------------------------------------------
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+def _hadoop(spark: SparkSession, path: str):
+    """File system and path objects of the cluster's own storage layer."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, where = _hadoop_path(spark, path)
+    fs, where = _hadoop(spark, path)
     return fs.exists(where)
 
 
-def swap_table(frame: DataFrame, path: str) -> None:
-    """Replace the table at ``path`` by ``frame``, which may itself read from ``path``.
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    if table_exists(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
+def overwrite_days(frame: DataFrame, path: str, *partitions: str) -> None:
+    """Replace only those partitions of ``path`` that ``frame`` has rows for."""
+    frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+
 
-    The new files are complete before the old ones move away; the old copy goes last. A run that
-    finds only the old copy (see ``restore_table``) lost its executor or driver in between.
+def upsert_windows(
+    updates: DataFrame, path: str, keys: Sequence[str], update_columns: Sequence[str], schema: T.StructType
+) -> None:
+    """Upsert into a stored table of windows, laid out by day; untouched days are not read.
+
+    The merged days are written beside the table first, so their plan no longer reads what it
+    replaces. Running it again with the same updates changes nothing.
     """
-    spark = frame.sparkSession
-    fresh, old = f"{path}__new", f"{path}__old"
-    restore_table(spark, path)
-    frame.write.mode("overwrite").parquet(fresh)
-    fs, target = _hadoop_path(spark, path)
-    _, fresh_path = _hadoop_path(spark, fresh)
-    _, old_path = _hadoop_path(spark, old)
-    if fs.exists(target):
-        fs.rename(target, old_path)
-    fs.rename(fresh_path, target)
-    fs.delete(old_path, True)
-    spark.catalog.refreshByPath(path)
-
-
-def restore_table(spark: SparkSession, path: str) -> None:
-    """Finish or undo a swap that was cut off, so ``path`` holds one whole version."""
-    fs, target = _hadoop_path(spark, path)
-    _, old_path = _hadoop_path(spark, f"{path}__old")
-    if fs.exists(old_path):
-        if fs.exists(target):
-            fs.delete(old_path, True)
-        else:
-            fs.rename(old_path, target)
-
-
-def upsert_table(
-    updates: DataFrame, path: str, keys: Sequence[str], update_columns: Sequence[str], schema
+    spark = updates.sparkSession
+    day = F.to_date("window_start").alias("window_date")
+    stored = T.StructType([*schema.fields, T.StructField("window_date", T.DateType())])
+    days = updates.select(day).distinct()
+    target = read_or_empty(spark, path, stored).join(days, "window_date", "left_semi")
+    merged = keyed_upsert(target.select(*schema.names), updates, keys, update_columns)
+    beside = f"{path.rstrip('/')}__merged"
+    merged.write.mode("overwrite").parquet(beside)
+    ready = spark.read.schema(schema).parquet(beside)
+    overwrite_days(ready.select("*", day).hint("rebalance", "window_date"), path, "window_date")
+
+
+def upsert_small_table(
+    updates: DataFrame, path: str, keys: Sequence[str], update_columns: Sequence[str], schema: T.StructType
 ) -> None:
-    """Upsert into the stored table at ``path``, created from ``schema`` when missing."""
+    """Upsert into a stored table that is rewritten as a whole, such as the run log."""
     spark = updates.sparkSession
-    restore_table(spark, path)
-    if table_exists(spark, path):
-        target = spark.read.schema(schema).parquet(path)
-    else:
-        target = spark.createDataFrame([], schema)
-    swap_table(keyed_upsert(target, updates, keys, update_columns), path)
+    merged = keyed_upsert(read_or_empty(spark, path, schema), updates, keys, update_columns)
+    beside = f"{path.rstrip('/')}__merged"
+    merged.write.mode("overwrite").parquet(beside)
+    spark.read.schema(schema).parquet(beside).write.mode("overwrite").parquet(path)
+
+
+def drop_batches(spark: SparkSession, path: str, last: int) -> None:
+    """Remove the folders ``batch_id=N`` of a staging log up to ``last``; newer ones stay."""
+    fs, where = _hadoop(spark, path)
+    for entry in fs.listStatus(where):
+        name = entry.getPath().getName()
+        if name.startswith("batch_id=") and int(name.split("=")[1]) <= last:
+            fs.delete(entry.getPath(), True)
 
 
 # --- relational targets ---------------------------------------------------------------------------

@@ -105,25 +105,15 @@ class Warehouse:
     def source_freshness(self) -> DataFrame:
         return monitoring.source_freshness(self.raw, self.now)
 
-    def models(self) -> dict[str, DataFrame]:
-        """Everything the checks look at."""
-        names = (
-            "stg_customers",
-            "stg_products",
-            "stg_orders",
-            "stg_order_items",
-            "stg_payments",
-            *MARTS,
-            "source_row_counts",
-            "source_freshness",
-        )
-        return {name: getattr(self, name) for name in names}
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self, name)
 
     def write_marts(self, root: str) -> None:
         """Persist the marts and read them back in place of their plans.
 
-        Order facts are laid out by month, so a date filter prunes folders; the rebalance hint packs
-        small months together and splits a month that is too large for one task.
+        Order facts are laid out by month, so a date filter skips the files of other months by
+        their statistics; the rebalance hint packs small months together and splits a month that is
+        too large for one task.
         """
         for name in MARTS:
             path = f"{root}/{name}"

@@ -48,6 +48,53 @@ def cdc_envelope(row: T.StructType) -> T.StructType:
 
 REGION_SEED = T.StructType([T.StructField("country", T.StringType()), T.StructField("region", T.StringType())])
 
+# Partial sums of one micro-batch, added up when they are read.
+REVENUE_PARTIALS = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("order_id", T.LongType()),
+        T.StructField("amount", T.DecimalType(30, 6)),
+        T.StructField("window_date", T.DateType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+PRODUCT_PARTIALS = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("product_id", T.LongType()),
+        T.StructField("units_sold", T.LongType()),
+        T.StructField("revenue", T.DecimalType(30, 6)),
+        T.StructField("window_date", T.DateType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+# Append-only logs of window totals, one folder per micro-batch.
+REVENUE_STAGING = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("order_count", T.LongType()),
+        T.StructField("revenue", T.DecimalType(22, 2)),
+        T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+PRODUCT_STAGING = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("product_id", T.LongType()),
+        T.StructField("product_name", T.StringType()),
+        T.StructField("units_sold", T.LongType()),
+        T.StructField("revenue", T.DecimalType(22, 2)),
+        T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+TOP_PRODUCTS_5MIN = T.StructType(PRODUCT_STAGING.fields[:-1])
+
 REVENUE_BY_MINUTE = T.StructType(
     [
         T.StructField("window_start", T.TimestampType()),

@@ -118,15 +118,26 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {
-        "customers": customers(spark, folder),
-        "products": products(spark, folder),
-        "orders": orders(spark, folder),
-        "order_items": order_items(spark, folder),
-        "payments": payments(spark, folder),
+class RawTables:
+    """The five source tables by name, each read when it is first asked for."""
+
+    BUILDERS = {
+        "customers": customers,
+        "products": products,
+        "orders": orders,
+        "order_items": order_items,
+        "payments": payments,
     }
 
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self.frames: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.frames:
+            self.frames[name] = self.BUILDERS[name](self.spark, self.folder)
+        return self.frames[name]
+
 
 # --- change streams -----------------------------------------------------------------------------
 
