@@ -99,7 +99,7 @@ def run_batch(
     try:
         loaded = load_raw(sources, f"{root}/raw")
         task = "models"
-        warehouse = Warehouse(read_layer(spark, f"{root}/raw"), region_seed, now)
+        warehouse = Warehouse(read_layer(spark, f"{root}/raw"), lambda: region_seed, now)
         warehouse.write_marts(f"{root}/marts")
         task = "checks"
         failures = failed_checks(check_report(warehouse, now, minimum))

@@ -38,23 +38,30 @@ class Inputs:
         self.spark = configure(spark)
         self.folder = folder
 
+    @cached_property
+    def star(self) -> retail.LazyTables:
+        return retail.star_tables(self.spark, self.folder)
+
+    @cached_property
+    def raw(self) -> retail.LazyTables:
+        return retail.raw_tables(self.star)
+
+    def new_warehouse(self) -> Warehouse:
+        return Warehouse(self.raw, lambda: retail.region_seed(self.star), _stamp(ORDERS_NOW))
+
     @cached_property
     def warehouse(self) -> Warehouse:
-        return Warehouse(
-            retail.RawTables(self.spark, self.folder),
-            retail.region_seed(self.spark, self.folder),
-            _stamp(ORDERS_NOW),
-        )
+        return self.new_warehouse()
 
     @cached_property
     def rule_tables(self) -> Warehouse:
-        w = Warehouse(self.warehouse.raw, self.warehouse.region_seed, self.warehouse.now)
+        w = self.new_warehouse()
         w.fact_orders = w.order_measures
         return w
 
     @cached_property
     def events(self) -> DataFrame:
-        return retail.table(self.spark, self.folder, "events")
+        return self.star["events"]
 
     @cached_property
     def payment_changes(self) -> DataFrame:
@@ -130,7 +137,7 @@ class Inputs:
         checks = (
             monitoring.stream_staleness(self.revenue_windows, _stamp(EVENTS_NOW)),
             monitoring.mart_populated_check(w.mart_customer_metrics),
-            monitoring.order_activity_check(w.raw["orders"], _stamp(EVENTS_NOW)),
+            monitoring.order_activity_check(self.raw["orders"], _stamp(EVENTS_NOW)),
         )
         return checks[0].unionByName(checks[1]).unionByName(checks[2])
 
@@ -164,18 +171,18 @@ def _run_outcomes(events: DataFrame, kind: str, status: str) -> DataFrame:
 def full_snapshot(q: Inputs) -> DataFrame:
     """Copy the five tables into a raw layer and count what arrived."""
     root = shared_folder(q.spark, "raw")
-    tables.load_raw(q.warehouse.raw, root)
+    tables.load_raw(q.raw, root)
     return monitoring.source_row_counts(tables.read_layer(q.spark, root)).drop("checked_at")
 
 
 def seed_csv(q: Inputs) -> DataFrame:
     path = shared_folder(q.spark, "seed")
-    q.warehouse.region_seed.write.csv(path, header=True)
+    retail.region_seed(q.star).write.csv(path, header=True)
     return tables.read_region_seed(q.spark, path)
 
 
 def regenerated_items(q: Inputs) -> DataFrame:
-    items = tables.recompute_generated("order_items", q.warehouse.raw["order_items"])
+    items = tables.recompute_generated("order_items", q.raw["order_items"])
     return items.select("order_item_id", "quantity", "unit_price", "line_total")
 
 
@@ -195,14 +202,14 @@ def run_log(q: Inputs) -> DataFrame:
 
 def stored_marts(q: Inputs) -> DataFrame:
     """Persist the marts, then read the daily revenue from what was stored."""
-    w = Warehouse(q.warehouse.raw, q.warehouse.region_seed, q.warehouse.now)
+    w = q.new_warehouse()
     w.write_marts(shared_folder(q.spark, "marts"))
     return w.mart_daily_revenue
 
 
 def quality_report(q: Inputs) -> DataFrame:
     """All declared checks over persisted marts."""
-    w = Warehouse(q.warehouse.raw, q.warehouse.region_seed, q.warehouse.now)
+    w = q.new_warehouse()
     w.write_marts(shared_folder(q.spark, "marts"))
     return check_report(w, _stamp(FUTURE_AFTER))
 
@@ -287,13 +294,13 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "customers_summary": lambda q: serving.customers_summary(q.warehouse.mart_customer_metrics),
     "customers_by_region": lambda q: serving.customers_by_region(q.warehouse.dim_customers),
     "product_details": lambda q: serving.product_details(
-        q.warehouse.dim_products, q.warehouse.raw["order_items"], q.warehouse.order_measures
+        q.warehouse.dim_products, q.raw["order_items"], q.warehouse.order_measures
     ),
     "product_sales_history": lambda q: serving.product_sales_history(
-        q.warehouse.raw["order_items"], q.warehouse.order_measures
+        q.raw["order_items"], q.warehouse.order_measures
     ),
     "product_recent_orders": lambda q: serving.product_recent_orders(
-        q.warehouse.raw["order_items"], q.warehouse.order_measures, q.warehouse.stg_customers
+        q.raw["order_items"], q.warehouse.order_measures, q.warehouse.stg_customers
     ),
     # dashboard calculations
     "revenue_summary": lambda q: insights.revenue_summary(q.warehouse.mart_daily_revenue),
@@ -318,12 +325,12 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # monitoring
     "mon_row_counts": lambda q: q.warehouse.source_row_counts,
     "mon_freshness": lambda q: q.warehouse.source_freshness.drop("source_age"),
-    "source_order_count": lambda q: monitoring.source_order_count(q.warehouse.raw["orders"]),
+    "source_order_count": lambda q: monitoring.source_order_count(q.raw["orders"]),
     "mart_populated_check": lambda q: _health_fields(
         monitoring.mart_populated_check(q.warehouse.mart_customer_metrics), "customer_count", "revenue"
     ),
     "order_activity_check": lambda q: _health_fields(
-        monitoring.order_activity_check(q.warehouse.raw["orders"], _stamp(EVENTS_NOW)), "orders", "age_seconds"
+        monitoring.order_activity_check(q.raw["orders"], _stamp(EVENTS_NOW)), "orders", "age_seconds"
     ),
     "st_staleness": lambda q: _health_fields(
         monitoring.stream_staleness(q.revenue_windows, _stamp(EVENTS_NOW)), "window_start", "age_seconds"

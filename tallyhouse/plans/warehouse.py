@@ -6,7 +6,7 @@ Staging, intermediate and monitoring models are lazy frames; marts are persisted
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +28,9 @@ MARTS = (
 class Warehouse:
     """All models over one set of raw tables, none of them computed before it is read."""
 
-    def __init__(self, raw: Mapping[str, DataFrame], region_seed: DataFrame, now: Column | None = None):
+    def __init__(
+        self, raw: Mapping[str, DataFrame], region_seed: Callable[[], DataFrame], now: Column | None = None
+    ):
         self.raw = raw
         self.region_seed = region_seed
         self.now = now
@@ -69,7 +71,7 @@ class Warehouse:
 
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return marts.dim_customers(self.stg_customers, self.region_seed)
+        return marts.dim_customers(self.stg_customers, self.region_seed())
 
     @cached_property
     def dim_products(self) -> DataFrame:

@@ -36,6 +36,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Call sites of column expressions cost more than small queries take.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)

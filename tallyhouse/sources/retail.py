@@ -6,6 +6,8 @@ noise (case, blanks) the staging layer removes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,15 +17,28 @@ CENTS = "decimal(10,2)"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+class LazyTables:
+    """Tables by name, each built when it is first asked for."""
+
+    def __init__(self, build: Callable[[str], DataFrame]):
+        self.build = build
+        self.frames: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.frames:
+            self.frames[name] = self.build(name)
+        return self.frames[name]
+
+
+def star_tables(spark: SparkSession, folder: str) -> LazyTables:
+    return LazyTables(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
-def customers(spark: SparkSession, folder: str) -> DataFrame:
-    nation = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+def customers(star: LazyTables) -> DataFrame:
+    nation = star["nation"].select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     signup = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int"))
     return (
-        table(spark, folder, "customer")
+        star["customer"]
         .join(nation, "c_nationkey")
         .select(
             F.col("c_custkey").alias("customer_id"),
@@ -37,19 +52,19 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def region_seed(spark: SparkSession, folder: str) -> DataFrame:
+def region_seed(star: LazyTables) -> DataFrame:
     """Region of every country but those of one region, whose customers stay unknown."""
-    region = table(spark, folder, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    region = star["region"].select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     return (
-        table(spark, folder, "nation")
+        star["nation"]
         .join(region.filter(F.col("r_name") != "MIDDLE EAST"), "n_regionkey")
         .select(F.col("n_name").alias("country"), F.col("r_name").alias("region"))
     )
 
 
-def products(spark: SparkSession, folder: str) -> DataFrame:
+def products(star: LazyTables) -> DataFrame:
     listed = F.lit("1995-01-01").cast("timestamp")
-    return table(spark, folder, "part").select(
+    return star["part"].select(
         F.col("p_partkey").alias("product_id"),
         F.concat(F.lit(" "), "p_name").alias("product_name"),
         F.concat("p_type", F.lit(" ")).alias("category"),
@@ -71,9 +86,9 @@ def _order_status() -> Column:
     )
 
 
-def orders(spark: SparkSession, folder: str) -> DataFrame:
+def orders(star: LazyTables) -> DataFrame:
     placed = F.col("o_orderdate").cast("timestamp")
-    return table(spark, folder, "orders").select(
+    return star["orders"].select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         _order_status().alias("order_status"),
@@ -83,11 +98,11 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, folder: str) -> DataFrame:
+def order_items(star: LazyTables) -> DataFrame:
     quantity = F.col("l_quantity").cast("bigint")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     unit_cents = F.floor(cents / F.col("l_quantity"))
-    return table(spark, folder, "lineitem").select(
+    return star["lineitem"].select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
@@ -98,7 +113,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def payments(spark: SparkSession, folder: str) -> DataFrame:
+def payments(star: LazyTables) -> DataFrame:
     status = F.trim(F.lower(_order_status()))
     outcome = (
         F.when(status.isin("paid", "shipped"), "Success").when(status == "placed", "pending").otherwise(" failed")
@@ -107,7 +122,7 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("o_custkey") % 3 == 0, "Card").when(F.col("o_custkey") % 3 == 1, " EFT").otherwise("wallet")
     )
     placed = F.col("o_orderdate").cast("timestamp")
-    return table(spark, folder, "orders").select(
+    return star["orders"].select(
         F.col("o_orderkey").alias("payment_id"),
         F.col("o_orderkey").alias("order_id"),
         F.col("o_totalprice").cast(CENTS).alias("amount"),
@@ -118,25 +133,18 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-class RawTables:
-    """The five source tables by name, each read when it is first asked for."""
+SOURCES = {
+    "customers": customers,
+    "products": products,
+    "orders": orders,
+    "order_items": order_items,
+    "payments": payments,
+}
 
-    BUILDERS = {
-        "customers": customers,
-        "products": products,
-        "orders": orders,
-        "order_items": order_items,
-        "payments": payments,
-    }
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
-        self.frames: dict[str, DataFrame] = {}
 
-    def __getitem__(self, name: str) -> DataFrame:
-        if name not in self.frames:
-            self.frames[name] = self.BUILDERS[name](self.spark, self.folder)
-        return self.frames[name]
+def raw_tables(star: LazyTables) -> LazyTables:
+    """The five source tables by name."""
+    return LazyTables(lambda name: SOURCES[name](star))
 
 
 # --- change streams -----------------------------------------------------------------------------
