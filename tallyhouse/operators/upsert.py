@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from functools import partial
+from itertools import batched, chain
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -148,17 +149,15 @@ def upsert_statement(table: str, columns: Sequence[str], keys: Sequence[str], up
 
 
 def _upsert_partition(rows: Iterator[Row], connect: Callable, statement: str) -> None:
+    batches = batched(rows, UPSERT_BATCH)
+    first = next(batches, None)
+    if first is None:
+        return
     connection = connect()
     try:
         cursor = connection.cursor()
-        pending: list[tuple] = []
-        for row in rows:
-            pending.append(tuple(row))
-            if len(pending) == UPSERT_BATCH:
-                cursor.executemany(statement, pending)
-                pending = []
-        if pending:
-            cursor.executemany(statement, pending)
+        for batch in chain([first], batches):
+            cursor.executemany(statement, [tuple(row) for row in batch])
         connection.commit()
     except Exception:
         connection.rollback()
