@@ -150,18 +150,18 @@ def product_recent_orders(
 ) -> DataFrame:
     """Newest orders of every status that contain a product.
 
-    Items are summed per order before the join, and customers are joined to the rows that made
-    the list.
+    The join partitions by ``order_id``, which serves the sums per order too; customers are joined
+    to the rows that made the list.
     """
+    heads = orders.select("order_id", "customer_id", "order_date", "order_status")
     per_order = (
         _one_product(items, product_id)
-        .groupBy("order_id", "product_id")
+        .select("order_id", "product_id", "quantity", "line_total")
+        .join(heads, "order_id")
+        .groupBy("product_id", "order_id", "customer_id", "order_date", "order_status")
         .agg(or_zero(F.sum("quantity")).alias("quantity"), or_zero(F.sum("line_total")).alias("revenue"))
     )
-    heads = orders.select("order_id", "customer_id", "order_date", "order_status")
-    newest = _latest_per_product(
-        per_order.join(heads, "order_id"), [F.desc("order_date"), F.desc("order_id")], product_id, limit
-    )
+    newest = _latest_per_product(per_order, [F.desc("order_date"), F.desc("order_id")], product_id, limit)
     who = customers.select(
         "customer_id", F.col("full_name").alias("customer_name"), F.col("email").alias("customer_email")
     )

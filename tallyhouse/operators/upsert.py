@@ -88,7 +88,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema)
 
 
-def overwrite_days(frame: DataFrame, path: str, *partitions: str) -> None:
+def overwrite_partitions(frame: DataFrame, path: str, *partitions: str) -> None:
     """Replace only those partitions of ``path`` that ``frame`` has rows for."""
     frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
@@ -110,7 +110,7 @@ def upsert_windows(
     beside = f"{path.rstrip('/')}__merged"
     merged.write.mode("overwrite").parquet(beside)
     ready = spark.read.schema(schema).parquet(beside)
-    overwrite_days(ready.select("*", day).hint("rebalance", "window_date"), path, "window_date")
+    overwrite_partitions(ready.select("*", day).hint("rebalance", "window_date"), path, "window_date")
 
 
 def upsert_small_table(

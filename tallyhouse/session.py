@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on; none depends on the cluster's size.
 SQL_SETTINGS = {
@@ -28,6 +28,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Shuffle bytes one task should get before it has to spill.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# More would cost the map side more than larger partitions cost the reduce side.
+MAX_PARTITIONS = 100_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffles(frame: DataFrame) -> DataFrame:
+    """Raise the initial number of shuffle partitions to fit a frame about to be processed.
+
+    The optimizer's size estimate of the scan decides. Adaptive execution merges what turns out too
+    small, but cannot split an aggregate's partition that is too large.
+    """
+    spark = frame.sparkSession
+    size = int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(-(-size // TARGET_PARTITION_BYTES), MAX_PARTITIONS)
+    if wanted > current:
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    return frame
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.session import size_shuffles
+
 # Money of a double with two decimals.
 CENTS = "decimal(10,2)"
 
@@ -31,7 +33,7 @@ class LazyTables:
 
 
 def star_tables(spark: SparkSession, folder: str) -> LazyTables:
-    return LazyTables(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
+    return LazyTables(lambda name: size_shuffles(spark.read.parquet(f"{folder}/{name}.parquet")))
 
 
 def customers(star: LazyTables) -> DataFrame:

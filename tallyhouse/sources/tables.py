@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.schemas import GENERATED_COLUMNS, REGION_SEED, SOURCE_TABLES
+from tallyhouse.session import size_shuffles
 
 
 def read_layer(spark: SparkSession, root: str, tables=SOURCE_TABLES) -> dict[str, DataFrame]:
     """Named tables of one layer (``raw``, ``marts``, ...), one Parquet folder each."""
-    return {table: spark.read.parquet(f"{root}/{table}") for table in tables}
+    return {table: size_shuffles(spark.read.parquet(f"{root}/{table}")) for table in tables}
 
 
 def read_region_seed(spark: SparkSession, path: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tallyhouse.operators import realtime
-from tallyhouse.operators.upsert import keyed_upsert, latest_per_key, overwrite_days, read_or_empty
+from tallyhouse.operators.upsert import keyed_upsert, latest_per_key, overwrite_partitions, read_or_empty
 from tallyhouse.schemas import (
     ORDER_ITEM_ROW,
     PAYMENT_ROW,
@@ -43,32 +43,36 @@ def item_events(raw: DataFrame) -> DataFrame:
 
 
 def _add_partials(partials: DataFrame, batch_id: int, path: str, schema: T.StructType) -> DataFrame | None:
-    """Store this micro-batch's partials; all partials of the windows in it, or None if it has none."""
+    """Store this micro-batch's partials; all partials of the windows in it, or None if it has none.
+
+    The log has one folder per day of event time and batch. Only the days this batch touches are
+    listed and read, so the cost does not grow with the age of the stream.
+    """
     spark = partials.sparkSession
-    dated = partials.select("*", F.to_date("window_start").alias("window_date"), F.lit(batch_id).alias("batch_id"))
-    overwrite_days(dated, path, "window_date", "batch_id")
-    log = spark.read.schema(schema).parquet(path)
-    mine = log.filter(F.col("batch_id") == batch_id)
-    # Two timestamps, so that the read below can skip folders and row groups.
-    first, last = mine.agg(F.min("window_start"), F.max("window_start")).first()
-    if first is None:
-        return None
-    touched = log.filter(
-        F.col("window_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-        & F.col("window_start").between(first, last)
-        & (F.col("batch_id") <= batch_id)
-    )
-    return touched.join(mine.select("window_start").distinct(), "window_start", "left_semi")
+    day = F.to_date("window_start").alias("window_date")
+    mine = partials.select("*", day, F.lit(batch_id).cast("bigint").alias("batch_id")).persist()
+    try:
+        days = sorted(row.window_date for row in mine.select("window_date").distinct().collect())
+        if not days:
+            return None
+        # Few files per folder, also when a backlog of many days arrives at once.
+        overwrite_partitions(mine.hint("rebalance", "window_date"), path, "window_date", "batch_id")
+    finally:
+        mine.unpersist()
+    folders = [f"{path}/window_date={day}" for day in days]
+    log = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    windows = log.filter(F.col("batch_id") == batch_id).select("window_start").distinct()
+    return log.filter(F.col("batch_id") <= batch_id).join(windows, "window_start", "left_semi")
 
 
 def _stage(totals: DataFrame, batch_id: int, path: str) -> None:
-    stamped = totals.select("*", F.current_timestamp().alias("ingested_at"), F.lit(batch_id).alias("batch_id"))
-    overwrite_days(stamped, path, "batch_id")
+    stamped = totals.select(
+        "*", F.current_timestamp().alias("ingested_at"), F.lit(batch_id).cast("bigint").alias("batch_id")
+    )
+    overwrite_partitions(stamped, path, "batch_id")
 
 
 def publish_revenue(batch: DataFrame, batch_id: int, root: str) -> None:
-    if batch.isEmpty():
-        return
     partials = realtime.revenue_partials(batch)
     touched = _add_partials(partials, batch_id, f"{root}/revenue_partials", REVENUE_PARTIALS)
     if touched is not None:
@@ -76,8 +80,6 @@ def publish_revenue(batch: DataFrame, batch_id: int, root: str) -> None:
 
 
 def publish_top_products(batch: DataFrame, batch_id: int, root: str, products: DataFrame) -> None:
-    if batch.isEmpty():
-        return
     partials = realtime.product_partials(batch)
     touched = _add_partials(partials, batch_id, f"{root}/product_partials", PRODUCT_PARTIALS)
     if touched is not None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import marts, monitoring, orders, quality, realtime, serving
 from tallyhouse.plans.queries import Inputs, registry
+from tallyhouse.session import TARGET_PARTITION_BYTES, size_shuffles
 from tests.conftest import SMALL, rows
 
 
@@ -170,3 +171,20 @@ def test_hot_window_and_hot_run(spark):
         F.lit("run").alias("run_id"), F.concat(F.lit("t"), (n % 3).cast("string")).alias("task_id"), F.lit("failed").alias("state")
     )
     assert rows(monitoring.failed_root_tasks(tasks)) == [("run", "t0, t1, t2")]
+
+
+def test_recent_orders_shuffle_items_once(spark, large_tables):
+    text = plan(registry()["product_recent_orders"](spark, SMALL))
+    after_join = text[: text.index("SortMergeJoin [order_id")]
+    assert "Exchange hashpartitioning(order_id" not in after_join
+
+
+def test_shuffles_grow_with_the_input(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    session = spark.newSession()
+    assert session.conf.get(key, None) is None
+    small = session.read.parquet(f"{SMALL}/orders.parquet")
+    size_shuffles(small)
+    assert session.conf.get(key, None) is None
+    size_shuffles(session.range(10_000_000_000))
+    assert int(session.conf.get(key)) == -(-80_000_000_000 // TARGET_PARTITION_BYTES)
