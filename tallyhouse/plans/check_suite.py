@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +41,12 @@ def _row_rules(now: Column | None) -> dict[str, dict[str, Column]]:
     }
 
 
+def _report_rows(frame: DataFrame, failures: Mapping[str, Column]) -> DataFrame:
+    """One aggregate over ``frame``, turned into a row per check."""
+    rows = [F.struct(F.lit(name).alias("check_name"), n.alias("failures")) for name, n in failures.items()]
+    return frame.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 def table_profile(table: str, frame: DataFrame, row_rules: Mapping[str, Column]) -> DataFrame:
     """All row-level checks of a table in one scan; a NULL condition is no violation."""
     conditions = {f"not_null:{table}.{c}": F.col(c).isNull() for c in q.NOT_NULL.get(table, ())}
@@ -48,11 +54,45 @@ def table_profile(table: str, frame: DataFrame, row_rules: Mapping[str, Column])
         if owner == table:
             conditions[f"accepted_values:{table}.{column}"] = ~F.col(column).isin(*values)
     conditions.update({f"rule:{name}": condition for name, condition in row_rules.items()})
-    rows = [
-        F.struct(F.lit(name).alias("check_name"), F.count(F.when(condition, 1)).alias("failures"))
-        for name, condition in conditions.items()
-    ]
-    return frame.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+    return _report_rows(frame, {name: F.count(F.when(condition, 1)) for name, condition in conditions.items()})
+
+
+def _tables_of_key(key: str) -> list[str]:
+    owners = [table for table, column in q.UNIQUE.items() if column == key]
+    ends = [end for child, column, parent in q.RELATIONSHIPS if column == key for end in (child, parent)]
+    return sorted({*owners, *ends} | ({"stg_order_items", "fact_orders"} if key == "order_id" else set()))
+
+
+def key_counts(tables: q.Tables, key: str, names: Sequence[str]) -> DataFrame:
+    """Rows per key value in each of the named tables, from one shuffle of partial counts."""
+    stacked = reduce(
+        DataFrame.unionByName,
+        [
+            tables[name]
+            .filter(F.col(key).isNotNull())
+            .select(F.col(key).alias("value"), F.lit(name).alias("table_name"))
+            for name in names
+        ],
+    )
+    counts = [F.count(F.when(F.col("table_name") == name, 1)).alias(name) for name in names]
+    return stacked.groupBy("value").agg(*counts)
+
+
+def key_profile(tables: q.Tables, key: str) -> DataFrame:
+    """Uniqueness and relationships of all tables that share a key, without a join per check."""
+    failures = {
+        f"unique:{table}.{key}": F.count(F.when(F.col(table) > 1, 1))
+        for table, column in q.UNIQUE.items()
+        if column == key
+    }
+    for child, column, parent in q.RELATIONSHIPS:
+        if column == key:
+            orphans = F.sum(F.when(F.col(parent) == 0, F.col(child)))
+            failures[f"relationships:{child}.{key}"] = F.coalesce(orphans, F.lit(0))
+    if key == "order_id":
+        empty = F.sum(F.when(F.col("stg_order_items") == 0, F.col("fact_orders")))
+        failures["rule:orders_have_items"] = F.coalesce(empty, F.lit(0))
+    return _report_rows(key_counts(tables, key, _tables_of_key(key)), failures)
 
 
 def check_report(
@@ -60,28 +100,18 @@ def check_report(
 ) -> DataFrame:
     """Failures of the 68 generic checks and the 16 rules.
 
-    One scan per table covers its row-level checks; uniqueness, relationships and the rules that
-    join add one aggregate each. Meant for persisted tables, so that no mart is computed twice.
+    One scan per table covers its row-level checks, one shuffle per key its uniqueness and
+    relationships; two rules look at derived values. Meant for persisted tables, so that no mart is
+    computed twice.
     """
     row_rules = _row_rules(now)
+    keys = dict.fromkeys(q.UNIQUE.values())
     parts = [table_profile(t, tables[t], row_rules.get(t, {})) for t in q.NOT_NULL]
-
-    def counted(name: str, violations: DataFrame, failures: Column) -> DataFrame:
-        return violations.agg(failures.alias("failures")).select(F.lit(name).alias("check_name"), "failures")
-
-    n_rows = F.count(F.lit(1))
-    for table, column in q.UNIQUE.items():
-        parts.append(counted(f"unique:{table}.{column}", q.unique(tables[table], column), n_rows))
-    for child, key, parent in q.RELATIONSHIPS:
-        orphans = q.relationships(tables[child], key, tables[parent], key)
-        parts.append(
-            counted(f"relationships:{child}.{key}", orphans, F.coalesce(F.sum("n_records"), F.lit(0)))
-        )
-    facts, items = tables["fact_orders"], tables["stg_order_items"]
-    joined = {
-        "orders_have_items": q.orders_have_items(facts, items),
-        "revenue_matches_items": q.revenue_matches_items(facts, items),
+    parts += [key_profile(tables, key) for key in keys]
+    derived = {
+        "revenue_matches_items": q.revenue_matches_items(tables["fact_orders"], tables["stg_order_items"]),
         "min_row_counts": q.min_row_counts(tables["source_row_counts"], minimum),
     }
-    parts += [counted(f"rule:{name}", violations, n_rows) for name, violations in joined.items()]
+    for name, violations in derived.items():
+        parts.append(_report_rows(violations, {f"rule:{name}": F.count(F.lit(1))}))
     return reduce(DataFrame.unionByName, parts)

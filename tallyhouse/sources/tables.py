@@ -11,6 +11,22 @@ from tallyhouse.schemas import GENERATED_COLUMNS, REGION_SEED, SOURCE_TABLES
 from tallyhouse.session import size_shuffles
 
 
+# Countries the shop delivers to, by region.
+COUNTRIES = {
+    "Africa": ("South Africa", "Nigeria", "Kenya", "Ghana", "Egypt"),
+    "Europe": ("Ireland", "United Kingdom", "Germany", "France", "Italy"),
+    "North America": ("United States", "Canada", "Mexico"),
+    "South America": ("Brazil", "Argentina"),
+    "Asia": ("India", "Japan", "China", "Singapore"),
+    "Oceania": ("Australia", "New Zealand"),
+}
+
+
+def default_region_seed(spark: SparkSession) -> DataFrame:
+    rows = [(country, region) for region, countries in COUNTRIES.items() for country in countries]
+    return spark.createDataFrame(rows, REGION_SEED)
+
+
 def read_layer(spark: SparkSession, root: str, tables=SOURCE_TABLES) -> dict[str, DataFrame]:
     """Named tables of one layer (``raw``, ``marts``, ...), one Parquet folder each."""
     return {table: size_shuffles(spark.read.parquet(f"{root}/{table}")) for table in tables}

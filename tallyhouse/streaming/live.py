@@ -161,3 +161,16 @@ def read_product_windows(spark: SparkSession, root: str) -> DataFrame:
     keys = ["window_start", "product_id"]
     newest = latest_per_key(read_product_staging(spark, root), keys, ["ingested_at", "batch_id"])
     return keyed_upsert(compacted, newest.drop("batch_id"), keys, ["product_name", "units_sold", "revenue"])
+
+
+def read_latest_revenue(spark: SparkSession, root: str) -> DataFrame:
+    return realtime.latest_window(read_revenue_windows(spark, root))
+
+
+def read_revenue_series(spark: SparkSession, root: str, limit: int = 60) -> DataFrame:
+    return realtime.window_series(read_revenue_windows(spark, root), limit)
+
+
+def read_top_products(spark: SparkSession, root: str, limit: int = 10) -> DataFrame:
+    """The live list of the newest five minutes, as it is shown."""
+    return realtime.served_top_products(realtime.live_top_products(read_product_windows(spark, root)), limit)

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from tallyhouse.plans.batch_run import ChecksFailed, run_batch
 from tallyhouse.plans.warehouse import read_marts
 from tallyhouse.schemas import REVENUE_BY_MINUTE, RUN_LOG
-from tallyhouse.sources.tables import load_raw, read_layer, read_region_seed, recompute_generated
+from tallyhouse.sources.tables import (
+    default_region_seed,
+    load_raw,
+    read_layer,
+    read_region_seed,
+    recompute_generated,
+)
 from tallyhouse.streaming import live
 from tests.conftest import rows, seed, shop
 
@@ -68,3 +74,7 @@ def test_region_seed_from_csv(spark, tmp_path):
     path = tmp_path / "regions.csv"
     path.write_text("country,region\nKenya,Africa\nNew Zealand,Oceania\n")
     assert rows(read_region_seed(spark, str(path))) == [("Kenya", "Africa"), ("New Zealand", "Oceania")]
+
+
+def test_default_region_seed(spark):
+    assert default_region_seed(spark).count() == default_region_seed(spark).select("country").distinct().count() == 21

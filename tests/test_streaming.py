@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import timedelta
 from decimal import Decimal
 
@@ -41,7 +42,10 @@ def topic(spark, tmp_path):
 
     def send(*lines):
         count[0] += 1
-        (folder / f"{count[0]:04d}.txt").write_text("\n".join(lines))
+        path = folder / f"{count[0]:04d}.txt"
+        path.write_text("\n".join(lines))
+        # The source takes files in the order of their times.
+        os.utime(path, (1_700_000_000 + count[0], 1_700_000_000 + count[0]))
 
     def stream():
         return spark.readStream.option("maxFilesPerTrigger", 1).text(str(folder))
@@ -109,6 +113,9 @@ def test_window_over_several_triggers_has_its_full_total(spark, topic, tmp_path)
         (minute("00:01"), 1, Decimal("0.25")),
     ]
     assert published(spark, tmp_path) == batch_answer(topic)
+    root = str(tmp_path / "rt")
+    assert rows(live.read_latest_revenue(spark, root)) == [(minute("00:01"), 1, Decimal("0.25"))]
+    assert [r.order_count for r in live.read_revenue_series(spark, root).collect()] == [1, 3]
 
 
 def test_late_events_are_counted(spark, topic, tmp_path):
@@ -183,6 +190,8 @@ def test_top_products(spark, frame, topic, tmp_path):
     assert rows(live.read_product_windows(spark, root), *columns) == expected
     batch = realtime.with_window(created_items(parse_changes(topic.static(), ORDER_ITEM_ROW)), "5 minutes")
     assert rows(realtime.top_products_5min(batch, products), *columns) == expected
+    shown = [tuple(r) for r in live.read_top_products(spark, root).collect()]
+    assert shown == [("Lamp", Decimal("3.00"))]
     batch_run.compact_top_products(spark, root)
     assert live.read_product_staging(spark, root).isEmpty()
     assert rows(live.read_product_windows(spark, root), *columns) == expected
