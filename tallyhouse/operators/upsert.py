@@ -93,24 +93,44 @@ def overwrite_partitions(frame: DataFrame, path: str, *partitions: str) -> None:
     frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
+def _beside(path: str) -> str:
+    return f"{path.rstrip('/')}__merged"
+
+
+def _finish_upsert(spark: SparkSession, path: str, schema: T.StructType, by_day: bool) -> None:
+    """Move rows that were merged beside the table into it, if there are any.
+
+    Merged rows count once their write has succeeded. They go last, so a run that was cut off here
+    is finished by the next one, with the same rows.
+    """
+    if not table_exists(spark, f"{_beside(path)}/_SUCCESS"):
+        return
+    ready = spark.read.schema(schema).parquet(_beside(path))
+    if by_day:
+        dated = ready.select("*", F.to_date("window_start").alias("window_date"))
+        overwrite_partitions(dated.hint("rebalance", "window_date"), path, "window_date")
+    else:
+        ready.write.mode("overwrite").parquet(path)
+    fs, merged = _hadoop(spark, _beside(path))
+    fs.delete(merged, True)
+
+
 def upsert_windows(
     updates: DataFrame, path: str, keys: Sequence[str], update_columns: Sequence[str], schema: T.StructType
 ) -> None:
     """Upsert into a stored table of windows, laid out by day; untouched days are not read.
 
-    The merged days are written beside the table first, so their plan no longer reads what it
-    replaces. Running it again with the same updates changes nothing.
+    The merged days are written beside the table first, so their plan does not read what it replaces.
+    Running it again with the same updates changes nothing.
     """
     spark = updates.sparkSession
-    day = F.to_date("window_start").alias("window_date")
+    _finish_upsert(spark, path, schema, by_day=True)
     stored = T.StructType([*schema.fields, T.StructField("window_date", T.DateType())])
-    days = updates.select(day).distinct()
+    days = updates.select(F.to_date("window_start").alias("window_date")).distinct()
     target = read_or_empty(spark, path, stored).join(days, "window_date", "left_semi")
     merged = keyed_upsert(target.select(*schema.names), updates, keys, update_columns)
-    beside = f"{path.rstrip('/')}__merged"
-    merged.write.mode("overwrite").parquet(beside)
-    ready = spark.read.schema(schema).parquet(beside)
-    overwrite_partitions(ready.select("*", day).hint("rebalance", "window_date"), path, "window_date")
+    merged.write.mode("overwrite").parquet(_beside(path))
+    _finish_upsert(spark, path, schema, by_day=True)
 
 
 def upsert_small_table(
@@ -118,10 +138,10 @@ def upsert_small_table(
 ) -> None:
     """Upsert into a stored table that is rewritten as a whole, such as the run log."""
     spark = updates.sparkSession
+    _finish_upsert(spark, path, schema, by_day=False)
     merged = keyed_upsert(read_or_empty(spark, path, schema), updates, keys, update_columns)
-    beside = f"{path.rstrip('/')}__merged"
-    merged.write.mode("overwrite").parquet(beside)
-    spark.read.schema(schema).parquet(beside).write.mode("overwrite").parquet(path)
+    merged.write.mode("overwrite").parquet(_beside(path))
+    _finish_upsert(spark, path, schema, by_day=False)
 
 
 def drop_batches(spark: SparkSession, path: str, last: int) -> None:

@@ -50,21 +50,20 @@ def read_jdbc_table(
     Ranges are separate transactions. ``cutoff`` (a timestamp literal) limits every table to rows
     created up to one moment, so that children do not outrun their parents.
     """
+
+    def reader(**options: str) -> DataFrame:
+        return spark.read.format("jdbc").options(url=url, **properties, **options).load()
+
     source = table if cutoff is None else f"(SELECT * FROM {table} WHERE created_at <= TIMESTAMP '{cutoff}') AS snapshot"
-    jdbc = spark.read.format("jdbc").option("url", url).options(**properties)
-    bounds = jdbc.option("query", f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}").load().first()
-    if bounds is None or bounds[0] is None:
-        return jdbc.option("dbtable", source).load()
-    return (
-        spark.read.format("jdbc")
-        .option("url", url)
-        .options(**properties)
-        .option("dbtable", source)
-        .option("partitionColumn", key)
-        .option("lowerBound", str(bounds[0]))
-        .option("upperBound", str(bounds[1] + 1))
-        .option("numPartitions", str(partitions))
-        .load()
+    low, high = reader(query=f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}").first()
+    if low is None:
+        return reader(dbtable=source)
+    return reader(
+        dbtable=source,
+        partitionColumn=key,
+        lowerBound=str(low),
+        upperBound=str(high + 1),
+        numPartitions=str(partitions),
     )
 
 

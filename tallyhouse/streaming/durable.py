@@ -31,8 +31,7 @@ def start_closed_revenue(payments: DataFrame, path: str, checkpoint: str, trigge
     """Append every closed window to Parquet files exactly once."""
     return (
         closed_revenue_windows(payments)
-        .writeStream.queryName("closed_revenue_windows")
-        .format("parquet")
+        .writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", f"{checkpoint}/closed_revenue_windows")

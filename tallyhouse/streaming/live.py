@@ -91,8 +91,7 @@ def _start(
     stream: DataFrame, publish: Callable[[DataFrame, int], None], name: str, checkpoint: str, trigger: dict
 ) -> StreamingQuery:
     return (
-        stream.writeStream.queryName(name)
-        .foreachBatch(publish)
+        stream.writeStream.foreachBatch(publish)
         .outputMode("append")
         .option("checkpointLocation", f"{checkpoint}/{name}")
         .trigger(**trigger)

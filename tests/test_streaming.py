@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import realtime
 from tallyhouse.plans import batch_run
 from tallyhouse.schemas import ORDER_ITEM_ROW, PAYMENT_ROW
+from tallyhouse.session import CLUSTER_SETTINGS
 from tallyhouse.sources.cdc import created_items, parse_changes, successful_payments
 from tallyhouse.streaming import durable, live
 from tests.conftest import at, rows
@@ -197,7 +198,17 @@ def test_top_products(spark, frame, topic, tmp_path):
     assert rows(live.read_product_windows(spark, root), *columns) == expected
 
 
-def test_closed_windows_are_exact_and_published_once(spark, topic, tmp_path):
+@pytest.fixture(params=["local", "cluster"])
+def state_store(spark, request):
+    settings = CLUSTER_SETTINGS if request.param == "cluster" else {}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def test_closed_windows_are_exact_and_published_once(spark, topic, tmp_path, state_store):
     topic.send(payment(1, 1, 10.0, "00:00:10"))
     topic.send(payment(2, 2, 5.0, "00:00:40"), payment(2, 2, 5.0, "00:00:40"), payment(3, 2, 4.0, "00:00:45"))
     topic.send(payment(1, 1, 10.0, "00:00:10"), payment(9, 9, 1.0, "00:10:30"))

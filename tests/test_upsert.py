@@ -84,6 +84,21 @@ def test_window_table_rewrites_only_touched_days(spark, frame, tmp_path):
     assert rows(stored, "order_count") == [(1,), (6,), (7,), (9,)]
 
 
+def test_upsert_that_was_cut_off_is_finished_by_the_next(spark, tmp_path):
+    """Merged rows were written and the table's own day was lost before they were moved in."""
+    path = str(tmp_path / "revenue_by_minute")
+    columns = ["order_count", "revenue", "updated_at"]
+
+    def table(*values):
+        return spark.createDataFrame(list(values), REVENUE_BY_MINUTE)
+
+    upsert.upsert_windows(table(window(0, 1, day=5)), path, ["window_start"], columns, REVENUE_BY_MINUTE)
+    table(window(0, 1), window(1, 2)).write.parquet(f"{path}__merged")
+    upsert.upsert_windows(table(window(1, 3)), path, ["window_start"], columns, REVENUE_BY_MINUTE)
+    assert rows(spark.read.schema(REVENUE_BY_MINUTE).parquet(path), "order_count") == [(1,), (1,), (3,)]
+    assert not os.path.exists(f"{path}__merged")
+
+
 class RecordingConnection:
     """Stands in for a database: every batch of rows becomes one file."""
 
