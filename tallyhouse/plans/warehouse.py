@@ -25,6 +25,20 @@ MARTS = (
 )
 
 
+MODELS = (
+    "stg_customers",
+    "stg_products",
+    "stg_orders",
+    "stg_order_items",
+    "stg_payments",
+    "int_orders_enriched",
+    "int_customer_orders",
+    *MARTS,
+    "source_row_counts",
+    "source_freshness",
+)
+
+
 class Warehouse:
     """All models over one set of raw tables, none of them computed before it is read."""
 
@@ -110,6 +124,11 @@ class Warehouse:
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def register_views(self) -> None:
+        """Make every model a temporary view, for queries in SQL."""
+        for name in MODELS:
+            self[name].createOrReplaceTempView(name)
+
     def write_marts(self, root: str) -> None:
         """Persist the marts and read them back in place of their plans.
 

@@ -89,6 +89,13 @@ def test_stored_marts_equal_lazy_ones(warehouse, tmp_path):
     assert sorted(p.name for p in (tmp_path / "fact_orders").glob("order_month=*")) == ["order_month=2024-03"]
 
 
+def test_models_are_views_for_sql(spark, warehouse):
+    warehouse.register_views()
+    got = spark.sql("SELECT sum(revenue) FROM mart_daily_revenue WHERE order_date >= DATE '2024-03-02'").first()[0]
+    assert got == Decimal("100.00")
+    assert {"int_customer_orders", "source_freshness", "stg_payments"} <= {t.name for t in spark.catalog.listTables()}
+
+
 def days(frame, *values):
     return frame("revenue double, order_count bigint, units_sold bigint", *values)
 
