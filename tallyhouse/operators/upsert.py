@@ -126,8 +126,9 @@ def upsert_windows(
     spark = updates.sparkSession
     _finish_upsert(spark, path, schema, by_day=True)
     stored = T.StructType([*schema.fields, T.StructField("window_date", T.DateType())])
-    days = updates.select(F.to_date("window_start").alias("window_date")).distinct()
-    target = read_or_empty(spark, path, stored).join(days, "window_date", "left_semi")
+    # One date per touched day, so that the read below lists and scans no other folder.
+    days = [row.day for row in updates.select(F.to_date("window_start").alias("day")).distinct().collect()]
+    target = read_or_empty(spark, path, stored).filter(F.col("window_date").isin(days))
     merged = keyed_upsert(target.select(*schema.names), updates, keys, update_columns)
     merged.write.mode("overwrite").parquet(_beside(path))
     _finish_upsert(spark, path, schema, by_day=True)

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import sys
-
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.conftest import SMALL
-
-sys.path.insert(0, "tools")
-from tools.check_oracle import compare, connect  # noqa: E402
+from tools.check_oracle import compare, connect
 
 
 @pytest.fixture(scope="module")
