@@ -41,7 +41,7 @@ def cdc_envelope(row: T.StructType) -> T.StructType:
             T.StructField("before", row),
             T.StructField("after", row),
             T.StructField("op", T.StringType()),
-            T.StructField("ts_ms", T.LongType()),
+            T.StructField("ts_ms", T.DoubleType()),
         ]
     )
 

@@ -194,6 +194,7 @@ def test_top_products(spark, frame, topic, tmp_path):
     shown = [tuple(r) for r in live.read_top_products(spark, root).collect()]
     assert shown == [("Lamp", Decimal("3.00"))]
     batch_run.compact_top_products(spark, root)
+    assert [tuple(r) for r in live.read_top_products(spark, root).collect()] == shown
     assert live.read_product_staging(spark, root).isEmpty()
     assert rows(live.read_product_windows(spark, root), *columns) == expected
 
