@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import string
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -111,12 +112,24 @@ class Vocabulary:
             if self.merged(piece) == [piece]:
                 self.automaton.add_word(piece, (len(piece), self.ids[piece]))
         self.automaton.make_automaton()
-        ends = [c for c in "\n\t\r" if c not in self.known]
-        barrier = "".join(map(re.escape, ends))
-        self.split = re.compile(f"{SPACE}?[^{SPACE}{barrier}]+|{SPACE}" + (f"|[{barrier}]" if ends else "")).findall
+        self.split = self.word_pattern(words).findall
+        self.plain = [
+            p.replace(SPACE, " ") if k == NORMAL else "" if k == CONTROL else None for p, k in zip(self.pieces, self.kinds)
+        ]
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, tuple[tuple[int, ...], str, bool]] = {}
 
+    def word_pattern(self, words: list[str]) -> re.Pattern:
+        """Cuts a text where no merge can reach across: before a space mark, around line ends without a piece, and
+        between a letter or digit and punctuation that no piece holds after a letter or digit."""
+        ends = "".join(map(re.escape, (c for c in "\n\t\r" if c not in self.known)))
+        after = {b for p in words for a, b in zip(p, p[1:]) if a.isalnum()}
+        cut = "".join(map(re.escape, (c for c in string.punctuation if c not in after)))
+        # Any other characters and then letters, again as long as the next character may not be cut off.
+        part = f"(?:(?![^\\W_])[^{SPACE}{ends}])*[^\\W_]*"
+        word = f"{SPACE}?(?=[^{SPACE}{ends}]){part}(?:(?=[^{SPACE}{ends}{cut}]){part})*?(?=[{SPACE}{ends}{cut}]|\\Z)"
+        return re.compile(word + f"|{SPACE}" + (f"|[{ends}]" if ends else ""))
+
     def merged(self, text: str) -> list[str]:
         """The pieces that the merges give, best score first and leftmost on a tie."""
         parts: list[str | None] = list(text)
@@ -211,8 +224,8 @@ class Vocabulary:
             self.words[text] = made
         return made
 
-    def encoded(self, text: str) -> list[tuple[int, ...]]:
-        return [w[0] for w in self.encoded_words(text)]
+    def encoded(self, text: str) -> list[int]:
+        return [i for word in self.encoded_words(text) for i in word[0]]
 
     def encoded_words(self, text: str) -> list[tuple[tuple[int, ...], str, bool]]:
         """What ``word`` gives for each word of a text, with runs of spaces merged."""
@@ -248,6 +261,10 @@ class Vocabulary:
 
     def surface(self, ids) -> str:
         """The text of pieces, where a piece of bytes that is no UTF-8 gives one replacement character."""
+        try:
+            return "".join(map(self.plain.__getitem__, ids))
+        except TypeError:  # bytes or unknown pieces
+            pass
         out: list[str] = []
         raw = bytearray()
 

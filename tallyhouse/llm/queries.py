@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import quadratic, sharding
+from tallyhouse.llm import piece_bpe, quadratic, sharding
 from tallyhouse.llm.common import table
 
 
@@ -14,9 +15,14 @@ def op4_lpt_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+def op7_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return piece_bpe.digests(piece_bpe.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def op10_quadratic(spark: SparkSession, folder: str) -> DataFrame:
     return quadratic.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_lpt_shards, op10_quadratic)}
+    return {f.__name__: f for f in (op4_lpt_shards, op7_piece_bpe, op10_quadratic)}
