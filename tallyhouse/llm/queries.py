@@ -7,14 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import piece_bpe, quadratic, sharding
+from tallyhouse.llm import mixing, piece_bpe, quadratic, secrets, sharding
 from tallyhouse.llm.common import table
 
 
+def op3_linked_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digests(secrets.scan(table(spark, folder, "documents")))
+
+
 def op4_lpt_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+def op5_pfair_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
 def op7_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return piece_bpe.digests(piece_bpe.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model")))
@@ -25,4 +33,4 @@ def op10_quadratic(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_lpt_shards, op7_piece_bpe, op10_quadratic)}
+    return {f.__name__: f for f in (op3_linked_secrets, op4_lpt_shards, op5_pfair_mix, op7_piece_bpe, op10_quadratic)}
