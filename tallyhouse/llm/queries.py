@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import mixing, piece_bpe, quadratic, secrets, sharding
+from tallyhouse.llm import mixing, piece_bpe, quadratic, secrets, sharding, simhash
 from tallyhouse.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op5_pfair_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op6_simhash_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return piece_bpe.digests(piece_bpe.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model")))
@@ -33,4 +37,4 @@ def op10_quadratic(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_linked_secrets, op4_lpt_shards, op5_pfair_mix, op7_piece_bpe, op10_quadratic)}
+    return {f.__name__: f for f in (op3_linked_secrets, op4_lpt_shards, op5_pfair_mix, op6_simhash_anchors, op7_piece_bpe, op10_quadratic)}
