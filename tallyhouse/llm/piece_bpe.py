@@ -22,9 +22,10 @@ import heapq
 import re
 import string
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import groupby
 
 import ahocorasick
 import numpy as np
@@ -36,7 +37,7 @@ SPACE = "▁"
 # Fixed values of the model file: kinds of pieces, and the fields of its messages that are read.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 PIECE, TRAINER, NORMALISER = 1, 2, 3
-# Entries a worker keeps; beyond, it starts anew.
+# Entries a worker keeps in each generation of words, and of pairs.
 CACHED_WORDS = 400_000
 CACHED_PAIRS = 2_000_000
 
@@ -117,7 +118,8 @@ class Vocabulary:
             p.replace(SPACE, " ") if k == NORMAL else "" if k == CONTROL else None for p, k in zip(self.pieces, self.kinds)
         ]
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[tuple[int, ...], str, bool]] = {}
+        self.words: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
 
     def word_pattern(self, words: list[str]) -> re.Pattern:
         """Cuts a text where no merge can reach across: before a space mark, around line ends without a piece, and
@@ -174,60 +176,67 @@ class Vocabulary:
     def backtracked(self, text: str) -> list[int]:
         """Ids of a text of known characters without a space mark after its first place."""
         n = len(text)
-        matches: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+        matches: list[list[tuple[int, int]]] = [[] for _ in text]
         for end, (length, piece) in self.automaton.iter(text):
-            matches[end + 1 - length].append((end + 1, piece))
-        chosen = [0] * n
+            end += 1
+            matches[end - length].append((end, piece))
+        pairs, size = self.pairs.get, len(self.pieces)
         ids: list[int] = []
-        starts: list[int] = []
+        taken: list[tuple[int, int]] = []  # where each piece starts, and which of the matches there it is
         failed = 0
         at = 0
-        k = len(matches[0]) - 1
-        compatible = self.compatible
+        last = -1
+        k = len(matches[0])
         while at < n:
             options = matches[at]
-            last = ids[-1] if ids else -1
-            while k >= 0:
+            while k:
+                k -= 1
                 end, piece = options[k]
-                if not failed >> end & 1 and (last < 0 or compatible(last, piece)):
+                if failed and failed >> end & 1:
+                    continue
+                if last < 0:
+                    break
+                fits = pairs(last * size + piece)
+                if fits or (fits is None and self.compatible(last, piece)):
                     break
-                k -= 1
-            if k >= 0:
-                chosen[at] = k
-                starts.append(at)
-                ids.append(piece)
-                at = end
-                k = len(matches[at]) - 1 if at < n else -1
             else:
                 failed |= 1 << at
-                at = starts.pop()
+                at, k = taken.pop()
                 ids.pop()
-                k = chosen[at] - 1
+                last = ids[-1] if ids else -1
+                continue
+            taken.append((at, k))
+            ids.append(piece)
+            at, last = end, piece
+            if at < n:
+                k = len(matches[at])
         return ids
 
-    def word(self, text: str) -> tuple[tuple[int, ...], str, bool]:
-        """Ids of one word, their text, and whether a lone space mark comes first."""
-        ids: list[int] = []
-        known = self.known
-        if all(map(known.__contains__, text)):
-            ids = self.backtracked(text)
-        else:
-            for run in re.findall(f"[{re.escape(''.join(sorted(set(text) & known)))}]+|." if set(text) & known else ".", text, re.S):
-                if run[0] in known:
-                    ids += self.backtracked(run)
-                else:
-                    ids += [self.byte_id[b] for b in run.encode()]
-        made = (tuple(ids), self.surface(ids), self.pieces[ids[0]] == SPACE)
+    def word(self, text: str) -> tuple[bytes, str]:
+        """Ids of one word, as 32-bit numbers, and their text. The cache has two generations; what was used since
+        the older one was full is kept."""
+        made = self.older.pop(text, None)
+        if made is None:
+            known = self.known
+            if known.issuperset(text):
+                ids = self.backtracked(text)
+            else:
+                ids = []
+                for is_known, run in groupby(text, known.__contains__):
+                    run = "".join(run)
+                    ids += self.backtracked(run) if is_known else [self.byte_id[b] for b in run.encode()]
+            made = (array("i", ids).tobytes(), self.surface(ids))
         if len(text) < 100:
             if len(self.words) >= CACHED_WORDS:
+                self.older = dict(self.words)
                 self.words.clear()
             self.words[text] = made
         return made
 
     def encoded(self, text: str) -> list[int]:
-        return [i for word in self.encoded_words(text) for i in word[0]]
+        return array("i", b"".join([word[0] for word in self.encoded_words(text)])).tolist()
 
-    def encoded_words(self, text: str) -> list[tuple[tuple[int, ...], str, bool]]:
+    def encoded_words(self, text: str) -> list[tuple[bytes, str]]:
         """What ``word`` gives for each word of a text, with runs of spaces merged."""
         if not text:
             return []
@@ -236,18 +245,18 @@ class Vocabulary:
         words = [get(w) or make(w) for w in self.split(marked)]
         if SPACE + SPACE not in marked:
             return words
-        lone = self.ids[SPACE]
+        lone = array("i", [self.ids[SPACE]]).tobytes()
         result, run = [], 0
         for entry in words:
             ids = entry[0]
-            if ids == (lone,):
+            if ids == lone:
                 run += 1
                 continue
             if run:
-                if entry[2]:
-                    run, ids = run + 1, ids[1:]
+                if ids.startswith(lone):
+                    run, ids = run + 1, ids[len(lone) :]
+                    entry = (ids, self.surface(array("i", ids)))
                 result.append(self.spaces(run))
-                entry = (ids, self.surface(ids), False)
                 run = 0
             result.append(entry)
         if run:
@@ -255,9 +264,9 @@ class Vocabulary:
         return result
 
     @lru_cache(maxsize=4096)  # noqa: B019  one vocabulary per worker
-    def spaces(self, length: int) -> tuple[tuple[int, ...], str, bool]:
-        ids = tuple(self.ids[p] for p in self.merged(SPACE * length))
-        return ids, self.surface(ids), False
+    def spaces(self, length: int) -> tuple[bytes, str]:
+        ids = [self.ids[p] for p in self.merged(SPACE * length)]
+        return array("i", ids).tobytes(), self.surface(ids)
 
     def surface(self, ids) -> str:
         """The text of pieces, where a piece of bytes that is no UTF-8 gives one replacement character."""
@@ -328,10 +337,10 @@ def encode_decode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text
             values, ends, decoded = [np.zeros(0, np.int32)], [0], []
             for body in batch.column(1).to_pylist():
                 words = known.encoded_words(body or "")
-                ids = np.fromiter(chain.from_iterable(w[0] for w in words), np.int32)
+                ids = np.frombuffer(b"".join([w[0] for w in words]), np.int32)
                 values.append(ids)
                 ends.append(ends[-1] + len(ids))
-                whole = "".join(w[1] for w in words)
+                whole = "".join([w[1] for w in words])
                 starts = len(ids) and known.pieces[ids[0]].startswith(SPACE)
                 decoded.append(whole[1:] if starts else whole)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values)))

@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import mixing, piece_bpe, quadratic, rules, secrets, sharding, simhash
+from tallyhouse.llm import hnsw, mixing, piece_bpe, quadratic, rules, secrets, sharding, simhash
 from tallyhouse.llm.common import table
 
 
+def op1_hnsw(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.nearest_neighbours(table(spark, folder, "embeddings"))
+
+
 def op3_linked_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, folder, "documents")))
 
@@ -41,4 +45,4 @@ def op10_quadratic(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_linked_secrets, op4_lpt_shards, op5_pfair_mix, op6_simhash_anchors, op7_piece_bpe, op9_risk_rules, op10_quadratic)}
+    return {f.__name__: f for f in (op1_hnsw, op3_linked_secrets, op4_lpt_shards, op5_pfair_mix, op6_simhash_anchors, op7_piece_bpe, op9_risk_rules, op10_quadratic)}
