@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import hnsw, mixing, piece_bpe, quadratic, rules, secrets, sharding, simhash
+from tallyhouse.llm import hnsw, interpolation, mixing, piece_bpe, quadratic, rules, secrets, sharding, simhash
 from tallyhouse.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op7_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return piece_bpe.digests(piece_bpe.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model")))
 
 
+def op8_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    return interpolation.score_documents(table(spark, folder, "documents"))
+
+
 def op9_risk_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.verdicts(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -45,4 +49,4 @@ def op10_quadratic(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hnsw, op3_linked_secrets, op4_lpt_shards, op5_pfair_mix, op6_simhash_anchors, op7_piece_bpe, op9_risk_rules, op10_quadratic)}
+    return {f.__name__: f for f in (op1_hnsw, op3_linked_secrets, op4_lpt_shards, op5_pfair_mix, op6_simhash_anchors, op7_piece_bpe, op8_deleted_interpolation, op9_risk_rules, op10_quadratic)}
