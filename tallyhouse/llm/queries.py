@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import hnsw, interpolation, mixing, piece_bpe, quadratic, rules, secrets, sharding, simhash
+from tallyhouse.llm import hnsw, interpolation, mixing, passages, piece_bpe, quadratic, rules, secrets, sharding, simhash
 from tallyhouse.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_hnsw(spark: SparkSession, folder: str) -> DataFrame:
     return hnsw.nearest_neighbours(table(spark, folder, "embeddings"))
 
 
+def op2_compact_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, folder, "documents"))
+
+
 def op3_linked_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, folder, "documents")))
 
@@ -49,4 +53,4 @@ def op10_quadratic(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hnsw, op3_linked_secrets, op4_lpt_shards, op5_pfair_mix, op6_simhash_anchors, op7_piece_bpe, op8_deleted_interpolation, op9_risk_rules, op10_quadratic)}
+    return {f.__name__: f for f in (op1_hnsw, op2_compact_windows, op3_linked_secrets, op4_lpt_shards, op5_pfair_mix, op6_simhash_anchors, op7_piece_bpe, op8_deleted_interpolation, op9_risk_rules, op10_quadratic)}
