@@ -351,6 +351,27 @@ def encode_decode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text
     return rows.mapInArrow(batches, "doc_id long, ids array<int>, decoded string")
 
 
+def encoded_columns(docs: DataFrame, model_path: str, kept: list[str], text: str = "text") -> DataFrame:
+    """The named columns, ids, n_tokens and round_trip: whether decoding the ids gives the text back."""
+    model = read_model(model_path)
+    rows = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary(model)
+        for batch in stream:
+            ids, whole = [], []
+            for body in batch.column(len(kept)).to_pylist():
+                found = known.encoded(body)
+                ids.append(np.array(found, np.int32))
+                whole.append(known.decoded(found) == body)
+            columns = [batch.column(i) for i in range(len(kept))]
+            columns += [pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64()), pa.array(whole, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "ids", "n_tokens", "round_trip"])
+
+    return rows.mapInArrow(batches, f"{schema}, ids array<int>, n_tokens long, round_trip boolean")
+
+
 def digests(encoded: DataFrame) -> DataFrame:
     """doc_id, n_tokens and SHA-256 of the ids and of the decoded text."""
     return encoded.select(
