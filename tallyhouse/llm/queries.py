@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,5 +53,9 @@ def op10_quadratic(spark: SparkSession, folder: str) -> DataFrame:
     return quadratic.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hnsw, op2_compact_windows, op3_linked_secrets, op4_lpt_shards, op5_pfair_mix, op6_simhash_anchors, op7_piece_bpe, op8_deleted_interpolation, op9_risk_rules, op10_quadratic)}
+    return {f.__name__: f for f in (op1_hnsw, op2_compact_windows, op3_linked_secrets, op4_lpt_shards, op5_pfair_mix, op6_simhash_anchors, op7_piece_bpe, op8_deleted_interpolation, op9_risk_rules, op10_quadratic, pipeline)}
