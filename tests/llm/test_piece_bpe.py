@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from tallyhouse.llm import piece_bpe, queries
+from tests.llm.helpers import MIDDLE, documents, edge_documents, no_documents
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+@pytest.fixture(scope="module")
+def own():
+    return piece_bpe.vocabulary(piece_bpe.read_model(PATH))
+
+
+def test_query_agrees_with_the_library(spark, library):
+    rows = {r["doc_id"]: r for r in queries.op7_piece_bpe(spark, MIDDLE).collect()}
+    for d in documents(MIDDLE):
+        ids = library.encode(d["text"] or "")
+        row = rows[d["doc_id"]]
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_random_texts_round_trip(own, library):
+    rng = random.Random(1)
+    letters = "ab  the in er\n\tt1é日本 ▁xx..!!zzéü🙂\x00 '\"=()s_-/\r"
+    for _ in range(5000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))
+        if rng.random() < 0.2:
+            text = text.replace(" ", " " * rng.randint(1, 40))
+        ids = own.encoded(text)
+        assert ids == library.encode(text)
+        assert own.decoded(ids) == library.decode(ids)
+
+
+def test_any_ids_decode_like_the_library(own, library):
+    rng = random.Random(2)
+    some = [0, 1, 2, 3, 100, 131, 140, 200, 229, 230, 259, 260, 300]
+    for _ in range(3000):
+        ids = [rng.choice([*some, rng.randrange(32_000)]) for _ in range(rng.randint(0, 8))]
+        assert own.decoded(ids) == library.decode(ids)
+
+
+def test_long_texts_without_spaces(own, library):
+    for text in ("ab" * 20_000, "é日" * 5_000, " " * 10_000, "x" * 30_000 + " y"):
+        assert own.encoded(text) == library.encode(text)
+
+
+def test_small_caches_change_nothing(library, monkeypatch):
+    monkeypatch.setattr(piece_bpe, "CACHED_WORDS", 20)
+    monkeypatch.setattr(piece_bpe, "CACHED_PAIRS", 20)
+    own = piece_bpe.Vocabulary(piece_bpe.read_model(PATH))
+    for d in documents(MIDDLE)[:40]:
+        assert own.encoded(d["text"]) == library.encode(d["text"])
+
+
+def test_other_models_are_refused():
+    with pytest.raises(ValueError):
+        piece_bpe.Vocabulary(b"")
+
+
+def test_awkward_rows(spark, library):
+    docs = edge_documents(spark)
+    rows = piece_bpe.encode_decode(docs, PATH).collect()
+    assert len(rows) == 9
+    for r, d in zip(rows, docs.collect()):
+        assert r["ids"] == library.encode(d["text"] or "") and r["decoded"] == (d["text"] or "")
+    assert piece_bpe.encode_decode(no_documents(spark), PATH).count() == 0
