@@ -183,10 +183,15 @@ def matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(x, np.float64) for x in column])
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows times a power of two, which changes no cosine, so that no square overflows or vanishes."""
+    _, exponents = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -exponents)
+
+
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
-    """Unit vectors; scaled by the largest component first, so that no square overflows or vanishes."""
-    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-    return (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype(np.float32)
+    moderate = scaled(vectors)
+    return (moderate / np.linalg.norm(moderate, axis=1, keepdims=True)).astype(np.float32)
 
 
 def usable(vector: Column) -> Column:
@@ -253,15 +258,17 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, width: int = SEAR
             shard = searched.iloc[0]
             ids = list(shard["ids"])
             vectors = np.asarray(shard["vectors"], np.float64).reshape(len(ids), -1)
+            units = unit_rows(vectors)
+            vectors = scaled(vectors)
             norms = np.sqrt((vectors * vectors).sum(axis=1))
             graph = Graph.of(
-                unit_rows(vectors),
+                units,
                 list(shard["level_sizes"]),
                 np.asarray(shard["nodes"], np.int32),
                 np.asarray(shard["neighbours"], np.int32),
             )
             originals = matrix(asked["vector"])
-            for own, q, unit in zip(asked["query_id"].tolist(), originals, unit_rows(originals)):
+            for own, q, unit in zip(asked["query_id"].tolist(), scaled(originals), unit_rows(originals)):
                 found = np.array(graph.search(unit, width))
                 score = (vectors[found] * q).sum(axis=1) / (norms[found] * np.sqrt((q * q).sum()))
                 # Nodes cannot be cut off before their copies are seen: each gives at most k ids besides the own.
