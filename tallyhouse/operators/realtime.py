@@ -6,7 +6,7 @@ as decimals, so a total does not depend on the order in which its parts were add
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import or_zero, product_label
@@ -32,9 +32,15 @@ def with_window(events: DataFrame, duration: str, watermark: str = WATERMARK) ->
 # --- revenue by minute ------------------------------------------------------------------------
 
 
+def payment_fits() -> Column:
+    """Whether the amount is one that can be summed; a missing one is."""
+    return F.col("amount").isNull() | F.col("amount").try_cast(EXACT).isNotNull()
+
+
 def revenue_partials(payments: DataFrame) -> DataFrame:
-    """Amount per window and order. Partials of several micro-batches add up."""
-    return payments.groupBy("window_start", "order_id").agg(F.sum(F.col("amount").cast(EXACT)).alias("amount"))
+    """Amount per window and order. Partials of several micro-batches add up; amounts that do not fit are left out."""
+    fitting = payments.filter(payment_fits())
+    return fitting.groupBy("window_start", "order_id").agg(F.sum(F.col("amount").try_cast(EXACT)).alias("amount"))
 
 
 def revenue_windows(partials: DataFrame) -> DataFrame:
@@ -52,16 +58,27 @@ def revenue_by_minute(payments: DataFrame) -> DataFrame:
 # --- top products -----------------------------------------------------------------------------
 
 
-def product_partials(items: DataFrame) -> DataFrame:
-    """Units and revenue per window and product; a missing line total is computed, else 0."""
-    line = F.coalesce(
-        F.col("line_total").cast(EXACT),
-        (F.col("quantity") * F.col("unit_price").cast(EXACT)).cast(EXACT),
-        F.lit(0).cast(EXACT),
+def _line_value() -> Column:
+    computed = (F.col("quantity") * F.col("unit_price").try_cast(EXACT)).try_cast(EXACT)
+    return F.coalesce(F.col("line_total").try_cast(EXACT), computed, F.lit(0).cast(EXACT))
+
+
+def item_fits() -> Column:
+    """Whether the line's money can be summed: the total, or else what it would be computed from."""
+    total, price = F.col("line_total"), F.col("unit_price")
+    small = F.abs(F.col("quantity") * price) < 1e14
+    return F.when(total.isNotNull(), total.try_cast(EXACT).isNotNull()).otherwise(
+        price.isNull() | F.col("quantity").isNull() | (price.try_cast(EXACT).isNotNull() & small)
     )
-    return items.groupBy("window_start", "product_id").agg(
-        or_zero(F.sum("quantity")).alias("units_sold"),
-        or_zero(F.sum(line)).alias("revenue"),
+
+
+def product_partials(items: DataFrame) -> DataFrame:
+    """Units and revenue per window and product; a missing line total is computed, else 0. Lines that do not fit are
+    left out."""
+    return (
+        items.filter(item_fits())
+        .groupBy("window_start", "product_id")
+        .agg(or_zero(F.sum("quantity")).alias("units_sold"), or_zero(F.sum(_line_value())).alias("revenue"))
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import partial
 from itertools import batched, chain
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,10 +41,15 @@ def keyed_upsert(
 
 
 def latest_per_key(log: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The newest row of each key of an append-only log, as a partial aggregate and not a sort."""
-    others = [name for name in log.columns if name not in keys]
-    newest = F.max_by(F.struct(*others), F.struct(*order))
-    return log.groupBy(*keys).agg(newest.alias("row")).select(*keys, "row.*")
+    """The newest row of each key of an append-only log; of equally new ones the greatest by the other columns.
+
+    A rank, of which every task sends on only its own first row per key. The key's rows are sorted, before the
+    shuffle and, what is left of them, after it; a hash aggregate cannot hold whole rows as its state.
+    """
+    others = [name for name in log.columns if name not in keys and name not in order]
+    newest = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(name) for name in [*order, *others]])
+    ranked = log.withColumn("_rank", F.row_number().over(newest))
+    return ranked.filter(F.col("_rank") == 1).select(*keys, *[name for name in log.columns if name not in keys])
 
 
 def compact_latest(staging: DataFrame) -> DataFrame:
@@ -125,12 +130,15 @@ def upsert_windows(
     """
     spark = updates.sparkSession
     _finish_upsert(spark, path, schema, by_day=True)
+    # Used for the days and again for the merge; a lost block is computed again from the log.
+    updates = updates.persist()
     stored = T.StructType([*schema.fields, T.StructField("window_date", T.DateType())])
     # One date per touched day, so that the read below lists and scans no other folder.
     days = [row.day for row in updates.select(F.to_date("window_start").alias("day")).distinct().collect()]
     target = read_or_empty(spark, path, stored).filter(F.col("window_date").isin(days))
     merged = keyed_upsert(target.select(*schema.names), updates, keys, update_columns)
     merged.write.mode("overwrite").parquet(_beside(path))
+    updates.unpersist()
     _finish_upsert(spark, path, schema, by_day=True)
 
 
@@ -145,13 +153,29 @@ def upsert_small_table(
     _finish_upsert(spark, path, schema, by_day=False)
 
 
-def drop_batches(spark: SparkSession, path: str, last: int) -> None:
-    """Remove the folders ``batch_id=N`` of a staging log up to ``last``; newer ones stay."""
+def replace_table(frame: DataFrame, path: str, schema: T.StructType) -> None:
+    """Replace a small stored table; a reader sees the old one or the new one, a cut-off run is finished by the next."""
+    spark = frame.sparkSession
+    _finish_upsert(spark, path, schema, by_day=False)
+    frame.select(*schema.names).write.mode("overwrite").parquet(_beside(path))
+    _finish_upsert(spark, path, schema, by_day=False)
+
+
+def drop_batches(spark: SparkSession, path: str, folded: Sequence[tuple[str, int]]) -> None:
+    """Remove the folders of the given (generation, batch_id) from a staging log; others stay."""
+    for generation, batch_id in folded:
+        fs, where = _hadoop(spark, f"{path}/generation={generation}/batch_id={batch_id}")
+        fs.delete(where, True)
+
+
+def drop_partitions(spark: SparkSession, path: str, name: str, last: str) -> None:
+    """Remove the second-level folders ``name=value`` with a value up to ``last``."""
     fs, where = _hadoop(spark, path)
-    for entry in fs.listStatus(where):
-        name = entry.getPath().getName()
-        if name.startswith("batch_id=") and int(name.split("=")[1]) <= last:
-            fs.delete(entry.getPath(), True)
+    for outer in fs.listStatus(where):
+        for inner in fs.listStatus(outer.getPath()) if outer.isDirectory() else []:
+            key, _, value = inner.getPath().getName().partition("=")
+            if key == name and value <= last:
+                fs.delete(inner.getPath(), True)
 
 
 # --- relational targets ---------------------------------------------------------------------------
@@ -162,10 +186,11 @@ def upsert_statement(table: str, columns: Sequence[str], keys: Sequence[str], up
         return ", ".join(f'"{name}"' for name in names)
 
     changes = ", ".join(f'"{name}" = EXCLUDED."{name}"' for name in update_columns)
+    action = f"UPDATE SET {changes}" if changes else "NOTHING"
     marks = ", ".join(["%s"] * len(columns))
     return (
         f"INSERT INTO {table} ({listed(columns)}) VALUES ({marks}) "
-        f"ON CONFLICT ({listed(keys)}) DO UPDATE SET {changes}"
+        f"ON CONFLICT ({listed(keys)}) DO {action}"
     )
 
 

@@ -26,17 +26,25 @@ class ChecksFailed(Exception):
     """At least one data check found violations."""
 
 
-def compact_revenue(spark: SparkSession, root: str, now: Column | None = None) -> None:
-    """Fold the staging log of revenue windows into their table, then empty what was folded.
+def _closed_batches(staging: DataFrame) -> list[tuple[str, int]]:
+    """The published micro-batches there are now, one for each trigger since the last compaction."""
+    return [(r["generation"], r["batch_id"]) for r in staging.select("generation", "batch_id").distinct().collect()]
 
-    Batches that arrive meanwhile are newer than ``last`` and stay for the next run.
-    """
+
+def _newest(staging: DataFrame, folded: list[tuple[str, int]], keys: list[str]) -> DataFrame:
+    """The newest row per key of the given micro-batches; those that arrive meanwhile stay for the next run."""
+    batches = staging.sparkSession.createDataFrame(folded, "generation string, batch_id long")
+    kept = staging.join(F.broadcast(batches), ["generation", "batch_id"], "left_semi")
+    return latest_per_key(kept, keys, ["ingested_at", "batch_id"])
+
+
+def compact_revenue(spark: SparkSession, root: str, now: Column | None = None) -> None:
+    """Fold the staging log of revenue windows into their table, then empty what was folded."""
     staging = read_revenue_staging(spark, root)
-    last = staging.agg(F.max("batch_id")).first()[0]
-    if last is None:
+    folded = _closed_batches(staging)
+    if not folded:
         return
-    folded = staging.filter(F.col("batch_id") <= last)
-    newest = latest_per_key(folded, ["window_start"], ["ingested_at", "batch_id"]).select(
+    newest = _newest(staging, folded, ["window_start"]).select(
         "window_start",
         "order_count",
         "revenue",
@@ -44,20 +52,20 @@ def compact_revenue(spark: SparkSession, root: str, now: Column | None = None) -
     )
     columns = ["order_count", "revenue", "updated_at"]
     upsert_windows(newest, f"{root}/revenue_by_minute", ["window_start"], columns, REVENUE_BY_MINUTE)
-    drop_batches(spark, f"{root}/revenue_by_minute_staging", last)
+    drop_batches(spark, f"{root}/revenue_by_minute_staging", folded)
 
 
 def compact_top_products(spark: SparkSession, root: str) -> None:
     """The same for product windows; a known key keeps the time it first came in."""
     staging = read_product_staging(spark, root)
-    last = staging.agg(F.max("batch_id")).first()[0]
-    if last is None:
+    folded = _closed_batches(staging)
+    if not folded:
         return
     keys = ["window_start", "product_id"]
-    newest = latest_per_key(staging.filter(F.col("batch_id") <= last), keys, ["ingested_at", "batch_id"])
+    newest = _newest(staging, folded, keys).drop("generation", "batch_id")
     columns = ["product_name", "units_sold", "revenue"]
-    upsert_windows(newest.drop("batch_id"), f"{root}/top_products_5min", keys, columns, TOP_PRODUCTS_5MIN)
-    drop_batches(spark, f"{root}/top_products_5min_staging", last)
+    upsert_windows(newest, f"{root}/top_products_5min", keys, columns, TOP_PRODUCTS_5MIN)
+    drop_batches(spark, f"{root}/top_products_5min_staging", folded)
 
 
 def log_run(

@@ -9,6 +9,7 @@ SOURCE_TABLES = ("customers", "products", "orders", "order_items", "payments")
 # Columns the source computes itself; they are not loaded but derived again.
 GENERATED_COLUMNS = {"order_items": {"line_total": "CAST(quantity * unit_price AS DECIMAL(10,2))"}}
 
+# The rows as the change envelopes carry them.
 PAYMENT_ROW = T.StructType(
     [
         T.StructField("payment_id", T.LongType()),
@@ -34,18 +35,6 @@ ORDER_ITEM_ROW = T.StructType(
 )
 
 
-def cdc_envelope(row: T.StructType) -> T.StructType:
-    """Change envelope around one row schema: images before and after, operation, time."""
-    return T.StructType(
-        [
-            T.StructField("before", row),
-            T.StructField("after", row),
-            T.StructField("op", T.StringType()),
-            T.StructField("ts_ms", T.DoubleType()),
-        ]
-    )
-
-
 REGION_SEED = T.StructType([T.StructField("country", T.StringType()), T.StructField("region", T.StringType())])
 
 # Partial sums of one micro-batch, added up when they are read.
@@ -54,7 +43,8 @@ REVENUE_PARTIALS = T.StructType(
         T.StructField("window_start", T.TimestampType()),
         T.StructField("order_id", T.LongType()),
         T.StructField("amount", T.DecimalType(30, 6)),
-        T.StructField("window_date", T.DateType()),
+        T.StructField("generation", T.StringType()),
+        T.StructField("window_hour", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -65,7 +55,8 @@ PRODUCT_PARTIALS = T.StructType(
         T.StructField("product_id", T.LongType()),
         T.StructField("units_sold", T.LongType()),
         T.StructField("revenue", T.DecimalType(30, 6)),
-        T.StructField("window_date", T.DateType()),
+        T.StructField("generation", T.StringType()),
+        T.StructField("window_hour", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -77,6 +68,7 @@ REVENUE_STAGING = T.StructType(
         T.StructField("order_count", T.LongType()),
         T.StructField("revenue", T.DecimalType(22, 2)),
         T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("generation", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -89,11 +81,12 @@ PRODUCT_STAGING = T.StructType(
         T.StructField("units_sold", T.LongType()),
         T.StructField("revenue", T.DecimalType(22, 2)),
         T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("generation", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
 
-TOP_PRODUCTS_5MIN = T.StructType(PRODUCT_STAGING.fields[:-1])
+TOP_PRODUCTS_5MIN = T.StructType(PRODUCT_STAGING.fields[:-2])
 
 REVENUE_BY_MINUTE = T.StructType(
     [
@@ -115,13 +108,3 @@ RUN_LOG = T.StructType(
         T.StructField("recorded_at", T.TimestampType()),
     ]
 )
-
-HEALTH_CHECK = T.StructType(
-    [
-        T.StructField("name", T.StringType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("message", T.StringType()),
-        T.StructField("latency_ms", T.DoubleType()),
-        T.StructField("details", T.MapType(T.StringType(), T.StringType())),
-    ]
-)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime SQL settings every job relies on; none depends on the cluster's size.
 SQL_SETTINGS = {
@@ -18,51 +18,30 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-}
-
-
-# Only where state can outgrow an executor's heap; a small local stream starts faster without.
-CLUSTER_SETTINGS = {
+    # Streaming state lives outside the heap, on a laptop as on a cluster.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
 }
 
 
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+def configure(spark: SparkSession, initial_partitions: int | None = None) -> SparkSession:
+    """Apply the settings above to a session someone else has built.
 
-
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings above to a session someone else has built."""
-    settings = SQL_SETTINGS if is_local(spark) else {**SQL_SETTINGS, **CLUSTER_SETTINGS}
-    for key, value in settings.items():
+    ``initial_partitions`` is the number of partitions a shuffle starts with before adaptive execution merges the
+    small ones; a partition cannot be split again in an aggregate, so set it to the bytes of the largest shuffle
+    over 128 MB. Without it the session's own setting holds.
+    """
+    for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
+    if initial_partitions is not None:
+        spark.conf.set(INITIAL_PARTITIONS, str(initial_partitions))
     return spark
 
 
-# Shuffle bytes one task should get before it has to spill.
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-# More would cost the map side more than larger partitions cost the reduce side.
-MAX_PARTITIONS = 100_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def size_shuffles(frame: DataFrame) -> DataFrame:
-    """Raise the initial number of shuffle partitions to fit a frame about to be processed.
-
-    The optimizer's size estimate of the scan decides. Adaptive execution merges what turns out too
-    small, but cannot split an aggregate's partition that is too large.
-    """
-    spark = frame.sparkSession
-    size = int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(-(-size // TARGET_PARTITION_BYTES), MAX_PARTITIONS)
-    if wanted > current:
-        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
-    return frame
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
@@ -88,7 +67,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not is_local(spark):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="tallyhouse-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -2,34 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.schemas import GENERATED_COLUMNS, REGION_SEED, SOURCE_TABLES
-from tallyhouse.session import size_shuffles
-
-
-# Countries the shop delivers to, by region.
-COUNTRIES = {
-    "Africa": ("South Africa", "Nigeria", "Kenya", "Ghana", "Egypt"),
-    "Europe": ("Ireland", "United Kingdom", "Germany", "France", "Italy"),
-    "North America": ("United States", "Canada", "Mexico"),
-    "South America": ("Brazil", "Argentina"),
-    "Asia": ("India", "Japan", "China", "Singapore"),
-    "Oceania": ("Australia", "New Zealand"),
-}
-
-
-def default_region_seed(spark: SparkSession) -> DataFrame:
-    rows = [(country, region) for region, countries in COUNTRIES.items() for country in countries]
-    return spark.createDataFrame(rows, REGION_SEED)
 
 
 def read_layer(spark: SparkSession, root: str, tables=SOURCE_TABLES) -> dict[str, DataFrame]:
     """Named tables of one layer (``raw``, ``marts``, ...), one Parquet folder each."""
-    return {table: size_shuffles(spark.read.parquet(f"{root}/{table}")) for table in tables}
+    return {table: spark.read.parquet(f"{root}/{table}") for table in tables}
 
 
 def read_region_seed(spark: SparkSession, path: str) -> DataFrame:
@@ -37,34 +20,35 @@ def read_region_seed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_jdbc_table(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    key: str,
-    properties: Mapping[str, str],
-    partitions: int = 64,
-    cutoff: str | None = None,
+    spark: SparkSession, url: str, table: str, properties: Mapping[str, str], predicates: Sequence[str], cutoff: str | None = None
 ) -> DataFrame:
-    """Scan a relational table in parallel ranges of its numeric key.
+    """Scan a relational table, one task for each predicate.
 
-    Ranges are separate transactions. ``cutoff`` (a timestamp literal) limits every table to rows
-    created up to one moment, so that children do not outrun their parents.
+    The predicates are conditions that together cover every row once. Take them from row counts of the key
+    (``key_ranges``), so that a sparse or a crowded range of keys makes no small or large task. Each is a
+    transaction of its own. ``cutoff`` (a timestamp literal) limits every table to rows created up to one moment,
+    so that children do not outrun their parents; where the source keeps a version column, bound that instead.
     """
+    source = table if cutoff is None else f"(SELECT * FROM {table} WHERE created_at <= TIMESTAMP '{cutoff}') AS snapshot"
+    return spark.read.jdbc(url, source, predicates=list(predicates), properties=dict(properties))
 
-    def reader(**options: str) -> DataFrame:
-        return spark.read.format("jdbc").options(url=url, **properties, **options).load()
 
-    source = table if cutoff is None else f"(SELECT * FROM {table} WHERE created_at <= TIMESTAMP '{cutoff}') AS snapshot"
-    low, high = reader(query=f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}").first()
-    if low is None:
-        return reader(dbtable=source)
-    return reader(
-        dbtable=source,
-        partitionColumn=key,
-        lowerBound=str(low),
-        upperBound=str(high + 1),
-        numPartitions=str(partitions),
-    )
+def key_ranges(counts: DataFrame, key: str, rows_per_task: int) -> list[str]:
+    """Conditions on ``key`` of about ``rows_per_task`` rows each, from (low, n): the rows per range that starts at low.
+
+    ``counts`` is a histogram the source computes, a few thousand rows; NULL keys get a condition of their own.
+    """
+    bounds, size = [], 0
+    for row in counts.orderBy("low").collect():
+        if size and size + row["n"] > rows_per_task:
+            bounds.append(row["low"])
+            size = 0
+        size += row["n"]
+    edges = [None, *bounds, None]
+    parts = []
+    for low, high in zip(edges, edges[1:]):
+        parts.append(" AND ".join([f"{key} >= {low}"] * (low is not None) + [f"{key} < {high}"] * (high is not None)) or f"{key} IS NOT NULL")
+    return [*parts, f"{key} IS NULL"]
 
 
 def recompute_generated(table: str, frame: DataFrame) -> DataFrame:

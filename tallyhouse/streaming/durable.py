@@ -11,14 +11,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tallyhouse.operators.realtime import EXACT, MONEY, PAYMENT_WINDOW, WATERMARK
+from tallyhouse.operators.realtime import EXACT, MONEY, PAYMENT_WINDOW, WATERMARK, payment_fits
 
 
 def closed_revenue_windows(payments: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Distinct orders and revenue per closed minute of a stream with payment_id and event_time."""
-    once = payments.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["payment_id"])
+    """Distinct orders and revenue per closed minute of a stream with payment_id and event_time.
+
+    A payment without an id is no copy of another one; each gets a key of its own. Amounts that do not fit are left
+    out.
+    """
+    key = F.coalesce(F.col("payment_id").cast("string"), F.uuid())
+    once = (
+        payments.filter(payment_fits())
+        .withColumn("_key", key)
+        .withWatermark("event_time", watermark)
+        .dropDuplicatesWithinWatermark(["_key"])
+    )
     per_order = once.groupBy(F.window("event_time", PAYMENT_WINDOW), "order_id").agg(
-        F.sum(F.col("amount").cast(EXACT)).alias("amount")
+        F.sum(F.col("amount").try_cast(EXACT)).alias("amount")
     )
     return (
         per_order.groupBy("window")

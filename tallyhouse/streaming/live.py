@@ -1,8 +1,14 @@
 """The live path: every micro-batch adds its partial sums and republishes the windows it touched.
 
 Partials are additive, so a window that spans several micro-batches, or gets a late event, ends with
-its full total; nothing is dropped and no state has to be kept. A replayed micro-batch overwrites its
-own folders. Published totals go to an append-only staging log, which ``plans.batch_run`` compacts.
+its full total; nothing is dropped. They are laid out by the hour of their window, and a trigger reads
+only the files of the touched hours that can hold a touched window: what it reads follows from its own
+events, not from the age of the stream.
+
+Partials and published totals belong to a generation, the id Spark gives a checkpoint. A new checkpoint
+reads the source anew and starts a generation of its own, so nothing is added twice; a replayed
+micro-batch overwrites its own folders. Published totals go to an append-only staging log, which
+``plans.batch_run`` compacts. Amounts that cannot be summed go to a table of rejects and stop nothing.
 """
 
 from __future__ import annotations
@@ -15,7 +21,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tallyhouse.operators import realtime
-from tallyhouse.operators.upsert import keyed_upsert, latest_per_key, overwrite_partitions, read_or_empty
+from tallyhouse.operators.upsert import (
+    drop_partitions,
+    keyed_upsert,
+    latest_per_key,
+    overwrite_partitions,
+    read_or_empty,
+    replace_table,
+    table_exists,
+)
 from tallyhouse.schemas import (
     ORDER_ITEM_ROW,
     PAYMENT_ROW,
@@ -42,58 +56,119 @@ def item_events(raw: DataFrame) -> DataFrame:
     return realtime.with_window(created_items(parse_changes(raw, ORDER_ITEM_ROW)), realtime.ITEM_WINDOW)
 
 
-def _add_partials(partials: DataFrame, batch_id: int, path: str, schema: T.StructType) -> DataFrame | None:
+HOUR = "yyyyMMddHH"
+
+
+def generation_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the checkpoint, which Spark writes before the first micro-batch."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
+def _stamped(frame: DataFrame, generation: str, batch_id: int) -> DataFrame:
+    return frame.withColumns({"generation": F.lit(generation), "batch_id": F.lit(batch_id).cast("bigint")})
+
+
+def _add_partials(
+    partials: DataFrame, generation: str, batch_id: int, path: str, schema: T.StructType
+) -> DataFrame | None:
     """Store this micro-batch's partials; all partials of the windows in it, or None if it has none.
 
-    The log has one folder per day of event time and batch. Only the days this batch touches are
-    listed and read, so the cost does not grow with the age of the stream.
+    Windows in hours that have been expired are not touched: their totals are final.
     """
     spark = partials.sparkSession
-    day = F.to_date("window_start").alias("window_date")
-    mine = partials.select("*", day, F.lit(batch_id).cast("bigint").alias("batch_id")).persist()
+    hour = F.date_format("window_start", HOUR)
+    open_hours = hour > F.lit(expired_until(spark, path))
+    mine = _stamped(partials.filter(open_hours).withColumn("window_hour", hour), generation, batch_id).persist()
     try:
-        days = sorted(row.window_date for row in mine.select("window_date").distinct().collect())
-        if not days:
+        touched = mine.groupBy("window_hour").agg(F.min("window_start"), F.max("window_start")).collect()
+        if not touched:
             return None
         # Few files per folder, also when a backlog of many days arrives at once.
-        overwrite_partitions(mine.hint("rebalance", "window_date"), path, "window_date", "batch_id")
+        overwrite_partitions(
+            mine.hint("rebalance", "window_hour").sortWithinPartitions("window_hour", "window_start"),
+            path,
+            "generation",
+            "window_hour",
+            "batch_id",
+        )
     finally:
         mine.unpersist()
-    folders = [f"{path}/window_date={day}" for day in days]
+    folders = [f"{path}/generation={generation}/window_hour={row[0]}" for row in touched]
     log = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    # The bounds skip files of the hour by their statistics; with one touched hour they are the touched windows.
+    between = F.col("window_start").between(F.lit(min(row[1] for row in touched)), F.lit(max(row[2] for row in touched)))
     windows = log.filter(F.col("batch_id") == batch_id).select("window_start").distinct()
-    return log.filter(F.col("batch_id") <= batch_id).join(windows, "window_start", "left_semi")
+    return log.filter((F.col("batch_id") <= batch_id) & between).join(windows, "window_start", "left_semi")
 
 
-def _stage(totals: DataFrame, batch_id: int, path: str) -> None:
-    stamped = totals.select(
-        "*", F.current_timestamp().alias("ingested_at"), F.lit(batch_id).cast("bigint").alias("batch_id")
-    )
-    overwrite_partitions(stamped, path, "batch_id")
+def _stage(totals: DataFrame, generation: str, batch_id: int, path: str) -> None:
+    stamped = _stamped(totals.withColumn("ingested_at", F.current_timestamp()), generation, batch_id)
+    overwrite_partitions(stamped, path, "generation", "batch_id")
+
 
+def _reject(events: DataFrame, fits: Column, generation: str, batch_id: int, path: str) -> None:
+    """Keep the events whose money does not fit; a micro-batch without any writes nothing."""
+    bad = events.filter(~F.coalesce(fits, F.lit(False)))
+    if not bad.isEmpty():
+        overwrite_partitions(_stamped(bad, generation, batch_id), path, "generation", "batch_id")
 
-def publish_revenue(batch: DataFrame, batch_id: int, root: str) -> None:
+
+def publish_revenue(batch: DataFrame, batch_id: int, root: str, generation: str = "0") -> None:
+    _reject(batch, realtime.payment_fits(), generation, batch_id, f"{root}/rejected_payments")
     partials = realtime.revenue_partials(batch)
-    touched = _add_partials(partials, batch_id, f"{root}/revenue_partials", REVENUE_PARTIALS)
+    touched = _add_partials(partials, generation, batch_id, f"{root}/revenue_partials", REVENUE_PARTIALS)
     if touched is not None:
-        _stage(realtime.revenue_windows(touched), batch_id, f"{root}/revenue_by_minute_staging")
+        _stage(realtime.revenue_windows(touched), generation, batch_id, f"{root}/revenue_by_minute_staging")
 
 
-def publish_top_products(batch: DataFrame, batch_id: int, root: str, products: DataFrame) -> None:
+def publish_top_products(
+    batch: DataFrame, batch_id: int, root: str, products: DataFrame, generation: str = "0", limit: int = 20
+) -> None:
+    """Sales of the touched windows, and the list of the best products of the newest one, which is replaced."""
+    _reject(batch, realtime.item_fits(), generation, batch_id, f"{root}/rejected_items")
     partials = realtime.product_partials(batch)
-    touched = _add_partials(partials, batch_id, f"{root}/product_partials", PRODUCT_PARTIALS)
-    if touched is not None:
-        sales = realtime.with_product_names(realtime.product_windows(touched), products)
-        _stage(sales, batch_id, f"{root}/top_products_5min_staging")
+    touched = _add_partials(partials, generation, batch_id, f"{root}/product_partials", PRODUCT_PARTIALS)
+    if touched is None:
+        return
+    staging = f"{root}/top_products_5min_staging"
+    _stage(realtime.with_product_names(realtime.product_windows(touched), products), generation, batch_id, staging)
+    spark = batch.sparkSession
+    stored = spark.read.schema(PRODUCT_STAGING).option("basePath", staging)
+    fresh = stored.parquet(f"{staging}/generation={generation}/batch_id={batch_id}")
+    # A late batch does not take the place of a newer window's list.
+    newest = fresh.agg(F.max("window_start")).first()[0]
+    current = read_or_empty(spark, f"{root}/top_products_live", TOP_PRODUCTS_5MIN).agg(F.max("window_start")).first()[0]
+    if current is None or newest >= current:
+        best = realtime.live_top_products(fresh.select(*TOP_PRODUCTS_5MIN.names), limit)
+        replace_table(best, f"{root}/top_products_live", TOP_PRODUCTS_5MIN)
+
+
+def expired_until(spark: SparkSession, path: str) -> str:
+    """The last hour whose partials have been removed; earlier than any hour if none has."""
+    if not table_exists(spark, f"{path}__expired"):
+        return ""
+    return spark.read.schema("hour string").parquet(f"{path}__expired").agg(F.max("hour")).first()[0] or ""
+
+
+def expire_partials(spark: SparkSession, path: str, last_hour: str) -> None:
+    """Remove the partials of the hours up to ``last_hour`` (yyyyMMddHH). Their published totals stay; events of these
+    hours that arrive later are left out from now on, which is recorded first."""
+    spark.createDataFrame([(last_hour,)], "hour string").write.mode("append").parquet(f"{path}__expired")
+    drop_partitions(spark, path, "window_hour", last_hour)
 
 
 def _start(
-    stream: DataFrame, publish: Callable[[DataFrame, int], None], name: str, checkpoint: str, trigger: dict
+    stream: DataFrame, publish: Callable[[DataFrame, int, str], None], name: str, checkpoint: str, trigger: dict
 ) -> StreamingQuery:
+    folder = f"{checkpoint}/{name}"
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        publish(batch, batch_id, generation_of(batch.sparkSession, folder))
+
     return (
-        stream.writeStream.foreachBatch(publish)
+        stream.writeStream.foreachBatch(each)
         .outputMode("append")
-        .option("checkpointLocation", f"{checkpoint}/{name}")
+        .option("checkpointLocation", folder)
         .trigger(**trigger)
         .start()
     )
@@ -104,8 +179,8 @@ def start_revenue(
 ) -> StreamingQuery:
     """Publish revenue by minute from a raw stream of payment changes."""
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        publish_revenue(batch, batch_id, root)
+    def publish(batch: DataFrame, batch_id: int, generation: str) -> None:
+        publish_revenue(batch, batch_id, root, generation)
 
     return _start(payment_events(raw, now), publish, "revenue_by_minute", checkpoint, trigger)
 
@@ -115,8 +190,8 @@ def start_top_products(
 ) -> StreamingQuery:
     """Publish sales per five minutes and product from a raw stream of item changes."""
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        publish_top_products(batch, batch_id, root, products)
+    def publish(batch: DataFrame, batch_id: int, generation: str) -> None:
+        publish_top_products(batch, batch_id, root, products, generation)
 
     return _start(item_events(raw), publish, "top_products_5min", checkpoint, trigger)
 
@@ -130,10 +205,16 @@ def run_speed_layer(
     checkpoint: str,
     trigger: dict = TRIGGER,
 ) -> None:
-    """Both live queries until one of them ends."""
-    start_revenue(payments, root, checkpoint, trigger)
-    start_top_products(items, products, root, checkpoint, trigger)
-    spark.streams.awaitAnyTermination()
+    """Both live queries. With a trigger that ends by itself until both have; else until one of them ends."""
+    queries = [
+        start_revenue(payments, root, checkpoint, trigger),
+        start_top_products(items, products, root, checkpoint, trigger),
+    ]
+    if trigger.get("availableNow") or trigger.get("once"):
+        for query in queries:
+            query.awaitTermination()
+    else:
+        spark.streams.awaitAnyTermination()
 
 
 # --- reads --------------------------------------------------------------------------------------
@@ -158,7 +239,7 @@ def read_revenue_windows(spark: SparkSession, root: str) -> DataFrame:
 def _overlaid_products(compacted: DataFrame, staging: DataFrame) -> DataFrame:
     keys = ["window_start", "product_id"]
     newest = latest_per_key(staging, keys, ["ingested_at", "batch_id"])
-    return keyed_upsert(compacted, newest.drop("batch_id"), keys, ["product_name", "units_sold", "revenue"])
+    return keyed_upsert(compacted, newest.drop("generation", "batch_id"), keys, ["product_name", "units_sold", "revenue"])
 
 
 def read_product_windows(spark: SparkSession, root: str) -> DataFrame:
@@ -183,6 +264,17 @@ def read_revenue_series(spark: SparkSession, root: str, limit: int = 60) -> Data
     return realtime.window_series(read_revenue_windows(spark, root), limit)
 
 
+def read_live_list(spark: SparkSession, root: str) -> DataFrame:
+    """The kept list of the newest five minutes, as the stream replaced it last."""
+    return read_or_empty(spark, f"{root}/top_products_live", TOP_PRODUCTS_5MIN)
+
+
+def read_rejects(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """Rejected events of ``payments`` or ``items``, counted per micro-batch."""
+    counted = T.StructType.fromDDL("generation string, batch_id long")
+    return read_or_empty(spark, f"{root}/rejected_{kind}", counted).groupBy("generation", "batch_id").count()
+
+
 def read_top_products(spark: SparkSession, root: str, limit: int = 10) -> DataFrame:
     """The live list of the newest five minutes, as it is shown."""
     return realtime.served_top_products(read_newest_products(spark, root), limit)

@@ -11,7 +11,7 @@ from tallyhouse.plans.batch_run import ChecksFailed, run_batch
 from tallyhouse.plans.warehouse import read_marts
 from tallyhouse.schemas import REVENUE_BY_MINUTE, RUN_LOG
 from tallyhouse.sources.tables import (
-    default_region_seed,
+    key_ranges,
     load_raw,
     read_layer,
     read_region_seed,
@@ -76,5 +76,12 @@ def test_region_seed_from_csv(spark, tmp_path):
     assert rows(read_region_seed(spark, str(path))) == [("Kenya", "Africa"), ("New Zealand", "Oceania")]
 
 
-def test_default_region_seed(spark):
-    assert default_region_seed(spark).count() == default_region_seed(spark).select("country").distinct().count() == 21
+def test_key_ranges_follow_the_row_counts(frame):
+    counts = frame("low bigint, n bigint", (0, 5), (100, 90), (200, 5), (300, 40), (400, 70))
+    assert key_ranges(counts, "id", 100) == [
+        "id < 300",
+        "id >= 300 AND id < 400",
+        "id >= 400",
+        "id IS NULL",
+    ]
+    assert key_ranges(counts.limit(0), "id", 100) == ["id IS NOT NULL", "id IS NULL"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import marts, monitoring, orders, quality, realtime, serving
 from tallyhouse.plans.queries import Inputs, registry
-from tallyhouse.session import TARGET_PARTITION_BYTES, size_shuffles
+from tallyhouse.session import INITIAL_PARTITIONS, configure
 from tests.conftest import SMALL, rows
 
 
@@ -179,12 +179,10 @@ def test_recent_orders_shuffle_items_once(spark, large_tables):
     assert "Exchange hashpartitioning(order_id" not in after_join
 
 
-def test_shuffles_grow_with_the_input(spark):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+def test_initial_partitions_are_the_callers(spark):
     session = spark.newSession()
-    assert session.conf.get(key, None) is None
-    small = session.read.parquet(f"{SMALL}/orders.parquet")
-    size_shuffles(small)
-    assert session.conf.get(key, None) is None
-    size_shuffles(session.range(10_000_000_000))
-    assert int(session.conf.get(key)) == -(-80_000_000_000 // TARGET_PARTITION_BYTES)
+    assert session.conf.get(INITIAL_PARTITIONS, None) is None
+    configure(session)
+    assert session.conf.get(INITIAL_PARTITIONS, None) is None
+    configure(session, 820_000)
+    assert session.conf.get(INITIAL_PARTITIONS) == "820000"

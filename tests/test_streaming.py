@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import realtime
 from tallyhouse.plans import batch_run
 from tallyhouse.schemas import ORDER_ITEM_ROW, PAYMENT_ROW
-from tallyhouse.session import CLUSTER_SETTINGS
 from tallyhouse.sources.cdc import created_items, parse_changes, successful_payments
 from tallyhouse.streaming import durable, live
 from tests.conftest import at, rows
@@ -143,8 +142,9 @@ def test_replayed_batch_replaces_itself(spark, topic, tmp_path):
     topic.send(payment(2, 2, 5.0, "00:00:20"))
     run_revenue(topic, tmp_path)
     again = live.payment_events(spark.createDataFrame([(payment(2, 2, 5.0, "00:00:20"),)], "value string"))
+    generation = live.generation_of(spark, str(tmp_path / "ck" / "revenue_by_minute"))
     for _ in range(2):
-        live.publish_revenue(again, 1, str(tmp_path / "rt"))
+        live.publish_revenue(again, 1, str(tmp_path / "rt"), generation)
     assert published(spark, tmp_path) == [(minute("00:00"), 2, Decimal("15.00"))]
 
 
@@ -199,17 +199,7 @@ def test_top_products(spark, frame, topic, tmp_path):
     assert rows(live.read_product_windows(spark, root), *columns) == expected
 
 
-@pytest.fixture(params=["local", "cluster"])
-def state_store(spark, request):
-    settings = CLUSTER_SETTINGS if request.param == "cluster" else {}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    yield
-    for key in settings:
-        spark.conf.unset(key)
-
-
-def test_closed_windows_are_exact_and_published_once(spark, topic, tmp_path, state_store):
+def test_closed_windows_are_exact_and_published_once(spark, topic, tmp_path):
     topic.send(payment(1, 1, 10.0, "00:00:10"))
     topic.send(payment(2, 2, 5.0, "00:00:40"), payment(2, 2, 5.0, "00:00:40"), payment(3, 2, 4.0, "00:00:45"))
     topic.send(payment(1, 1, 10.0, "00:00:10"), payment(9, 9, 1.0, "00:10:30"))
@@ -238,3 +228,91 @@ def test_join_of_stream_and_table(spark, frame, topic, tmp_path):
     )
     query.awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "out")), "product_id", "product_name") == [(1, "Lamp"), (8, None)]
+
+
+def test_new_checkpoint_starts_a_generation(spark, topic, tmp_path):
+    """Two files under one checkpoint; under a new one on the same root all of them again, in other micro-batches."""
+    topic.send(payment(1, 1, 10.0, "00:00:10"))
+    topic.send(payment(2, 2, 5.0, "00:00:20"))
+    run_revenue(topic, tmp_path)
+    topic.send(payment(3, 3, 0.75, "00:00:30"))
+    root, now = str(tmp_path / "rt"), F.lit(NOW).cast("timestamp")
+    folder = str(tmp_path / "topic")
+    anew = spark.readStream.option("maxFilesPerTrigger", 3).text(folder)
+    live.start_revenue(anew, root, str(tmp_path / "ck2"), ONCE, now).awaitTermination()
+    topic.send(payment(4, 4, 0.25, "00:00:40"))
+    live.start_revenue(anew, root, str(tmp_path / "ck2"), ONCE, now).awaitTermination()
+    assert published(spark, tmp_path) == [(minute("00:00"), 4, Decimal("16.00"))]
+    batch_run.compact_revenue(spark, root)
+    assert published(spark, tmp_path) == [(minute("00:00"), 4, Decimal("16.00"))]
+
+
+def test_bad_money_is_rejected_and_stops_nothing(spark, frame, topic, tmp_path):
+    topic.send(payment(1, 1, 1e20, "00:00:10"), payment(2, 2, 5.0, "00:00:20"))
+    run_revenue(topic, tmp_path)
+    root = str(tmp_path / "rt")
+    assert published(spark, tmp_path) == [(minute("00:00"), 1, Decimal("5.00"))]
+    assert rows(live.read_rejects(spark, root, "payments"), "count") == [(1,)]
+    products = frame("product_id bigint, product_name string", (1, "Lamp"))
+    lines = [item(1, 1, 1e20, None, "00:01:00"), item(1, 1, 2.0, 1e30, "00:01:00"), item(1, 2, 2.0, None, "00:01:00")]
+    raw = spark.createDataFrame([(x,) for x in lines], "value string")
+    live.publish_top_products(live.item_events(raw), 0, root, products)
+    assert rows(live.read_product_windows(spark, root), "units_sold", "revenue") == [(2, Decimal("4.00"))]
+    assert rows(live.read_rejects(spark, root, "items"), "count") == [(2,)]
+
+
+def test_payments_without_an_id_are_not_copies(spark, topic, tmp_path):
+    topic.send(payment(None, 1, 2.0, "00:00:10"), payment(None, 2, 3.0, "00:00:20"), payment(7, 3, 2.0, "00:00:30"))
+    topic.send(payment(8, 8, 1.0, "00:20:30"))
+    topic.send(payment(9, 9, 1.0, "00:30:30"))
+    payments = successful_payments(parse_changes(topic.stream(), PAYMENT_ROW))
+    path = str(tmp_path / "closed")
+    durable.start_closed_revenue(payments, path, str(tmp_path / "ck"), ONCE).awaitTermination()
+    assert rows(spark.read.parquet(path))[0] == (minute("00:00"), 3, Decimal("7.00"))
+
+
+def test_a_trigger_reads_the_partials_of_its_own_windows(spark, topic, tmp_path):
+    """The rows read for one more event do not grow with the hours, or the minutes, that came before."""
+    root = str(tmp_path / "rt")
+    read = []
+    for hour in range(4):
+        for k in range(3):
+            events = [payment(100 * hour + 10 * k + i, i, 1.0, f"{hour:02d}:{20 * k:02d}:{i:02d}") for i in range(9)]
+            raw = spark.createDataFrame([(e,) for e in events], "value string")
+            batch = live.payment_events(raw)
+            partials = realtime.revenue_partials(batch)
+            touched = live._add_partials(partials, "g", 3 * hour + k, f"{root}/revenue_partials", live.REVENUE_PARTIALS)
+            scans = touched._jdf.queryExecution().executedPlan().toString()
+            assert "PushedFilters: [IsNotNull" in scans or "GreaterThanOrEqual(window_start" in scans
+            assert len(touched.inputFiles()) <= 2 * (k + 1)
+            read.append(touched.count())
+    assert set(read) == {9}
+
+
+def test_expired_hours_are_final(spark, topic, tmp_path):
+    root = str(tmp_path / "rt")
+    topic.send(payment(1, 1, 10.0, "00:00:10"), payment(2, 2, 1.0, "03:00:10"))
+    run_revenue(topic, tmp_path)
+    live.expire_partials(spark, f"{root}/revenue_partials", "2024010101")
+    topic.send(payment(3, 3, 5.0, "00:00:20"), payment(4, 4, 5.0, "03:00:20"))
+    run_revenue(topic, tmp_path)
+    assert published(spark, tmp_path) == [(minute("00:00"), 1, Decimal("10.00")), (minute("03:00"), 2, Decimal("6.00"))]
+
+
+def test_both_streams_and_the_kept_list(spark, frame, topic, tmp_path):
+    products = frame("product_id bigint, product_name string", *[(i, f"p{i}") for i in range(30)])
+    topic.send(*[item(i, 1, float(i), float(i), "00:01:00") for i in range(25)], payment(1, 1, 3.0, "00:00:10"))
+    topic.send(*[item(i, 1, 1.0, 1.0, "00:06:00") for i in range(3)])
+    topic.send(item(29, 1, 99.0, 99.0, "00:02:00"))
+    root = str(tmp_path / "rt")
+    live.run_speed_layer(spark, topic.stream(), topic.stream(), products, root, str(tmp_path / "ck"), ONCE)
+    # The last file's late window does not replace the newer one.
+    assert rows(live.read_live_list(spark, root), "window_start", "product_id") == [(minute("00:05"), i) for i in range(3)]
+    assert published(spark, tmp_path)[0] == (minute("00:00"), 1, Decimal("3.00"))
+
+
+def test_each_envelope_is_parsed_once(spark, topic):
+    topic.send(payment(1, 1, 10.0, "00:00:10"))
+    for events in (live.payment_events(topic.static()), live.item_events(topic.static())):
+        plan = events._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json") == 1
