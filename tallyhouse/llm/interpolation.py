@@ -42,13 +42,18 @@ EM_ROUNDS = 30
 # Bins of the two likelihood ratios that EM sees, in steps of 1 / RATIO_STEPS of a power of two.
 RATIO_BINS, RATIO_STEPS = 400, 6
 
-CHUNK = "chunk long, doc_ids array<long>, folds array<int>, ends array<int>, tokens binary, word_hashes binary"
+CHUNK = (
+    "chunk long, is_tuning boolean, doc_ids array<long>, folds array<int>, ends array<int>, start int, tokens binary, "
+    "word_hashes binary"
+)
 CHUNK_ARROW = pa.schema(
     [
         ("chunk", pa.int64()),
+        ("is_tuning", pa.bool_()),
         ("doc_ids", pa.list_(pa.int64())),
         ("folds", pa.list_(pa.int32())),
         ("ends", pa.list_(pa.int32())),
+        ("start", pa.int32()),
         ("tokens", pa.binary()),
         ("word_hashes", pa.binary()),
     ]
@@ -63,6 +68,17 @@ ANSWER = "chunk long, kind int, bucket int, main binary, tuning binary, types_tr
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
+def packed_hashes(values: np.ndarray) -> bytes:
+    """Sorted 64-bit hashes as compressed differences, the first bytes of all of them together, and so on."""
+    gaps = np.diff(values, prepend=np.uint64(0))
+    return zstandard.compress(gaps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpacked_hashes(data: bytes) -> np.ndarray:
+    parts = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(parts).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def packed(values: np.ndarray) -> bytes:
     """32-bit numbers, compressed; the first bytes of all numbers stand together, then the second, and so on."""
     parts = np.ascontiguousarray(values, np.uint32).view(np.uint8).reshape(-1, 4).T
@@ -83,45 +99,64 @@ def mix(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return x
 
 
-def chunked(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, fold, text) to chunks of about CHUNK_TOKENS tokens; a document is never cut."""
-    base = TaskContext.get().partitionId() << 32
-    number = 0
-    words: dict[bytes, int] = {START: 0, END: 1}
-    doc_ids, folds, ends, tokens = [], [], [], []
-    size = 0
-
-    def chunk() -> pa.RecordBatch:
+class Builder:
+    """Collects documents until they make a chunk; a document is never cut."""
+
+    def __init__(self, is_tuning: bool):
+        self.is_tuning = is_tuning
+        self.words: dict[bytes, int] = {START: 0, END: 1}
+        self.doc_ids: list[int | None] = []
+        self.folds: list[int] = []
+        self.ends: list[int] = []
+        self.tokens: list[np.ndarray] = []
+
+    def add(self, doc_id: int | None, fold: int, text: bytes | None) -> bool:
+        """Whether the chunk is full."""
+        found = (text or b"").translate(LOWER).split()
+        found.append(END)
+        known, words = self.words.setdefault, self.words
+        self.tokens.append(np.array([known(w, len(words)) for w in found], np.int64))
+        self.doc_ids.append(doc_id)
+        self.folds.append(fold)
+        self.ends.append((self.ends[-1] if self.ends else 0) + len(found))
+        return self.ends[-1] >= CHUNK_TOKENS
+
+    def batch(self, number: int) -> pa.RecordBatch:
+        """The chunk as a row; its words are numbered in the order of their hashes."""
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
+        order = np.argsort(hashes)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
         row = {
-            "chunk": base + number,
-            "doc_ids": doc_ids,
-            "folds": folds,
-            "ends": ends,
-            "tokens": packed(np.concatenate(tokens)),
-            "word_hashes": np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).tobytes(),
+            "chunk": number,
+            "is_tuning": self.is_tuning,
+            "doc_ids": self.doc_ids,
+            "folds": self.folds,
+            "ends": self.ends,
+            "start": int(place[0]),
+            "tokens": packed(place[np.concatenate(self.tokens)]),
+            "word_hashes": packed_hashes(hashes[order]),
         }
         return pa.RecordBatch.from_pylist([row], schema=CHUNK_ARROW)
 
+
+def chunked(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, fold, text) to chunks of about CHUNK_TOKENS tokens; the tuning fold has chunks of its own."""
+    number = TaskContext.get().partitionId() << 32
+    open_chunks = {is_tuning: Builder(is_tuning) for is_tuning in (False, True)}
     for batch in stream:
         for doc_id, fold, text in zip(
             batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist()
         ):
-            found = (text or b"").translate(LOWER).split()
-            found.append(END)
-            known = words.setdefault
-            tokens.append(np.array([known(w, len(words)) for w in found], np.int64))
-            size += len(found)
-            doc_ids.append(doc_id)
-            folds.append(fold)
-            ends.append(size)
-            if size >= CHUNK_TOKENS:
-                yield chunk()
+            mine = open_chunks[fold == TUNING]
+            if mine.add(doc_id, fold, text):
+                yield mine.batch(number)
                 number += 1
-                words = {START: 0, END: 1}
-                doc_ids, folds, ends, tokens = [], [], [], []
-                size = 0
-    if doc_ids:
-        yield chunk()
+                open_chunks[mine.is_tuning] = Builder(mine.is_tuning)
+    for mine in open_chunks.values():
+        if mine.doc_ids:
+            yield mine.batch(number)
+            number += 1
 
 
 class Chunk:
@@ -131,17 +166,12 @@ class Chunk:
         self.ends = np.asarray(row["ends"], np.int64)
         self.starts = np.concatenate([[0], self.ends[:-1]])
         self.folds = np.asarray(row["folds"], np.int64)
-        tokens = unpacked(row["tokens"])
-        hashes = np.frombuffer(row["word_hashes"], np.uint64)
-        order = np.argsort(hashes)
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.tokens = place[tokens]
+        words = unpacked_hashes(row["word_hashes"])
+        self.tokens = unpacked(row["tokens"]).astype(np.int64)
         # A start mark stands before each document as its first context.
-        self.start = place[0]
+        self.start = row["start"]
         self.before = np.concatenate([[0], self.tokens[:-1]])
         self.before[self.starts] = self.start
-        words = hashes[order]
         pairs, self.pairs = np.unique(mix(words[self.before], words[self.tokens]), return_inverse=True)
         self.hashes = {WORDS: words, PAIRS: pairs}
 
@@ -181,7 +211,7 @@ def requests(buckets: int):
                     starts = bucket_starts(hashes, buckets).tolist()
                     n_main, n_tuning = chunk.own_counts(kind, main), chunk.own_counts(kind, tuning)
                     rows = [
-                        (k, kind, row["chunk"], hashes[a:b].tobytes(), packed(n_main[a:b]), packed(n_tuning[a:b]))
+                        (k, kind, row["chunk"], packed_hashes(hashes[a:b]), packed(n_main[a:b]), packed(n_tuning[a:b]))
                         for k, (a, b) in enumerate(zip(starts, starts[1:]))
                         if a < b
                     ]
@@ -195,7 +225,7 @@ def answer(key: tuple, asked: pd.DataFrame) -> pd.DataFrame:
     """Adds up a bucket's hashes over its chunks and answers each chunk in the order it asked. The first answer
     also tells how many of a bucket's words occur in training and in the main folds; the start mark is no word."""
     asked = asked.sort_values("chunk")
-    hashes = [np.frombuffer(b, np.uint64) for b in asked["hashes"]]
+    hashes = [unpacked_hashes(b) for b in asked["hashes"]]
     every, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
     cuts = np.cumsum([len(h) for h in hashes])[:-1]
     out = {"chunk": asked["chunk"], "kind": asked["kind"], "bucket": asked["bucket"]}
@@ -281,11 +311,10 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     def tuning_cells(key: tuple, chunk: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         own = Chunk(chunk.iloc[0])
-        tuned = own.per_token(own.folds == TUNING)
         words = own.counts(WORDS, found)[0]
-        both = own.counts(PAIRS, found)[0][own.pairs[tuned]]
-        context = words[own.before[tuned]]
-        p2, p1, p0 = likelihoods(both, context, words[own.tokens[tuned]], n_main, v_main)
+        both = own.counts(PAIRS, found)[0][own.pairs]
+        context = words[own.before]
+        p2, p1, p0 = likelihoods(both, context, words[own.tokens], n_main, v_main)
         cells = (context_bucket(context) * RATIO_BINS + ratio_bins(p2, p0)) * RATIO_BINS + ratio_bins(p1, p0)
         cell, number = np.unique(cells, return_counts=True)
         return pd.DataFrame(
@@ -297,11 +326,12 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             }
         )
 
-    by_chunk = answers.groupBy("chunk")
+    tuning_chunks = chunks.filter("is_tuning")
+    tuning_answers = answers.join(tuning_chunks.select("chunk"), "chunk", "left_semi")
     # At most CONTEXT_BUCKETS x RATIO_BINS^2 cells, whatever the corpus.
     cells = (
-        chunks.groupBy("chunk")
-        .cogroup(by_chunk)
+        tuning_chunks.groupBy("chunk")
+        .cogroup(tuning_answers.groupBy("chunk"))
         .applyInPandas(tuning_cells, "context long, pair_bin long, word_bin long, n long")
         .groupBy("context", "pair_bin", "word_bin")
         .agg(F.sum("n").alias("n"))
@@ -330,7 +360,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             }
         )
 
-    scored = chunks.groupBy("chunk").cogroup(by_chunk).applyInPandas(scores, SCORED)
+    scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(scores, SCORED)
     return scored.withColumn("train_tokens", F.lit(n_train).cast("long")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

@@ -103,6 +103,9 @@ def test_packing():
     values = np.array([0, 1, 255, 256, 2**32 - 1], np.uint32)
     assert (interpolation.unpacked(interpolation.packed(values)) == values).all()
     assert len(interpolation.unpacked(interpolation.packed(values[:0]))) == 0
+    hashes = np.sort(np.random.default_rng(1).integers(0, 1 << 64, 999, np.uint64))
+    assert (interpolation.unpacked_hashes(interpolation.packed_hashes(hashes)) == hashes).all()
+    assert len(interpolation.unpacked_hashes(interpolation.packed_hashes(hashes[:0]))) == 0
 
 
 def test_awkward_rows(spark):
