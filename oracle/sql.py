@@ -146,14 +146,28 @@ SUMMARY = """SELECT CAST(sum(revenue) AS DOUBLE) AS total_revenue, CAST(sum(orde
        CAST(sum(units_sold) AS BIGINT) AS total_units,
        CAST(sum(revenue) AS DOUBLE) / CAST(sum(order_count) AS DOUBLE) AS avg_order_value FROM {days}"""
 HEALTH_STATUS = """
-SELECT 'Spark Streaming' AS name,
+SELECT 'Speed revenue windows' AS name,
        CASE WHEN max(window_start) IS NULL OR date_diff('second', max(window_start), TIMESTAMP '2024-01-31') > 300
             THEN 'degraded' ELSE 'healthy' END AS status FROM revenue_windows
-UNION ALL SELECT 'dbt Batch Layer', CASE WHEN count(*) = 0 THEN 'degraded' ELSE 'healthy' END FROM customer_metrics
-UNION ALL SELECT 'Order Generator',
+UNION ALL SELECT 'Batch customer mart', CASE WHEN count(*) = 0 THEN 'degraded' ELSE 'healthy' END FROM customer_metrics
+UNION ALL SELECT 'Serving product list',
+       CASE WHEN max(window_start) IS NULL OR date_diff('second', max(window_start), TIMESTAMP '2024-01-31') > 300
+            THEN 'degraded' ELSE 'healthy' END FROM product_windows
+UNION ALL SELECT 'Batch order intake',
        CASE WHEN max(created_at) IS NULL OR date_diff('second', max(created_at), TIMESTAMP '2024-01-31') > 300
             THEN 'degraded' ELSE 'healthy' END FROM stg_orders"""
 
+FRESHNESS = """(SELECT table_name, table_type, latest_source_timestamp, TIMESTAMP '2001-08-01 00:00:00' AS checked_at,
+        TIMESTAMP '2001-08-01 00:00:00' - latest_source_timestamp AS source_age,
+        date_diff('second', latest_source_timestamp, TIMESTAMP '2001-08-01 00:00:00') AS source_age_seconds FROM (
+        SELECT 'customers' AS table_name, 'transactional' AS table_type, max(updated_at) AS latest_source_timestamp
+        FROM stg_customers
+        UNION ALL SELECT 'products', 'reference', max(updated_at) FROM stg_products
+        UNION ALL SELECT 'orders', 'transactional', max(updated_at) FROM stg_orders
+        UNION ALL SELECT 'order_items', 'transactional', max(created_at) FROM stg_order_items
+        UNION ALL SELECT 'payments', 'transactional', max(created_at) FROM stg_payments))"""
+COUNTED = "(SELECT *, TIMESTAMP '2001-08-01 00:00:00' AS checked_at FROM row_counts)"
+
 
 def _run_outcomes(kind: str) -> str:
     return f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn
@@ -220,6 +234,35 @@ RULE_COUNTS = {
 }
 
 
+# Where the tables keep a rule, some rows of the table it looks at are spoiled: rule to (table, column, new value).
+SPOILED = {
+    "nonneg_customer_order_counts": ("customer_metrics", "order_count", "CASE WHEN customer_id % 97 = 0 THEN -1 ELSE order_count END"),
+    "nonneg_line_totals": ("stg_order_items", "line_total", "CASE WHEN order_item_id % 97 = 0 THEN -line_total ELSE line_total END"),
+    "nonneg_order_counts": ("daily", "order_count", "CASE WHEN day(order_date) = 13 THEN -order_count ELSE order_count END"),
+    "nonneg_item_prices": ("stg_order_items", "unit_price", "CASE WHEN order_item_id % 97 = 0 THEN -unit_price ELSE unit_price END"),
+    "nonneg_payments": ("stg_payments", "amount", "CASE WHEN payment_id % 97 = 0 THEN -amount ELSE amount END"),
+    "nonneg_product_prices": ("stg_products", "unit_price", "CASE WHEN product_id % 97 = 0 THEN -unit_price ELSE unit_price END"),
+    "nonneg_revenue": ("daily", "revenue", "CASE WHEN day(order_date) = 13 THEN -1 - revenue ELSE revenue END"),
+    "nonneg_units_sold": ("top_products", "units_sold", "CASE WHEN product_id % 97 = 0 THEN -units_sold ELSE units_sold END"),
+    "positive_quantities": ("stg_order_items", "quantity", "CASE WHEN order_item_id % 97 = 0 THEN 0 ELSE quantity END"),
+    "revenue_matches_items": ("fact_orders", "order_value", "CASE WHEN order_id % 97 = 0 THEN order_value + 1 ELSE order_value END"),
+    "success_has_paid_at": ("stg_payments", "paid_at", "CASE WHEN payment_id % 97 <> 0 THEN paid_at END"),
+    "unpaid_has_no_paid_at": ("stg_payments", "paid_at", "CASE WHEN payment_id % 97 = 0 THEN created_at ELSE paid_at END"),
+}
+
+
+def _violations(rule: str) -> str:
+    """What a rule looks at and its condition, over the spoiled table where there is one."""
+    source = RULE_COUNTS[rule]
+    if rule not in SPOILED:
+        return source
+    table, column, value = SPOILED[rule]
+    spoiled = f"(SELECT * REPLACE ({value} AS {column}) FROM {table}) AS {table}_spoiled"
+    if rule == "revenue_matches_items":
+        return source.replace("fact_orders o", spoiled.replace("AS fact_orders_spoiled", "o"))
+    return source.replace(table, spoiled, 1)
+
+
 def _report() -> str:
     def counted(name: str, source: str) -> str:
         return f"SELECT '{name}' AS check_name, count(*) AS failures FROM {source}"
@@ -238,8 +281,10 @@ def _report() -> str:
         "source_freshness": ("table_name", "table_type", "latest_source_timestamp", "checked_at", "source_age"),
     }
     for table, columns in monitored.items():
-        names = [f"not_null:{table}.{c}" for c in columns] + [f"unique:{table}.table_name"]
-        parts += [counted(name, "row_counts WHERE row_count = 0") for name in names]
+        source = COUNTED if table == "source_row_counts" else FRESHNESS
+        parts += [counted(f"not_null:{table}.{c}", f"{source} WHERE {c} IS NULL") for c in columns]
+        repeated = f"(SELECT table_name FROM {source} GROUP BY table_name HAVING count(*) > 1)"
+        parts.append(counted(f"unique:{table}.table_name", repeated))
     for child, key, parent in (
         ("stg_orders", "customer_id", "stg_customers"),
         ("stg_order_items", "order_id", "stg_orders"),
@@ -258,7 +303,8 @@ def _report() -> str:
         parts.append(
             counted(f"accepted_values:{table}.{column}", f"{table} WHERE {column} NOT IN ({values})")
         )
-    parts.append(counted("accepted_values:source_freshness.table_type", "row_counts WHERE row_count < 0"))
+    kinds = f"{FRESHNESS} WHERE table_type NOT IN ('transactional', 'reference')"
+    parts.append(counted("accepted_values:source_freshness.table_type", kinds))
     parts += [counted(f"rule:{name}", source) for name, source in RULE_COUNTS.items()]
     return " UNION ALL ".join(parts)
 
@@ -382,25 +428,22 @@ FINAL = {
         ELSE product_name END AS name, CAST(revenue AS DOUBLE) AS revenue
         FROM top_products ORDER BY revenue DESC, product_id LIMIT 8""",
     "mon_row_counts": "SELECT table_name, row_count, TIMESTAMP '2001-08-01 00:00:00' AS checked_at FROM row_counts",
-    "mon_freshness": """SELECT table_name, table_type, latest_source_timestamp,
-        TIMESTAMP '2001-08-01 00:00:00' AS checked_at,
-        date_diff('second', latest_source_timestamp, TIMESTAMP '2001-08-01 00:00:00') AS source_age_seconds FROM (
-        SELECT 'customers' AS table_name, 'transactional' AS table_type, max(updated_at) AS latest_source_timestamp
-        FROM stg_customers
-        UNION ALL SELECT 'products', 'reference', max(updated_at) FROM stg_products
-        UNION ALL SELECT 'orders', 'transactional', max(updated_at) FROM stg_orders
-        UNION ALL SELECT 'order_items', 'transactional', max(created_at) FROM stg_order_items
-        UNION ALL SELECT 'payments', 'transactional', max(created_at) FROM stg_payments)""",
+    "mon_freshness": f"SELECT * EXCLUDE (source_age) FROM {FRESHNESS}",
+    "mon_source_age": f"SELECT table_name, CAST(floor(source_age_seconds / 86400) AS BIGINT) AS age_days FROM {FRESHNESS}",
     "source_order_count": "SELECT count(*) AS order_count FROM stg_orders",
-    "mart_populated_check": """SELECT 'dbt Batch Layer' AS name,
+    "mart_populated_check": """SELECT 'customer mart' AS name,
         CASE WHEN count(*) = 0 THEN 'degraded' ELSE 'healthy' END AS status,
         CASE WHEN count(*) = 0 THEN 'The customer mart is empty.' ELSE 'The customer mart is populated.' END AS message,
         CAST(count(*) AS VARCHAR) AS customer_count, CAST(coalesce(sum(total_order_value), 0) AS VARCHAR) AS revenue
         FROM customer_metrics""",
-    "order_activity_check": """SELECT 'Order Generator' AS name, 'degraded' AS status,
-        'The newest order is stale.' AS message, CAST(count(*) AS VARCHAR) AS orders,
-        CAST(date_diff('second', max(created_at), TIMESTAMP '2024-01-31') AS VARCHAR) AS age_seconds FROM stg_orders""",
-    "st_staleness": """SELECT 'Spark Streaming' AS name,
+    "order_activity_check": """SELECT 'order intake' AS name,
+        CASE WHEN newest IS NULL OR age > 300 THEN 'degraded' ELSE 'healthy' END AS status,
+        CASE WHEN newest IS NULL THEN 'There are no orders yet.' WHEN age > 300 THEN 'The newest order is stale.'
+             ELSE 'Orders are arriving.' END AS message,
+        CAST(n AS VARCHAR) AS orders, CAST(age AS VARCHAR) AS age_seconds
+        FROM (SELECT count(*) AS n, max(created_at) AS newest,
+                     date_diff('second', max(created_at), TIMESTAMP '2024-01-31') AS age FROM stg_orders)""",
+    "st_staleness": """SELECT 'stream' AS name,
         CASE WHEN age > 300 THEN 'degraded' ELSE 'healthy' END AS status,
         CASE WHEN age > 300 THEN 'The newest realtime window is stale.' ELSE 'Realtime windows are being published.' END
             AS message,
@@ -413,8 +456,7 @@ FINAL = {
         count(*) FILTER (status = 'unhealthy') AS unhealthy FROM ({HEALTH_STATUS})""",
     "layer_status": f"""SELECT layer, CASE coalesce(max(CASE status WHEN 'unhealthy' THEN 2 WHEN 'degraded' THEN 1 ELSE 0 END), 0)
         WHEN 2 THEN 'unhealthy' WHEN 1 THEN 'degraded' ELSE 'healthy' END AS status
-        FROM (VALUES ('batch', 'Airflow'), ('batch', 'dbt'), ('batch', 'Warehouse'), ('speed', 'Spark'),
-              ('speed', 'Redpanda'), ('speed', 'Debezium'), ('speed', 'Redis'), ('serving', 'FastAPI')) AS w(layer, word)
+        FROM (VALUES ('batch', 'Batch'), ('speed', 'Speed'), ('serving', 'Serving')) AS w(layer, word)
         LEFT JOIN ({HEALTH_STATUS}) c ON contains(c.name, w.word) GROUP BY layer""",
     "failed_root_tasks": """SELECT strftime(ts, '%Y-%m-%d %H') AS run_id,
         string_agg(DISTINCT CASE WHEN event_type = 'error' THEN 'task_' || (event_id % 7) END, ', '
@@ -427,29 +469,29 @@ FINAL = {
         WHERE product_id NOT IN (SELECT product_id FROM stg_products) GROUP BY 1""",
     "dq_accepted_values": """SELECT order_status AS value, count(*) AS n_records FROM stg_orders
         WHERE order_status NOT IN ('cancelled', 'paid', 'placed', 'shipped') GROUP BY 1""",
-    "dq_no_future_orders": f"SELECT order_id, order_ts, order_date FROM {RULE_COUNTS['no_future_orders']}",
-    "dq_nonneg_customer_order_counts": f"SELECT customer_id, order_count FROM {RULE_COUNTS['nonneg_customer_order_counts']}",
+    "dq_no_future_orders": f"SELECT order_id, order_ts, order_date FROM {_violations('no_future_orders')}",
+    "dq_nonneg_customer_order_counts": f"SELECT customer_id, order_count FROM {_violations('nonneg_customer_order_counts')}",
     "dq_nonneg_line_totals": f"""SELECT order_item_id, CAST(line_total AS DOUBLE) AS line_total
-        FROM {RULE_COUNTS['nonneg_line_totals']}""",
-    "dq_nonneg_order_counts": f"SELECT order_date, order_count FROM {RULE_COUNTS['nonneg_order_counts']}",
+        FROM {_violations('nonneg_line_totals')}""",
+    "dq_nonneg_order_counts": f"SELECT order_date, order_count FROM {_violations('nonneg_order_counts')}",
     "dq_nonneg_item_prices": f"""SELECT order_item_id, CAST(unit_price AS DOUBLE) AS unit_price
-        FROM {RULE_COUNTS['nonneg_item_prices']}""",
-    "dq_nonneg_payments": f"SELECT payment_id, CAST(amount AS DOUBLE) AS amount FROM {RULE_COUNTS['nonneg_payments']}",
+        FROM {_violations('nonneg_item_prices')}""",
+    "dq_nonneg_payments": f"SELECT payment_id, CAST(amount AS DOUBLE) AS amount FROM {_violations('nonneg_payments')}",
     "dq_nonneg_product_prices": f"""SELECT product_id, CAST(unit_price AS DOUBLE) AS unit_price
-        FROM {RULE_COUNTS['nonneg_product_prices']}""",
-    "dq_nonneg_revenue": f"SELECT order_date, CAST(revenue AS DOUBLE) AS revenue FROM {RULE_COUNTS['nonneg_revenue']}",
-    "dq_nonneg_units_sold": f"SELECT product_id, units_sold FROM {RULE_COUNTS['nonneg_units_sold']}",
-    "dq_orders_have_items": f"SELECT order_id FROM {RULE_COUNTS['orders_have_items']}",
+        FROM {_violations('nonneg_product_prices')}""",
+    "dq_nonneg_revenue": f"SELECT order_date, CAST(revenue AS DOUBLE) AS revenue FROM {_violations('nonneg_revenue')}",
+    "dq_nonneg_units_sold": f"SELECT product_id, units_sold FROM {_violations('nonneg_units_sold')}",
+    "dq_orders_have_items": f"SELECT order_id FROM {_violations('orders_have_items')}",
     "dq_payment_reconciliation": f"""SELECT order_id, CAST(order_value AS DOUBLE) AS order_value,
         CAST(successful_payment_amount AS DOUBLE) AS successful_payment_amount
-        FROM {RULE_COUNTS['payment_reconciliation']}""",
-    "dq_positive_quantities": f"SELECT order_item_id, quantity FROM {RULE_COUNTS['positive_quantities']}",
+        FROM {_violations('payment_reconciliation')}""",
+    "dq_positive_quantities": f"SELECT order_item_id, quantity FROM {_violations('positive_quantities')}",
     "dq_revenue_matches_items": f"""SELECT order_id, CAST(order_value AS DOUBLE) AS order_value,
-        CAST(again AS DOUBLE) AS calculated_order_value FROM {RULE_COUNTS['revenue_matches_items']}""",
-    "dq_min_row_counts": f"SELECT table_name, row_count FROM {RULE_COUNTS['min_row_counts']}",
+        CAST(again AS DOUBLE) AS calculated_order_value FROM {_violations('revenue_matches_items')}""",
+    "dq_min_row_counts": f"SELECT table_name, row_count FROM {_violations('min_row_counts')}",
     "dq_success_has_paid_at": f"""SELECT payment_id, order_id, payment_status, paid_at
-        FROM {RULE_COUNTS['success_has_paid_at']}""",
-    "dq_unpaid_has_no_paid_at": f"SELECT payment_id, payment_status, paid_at FROM {RULE_COUNTS['unpaid_has_no_paid_at']}",
+        FROM {_violations('success_has_paid_at')}""",
+    "dq_unpaid_has_no_paid_at": f"SELECT payment_id, payment_status, paid_at FROM {_violations('unpaid_has_no_paid_at')}",
     "dq_report": _report(),
     "rt_revenue_by_minute": "SELECT * FROM revenue_windows",
     "rt_top_products_5min": "SELECT * FROM product_windows",
@@ -494,8 +536,30 @@ FINAL = {
         FROM ({_run_outcomes('signup')}) o FULL JOIN ({_run_outcomes('error')}) n ON o.user_id = n.user_id""",
     "st_live_revenue": "SELECT * FROM revenue_windows",
     "st_live_top_products": "SELECT * FROM product_windows",
+    "st_speed_layer": """SELECT 'revenue' AS kind, count(*) AS rows,
+        CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM revenue_windows
+        UNION ALL SELECT 'products', count(*), CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) FROM product_windows""",
+    "compact_realtime": """SELECT *, TIMESTAMP '2024-01-31 00:00:00' AS updated_at, CAST(0 AS BIGINT) AS left_in_staging
+        FROM revenue_windows""",
+    "rt_served_revenue": """SELECT * FROM (SELECT window_start, order_count, 'latest' AS kind FROM revenue_windows
+            ORDER BY window_start DESC LIMIT 1)
+        UNION ALL SELECT * FROM (SELECT window_start, order_count, 'series' FROM revenue_windows
+            ORDER BY window_start DESC LIMIT 60)""",
+    "rt_served_products": """SELECT coalesce(product_name, 'product-' || product_id) AS product_name,
+        round(revenue, 2) AS revenue FROM product_windows
+        WHERE window_start = (SELECT max(window_start) FROM product_windows) ORDER BY revenue DESC, product_id LIMIT 10""",
+    "sink_top_products": """SELECT * FROM product_windows WHERE window_start = (SELECT max(window_start) FROM product_windows)
+        ORDER BY revenue DESC, product_id LIMIT 20""",
+    "flt_point_lookup": "SELECT product_id FROM stg_products WHERE product_id IN (7, -1)",
+    "src_cdc_damaged": """SELECT 'payments' AS kind, count(*) AS rows,
+            count(*) FILTER (event_id % 50 = 0 OR event_id % 13 = 0) AS at_processing_time
+        FROM ev WHERE event_type IN ('purchase', 'click') AND event_id % 11 <> 0
+        UNION ALL SELECT 'unreadable', count(*), NULL FROM ev WHERE event_id % 11 = 0""",
     "st_closed_revenue": """SELECT * FROM revenue_windows
         WHERE window_start + INTERVAL '1 minute' <= (SELECT max(event_time) - INTERVAL '2 minutes' FROM pay)""",
 }
 
+for _name in ("product_details", "product_sales_history", "product_recent_orders"):
+    FINAL[f"{_name}_one"] = f"SELECT * FROM ({FINAL[_name]}) WHERE product_id = 7"
+
 ORACLE = {name: SHARED + final for name, final in FINAL.items()}

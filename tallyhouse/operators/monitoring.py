@@ -25,13 +25,6 @@ FRESHNESS = {
 # Worst last.
 SEVERITY = ("healthy", "degraded", "unhealthy")
 
-# A check belongs to a layer if its name contains one of the words.
-LAYER_KEYWORDS = {
-    "batch": ("Airflow", "dbt", "Warehouse"),
-    "speed": ("Spark", "Redpanda", "Debezium", "Redis"),
-    "serving": ("FastAPI",),
-}
-
 
 def _stack(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -87,7 +80,7 @@ def _details(**values: Column) -> Column:
     return F.create_map(*pairs)
 
 
-def stream_staleness(windows: DataFrame, now: Column | None = None, name: str = "Spark Streaming") -> DataFrame:
+def stream_staleness(windows: DataFrame, now: Column | None = None, name: str = "stream") -> DataFrame:
     """Degraded when the newest published window is missing or older than the limit."""
     at = F.current_timestamp() if now is None else now
     facts = windows.agg(F.max("window_start").alias("window_start")).withColumn(
@@ -103,7 +96,7 @@ def stream_staleness(windows: DataFrame, now: Column | None = None, name: str =
     )
 
 
-def mart_populated_check(metrics: DataFrame, name: str = "dbt Batch Layer") -> DataFrame:
+def mart_populated_check(metrics: DataFrame, name: str = "customer mart") -> DataFrame:
     """Degraded when the customer mart is empty."""
     facts = metrics.agg(
         F.count(F.lit(1)).alias("customer_count"), or_zero(F.sum("total_order_value")).alias("revenue")
@@ -117,7 +110,7 @@ def mart_populated_check(metrics: DataFrame, name: str = "dbt Batch Layer") -> D
     )
 
 
-def order_activity_check(orders: DataFrame, now: Column | None = None, name: str = "Order Generator") -> DataFrame:
+def order_activity_check(orders: DataFrame, now: Column | None = None, name: str = "order intake") -> DataFrame:
     """Degraded when there are no orders, or the newest is older than the limit."""
     at = F.current_timestamp() if now is None else now
     facts = orders.agg(
@@ -150,8 +143,11 @@ def health_summary(checks: DataFrame) -> DataFrame:
     return counts.select(worst.alias("status"), "total", *SEVERITY)
 
 
-def layer_status(checks: DataFrame, layers: Mapping[str, Sequence[str]] = LAYER_KEYWORDS) -> DataFrame:
-    """Worst status among each layer's checks, in one pass; a layer without checks is healthy."""
+def layer_status(checks: DataFrame, layers: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Worst status among each layer's checks, in one pass; a layer without checks is healthy.
+
+    A check belongs to a layer if its name contains one of the layer's words.
+    """
     severity = F.coalesce(
         *[F.when(F.col("status") == status, F.lit(rank)) for rank, status in enumerate(SEVERITY)]
     )

@@ -7,6 +7,7 @@ grouped before any join or shuffle, so a hot value costs one row per task.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,30 +120,61 @@ def accepted_values(frame: DataFrame, column: str, values: Sequence[str]) -> Dat
 # --- rules ------------------------------------------------------------------------------------
 
 
-def no_future_orders(orders: DataFrame, now: Column | None = None) -> DataFrame:
-    at = F.current_timestamp() if now is None else now
-    return orders.filter(F.col("order_ts") > at).select("order_id", "order_ts", "order_date")
-
+@dataclass(frozen=True)
+class RowRule:
+    """A rule that looks at one row of one table: what violates it, and the columns that show the violation."""
 
-def negative(frame: DataFrame, key: str, column: str) -> DataFrame:
-    return frame.filter(F.col(column) < 0).select(key, column)
+    table: str
+    violation: Column
+    columns: tuple[str, ...]
 
 
-def positive_quantities(items: DataFrame) -> DataFrame:
-    return items.filter(F.col("quantity") <= 0).select("order_item_id", "quantity")
+def _negative(table: str, key: str, column: str) -> RowRule:
+    return RowRule(table, F.col(column) < 0, (key, column))
 
 
-def orders_have_items(orders: DataFrame, items: DataFrame) -> DataFrame:
-    with_items = items.select("order_id").distinct()
-    return orders.select("order_id").join(with_items, "order_id", "left_anti")
+def beyond_tolerance(left: Column, right: Column) -> Column:
+    return F.abs(left - right) > F.lit(TOLERANCE).cast("decimal(3,2)")
 
 
-def payment_reconciliation(orders: DataFrame) -> DataFrame:
+def row_rules(now: Column | None = None) -> dict[str, RowRule]:
+    """The row-level rules by name; ``now`` stands in for the current time."""
+    at = F.current_timestamp() if now is None else now
+    status = F.col("payment_status")
     value = F.coalesce("order_value", F.lit(0))
     paid = F.coalesce("successful_payment_amount", F.lit(0))
-    return orders.filter(
-        F.col("order_status").isin("paid", "shipped") & (F.abs(value - paid) > F.lit(TOLERANCE).cast("decimal(3,2)"))
-    ).select("order_id", "order_value", "successful_payment_amount")
+    return {
+        "no_future_orders": RowRule("stg_orders", F.col("order_ts") > at, ("order_id", "order_ts", "order_date")),
+        "nonneg_customer_order_counts": _negative("mart_customer_metrics", "customer_id", "order_count"),
+        "nonneg_line_totals": _negative("stg_order_items", "order_item_id", "line_total"),
+        "nonneg_order_counts": _negative("mart_daily_revenue", "order_date", "order_count"),
+        "nonneg_item_prices": _negative("stg_order_items", "order_item_id", "unit_price"),
+        "nonneg_payments": _negative("stg_payments", "payment_id", "amount"),
+        "nonneg_product_prices": _negative("stg_products", "product_id", "unit_price"),
+        "nonneg_revenue": _negative("mart_daily_revenue", "order_date", "revenue"),
+        "nonneg_units_sold": _negative("mart_top_products", "product_id", "units_sold"),
+        "payment_reconciliation": RowRule(
+            "fact_orders",
+            F.col("order_status").isin("paid", "shipped") & beyond_tolerance(value, paid),
+            ("order_id", "order_value", "successful_payment_amount"),
+        ),
+        "positive_quantities": RowRule("stg_order_items", F.col("quantity") <= 0, ("order_item_id", "quantity")),
+        "success_has_paid_at": RowRule(
+            "stg_payments",
+            (status == "success") & F.col("paid_at").isNull(),
+            ("payment_id", "order_id", "payment_status", "paid_at"),
+        ),
+        "unpaid_has_no_paid_at": RowRule(
+            "stg_payments",
+            status.isin("failed", "pending") & F.col("paid_at").isNotNull(),
+            ("payment_id", "payment_status", "paid_at"),
+        ),
+    }
+
+
+def orders_have_items(orders: DataFrame, items: DataFrame) -> DataFrame:
+    with_items = items.select("order_id").distinct()
+    return orders.select("order_id").join(with_items, "order_id", "left_anti")
 
 
 def revenue_matches_items(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -151,9 +183,7 @@ def revenue_matches_items(orders: DataFrame, items: DataFrame) -> DataFrame:
         orders.select("order_id", "order_value")
         .join(again, "order_id", "left")
         .select("order_id", "order_value", F.coalesce("calculated", F.lit(0)).alias("calculated_order_value"))
-        .filter(
-            F.abs(F.col("order_value") - F.col("calculated_order_value")) > F.lit(TOLERANCE).cast("decimal(3,2)")
-        )
+        .filter(beyond_tolerance(F.col("order_value"), F.col("calculated_order_value")))
     )
 
 
@@ -164,36 +194,35 @@ def min_row_counts(counts: DataFrame, minimum: Mapping[str, int] = MIN_ROWS) ->
     return counts.filter(F.col("row_count") < floor).select("table_name", "row_count")
 
 
-def success_has_paid_at(payments: DataFrame) -> DataFrame:
-    return payments.filter((F.col("payment_status") == "success") & F.col("paid_at").isNull()).select(
-        "payment_id", "order_id", "payment_status", "paid_at"
-    )
-
-
-def unpaid_has_no_paid_at(payments: DataFrame) -> DataFrame:
-    return payments.filter(
-        F.col("payment_status").isin("failed", "pending") & F.col("paid_at").isNotNull()
-    ).select("payment_id", "payment_status", "paid_at")
-
+def _row_violations(name: str) -> Callable[[Tables, Column | None, Mapping[str, int]], DataFrame]:
+    def find(tables: Tables, now: Column | None, minimum: Mapping[str, int]) -> DataFrame:
+        rule = row_rules(now)[name]
+        return tables[rule.table].filter(rule.violation).select(*rule.columns)
+
+    return find
+
+
+# Names of the row-level rules.
+ROW_RULES = (
+    "no_future_orders",
+    "nonneg_customer_order_counts",
+    "nonneg_line_totals",
+    "nonneg_order_counts",
+    "nonneg_item_prices",
+    "nonneg_payments",
+    "nonneg_product_prices",
+    "nonneg_revenue",
+    "nonneg_units_sold",
+    "payment_reconciliation",
+    "positive_quantities",
+    "success_has_paid_at",
+    "unpaid_has_no_paid_at",
+)
 
 # The sixteen rules by name, over tables by name; ``now`` and ``minimum`` as in the functions above.
 RULES: dict[str, Callable[[Tables, Column | None, Mapping[str, int]], DataFrame]] = {
-    "no_future_orders": lambda t, now, minimum: no_future_orders(t["stg_orders"], now),
-    "nonneg_customer_order_counts": lambda t, now, minimum: negative(
-        t["mart_customer_metrics"], "customer_id", "order_count"
-    ),
-    "nonneg_line_totals": lambda t, now, minimum: negative(t["stg_order_items"], "order_item_id", "line_total"),
-    "nonneg_order_counts": lambda t, now, minimum: negative(t["mart_daily_revenue"], "order_date", "order_count"),
-    "nonneg_item_prices": lambda t, now, minimum: negative(t["stg_order_items"], "order_item_id", "unit_price"),
-    "nonneg_payments": lambda t, now, minimum: negative(t["stg_payments"], "payment_id", "amount"),
-    "nonneg_product_prices": lambda t, now, minimum: negative(t["stg_products"], "product_id", "unit_price"),
-    "nonneg_revenue": lambda t, now, minimum: negative(t["mart_daily_revenue"], "order_date", "revenue"),
-    "nonneg_units_sold": lambda t, now, minimum: negative(t["mart_top_products"], "product_id", "units_sold"),
+    **{name: _row_violations(name) for name in ROW_RULES},
     "orders_have_items": lambda t, now, minimum: orders_have_items(t["fact_orders"], t["stg_order_items"]),
-    "payment_reconciliation": lambda t, now, minimum: payment_reconciliation(t["fact_orders"]),
-    "positive_quantities": lambda t, now, minimum: positive_quantities(t["stg_order_items"]),
     "revenue_matches_items": lambda t, now, minimum: revenue_matches_items(t["fact_orders"], t["stg_order_items"]),
     "min_row_counts": lambda t, now, minimum: min_row_counts(t["source_row_counts"], minimum),
-    "success_has_paid_at": lambda t, now, minimum: success_has_paid_at(t["stg_payments"]),
-    "unpaid_has_no_paid_at": lambda t, now, minimum: unpaid_has_no_paid_at(t["stg_payments"]),
 }

@@ -12,33 +12,11 @@ from tallyhouse.operators import quality as q
 
 
 def _row_rules(now: Column | None) -> dict[str, dict[str, Column]]:
-    """Rules that look at one row of one table; they are counted in that table's single pass."""
-    at = F.current_timestamp() if now is None else now
-    status = F.col("payment_status")
-    gap = F.abs(
-        F.coalesce("order_value", F.lit(0)) - F.coalesce("successful_payment_amount", F.lit(0))
-    ) > F.lit(q.TOLERANCE).cast("decimal(3,2)")
-    return {
-        "stg_orders": {"no_future_orders": F.col("order_ts") > at},
-        "stg_products": {"nonneg_product_prices": F.col("unit_price") < 0},
-        "stg_order_items": {
-            "nonneg_line_totals": F.col("line_total") < 0,
-            "nonneg_item_prices": F.col("unit_price") < 0,
-            "positive_quantities": F.col("quantity") <= 0,
-        },
-        "stg_payments": {
-            "nonneg_payments": F.col("amount") < 0,
-            "success_has_paid_at": (status == "success") & F.col("paid_at").isNull(),
-            "unpaid_has_no_paid_at": status.isin("failed", "pending") & F.col("paid_at").isNotNull(),
-        },
-        "fact_orders": {"payment_reconciliation": F.col("order_status").isin("paid", "shipped") & gap},
-        "mart_daily_revenue": {
-            "nonneg_order_counts": F.col("order_count") < 0,
-            "nonneg_revenue": F.col("revenue") < 0,
-        },
-        "mart_top_products": {"nonneg_units_sold": F.col("units_sold") < 0},
-        "mart_customer_metrics": {"nonneg_customer_order_counts": F.col("order_count") < 0},
-    }
+    """The row-level rules by table; they are counted in that table's single pass."""
+    rules: dict[str, dict[str, Column]] = {}
+    for name, rule in q.row_rules(now).items():
+        rules.setdefault(rule.table, {})[name] = rule.violation
+    return rules
 
 
 def _report_rows(frame: DataFrame, failures: Mapping[str, Column]) -> DataFrame:
@@ -63,19 +41,34 @@ def _tables_of_key(key: str) -> list[str]:
     return sorted({*owners, *ends} | ({"stg_order_items", "fact_orders"} if key == "order_id" else set()))
 
 
+# Money that the pass over ``order_id`` carries along, to compare the order fact with its items.
+ORDER_MONEY = {"stg_order_items": "line_total", "fact_orders": "order_value"}
+
+
 def key_counts(tables: q.Tables, key: str, names: Sequence[str]) -> DataFrame:
-    """Rows per key value in each of the named tables, from one shuffle of partial counts."""
+    """Rows per key value in each of the named tables, and for orders their money, from one shuffle of partial sums."""
+    money = ORDER_MONEY if key == "order_id" else {}
     stacked = reduce(
         DataFrame.unionByName,
         [
             tables[name]
             .filter(F.col(key).isNotNull())
-            .select(F.col(key).alias("value"), F.lit(name).alias("table_name"))
+            .select(
+                F.col(key).alias("value"),
+                F.lit(name).alias("table_name"),
+                F.col(money[name]).cast("decimal(30,2)").alias("money") if name in money else F.lit(None).cast("decimal(30,2)").alias("money"),
+            )
             for name in names
         ],
     )
-    counts = [F.count(F.when(F.col("table_name") == name, 1)).alias(name) for name in names]
-    return stacked.groupBy("value").agg(*counts)
+    of = {name: F.col("table_name") == name for name in names}
+    counts = [F.count(F.when(of[name], 1)).alias(name) for name in names]
+    sums = [
+        (F.sum if name == "stg_order_items" else F.max)(F.when(of[name], F.col("money"))).alias(f"{name}_money")
+        for name in names
+        if name in money
+    ]
+    return stacked.groupBy("value").agg(*counts, *sums)
 
 
 def key_profile(tables: q.Tables, key: str) -> DataFrame:
@@ -92,6 +85,9 @@ def key_profile(tables: q.Tables, key: str) -> DataFrame:
     if key == "order_id":
         empty = F.sum(F.when(F.col("stg_order_items") == 0, F.col("fact_orders")))
         failures["rule:orders_have_items"] = F.coalesce(empty, F.lit(0))
+        again = F.coalesce("stg_order_items_money", F.lit(0))
+        differs = F.sum(F.when(q.beyond_tolerance(F.col("fact_orders_money"), again), F.col("fact_orders")))
+        failures["rule:revenue_matches_items"] = F.coalesce(differs, F.lit(0))
     return _report_rows(key_counts(tables, key, _tables_of_key(key)), failures)
 
 
@@ -101,17 +97,13 @@ def check_report(
     """Failures of the 68 generic checks and the 16 rules.
 
     One scan per table covers its row-level checks, one shuffle per key its uniqueness and
-    relationships; two rules look at derived values. Meant for persisted tables, so that no mart is
-    computed twice.
+    relationships, and for orders the comparison with their items. Meant for persisted tables, so that
+    no mart and no monitoring model is computed twice.
     """
     row_rules = _row_rules(now)
     keys = dict.fromkeys(q.UNIQUE.values())
     parts = [table_profile(t, tables[t], row_rules.get(t, {})) for t in q.NOT_NULL]
     parts += [key_profile(tables, key) for key in keys]
-    derived = {
-        "revenue_matches_items": q.revenue_matches_items(tables["fact_orders"], tables["stg_order_items"]),
-        "min_row_counts": q.min_row_counts(tables["source_row_counts"], minimum),
-    }
-    for name, violations in derived.items():
-        parts.append(_report_rows(violations, {f"rule:{name}": F.count(F.lit(1))}))
+    few = q.min_row_counts(tables["source_row_counts"], minimum)
+    parts.append(_report_rows(few, {"rule:min_row_counts": F.count(F.lit(1))}))
     return reduce(DataFrame.unionByName, parts)

@@ -5,17 +5,20 @@ Decimals leave as doubles and intervals as seconds, so that results compare acro
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
 
 from tallyhouse.operators import insights, marts, monitoring, orders, quality, realtime, serving, upsert
+from tallyhouse.plans import batch_run
 from tallyhouse.plans.check_suite import check_report
 from tallyhouse.plans.warehouse import Warehouse
-from tallyhouse.schemas import ORDER_ITEM_ROW, PAYMENT_ROW, RUN_LOG
+from tallyhouse.schemas import ORDER_ITEM_ROW, PAYMENT_ROW, REVENUE_BY_MINUTE, RUN_LOG
 from tallyhouse.session import configure, shared_folder
 from tallyhouse.sources import cdc, retail, tables
 from tallyhouse.streaming import durable, live
@@ -25,6 +28,8 @@ ORDERS_NOW = "2001-08-01 00:00:00"
 TODAY = "2001-08-01"
 EVENTS_NOW = "2024-01-31 00:00:00"
 FUTURE_AFTER = "2001-06-30 00:00:00"
+ONE_PRODUCT = 7
+LAYERS = {"batch": ("Batch",), "speed": ("Speed",), "serving": ("Serving",)}
 
 
 def _stamp(text: str):
@@ -135,16 +140,41 @@ class Inputs:
     def health_checks(self) -> DataFrame:
         w = self.warehouse
         checks = (
-            monitoring.stream_staleness(self.revenue_windows, _stamp(EVENTS_NOW)),
-            monitoring.mart_populated_check(w.mart_customer_metrics),
-            monitoring.order_activity_check(self.raw["orders"], _stamp(EVENTS_NOW)),
+            monitoring.stream_staleness(self.revenue_windows, _stamp(EVENTS_NOW), "Speed revenue windows"),
+            monitoring.mart_populated_check(w.mart_customer_metrics, "Batch customer mart"),
+            monitoring.order_activity_check(self.raw["orders"], _stamp(EVENTS_NOW), "Batch order intake"),
+            monitoring.stream_staleness(self.product_windows, _stamp(EVENTS_NOW), "Serving product list"),
         )
-        return checks[0].unionByName(checks[1]).unionByName(checks[2])
+        return reduce(DataFrame.unionByName, checks)
 
-    @cached_property
-    def event_stream(self) -> DataFrame:
+    def event_stream(self, files_per_trigger: int = 1000) -> DataFrame:
         """The event files as a stream; the pattern also matches a folder of files."""
-        return self.spark.readStream.schema(self.events.schema).parquet(f"{self.folder}/event[s].parquet")
+        stream = self.spark.readStream.schema(self.events.schema).option("maxFilesPerTrigger", files_per_trigger)
+        return stream.parquet(f"{self.split_events}/part-*" if files_per_trigger < 1000 else f"{self.folder}/event[s].parquet")
+
+    @cached_property
+    def split_events(self) -> str:
+        """All events as several files, so that a stream takes them in several micro-batches."""
+        folder = shared_folder(self.spark, "events")
+        self.events.repartitionByRange(2, "event_id").write.parquet(folder)
+        return folder
+
+    @cached_property
+    def damaged_payments(self) -> DataFrame:
+        """Payment changes as bytes, of which every 11th is cut off and every 13th has an unreadable time."""
+        text = F.col("value")
+        broken = F.when(F.col("event_id") % 11 == 0, F.substring(text, 1, 25)).otherwise(
+            F.when(F.col("event_id") % 13 == 0, F.regexp_replace(text, '"paid_at":"[^"]*"', '"paid_at":"yesterday"')).otherwise(text)
+        )
+        return retail.payment_changes(self.events, keep=("event_id",)).select(broken.cast("binary").alias("value"))
+
+    @cached_property
+    def spoiled(self) -> dict[str, dict[str, DataFrame]]:
+        """For each rule that clean tables keep, the table it looks at with violations in some rows."""
+        return {
+            rule: {table: self.rule_tables[table].withColumn(column, F.expr(sql).cast(self.rule_tables[table].schema[column].dataType))}
+            for rule, (table, column, sql) in retail.SPOILED.items()
+        }
 
 
 def _newest_event(events: DataFrame, kind: str) -> DataFrame:
@@ -217,26 +247,107 @@ def quality_report(q: Inputs) -> DataFrame:
 # --- streams --------------------------------------------------------------------------------------
 
 
-def live_revenue(q: Inputs) -> DataFrame:
-    """Run the live revenue stream over all events, then read what it published."""
+ONCE = {"availableNow": True}
+
+
+def _restarted(q: Inputs, start: Callable[[DataFrame, str, str], StreamingQuery], changes) -> str:
+    """Run a live stream over all events: one file per trigger, a restart, then anew under another checkpoint."""
     root = shared_folder(q.spark, "realtime")
-    raw = retail.payment_changes(q.event_stream)
-    live.start_revenue(raw, root, f"{root}/checkpoints", {"availableNow": True}, _stamp(EVENTS_NOW)).awaitTermination()
+    for checkpoint, files in (("first", 1), ("first", 1), ("second", 2)):
+        start(changes(q.event_stream(files)), root, f"{root}/checkpoints/{checkpoint}").awaitTermination()
+    return root
+
+
+def _start_revenue(raw: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    return live.start_revenue(raw, root, checkpoint, ONCE, _stamp(EVENTS_NOW))
+
+
+def live_revenue(q: Inputs) -> DataFrame:
+    """What the live revenue stream has published."""
+    root = _restarted(q, _start_revenue, retail.payment_changes)
     return live.read_revenue_windows(q.spark, root).drop("updated_at")
 
 
 def live_top_products(q: Inputs) -> DataFrame:
+    def start(raw: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+        return live.start_top_products(raw, q.warehouse.stg_products, root, checkpoint, ONCE)
+
+    return live.read_product_windows(q.spark, _restarted(q, start, retail.item_changes)).drop("ingested_at")
+
+
+def _compacted_revenue_root(q: Inputs) -> str:
     root = shared_folder(q.spark, "realtime")
-    raw = retail.item_changes(q.event_stream)
-    products = q.warehouse.stg_products
-    live.start_top_products(raw, products, root, f"{root}/checkpoints", {"availableNow": True}).awaitTermination()
-    return live.read_product_windows(q.spark, root).drop("ingested_at")
+    _start_revenue(retail.payment_changes(q.event_stream()), root, f"{root}/checkpoints").awaitTermination()
+    batch_run.compact_revenue(q.spark, root, _stamp(EVENTS_NOW))
+    return root
+
+
+def _products_root(q: Inputs) -> str:
+    root = shared_folder(q.spark, "realtime")
+    raw = retail.item_changes(q.event_stream())
+    live.start_top_products(raw, q.warehouse.stg_products, root, f"{root}/checkpoints", ONCE).awaitTermination()
+    return root
+
+
+def compacted_revenue(q: Inputs) -> DataFrame:
+    """The stored windows after a compaction, and how many rows it left in the staging log."""
+    root = _compacted_revenue_root(q)
+    left = live.read_revenue_staging(q.spark, root).count()
+    stored = q.spark.read.parquet(f"{root}/revenue_by_minute").select(*REVENUE_BY_MINUTE.names)
+    return stored.withColumn("left_in_staging", F.lit(left).cast("long"))
+
+
+def served_revenue(q: Inputs) -> DataFrame:
+    """The newest window and the series, read as they are served after a compaction."""
+    root = _compacted_revenue_root(q)
+    newest = live.read_latest_revenue(q.spark, root).select("window_start", "order_count", F.lit("latest").alias("kind"))
+    return newest.unionByName(live.read_revenue_series(q.spark, root).withColumn("kind", F.lit("series")))
+
+
+def served_products(q: Inputs) -> DataFrame:
+    root = _products_root(q)
+    batch_run.compact_top_products(q.spark, root)
+    return live.read_top_products(q.spark, root)
+
+
+def kept_list(q: Inputs) -> DataFrame:
+    """The list of the best products that the stream replaces with each update."""
+    return live.read_live_list(q.spark, _products_root(q)).drop("ingested_at")
+
+
+def speed_layer(q: Inputs) -> DataFrame:
+    """Both live streams together, then a total for each."""
+    root = shared_folder(q.spark, "realtime")
+    payments, items = retail.payment_changes(q.event_stream()), retail.item_changes(q.event_stream())
+    live.run_speed_layer(q.spark, payments, items, q.warehouse.stg_products, root, f"{root}/checkpoints", ONCE)
+
+    def total(frame: DataFrame, kind: str) -> DataFrame:
+        return frame.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("rows"), F.sum("revenue").alias("revenue"))
+
+    return total(live.read_revenue_windows(q.spark, root), "revenue").unionByName(
+        total(live.read_product_windows(q.spark, root), "products")
+    )
+
+
+def damaged_changes(q: Inputs) -> DataFrame:
+    """Unreadable envelopes, payments, and those of them that count at processing time for want of a readable one."""
+    payments = cdc.successful_payments(cdc.parse_changes(q.damaged_payments, PAYMENT_ROW), _stamp(EVENTS_NOW))
+    at_once = F.count_if(F.col("event_time") == _stamp(EVENTS_NOW)).alias("at_processing_time")
+    found = payments.agg(F.lit("payments").alias("kind"), F.count(F.lit(1)).alias("rows"), at_once)
+    lost = cdc.unreadable(q.damaged_payments).agg(F.lit("unreadable").alias("kind"), F.count(F.lit(1)).alias("rows"))
+    return found.unionByName(lost, allowMissingColumns=True)
+
+
+def point_lookups(q: Inputs) -> DataFrame:
+    """A known and an unknown product by id: one row, as the unknown one has none."""
+    products = q.warehouse.dim_products
+    return serving.product_exists(products, ONE_PRODUCT).union(serving.product_exists(products, -1))
 
 
 def closed_revenue(q: Inputs) -> DataFrame:
     """Windows the watermark has closed, each published once."""
     root = shared_folder(q.spark, "realtime")
-    changes = cdc.parse_changes(retail.payment_changes(q.event_stream), PAYMENT_ROW)
+    changes = cdc.parse_changes(retail.payment_changes(q.event_stream()), PAYMENT_ROW)
     payments = cdc.successful_payments(changes, _stamp(EVENTS_NOW))
     path = f"{root}/closed"
     durable.start_closed_revenue(payments, path, f"{root}/checkpoints", {"availableNow": True}).awaitTermination()
@@ -249,7 +360,11 @@ def _health_fields(checks: DataFrame, *details: str) -> DataFrame:
 
 def _rule(name: str) -> Callable[[Inputs], DataFrame]:
     # The order fact is read without customer attributes, which no rule looks at.
-    return lambda q: quality.RULES[name](q.rule_tables, _stamp(FUTURE_AFTER), quality.MIN_ROWS)
+    def find(q: Inputs) -> DataFrame:
+        tables = ChainMap(q.spoiled.get(name, {}), q.rule_tables)
+        return quality.RULES[name](tables, _stamp(FUTURE_AFTER), quality.MIN_ROWS)
+
+    return find
 
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -277,7 +392,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "mart_top_products": lambda q: q.warehouse.mart_top_products,
     "mart_customer_metrics": lambda q: q.warehouse.mart_customer_metrics,
     "mart_customer_metrics_recent": lambda q: marts.mart_customer_metrics(
-        q.warehouse.dim_customers, q.warehouse.order_measures.filter(F.col("order_date") >= "2001-01-01")
+        q.warehouse.dim_customers, q.warehouse.measures_where(F.col("order_date") >= "2001-01-01")
     ),
     "sink_mart_table": stored_marts,
     # filters and projections
@@ -336,7 +451,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         monitoring.stream_staleness(q.revenue_windows, _stamp(EVENTS_NOW)), "window_start", "age_seconds"
     ),
     "health_summary": lambda q: monitoring.health_summary(q.health_checks),
-    "layer_status": lambda q: monitoring.layer_status(q.health_checks),
+    "layer_status": lambda q: monitoring.layer_status(q.health_checks, LAYERS),
     "failed_root_tasks": lambda q: monitoring.failed_root_tasks(q.task_states),
     # checks
     "dq_not_null": lambda q: quality.not_null(q.warehouse.stg_payments, "paid_at").select("payment_id", "payment_status"),
@@ -360,7 +475,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "rt_history": lambda q: realtime.poll_history(q.polls),
     "stream_static_join": lambda q: realtime.with_product_names(q.windowed_items, q.warehouse.stg_products),
     "lambda_today_revenue": lambda q: realtime.lambda_today_revenue(
-        q.warehouse.mart_daily_revenue, q.revenue_windows, F.lit(TODAY).cast("date")
+        marts.mart_daily_revenue(q.warehouse.measures_where(F.col("order_date") == TODAY)),
+        q.revenue_windows,
+        F.lit(TODAY).cast("date"),
     ),
     # keyed updates
     "compact_latest": lambda q: upsert.compact_latest(q.staging_log),
@@ -371,6 +488,27 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "st_live_revenue": live_revenue,
     "st_live_top_products": live_top_products,
     "st_closed_revenue": closed_revenue,
+    "st_speed_layer": speed_layer,
+    # what is served and kept after streaming
+    "compact_realtime": compacted_revenue,
+    "rt_served_revenue": served_revenue,
+    "rt_served_products": served_products,
+    "sink_top_products": kept_list,
+    # one product, damaged input, age as an interval
+    "flt_point_lookup": point_lookups,
+    "product_details_one": lambda q: serving.product_details(
+        q.warehouse.dim_products, q.raw["order_items"], q.warehouse.order_measures, ONE_PRODUCT
+    ),
+    "product_sales_history_one": lambda q: serving.product_sales_history(
+        q.raw["order_items"], q.warehouse.order_measures, ONE_PRODUCT
+    ),
+    "product_recent_orders_one": lambda q: serving.product_recent_orders(
+        q.raw["order_items"], q.warehouse.order_measures, q.warehouse.stg_customers, ONE_PRODUCT
+    ),
+    "src_cdc_damaged": damaged_changes,
+    "mon_source_age": lambda q: q.warehouse.source_freshness.select(
+        "table_name", F.extract(F.lit("DAY"), "source_age").cast("long").alias("age_days")
+    ),
 }
 
 

@@ -24,6 +24,8 @@ MARTS = (
     "mart_customer_metrics",
 )
 
+# Models of a few rows that the checks read several times.
+MONITORING = ("source_row_counts", "source_freshness")
 
 MODELS = (
     "stg_customers",
@@ -34,8 +36,7 @@ MODELS = (
     "int_orders_enriched",
     "int_customer_orders",
     *MARTS,
-    "source_row_counts",
-    "source_freshness",
+    *MONITORING,
 )
 
 
@@ -73,6 +74,16 @@ class Warehouse:
     def order_measures(self) -> DataFrame:
         return orders.order_measures(self.stg_orders, self.stg_order_items, self.stg_payments)
 
+    def measures_where(self, kept: Column) -> DataFrame:
+        """The order measures of some orders; only their items and payments are aggregated."""
+        chosen = self.stg_orders.filter(kept)
+        ids = chosen.select("order_id")
+        return orders.order_measures(
+            chosen,
+            self.stg_order_items.join(ids, "order_id", "left_semi"),
+            self.stg_payments.join(ids, "order_id", "left_semi"),
+        )
+
     @cached_property
     def int_orders_enriched(self) -> DataFrame:
         return orders.int_orders_enriched(
@@ -130,26 +141,28 @@ class Warehouse:
             self[name].createOrReplaceTempView(name)
 
     def write_marts(self, root: str) -> None:
-        """Persist the marts and read them back in place of their plans.
+        """Persist the marts and the monitoring models, and read them back in place of their plans.
 
-        Order facts are laid out by month, so a date filter skips the files of other months by
-        their statistics; the rebalance hint packs small months together and splits a month that is
-        too large for one task.
+        Facts are laid out by month, so a date filter skips the files of other months; the rebalance hint packs
+        small months together and splits a month that is too large for one task.
         """
-        for name in MARTS:
+        months = {"fact_orders": ("order_month", "order_date"), "fact_payments": ("created_month", "created_at")}
+        for name in (*MARTS, *MONITORING):
             path = f"{root}/{name}"
             frame: DataFrame = getattr(self, name)
-            if name == "fact_orders":
-                by_month = frame.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
-                by_month.hint("rebalance", "order_month").write.mode("overwrite").option(
+            month, column = months.get(name, (None, None))
+            if month is not None:
+                by_month = frame.withColumn(month, F.date_format(column, "yyyy-MM"))
+                by_month.hint("rebalance", month).write.mode("overwrite").option(
                     "partitionOverwriteMode", "static"
-                ).partitionBy("order_month").parquet(path)
+                ).partitionBy(month).parquet(path)
             else:
                 frame.write.mode("overwrite").parquet(path)
             stored = frame.sparkSession.read.parquet(path)
-            setattr(self, name, stored.drop("order_month"))
+            stored = stored if month is None else stored.drop(month)
+            setattr(self, name, stored)
             if name == "fact_orders":
-                self.order_measures = stored.drop("order_month")
+                self.order_measures = stored
 
 
 def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:

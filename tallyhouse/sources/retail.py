@@ -158,8 +158,9 @@ def _envelope(after: Column, op: Column) -> Column:
     )
 
 
-def payment_changes(events: DataFrame) -> DataFrame:
-    """Event rows as change envelopes of payments (column ``value``); every 50th has no time."""
+def payment_changes(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Event rows as change envelopes of payments (column ``value``); every 50th has no time. ``keep`` names event
+    columns that go along."""
     kind = F.col("event_type")
     stamp = F.date_format(F.col("ts").cast("timestamp"), ISO_MICROS)
     after = F.struct(
@@ -177,7 +178,7 @@ def payment_changes(events: DataFrame) -> DataFrame:
         .when(kind == "signup", "r")
         .otherwise("d")
     )
-    return events.select(_envelope(after, op).alias("value"))
+    return events.select(*keep, _envelope(after, op).alias("value"))
 
 
 def item_changes(events: DataFrame) -> DataFrame:
@@ -193,3 +194,22 @@ def item_changes(events: DataFrame) -> DataFrame:
     )
     op = F.when(F.col("event_type").isin("purchase", "click"), "c").otherwise("u")
     return events.select(_envelope(after, op).alias("value"))
+
+
+# --- violations -----------------------------------------------------------------------------------
+
+# For each rule that the tables keep: a table, and a column of it that is spoiled in some rows.
+SPOILED = {
+    "nonneg_customer_order_counts": ("mart_customer_metrics", "order_count", "IF(customer_id % 97 = 0, -1, order_count)"),
+    "nonneg_line_totals": ("stg_order_items", "line_total", "IF(order_item_id % 97 = 0, -line_total, line_total)"),
+    "nonneg_order_counts": ("mart_daily_revenue", "order_count", "IF(day(order_date) = 13, -order_count, order_count)"),
+    "nonneg_item_prices": ("stg_order_items", "unit_price", "IF(order_item_id % 97 = 0, -unit_price, unit_price)"),
+    "nonneg_payments": ("stg_payments", "amount", "IF(payment_id % 97 = 0, -amount, amount)"),
+    "nonneg_product_prices": ("stg_products", "unit_price", "IF(product_id % 97 = 0, -unit_price, unit_price)"),
+    "nonneg_revenue": ("mart_daily_revenue", "revenue", "IF(day(order_date) = 13, -1 - revenue, revenue)"),
+    "nonneg_units_sold": ("mart_top_products", "units_sold", "IF(product_id % 97 = 0, -units_sold, units_sold)"),
+    "positive_quantities": ("stg_order_items", "quantity", "IF(order_item_id % 97 = 0, 0, quantity)"),
+    "revenue_matches_items": ("fact_orders", "order_value", "IF(order_id % 97 = 0, order_value + 1, order_value)"),
+    "success_has_paid_at": ("stg_payments", "paid_at", "IF(payment_id % 97 = 0, NULL, paid_at)"),
+    "unpaid_has_no_paid_at": ("stg_payments", "paid_at", "IF(payment_id % 97 = 0, created_at, paid_at)"),
+}

@@ -1,7 +1,7 @@
 """The live path: every micro-batch adds its partial sums and republishes the windows it touched.
 
 Partials are additive, so a window that spans several micro-batches, or gets a late event, ends with
-its full total; nothing is dropped. They are laid out by the hour of their window, and a trigger reads
+its full total; nothing is dropped. They are laid out by the hours of their window, and a trigger reads
 only the files of the touched hours that can hold a touched window: what it reads follows from its own
 events, not from the age of the stream.
 
@@ -56,7 +56,14 @@ def item_events(raw: DataFrame) -> DataFrame:
     return realtime.with_window(created_items(parse_changes(raw, ORDER_ITEM_ROW)), realtime.ITEM_WINDOW)
 
 
-HOUR = "yyyyMMddHH"
+# Partials are laid out in blocks of hours: shorter ones would make a backlog of many days write more folders.
+BLOCK_SECONDS = 6 * 3600
+
+
+def _block(start: Column) -> Column:
+    """The first hour of the block, as yyyyMMddHH."""
+    seconds = F.floor(F.unix_seconds(start) / BLOCK_SECONDS) * BLOCK_SECONDS
+    return F.date_format(F.timestamp_seconds(seconds), "yyyyMMddHH")
 
 
 def generation_of(spark: SparkSession, checkpoint: str) -> str:
@@ -73,12 +80,12 @@ def _add_partials(
 ) -> DataFrame | None:
     """Store this micro-batch's partials; all partials of the windows in it, or None if it has none.
 
-    Windows in hours that have been expired are not touched: their totals are final.
+    Windows in blocks that have been expired are not touched: their totals are final.
     """
     spark = partials.sparkSession
-    hour = F.date_format("window_start", HOUR)
-    open_hours = hour > F.lit(expired_until(spark, path))
-    mine = _stamped(partials.filter(open_hours).withColumn("window_hour", hour), generation, batch_id).persist()
+    block = _block(F.col("window_start"))
+    still_open = block > F.lit(expired_until(spark, path))
+    mine = _stamped(partials.filter(still_open).withColumn("window_hour", block), generation, batch_id).persist()
     try:
         touched = mine.groupBy("window_hour").agg(F.min("window_start"), F.max("window_start")).collect()
         if not touched:
@@ -95,7 +102,7 @@ def _add_partials(
         mine.unpersist()
     folders = [f"{path}/generation={generation}/window_hour={row[0]}" for row in touched]
     log = spark.read.schema(schema).option("basePath", path).parquet(*folders)
-    # The bounds skip files of the hour by their statistics; with one touched hour they are the touched windows.
+    # The bounds skip files of a block by their statistics: those of windows that are not touched.
     between = F.col("window_start").between(F.lit(min(row[1] for row in touched)), F.lit(max(row[2] for row in touched)))
     windows = log.filter(F.col("batch_id") == batch_id).select("window_start").distinct()
     return log.filter((F.col("batch_id") <= batch_id) & between).join(windows, "window_start", "left_semi")
@@ -144,15 +151,15 @@ def publish_top_products(
 
 
 def expired_until(spark: SparkSession, path: str) -> str:
-    """The last hour whose partials have been removed; earlier than any hour if none has."""
+    """The last block whose partials have been removed; earlier than any block if none has."""
     if not table_exists(spark, f"{path}__expired"):
         return ""
     return spark.read.schema("hour string").parquet(f"{path}__expired").agg(F.max("hour")).first()[0] or ""
 
 
 def expire_partials(spark: SparkSession, path: str, last_hour: str) -> None:
-    """Remove the partials of the hours up to ``last_hour`` (yyyyMMddHH). Their published totals stay; events of these
-    hours that arrive later are left out from now on, which is recorded first."""
+    """Remove the partials of the blocks that begin up to ``last_hour`` (yyyyMMddHH). Their published totals stay;
+    events of these blocks that arrive later are left out from now on, which is recorded first."""
     spark.createDataFrame([(last_hour,)], "hour string").write.mode("append").parquet(f"{path}__expired")
     drop_partitions(spark, path, "window_hour", last_hour)
 

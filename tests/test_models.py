@@ -205,14 +205,14 @@ def test_health_summary(frame, statuses, expected):
 @pytest.mark.parametrize(
     "checks, layer, expected",
     [
-        ([("Airflow", "healthy"), ("dbt Batch Layer", "degraded")], "batch", "degraded"),
-        ([("Spark Streaming", "healthy"), ("Redis", "unhealthy")], "speed", "unhealthy"),
+        ([("Batch run", "healthy"), ("Batch mart", "degraded")], "batch", "degraded"),
+        ([("Speed stream", "healthy"), ("Speed list", "unhealthy")], "speed", "unhealthy"),
         ([("Something", "unhealthy")], "serving", "healthy"),
         ([], "batch", "healthy"),
     ],
 )
 def test_layer_status(frame, checks, layer, expected):
-    got = {r.layer: r.status for r in monitoring.layer_status(frame(CHECK, *checks)).collect()}
+    got = {r.layer: r.status for r in monitoring.layer_status(frame(CHECK, *checks), {"batch": ("Batch",), "speed": ("Speed",), "serving": ("Serving",)}).collect()}
     assert got[layer] == expected and len(got) == 3
 
 

@@ -275,13 +275,13 @@ def test_a_trigger_reads_the_partials_of_its_own_windows(spark, topic, tmp_path)
     """The rows read for one more event do not grow with the hours, or the minutes, that came before."""
     root = str(tmp_path / "rt")
     read = []
-    for hour in range(4):
+    for hour in (0, 6, 12, 18):
         for k in range(3):
-            events = [payment(100 * hour + 10 * k + i, i, 1.0, f"{hour:02d}:{20 * k:02d}:{i:02d}") for i in range(9)]
+            events = [payment(100 * hour + 10 * k + i, i, 1.0, f"{hour + k:02d}:00:{i:02d}") for i in range(9)]
             raw = spark.createDataFrame([(e,) for e in events], "value string")
             batch = live.payment_events(raw)
             partials = realtime.revenue_partials(batch)
-            touched = live._add_partials(partials, "g", 3 * hour + k, f"{root}/revenue_partials", live.REVENUE_PARTIALS)
+            touched = live._add_partials(partials, "g", 10 * hour + k, f"{root}/revenue_partials", live.REVENUE_PARTIALS)
             scans = touched._jdf.queryExecution().executedPlan().toString()
             assert "PushedFilters: [IsNotNull" in scans or "GreaterThanOrEqual(window_start" in scans
             assert len(touched.inputFiles()) <= 2 * (k + 1)
@@ -291,12 +291,12 @@ def test_a_trigger_reads_the_partials_of_its_own_windows(spark, topic, tmp_path)
 
 def test_expired_hours_are_final(spark, topic, tmp_path):
     root = str(tmp_path / "rt")
-    topic.send(payment(1, 1, 10.0, "00:00:10"), payment(2, 2, 1.0, "03:00:10"))
+    topic.send(payment(1, 1, 10.0, "00:00:10"), payment(2, 2, 1.0, "07:00:10"))
     run_revenue(topic, tmp_path)
     live.expire_partials(spark, f"{root}/revenue_partials", "2024010101")
-    topic.send(payment(3, 3, 5.0, "00:00:20"), payment(4, 4, 5.0, "03:00:20"))
+    topic.send(payment(3, 3, 5.0, "00:00:20"), payment(4, 4, 5.0, "07:00:20"))
     run_revenue(topic, tmp_path)
-    assert published(spark, tmp_path) == [(minute("00:00"), 1, Decimal("10.00")), (minute("03:00"), 2, Decimal("6.00"))]
+    assert published(spark, tmp_path) == [(minute("00:00"), 1, Decimal("10.00")), (minute("07:00"), 2, Decimal("6.00"))]
 
 
 def test_both_streams_and_the_kept_list(spark, frame, topic, tmp_path):
