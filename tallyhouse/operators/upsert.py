@@ -87,6 +87,17 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it does not exist."""
+    fs, where = _hadoop(spark, path)
+    return [entry.getPath().getName() for entry in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _hadoop(spark, path)
+    fs.delete(where, True)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     if table_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
@@ -116,8 +127,7 @@ def _finish_upsert(spark: SparkSession, path: str, schema: T.StructType, by_day:
         overwrite_partitions(dated.hint("rebalance", "window_date"), path, "window_date")
     else:
         ready.write.mode("overwrite").parquet(path)
-    fs, merged = _hadoop(spark, _beside(path))
-    fs.delete(merged, True)
+    delete_folder(spark, _beside(path))
 
 
 def upsert_windows(
@@ -164,18 +174,16 @@ def replace_table(frame: DataFrame, path: str, schema: T.StructType) -> None:
 def drop_batches(spark: SparkSession, path: str, folded: Sequence[tuple[str, int]]) -> None:
     """Remove the folders of the given (generation, batch_id) from a staging log; others stay."""
     for generation, batch_id in folded:
-        fs, where = _hadoop(spark, f"{path}/generation={generation}/batch_id={batch_id}")
-        fs.delete(where, True)
+        delete_folder(spark, f"{path}/generation={generation}/batch_id={batch_id}")
 
 
 def drop_partitions(spark: SparkSession, path: str, name: str, last: str) -> None:
     """Remove the second-level folders ``name=value`` with a value up to ``last``."""
-    fs, where = _hadoop(spark, path)
-    for outer in fs.listStatus(where):
-        for inner in fs.listStatus(outer.getPath()) if outer.isDirectory() else []:
-            key, _, value = inner.getPath().getName().partition("=")
+    for outer in list_folder(spark, path):
+        for inner in list_folder(spark, f"{path}/{outer}") if "=" in outer else []:
+            key, _, value = inner.partition("=")
             if key == name and value <= last:
-                fs.delete(inner.getPath(), True)
+                delete_folder(spark, f"{path}/{outer}/{inner}")
 
 
 # --- relational targets ---------------------------------------------------------------------------

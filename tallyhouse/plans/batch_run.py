@@ -15,6 +15,7 @@ from tallyhouse.operators.upsert import (
     upsert_small_table,
     upsert_windows,
 )
+from tallyhouse.plans import versions
 from tallyhouse.plans.check_suite import check_report
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.schemas import REVENUE_BY_MINUTE, RUN_LOG, TOP_PRODUCTS_5MIN
@@ -98,24 +99,29 @@ def run_batch(
     minimum: Mapping[str, int] = quality.MIN_ROWS,
     dag_id: str = "hourly_batch",
 ) -> dict[str, int]:
-    """Load the raw layer, write the marts, check them and, if all holds, compact the speed layer.
+    """Load the raw layer, write the marts, check them and, if all holds, publish them and compact the speed layer.
 
-    Returns the rows loaded per table. The outcome is logged either way.
+    Readers see the former run's layers until this one is published (``plans.versions``). Returns the rows loaded
+    per table. The outcome is logged either way.
     """
     started_at = datetime.now(timezone.utc)
     task = "extract"
     try:
-        loaded = load_raw(sources, f"{root}/raw")
+        version = versions.new_version(root, run_id)
+        loaded = load_raw(sources, f"{version}/raw")
         task = "models"
-        warehouse = Warehouse(read_layer(spark, f"{root}/raw"), lambda: region_seed, now)
-        warehouse.write_marts(f"{root}/marts")
+        warehouse = Warehouse(read_layer(spark, f"{version}/raw"), lambda: region_seed, now)
+        warehouse.write_marts(f"{version}/marts")
         task = "checks"
         failures = failed_checks(check_report(warehouse, now, minimum))
         if failures:
             raise ChecksFailed(", ".join(failures))
+        task = "publish"
+        versions.publish(spark, root, version)
         task = "compaction"
         compact_revenue(spark, f"{root}/realtime", now)
         compact_top_products(spark, f"{root}/realtime")
+        versions.drop_old(spark, root)
     except Exception:
         log_run(spark, f"{root}/monitoring/pipeline_runs", run_id, dag_id, started_at, task)
         raise

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import marts, monitoring, orders, staging
+from tallyhouse.plans import versions
 
 MARTS = (
     "dim_customers",
@@ -166,4 +167,6 @@ class Warehouse:
 
 
 def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{root}/{name}") for name in MARTS}
+    """The marts of the newest published run under ``root``."""
+    folder = versions.current(spark, root)
+    return {name: spark.read.parquet(f"{folder}/marts/{name}") for name in MARTS}

@@ -7,8 +7,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse.plans import versions
 from tallyhouse.plans.batch_run import ChecksFailed, run_batch
-from tallyhouse.plans.warehouse import read_marts
+from tallyhouse.plans.warehouse import Warehouse, read_marts
 from tallyhouse.schemas import REVENUE_BY_MINUTE, RUN_LOG
 from tallyhouse.sources.tables import (
     key_ranges,
@@ -38,7 +39,7 @@ def test_good_run_compacts_and_logs(spark, frame, tmp_path):
     stage_one_window(spark, root)
     for _ in range(2):
         assert run_batch(spark, shop(frame), seed(frame), root, "r1", now(), FEW) == FEW
-    assert rows(read_marts(spark, f"{root}/marts")["mart_daily_revenue"], "order_count") == [(1,), (3,)]
+    assert rows(read_marts(spark, root)["mart_daily_revenue"], "order_count") == [(1,), (3,)]
     stored = spark.read.schema(REVENUE_BY_MINUTE).parquet(f"{root}/realtime/revenue_by_minute")
     assert rows(stored, "order_count") == [(1,)]
     assert live.read_revenue_staging(spark, f"{root}/realtime").isEmpty()
@@ -56,6 +57,34 @@ def test_failed_checks_stop_the_compaction(spark, frame, tmp_path):
     assert rows(log, "status", "failed_task") == [("FAILED", "checks")]
 
 
+def test_a_run_killed_between_marts_changes_nothing_for_readers(spark, frame, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    run_batch(spark, shop(frame), seed(frame), root, "r1", now(), FEW)
+    before = {name: rows(mart) for name, mart in read_marts(spark, root).items()}
+    more = shop(frame)
+    more["orders"] = more["orders"].withColumn("order_status", F.lit("Cancelled"))
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "mart_top_products", property(lambda self: 1 / 0))
+        with pytest.raises(ZeroDivisionError):
+            run_batch(spark, more, seed(frame), root, "r2", now(), FEW)
+    assert len(list((tmp_path / "versions").iterdir())) == 2
+    assert {name: rows(mart) for name, mart in read_marts(spark, root).items()} == before
+    few = {**FEW, "customers": 4}
+    with pytest.raises(ChecksFailed):
+        run_batch(spark, shop(frame), seed(frame), root, "r3", now(), few)
+    assert {name: rows(mart) for name, mart in read_marts(spark, root).items()} == before
+    run_batch(spark, shop(frame), seed(frame), root, "r4", now(), FEW)
+    assert versions.current(spark, root).rsplit("/", 1)[1].startswith("r4-")
+    # The former version stays for those who read it; failed ones are gone.
+    kept = sorted(p.name.split("-")[0] for p in (tmp_path / "versions").iterdir())
+    assert kept == ["r1", "r4"]
+
+
+def test_nothing_published(spark, tmp_path):
+    with pytest.raises(LookupError):
+        read_marts(spark, str(tmp_path))
+
+
 def test_raw_load_replaces_and_counts(spark, frame, tmp_path):
     tables = shop(frame)
     load_raw(tables, str(tmp_path))

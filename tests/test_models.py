@@ -8,7 +8,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import insights, monitoring, realtime, serving
+from tallyhouse.operators import insights, marts, monitoring, realtime, serving
+from tallyhouse.operators import orders as order_grain
 from tallyhouse.plans.warehouse import Warehouse
 from tests.conftest import at, rows, seed, shop
 
@@ -304,3 +305,14 @@ def test_live_list_names_every_product(frame):
     top = realtime.live_top_products(sales)
     got = [tuple(r) for r in realtime.served_top_products(top).collect()]
     assert got == [("Desk", Decimal("7.00")), ("product-7", Decimal("5.00"))]
+
+
+def test_repeated_order_rows_are_counted_once(frame):
+    orders = frame(
+        "order_id bigint, customer_id bigint, order_date date, order_status string, order_value decimal(12,2), units_sold bigint",
+        (1, 7, date(2024, 1, 1), "paid", Decimal("2.00"), 1),
+        (1, 7, date(2024, 1, 1), "paid", Decimal("2.00"), 1),
+        (2, 7, date(2024, 1, 1), "paid", Decimal("3.00"), 1),
+    )
+    assert rows(marts.mart_daily_revenue(orders), "order_count") == [(2,)]
+    assert rows(order_grain.orders_per_customer(orders), "customer_id", "order_count") == [(7, 2)]

@@ -62,7 +62,7 @@ def test_top_lists_sort_no_whole_table(spark):
         assert "TakeOrderedAndProject" in plan(registry()[name](spark, SMALL))
 
 
-NO_SINGLE_TASK = ("region_shares", "category_shares", "rt_history", "sink_upsert", "compact_latest", "lambda_today_revenue")
+NO_SINGLE_TASK = ("region_shares", "category_shares", "rt_history", "lambda_today_revenue")
 
 
 @pytest.mark.parametrize("name", NO_SINGLE_TASK)
@@ -72,6 +72,13 @@ def test_no_rows_are_gathered_for_a_window(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+@pytest.mark.parametrize("name, key", [("sink_upsert", "product_id"), ("compact_latest", "")])
+def test_newest_rows_are_limited_before_the_shuffle(spark, large_tables, name, key):
+    text = plan(registry()[name](spark, SMALL))
+    final, partial = text.index("row_number(), 1, Final"), text.rindex("row_number(), 1, Partial")
+    assert f"Exchange hashpartitioning({key}" in text[final:partial]
+
+
 # --- one key with a third of all rows ------------------------------------------------------------
 
 HOT, ROWS = 1, 30_000

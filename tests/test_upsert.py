@@ -48,6 +48,15 @@ def test_compaction_takes_the_row_ingested_last(frame):
     assert rows(upsert.compact_latest(staging), "order_count") == [(2,), (3,)]
 
 
+def test_ties_go_to_the_greatest_row(frame):
+    log = frame("k int, at int, a int, b string", (1, 5, 1, "z"), (1, 5, 2, None), (1, 5, 2, "y"), (1, 4, 9, "x"))
+    assert rows(upsert.latest_per_key(log, ["k"], ["at"])) == [(1, 5, 2, "y")]
+
+
+def test_statement_without_columns_to_change():
+    assert upsert.upsert_statement("t", ["k"], ["k"], []).endswith('ON CONFLICT ("k") DO NOTHING')
+
+
 def test_run_log_keeps_the_first_start(spark, tmp_path):
     path = str(tmp_path / "runs")
     batch_run.log_run(spark, path, "r1", "hourly", at("2024-01-01 00:00:00"), "checks")
