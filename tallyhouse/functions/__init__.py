@@ -5,6 +5,7 @@ from tallyhouse.functions.columns import (
     age_seconds,
     clean,
     clean_lower,
+    list_limit,
     not_cancelled,
     or_zero,
     percent_change,
@@ -19,6 +20,7 @@ __all__ = [
     "age_seconds",
     "clean",
     "clean_lower",
+    "list_limit",
     "not_cancelled",
     "or_zero",
     "percent_change",

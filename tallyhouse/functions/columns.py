@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 CANCELLED_STATUSES = ("cancelled", "canceled")
 
 
+# Ranks up to this limit are applied in every task before the shuffle; above it Spark sorts whole groups.
+LARGEST_LIST = 1_000
+
+
+def list_limit(limit: int) -> int:
+    """The limit of a top list, which has to stay small enough for one task."""
+    if not 0 < limit <= LARGEST_LIST:
+        raise ValueError(f"a list has 1 to {LARGEST_LIST} rows, not {limit}")
+    return limit
+
+
 def clean(name: str) -> Column:
     return F.trim(F.col(name)).alias(name)
 

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import or_zero, percent_change, percent_of, ratio, shorten
+from tallyhouse.functions import list_limit, or_zero, percent_change, percent_of, ratio, shorten
 
 # Labels in the order of the calendar week.
 WEEKDAYS = ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat")
@@ -95,6 +95,7 @@ def category_shares(products: DataFrame) -> DataFrame:
 
 def _listed(top: DataFrame, limit: int) -> DataFrame:
     """The top list with its total and best revenue; the windows only ever see ``limit`` rows."""
+    limit = list_limit(limit)
     whole = Window.partitionBy()
     best_first = [F.desc_nulls_last("revenue"), F.col("product_id")]
     return (

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import not_cancelled, or_zero, ratio
+from tallyhouse.functions import list_limit, not_cancelled, or_zero, ratio
 from tallyhouse.operators.marts import sold_items
 
 
@@ -119,6 +119,7 @@ def _latest_per_product(frame: DataFrame, order: list, product_id: int | None, l
     For one product this is a plain top-k. For all of them the rank limit is applied inside every
     task before the shuffle, so a hot product sends ``limit`` rows per task and no more.
     """
+    limit = list_limit(limit)
     if product_id is not None:
         return frame.orderBy(*order).limit(limit)
     rank = F.row_number().over(Window.partitionBy("product_id").orderBy(*order))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -60,6 +63,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
+@cache
+def _own_folder() -> str:
+    """One folder for this process, removed at its end."""
+    folder = tempfile.mkdtemp(prefix="tallyhouse-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for ``purpose`` under the shared folder named in ``spark.checkpoint.dir``.
 
@@ -69,5 +80,5 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="tallyhouse-")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -57,6 +57,12 @@ def test_rank_limit_is_applied_before_the_shuffle(spark, large_tables):
     assert "Exchange hashpartitioning(product_id" in text[final:partial]
 
 
+def test_long_lists_are_refused(spark):
+    q = Inputs(spark, SMALL)
+    with pytest.raises(ValueError):
+        serving.product_sales_history(q.raw["order_items"], q.warehouse.order_measures, limit=1_001)
+
+
 def test_top_lists_sort_no_whole_table(spark):
     for name in ("api_daily_revenue", "api_top_products", "api_customer_metrics", "rt_top20"):
         assert "TakeOrderedAndProject" in plan(registry()[name](spark, SMALL))
