@@ -168,9 +168,17 @@ def _start(
     stream: DataFrame, publish: Callable[[DataFrame, int, str], None], name: str, checkpoint: str, trigger: dict
 ) -> StreamingQuery:
     folder = f"{checkpoint}/{name}"
+    generation: list[str] = []
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        publish(batch, batch_id, generation_of(batch.sparkSession, folder))
+        if not generation:
+            generation.append(generation_of(batch.sparkSession, folder))
+        # Rejects and partials both read the events; they are parsed once.
+        events = batch.persist()
+        try:
+            publish(events, batch_id, generation[0])
+        finally:
+            events.unpersist()
 
     return (
         stream.writeStream.foreachBatch(each)
