@@ -56,7 +56,7 @@ def key_counts(tables: q.Tables, key: str, names: Sequence[str]) -> DataFrame:
             .select(
                 F.col(key).alias("value"),
                 F.lit(name).alias("table_name"),
-                F.col(money[name]).cast("decimal(30,2)").alias("money") if name in money else F.lit(None).cast("decimal(30,2)").alias("money"),
+                (F.col(money[name]) if name in money else F.lit(None)).cast("decimal(30,2)").alias("money"),
             )
             for name in names
         ],

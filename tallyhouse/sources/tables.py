@@ -47,7 +47,8 @@ def key_ranges(counts: DataFrame, key: str, rows_per_task: int) -> list[str]:
     edges = [None, *bounds, None]
     parts = []
     for low, high in zip(edges, edges[1:]):
-        parts.append(" AND ".join([f"{key} >= {low}"] * (low is not None) + [f"{key} < {high}"] * (high is not None)) or f"{key} IS NOT NULL")
+        sides = [f"{key} >= {low}"] * (low is not None) + [f"{key} < {high}"] * (high is not None)
+        parts.append(" AND ".join(sides) or f"{key} IS NOT NULL")
     return [*parts, f"{key} IS NULL"]
 
 
