@@ -126,7 +126,8 @@ def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 60) -> Dat
         )
         # Small star: u and its smaller neighbours are tied to the smallest of them.
         low = large.groupBy("a").agg(F.min("b").alias("w"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("w").alias("b")), F.struct("a", F.col("w").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
+        tied = F.array(F.struct(F.col("b").alias("u"), "w"), F.struct(F.col("a").alias("u"), "w"))
+        small = large.join(low, "a").select(F.inline(tied)).toDF("a", "b").filter("a <> b").distinct()
         current = cut(small)
         now = summary(current)
         if now == state:

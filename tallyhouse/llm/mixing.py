@@ -106,7 +106,10 @@ def scheduled(rows: DataFrame, targets: dict[str, float] | None, block_rows: int
             first, count, start, period, table = plan[k][-1]
             turns, rest = divmod(count - 1, len(table))
             short.append((start + turns * period + table[rest], block_rows - n % block_rows))
-    kinds = "_source string, _phases array<struct<first:long,count:long,start:long,period:long,table:array<int>>>, _short array<struct<slot:long,missing:long>>"
+    kinds = (
+        "_source string, _phases array<struct<first:long,count:long,start:long,period:long,table:array<int>>>, "
+        "_short array<struct<slot:long,missing:long>>"
+    )
     lookup = spark.createDataFrame([(k, plan[k], short) for k in plan], kinds)
     phase = F.expr("filter(_phases, p -> block >= p.first AND block < p.first + p.count)[0]")
     return (

@@ -58,4 +58,17 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hnsw, op2_compact_windows, op3_linked_secrets, op4_lpt_shards, op5_pfair_mix, op6_simhash_anchors, op7_piece_bpe, op8_deleted_interpolation, op9_risk_rules, op10_quadratic, pipeline)}
+    operators = (
+        op1_hnsw,
+        op2_compact_windows,
+        op3_linked_secrets,
+        op4_lpt_shards,
+        op5_pfair_mix,
+        op6_simhash_anchors,
+        op7_piece_bpe,
+        op8_deleted_interpolation,
+        op9_risk_rules,
+        op10_quadratic,
+        pipeline,
+    )
+    return {f.__name__: f for f in operators}
