@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyhouse.llm import mixing, piece_bpe, quadratic, secrets, simhash
 from tallyhouse.llm.common import prepare, table
