@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 # Rows per Arrow batch: texts may be long, so a batch of them must stay small.
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 TEXT_BATCH = "512"
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 WHITE = "[\\x20\\x09-\\x0D]+"
 
 
@@ -20,6 +22,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set(BATCH_ROWS, TEXT_BATCH)
+    # Python workers import this package from where the driver has it, unless it was shipped to them.
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
     return spark
 
 
