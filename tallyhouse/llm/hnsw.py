@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by cosine: one hierarchical navigable small-world graph per shard.
 
-Equal vectors are taken together first: one node stands for all copies and carries the smallest of their ids,
+Equal vectors, and those that differ by a power of two, are taken together first: one node stands for all copies and carries the smallest of their ids,
 as many as an answer can need, so a vector that a third of the table shares is one node. Nodes are dealt to
 shards by hash. Each shard's graph is built in one task and stored as flat arrays: for every level the nodes
 on it and a fixed number of neighbours for each, -1 where there are fewer. A query is searched in every shard,
@@ -33,7 +33,7 @@ INDEX = (
     "dim int, shard int, ids array<array<bigint>>, vectors array<double>, "
     "level_sizes array<int>, nodes array<int>, neighbours array<int>"
 )
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_id long, query long, vec_id long, score double"
 
 
 class Graph:
@@ -200,12 +200,27 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
+def to_one_exponent(vector: str) -> Column:
+    """The vector times the power of two that moves its largest component to 1 or more and below 2."""
+    largest = "array_max(transform({}, x -> abs(x)))"
+    # Two steps, as no double holds the power for the smallest numbers; the logarithm may be off by one.
+    moved = (
+        f"transform({vector}, x -> x * pow(2D, -floor(floor(log2({largest.format(vector)})) / 2D)) "
+        f"* pow(2D, -ceil(floor(log2({largest.format(vector)})) / 2D)))"
+    )
+    return F.expr(
+        f"transform(array({moved}), v -> transform(v, x -> x * CASE WHEN {largest.format('v')} >= 2 THEN 0.5D "
+        f"WHEN {largest.format('v')} < 1 THEN 2D ELSE 1D END + 0D))[0]"
+    )
+
+
 def build_index(vectors: DataFrame, copies: int, shard_nodes: int = SHARD_NODES) -> DataFrame:
     """One row per shard from (vec_id, vector): its nodes' ids, their vectors and the graph in flat arrays."""
     # The smallest ids of equal vectors. The rank limit is applied in every task before the shuffle.
     order = Window.partitionBy("vector").orderBy("vec_id")
     nodes = cut(
-        vectors.distinct()
+        vectors.withColumn("vector", to_one_exponent("vector"))
+        .distinct()
         .withColumn("_rank", F.row_number().over(order))
         .filter(F.col("_rank") <= copies)
         .groupBy("vector")
@@ -248,12 +263,12 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, width: int = SEAR
     asked = (
         queries.withColumn("block", F.pmod(F.xxhash64("query_id", "vector"), F.lit(blocks)).cast("int"))
         .join(shards.withColumnRenamed("dim", "_dim"), F.col("dim") == F.col("_dim"))
-        .select(F.col("dim").alias("q_dim"), F.col("shard").alias("q_shard"), F.col("block").alias("q_block"), "query_id", "vector")
+        .select(F.col("dim").alias("q_dim"), F.col("shard").alias("q_shard"), F.col("block").alias("q_block"), "query_id", F.xxhash64("vector").alias("query"), "vector")
     )
     searched = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(asked: pd.DataFrame, searched: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int, float]] = []
+        out: list[tuple[int, int, int, float]] = []
         if len(asked) and len(searched):
             shard = searched.iloc[0]
             ids = list(shard["ids"])
@@ -268,25 +283,28 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, width: int = SEAR
                 np.asarray(shard["neighbours"], np.int32),
             )
             originals = matrix(asked["vector"])
-            for own, q, unit in zip(asked["query_id"].tolist(), scaled(originals), unit_rows(originals)):
+            names = zip(asked["query_id"].tolist(), asked["query"].tolist())
+            for (own, name), q, unit in zip(names, scaled(originals), unit_rows(originals)):
                 found = np.array(graph.search(unit, width))
                 score = (vectors[found] * q).sum(axis=1) / (norms[found] * np.sqrt((q * q).sum()))
-                # Nodes cannot be cut off before their copies are seen: each gives at most k ids besides the own.
+                # Every node but the own gives an id, so k + 1 nodes and those that tie with the last give the best k.
+                least = np.sort(score)[::-1][min(k, len(score) - 1)]
                 best = [
                     (-s, i)
-                    for s, node in sorted(zip(score.tolist(), found.tolist()), key=lambda x: -x[0])[: 4 * k]
+                    for s, node in zip(score.tolist(), found.tolist())
+                    if s >= least
                     for i in ids[node]
                     if i != own
                 ]
-                out += [(own, i, -s) for s, i in heapq.nsmallest(k, best)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+                out += [(own, name, i, -s) for s, i in heapq.nsmallest(k, best)]
+        return pd.DataFrame(out, columns=["query_id", "query", "vec_id", "score"])
 
     found = (
         asked.groupBy("q_dim", "q_shard", "q_block")
         .cogroup(searched.groupBy("dim", "shard", "block"))
         .applyInPandas(search, FOUND)
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 

@@ -94,3 +94,15 @@ def test_awkward_rows(spark):
     assert hnsw.nearest_neighbours(frame.limit(0)).count() == 0
     alone = frame.filter("vec_id = 100")
     assert hnsw.nearest_neighbours(alone).count() == 0
+
+
+def test_multiples_of_a_vector_tie_and_each_vector_of_an_id_is_a_query(spark):
+    prepare(spark)
+    rng = np.random.default_rng(9)
+    one, other = rng.normal(size=(2, 8))
+    rows = [(i, (one * 2.0 ** ((7 * i) % 41 - 20)).tolist()) for i in range(41)]
+    rows += [(100, (one * 2.0**25).tolist()), (100, other.tolist())] + [(i, (other + 0.01 * rng.normal(size=8)).tolist()) for i in range(101, 110)]
+    found = hnsw.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    first = sorted((r["rank"], r["vec_id"]) for r in found if r["query_id"] == 0)
+    assert [i for rank, i in first if rank <= 5] == [1, 2, 3, 4, 5]
+    assert sorted(r["rank"] for r in found if r["query_id"] == 100) == sorted([1, 2, 3, 4, 5] * 2)
