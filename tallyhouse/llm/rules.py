@@ -42,8 +42,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
     """doc_id, stratum and the counts of every row.
 
-    Repeated 3-word windows are found inside the row: the hash of each window, shifted to make room, carries
-    the window's place; after one sort of these numbers, equal hashes are neighbours and their places known.
+    Repeated 3-word windows are found inside the row: after one sort of the pairs of a window's whole hash and its
+    place, equal hashes are neighbours and their places known.
     """
     trimmed = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(BLANKS))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WHITE))
@@ -53,19 +53,18 @@ def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", stratu
         F.col(text).alias("_text"),
         words.alias("_words"),
     ).withColumn("_n", F.size("_words"))
-    # Bits for the place of a window.
-    rows = rows.withColumn("_bits", F.length(F.bin(F.col("_n").cast("long"))))
     windows = F.expr(
-        "CASE WHEN _n < 4 THEN CAST(array() AS array<bigint>) ELSE sort_array(transform(sequence(0, _n - 3), i -> "
-        "shiftleft(xxhash64(_words[i], _words[i + 1], _words[i + 2]), _bits) | CAST(i AS bigint))) END"
+        "CASE WHEN _n < 4 THEN CAST(array() AS array<struct<h: bigint, p: bigint>>) ELSE sort_array(transform("
+        "sequence(0, _n - 3), i -> named_struct('h', xxhash64(_words[i], _words[i + 1], _words[i + 2]), "
+        "'p', CAST(i AS bigint)))) END"
     )
     rows = rows.withColumn("_windows", windows)
     same = (
         "filter(_windows, (w, k) -> "
-        "(k > 0 AND shiftright(_windows[greatest(k - 1, 0)], _bits) = shiftright(w, _bits)) OR "
-        "(k < size(_windows) - 1 AND shiftright(_windows[least(k + 1, size(_windows) - 1)], _bits) = shiftright(w, _bits)))"
+        "(k > 0 AND _windows[greatest(k - 1, 0)].h = w.h) OR "
+        "(k < size(_windows) - 1 AND _windows[least(k + 1, size(_windows) - 1)].h = w.h))"
     )
-    places = f"sort_array(transform({same}, w -> w & (shiftleft(1L, _bits) - 1)))"
+    places = f"sort_array(transform({same}, w -> w.p))"
     rows = rows.withColumn("_places", F.expr(places))
     covered = (
         "aggregate(_places, named_struct('n', 0L, 'next', 0L), (a, p) -> named_struct("

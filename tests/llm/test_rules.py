@@ -106,3 +106,11 @@ def test_plan_is_native(spark, capsys):
     rules.measures(read(spark, MIDDLE, "documents")).explain()
     plan = capsys.readouterr().out
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def test_equal_windows_are_told_by_their_whole_hash(spark):
+    """The number of bits kept of a window's hash must not shrink as the text grows."""
+    text = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(3_000)), "en")], "doc_id long, text string, lang string")
+    plan = rules.measures(text)._jdf.queryExecution().analyzed().toString()
+    assert "shiftleft" not in plan and "shiftright" not in plan
+    assert rules.measures(text).first()["n_repeat_words"] == 0
