@@ -8,7 +8,21 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import hnsw, interpolation, mixing, passages, piece_bpe, quadratic, rules, secrets, sharding, simhash
+from tallyhouse.llm import (
+    compression,
+    decontamination,
+    hnsw,
+    interpolation,
+    mixing,
+    negatives,
+    passages,
+    piece_bpe,
+    quadratic,
+    rules,
+    secrets,
+    sharding,
+    simhash,
+)
 from tallyhouse.llm.common import table
 
 
@@ -53,6 +67,19 @@ def op10_quadratic(spark: SparkSession, folder: str) -> DataFrame:
     return quadratic.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_hilbert_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return compression.compress(table(spark, folder, "embeddings")).drop("label")
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
+def op13_suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontamination.digests(found)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -69,6 +96,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_deleted_interpolation,
         op9_risk_rules,
         op10_quadratic,
+        op11_hilbert_codes,
+        op12_hard_negatives,
+        op13_suffix_arrays,
         pipeline,
     )
     return {f.__name__: f for f in operators}
