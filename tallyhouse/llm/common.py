@@ -72,6 +72,28 @@ def map_texts(
     return frame.mapInArrow(batches, schema)
 
 
+# Nodes of a plan that give each row the same place in every read.
+KEEPS_PLACES = {"Project", "Filter", "Relation", "LocalRelation"}
+
+
+def fresh_name(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def placed(docs: DataFrame, name: str) -> DataFrame:
+    """The frame with a number for each row that is the same however often the frame is read.
+
+    Rows read from files, with nothing but projections and filters in between, keep their place; all others are stored."""
+    plan = docs._jdf.queryExecution().optimizedPlan()
+    nodes = {line.lstrip(" :+-").split(" ")[0] for line in plan.toString().splitlines() if line.strip()}
+    marked = docs.withColumn(name, F.monotonically_increasing_id())
+    return marked if nodes <= KEEPS_PLACES and plan.deterministic() else cut(marked)
+
+
 def numbered(frame: DataFrame, key: str, name: str) -> DataFrame:
     """Number the rows of each key from 0 without gaps, in the order the rows are stored.
 

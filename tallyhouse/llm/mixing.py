@@ -21,7 +21,7 @@ import heapq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import cut, numbered
+from tallyhouse.llm.common import cut, fresh_name, numbered, placed
 
 BLOCK_ROWS = 64
 SLOTS = 1000
@@ -149,17 +149,15 @@ def mixed(
     slots: int = SLOTS,
     rows_per_file: int = 16_384,
 ) -> DataFrame:
-    """The documents with all their columns, partitioned and sorted by their mixed position.
-
-    ``docs`` must be read from files or stored, so that its rows keep their place between two reads.
-    """
-    placed = docs.withColumn("_place", F.monotonically_increasing_id())
-    rows = cut(placed.select("_place", source_key("source").alias("_source")))
-    order = cut(scheduled(rows, targets, block_rows, slots).select("_place", "position"))
+    """The documents with all their columns, partitioned and sorted by their mixed position."""
+    place, position = (fresh_name(docs.columns, name) for name in ("_place", "_position"))
+    marked = placed(docs, place)
+    rows = cut(marked.select(F.col(place).alias("_place"), source_key("source").alias("_source")))
+    order = cut(scheduled(rows, targets, block_rows, slots).select(F.col("_place").alias(place), F.col("position").alias(position)))
     parts = max(1, -(-order.count() // rows_per_file))
     return (
-        placed.join(order.withColumnRenamed("position", "_position"), "_place")
-        .repartitionById(parts, F.expr(f"CAST(_position div {rows_per_file} AS int)"))
-        .sortWithinPartitions("_position")
+        marked.join(order, place)
+        .repartitionById(parts, F.expr(f"CAST({position} div {rows_per_file} AS int)"))
+        .sortWithinPartitions(position)
         .select(*docs.columns)
     )

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import components, cut, map_texts
+from tallyhouse.llm.common import components, cut, fresh_name, map_texts, placed
 
 SHINGLE_WORDS = 4
 MOST_BITS = 4
@@ -203,12 +203,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, most_bi
 
 
 def deduplicated(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
-    """One row of each component, the one of the smallest doc_id, with all its columns.
-
-    ``docs`` must be read from files or stored, so that its rows keep their place between two reads."""
-    placed = docs.withColumn("_place", F.monotonically_increasing_id())
-    prints = cut(fingerprints(placed, shingle_words, place="_place"))
+    """One row of each component, the one of the smallest doc_id, with all its columns."""
+    place = fresh_name(docs.columns, "_place")
+    marked = placed(docs, place)
+    prints = cut(fingerprints(marked, shingle_words, place=place))
     names = labelled(prints, most_bits).select("fp", "component")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "place"))["place"]
-    kept = cut(prints.join(names, "fp").groupBy("component").agg(first.alias("_place")).select("_place"))
-    return placed.join(kept, "_place", "left_semi").select(*docs.columns)
+    kept = cut(prints.join(names, "fp").groupBy("component").agg(first.alias(place)).select(place))
+    return marked.join(kept, place, "left_semi").select(*docs.columns)

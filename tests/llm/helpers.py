@@ -10,9 +10,10 @@ SMALL = "/root/testdata/sf0.001"
 MIDDLE = "/root/testdata/sf0.01"
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, shard string, slot int, "
-    "position int, fp string, place string, x int, kept int, block int, component string, start int"
+    "position int, fp string, place string, x int, kept int, block int, component string, start int, "
+    "_place int, _position int, _POSITION_ int, _source string, _row int, _part int"
 )
-EXTRA = ("s", "s", 1, 2, "f", "p", 3, 4, 5, "c", 6)
+EXTRA = ("s", "s", 1, 2, "f", "p", 3, 4, 5, "c", 6, 7, 8, 9, "t", 10, 11)
 LONG = " ".join(f"word{i % 977} and" for i in range(30_000))
 
 
@@ -26,8 +27,8 @@ def edge_documents(spark):
         (4, "one two three", "en", "b", 13, *EXTRA),
         (4, "one two three", "en", "b", 13, *EXTRA),
         (5, "one two three", "de", None, 13, *EXTRA),
-        (None, "Ünï çødé 🙂 text", None, "b", None, *[None] * 11),
-        (None, None, None, None, None, *[None] * 11),
+        (None, "Ünï çødé 🙂 text", None, "b", None, *[None] * 17),
+        (None, None, None, None, None, *[None] * 17),
         (6, LONG, "en", "a", len(LONG), *EXTRA),
     ]
     return spark.createDataFrame(rows, SCHEMA)

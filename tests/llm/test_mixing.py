@@ -5,6 +5,7 @@ from collections import Counter
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.llm import mixing, queries
 from tests.llm.helpers import SMALL, documents, edge_documents, no_documents, read
@@ -76,3 +77,14 @@ def test_awkward_rows(spark):
     assert sum(r["source"] is None for r in rows) == 3
     assert mixing.mix(no_documents(spark)).count() == 0
     assert mixing.mixed(no_documents(spark)).count() == 0
+
+
+def test_extra_columns_and_rows_that_are_not_stored(spark):
+    """Helper columns take names the documents do not have; a shuffled input is mixed like a stored one."""
+    docs = edge_documents(spark)
+    mixed = mixing.mixed(docs, block_rows=2).collect()
+    assert sorted(map(repr, mixed)) == sorted(map(repr, docs.collect()))
+    big = read(spark, SMALL, "documents").withColumn("_place", F.lit(5)).withColumn("_position", F.lit(6))
+    mixed = mixing.mixed(big.repartition(7), block_rows=4).collect()
+    assert {(r["_place"], r["_position"]) for r in mixed} == {(5, 6)}
+    assert sorted(r["doc_id"] for r in mixed) == sorted(d["doc_id"] for d in documents(SMALL))

@@ -5,9 +5,10 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tallyhouse.llm import queries, simhash
-from tests.llm.helpers import MIDDLE, documents, edge_documents, no_documents
+from tests.llm.helpers import MIDDLE, documents, edge_documents, no_documents, read
 
 
 def plain_fingerprint(text):
@@ -86,3 +87,12 @@ def test_awkward_rows(spark):
     assert sorted(kept.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0))[0]["doc_id"] == 1
     assert kept.filter("doc_id = 4").count() == 1 and kept.filter("doc_id IN (2, 3, 5)").count() == 0
     assert simhash.near_duplicates(no_documents(spark)).count() == 0
+
+
+def test_deduplicated_keeps_columns_and_takes_any_input(spark):
+    docs = read(spark, MIDDLE, "documents").withColumn("_place", F.lit(5)).withColumn("_position", F.lit(6))
+    kept = simhash.deduplicated(docs).collect()
+    again = simhash.deduplicated(docs.repartition(7)).collect()
+    assert {(r["_place"], r["_position"]) for r in kept} == {(5, 6)}
+    assert sorted(map(repr, kept)) == sorted(map(repr, again))
+    assert sorted(r["doc_id"] for r in kept) == sorted({r["component_id"] for r in queries.op6_simhash_anchors(spark, MIDDLE).collect()})
