@@ -309,6 +309,19 @@ def _report() -> str:
     return " UNION ALL ".join(parts)
 
 
+# A file a trigger: slices of the events in the order of their ids, every 37th event two files later. A trigger lets in
+# what the watermark of the trigger before has not closed, that is the newest time up to two triggers back.
+LATE = """WITH filed AS (
+        SELECT event_id AS payment_id, user_id AS order_id, value AS amount, ts AS event_time,
+               date_trunc('minute', ts) AS window_start,
+               CASE WHEN event_id % 37 = 0 AND slice + 2 < 6 THEN slice + 2 ELSE slice END AS file
+        FROM (SELECT *, event_id * 6 // (SELECT max(event_id) + 1 FROM ev) AS slice FROM ev)
+        WHERE event_type IN ('purchase', 'click')
+    ), newest AS (SELECT file, max(event_time) AS newest FROM filed GROUP BY file)
+    SELECT filed.*, window_start + INTERVAL '1 minute' <= (
+        SELECT max(newest) - INTERVAL '2 minutes' FROM newest WHERE newest.file <= filed.file - 2) IS TRUE AS late
+    FROM filed"""
+
 FINAL = {
     "src_full_snapshot": "SELECT table_name, row_count FROM row_counts",
     "src_seed_csv": "SELECT country, region FROM seed",
@@ -550,6 +563,9 @@ FINAL = {
         WHERE window_start = (SELECT max(window_start) FROM product_windows) ORDER BY revenue DESC, product_id LIMIT 10""",
     "sink_top_products": """SELECT * FROM product_windows WHERE window_start = (SELECT max(window_start) FROM product_windows)
         ORDER BY revenue DESC, product_id LIMIT 20""",
+    "st_late_accounts": f"""SELECT count(*) AS events, CAST(0 AS BIGINT) AS rejected, count(*) FILTER (late) AS late,
+        count(*) FILTER (NOT late) AS published, count(*) FILTER (NOT late) AS in_totals FROM ({LATE})""",
+    "st_late_payments": f"""SELECT payment_id, order_id, amount, event_time, window_start FROM ({LATE}) WHERE late""",
     "flt_point_lookup": "SELECT product_id FROM stg_products WHERE product_id IN (7, -1)",
     "src_cdc_damaged": """SELECT 'payments' AS kind, count(*) AS rows,
             count(*) FILTER (event_id % 50 = 0 OR event_id % 13 = 0) AS at_processing_time

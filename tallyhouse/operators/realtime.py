@@ -51,6 +51,31 @@ def revenue_windows(partials: DataFrame) -> DataFrame:
     )
 
 
+def revenue_totals(payments: DataFrame) -> DataFrame:
+    """Orders, money and events per window and bucket of order ids, of a static frame or as the state of a stream.
+
+    A bucket is a range of 32,768 ids, and the orders in it are a bitmap: distinct counts of buckets add up exactly, and
+    their number follows from the range of ids in a window, not from its payments. Payments without an order have a
+    bucket of their own, without orders."""
+    orders = F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("order_id")))
+    fitting = payments.filter(payment_fits())
+    totals = fitting.groupBy(F.window("event_time", PAYMENT_WINDOW).alias("_window"), F.bitmap_bucket_number("order_id").alias("bucket")).agg(
+        orders.alias("order_count"),
+        or_zero(F.sum(F.col("amount").try_cast(EXACT))).cast("decimal(30,6)").alias("revenue"),
+        F.count(F.lit(1)).alias("events"),
+    )
+    return totals.select(F.col("_window.start").alias("window_start"), "bucket", "order_count", "revenue", "events")
+
+
+def revenue_of_buckets(totals: DataFrame) -> DataFrame:
+    """Orders and revenue per window from the totals of its buckets."""
+    return totals.groupBy("window_start").agg(
+        F.sum("order_count").alias("order_count"),
+        F.sum("revenue").cast(MONEY).alias("revenue"),
+        F.max("updated_at").alias("updated_at"),
+    )
+
+
 def revenue_by_minute(payments: DataFrame) -> DataFrame:
     return revenue_windows(revenue_partials(payments))
 
@@ -82,6 +107,20 @@ def product_partials(items: DataFrame) -> DataFrame:
     )
 
 
+def product_totals(items: DataFrame) -> DataFrame:
+    """Units, revenue and events per window and product, of a static frame or as the state of a stream."""
+    totals = (
+        items.filter(item_fits())
+        .groupBy(F.window("event_time", ITEM_WINDOW).alias("_window"), "product_id")
+        .agg(
+            or_zero(F.sum("quantity")).alias("units_sold"),
+            or_zero(F.sum(_line_value())).cast(MONEY).alias("revenue"),
+            F.count(F.lit(1)).alias("events"),
+        )
+    )
+    return totals.select(F.col("_window.start").alias("window_start"), "product_id", "units_sold", "revenue", "events")
+
+
 def product_windows(partials: DataFrame) -> DataFrame:
     """Add up partials of the same window and product."""
     return partials.groupBy("window_start", "product_id").agg(

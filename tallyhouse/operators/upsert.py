@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
-from functools import partial
+from datetime import date
+from functools import partial, reduce
 from itertools import batched, chain
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
@@ -93,6 +95,13 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in fs.listStatus(where)] if fs.exists(where) else []
 
 
+def folder_times(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names in a folder and when they were last changed, in seconds."""
+    fs, where = _hadoop(spark, path)
+    entries = fs.listStatus(where) if fs.exists(where) else []
+    return {entry.getPath().getName(): entry.getModificationTime() / 1000 for entry in entries}
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, where = _hadoop(spark, path)
     fs.delete(where, True)
@@ -109,66 +118,81 @@ def overwrite_partitions(frame: DataFrame, path: str, *partitions: str) -> None:
     frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
-def _beside(path: str) -> str:
-    return f"{path.rstrip('/')}__merged"
+# Versions of a small table that stay: the current one, and those that a reader may still be on.
+KEPT_VERSIONS = 3
 
 
-def _finish_upsert(spark: SparkSession, path: str, schema: T.StructType, by_day: bool) -> None:
-    """Move rows that were merged beside the table into it, if there are any.
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """The complete versions of a small table, the oldest first: a write ends with its success file."""
+    return [name for name in sorted(list_folder(spark, path)) if table_exists(spark, f"{path}/{name}/_SUCCESS")]
 
-    Merged rows count once their write has succeeded. They go last, so a run that was cut off here
-    is finished by the next one, with the same rows.
-    """
-    if not table_exists(spark, f"{_beside(path)}/_SUCCESS"):
-        return
-    ready = spark.read.schema(schema).parquet(_beside(path))
-    if by_day:
-        dated = ready.select("*", F.to_date("window_start").alias("window_date"))
-        overwrite_partitions(dated.hint("rebalance", "window_date"), path, "window_date")
-    else:
-        ready.write.mode("overwrite").parquet(path)
-    delete_folder(spark, _beside(path))
 
+def read_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest version of a small table, empty if there is none. It stays readable while it is replaced."""
+    versions = _versions(spark, path)
+    return read_or_empty(spark, f"{path}/{versions[-1]}", schema) if versions else spark.createDataFrame([], schema)
 
-def upsert_windows(
-    updates: DataFrame, path: str, keys: Sequence[str], update_columns: Sequence[str], schema: T.StructType
-) -> None:
-    """Upsert into a stored table of windows, laid out by day; untouched days are not read.
 
-    The merged days are written beside the table first, so their plan does not read what it replaces.
-    Running it again with the same updates changes nothing.
-    """
-    spark = updates.sparkSession
-    _finish_upsert(spark, path, schema, by_day=True)
-    # Used for the days and again for the merge; a lost block is computed again from the log.
-    updates = updates.persist()
-    stored = T.StructType([*schema.fields, T.StructField("window_date", T.DateType())])
-    # One date per touched day, so that the read below lists and scans no other folder.
-    days = [row.day for row in updates.select(F.to_date("window_start").alias("day")).distinct().collect()]
-    target = read_or_empty(spark, path, stored).filter(F.col("window_date").isin(days))
-    merged = keyed_upsert(target.select(*schema.names), updates, keys, update_columns)
-    merged.write.mode("overwrite").parquet(_beside(path))
-    updates.unpersist()
-    _finish_upsert(spark, path, schema, by_day=True)
+def replace_table(frame: DataFrame, path: str, schema: T.StructType) -> None:
+    """Write a new version of a small table; readers see the former one until the write is complete.
+
+    ``frame`` may be made from the current version. A write that is cut off is no version."""
+    spark = frame.sparkSession
+    versions = _versions(spark, path)
+    number = int(versions[-1].split("-")[0]) + 1 if versions else 0
+    frame.select(*schema.names).write.parquet(f"{path}/{number:012d}-{uuid.uuid4().hex}")
+    for old in versions[: 1 - KEPT_VERSIONS]:
+        delete_folder(spark, f"{path}/{old}")
 
 
 def upsert_small_table(
     updates: DataFrame, path: str, keys: Sequence[str], update_columns: Sequence[str], schema: T.StructType
 ) -> None:
     """Upsert into a stored table that is rewritten as a whole, such as the run log."""
-    spark = updates.sparkSession
-    _finish_upsert(spark, path, schema, by_day=False)
-    merged = keyed_upsert(read_or_empty(spark, path, schema), updates, keys, update_columns)
-    merged.write.mode("overwrite").parquet(_beside(path))
-    _finish_upsert(spark, path, schema, by_day=False)
+    current = read_current(updates.sparkSession, path, schema)
+    replace_table(keyed_upsert(current, updates, keys, update_columns), path, schema)
 
 
-def replace_table(frame: DataFrame, path: str, schema: T.StructType) -> None:
-    """Replace a small stored table; a reader sees the old one or the new one, a cut-off run is finished by the next."""
+# Where the rows of each day are: one row a day, a small table with versions.
+DAYS = T.StructType([T.StructField("window_date", T.DateType()), T.StructField("folder", T.StringType())])
+
+
+def read_days(spark: SparkSession, path: str, schema: T.StructType, days: Sequence[date] | None = None) -> DataFrame:
+    """A stored table of windows, or some days of it; only their folders are read."""
+    listed = {r["window_date"]: r["folder"] for r in read_current(spark, f"{path}/days", DAYS).collect()}
+    folders = [folder for day, folder in sorted(listed.items()) if days is None or day in days]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def replace_days(frame: DataFrame, path: str, schema: T.StructType) -> None:
+    """Replace the days that ``frame`` has windows of; the others are not read.
+
+    The new days go to folders of their own, then the table of days is replaced, so a reader sees all old days or all
+    new ones, and a run that is cut off has changed nothing. ``frame`` may be made from the days it replaces."""
     spark = frame.sparkSession
-    _finish_upsert(spark, path, schema, by_day=False)
-    frame.select(*schema.names).write.mode("overwrite").parquet(_beside(path))
-    _finish_upsert(spark, path, schema, by_day=False)
+    folder = f"{path}/data/{uuid.uuid4().hex}"
+    dated = frame.select(*schema.names, F.to_date("window_start").alias("window_date"))
+    dated.hint("rebalance", "window_date").write.partitionBy("window_date").parquet(folder)
+    written = [name for name in list_folder(spark, folder) if name.startswith("window_date=")]
+    listed = {r["window_date"]: r["folder"] for r in read_current(spark, f"{path}/days", DAYS).collect()}
+    listed |= {date.fromisoformat(name.partition("=")[2]): f"{folder}/{name}" for name in written}
+    replace_table(spark.createDataFrame(sorted(listed.items()), DAYS), f"{path}/days", DAYS)
+    _drop_replaced_days(spark, path)
+
+
+def _drop_replaced_days(spark: SparkSession, path: str) -> None:
+    """Remove the day folders that no kept version of the table of days names."""
+    kept = [read_or_empty(spark, f"{path}/days/{version}", DAYS) for version in _versions(spark, f"{path}/days")]
+    named = {r["folder"].removeprefix(f"{path}/data/") for r in reduce(DataFrame.unionByName, kept).collect()}
+    for run in list_folder(spark, f"{path}/data"):
+        days = [name for name in list_folder(spark, f"{path}/data/{run}") if name.startswith("window_date=")]
+        unread = [day for day in days if f"{run}/{day}" not in named]
+        # A folder without a success file may be one that another run is writing.
+        if table_exists(spark, f"{path}/data/{run}/_SUCCESS") and len(unread) == len(days):
+            delete_folder(spark, f"{path}/data/{run}")
+        elif table_exists(spark, f"{path}/data/{run}/_SUCCESS"):
+            for day in unread:
+                delete_folder(spark, f"{path}/data/{run}/{day}")
 
 
 def drop_batches(spark: SparkSession, path: str, folded: Sequence[tuple[str, int]]) -> None:
@@ -177,15 +201,6 @@ def drop_batches(spark: SparkSession, path: str, folded: Sequence[tuple[str, int
         delete_folder(spark, f"{path}/generation={generation}/batch_id={batch_id}")
 
 
-def drop_partitions(spark: SparkSession, path: str, name: str, last: str) -> None:
-    """Remove the second-level folders ``name=value`` with a value up to ``last``."""
-    for outer in list_folder(spark, path):
-        for inner in list_folder(spark, f"{path}/{outer}") if "=" in outer else []:
-            key, _, value = inner.partition("=")
-            if key == name and value <= last:
-                delete_folder(spark, f"{path}/{outer}/{inner}")
-
-
 # --- relational targets ---------------------------------------------------------------------------
 
 

@@ -6,10 +6,10 @@ Decimals leave as doubles and intervals as seconds, so that results compare acro
 from __future__ import annotations
 
 from collections import ChainMap
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
@@ -18,7 +18,7 @@ from tallyhouse.operators import insights, marts, monitoring, orders, quality, r
 from tallyhouse.plans import batch_run
 from tallyhouse.plans.check_suite import check_report
 from tallyhouse.plans.warehouse import Warehouse
-from tallyhouse.schemas import ORDER_ITEM_ROW, PAYMENT_ROW, REVENUE_BY_MINUTE, RUN_LOG
+from tallyhouse.schemas import ORDER_ITEM_ROW, PAYMENT_ROW, RUN_LOG
 from tallyhouse.session import configure, shared_folder
 from tallyhouse.sources import cdc, retail, tables
 from tallyhouse.streaming import durable, live
@@ -147,17 +147,15 @@ class Inputs:
         )
         return reduce(DataFrame.unionByName, checks)
 
-    def event_stream(self, files_per_trigger: int = 1000) -> DataFrame:
-        """The event files as a stream; the pattern also matches a folder of files."""
+    def event_stream(self, folder: str | None = None, files_per_trigger: int = 1000) -> DataFrame:
+        """The event files of a folder, or the table itself, as a stream."""
         stream = self.spark.readStream.schema(self.events.schema).option("maxFilesPerTrigger", files_per_trigger)
-        return stream.parquet(f"{self.split_events}/part-*" if files_per_trigger < 1000 else f"{self.folder}/event[s].parquet")
+        return stream.parquet(f"{self.folder}/event[s].parquet" if folder is None else f"{folder}/part-*")
 
-    @cached_property
-    def split_events(self) -> str:
-        """All events as several files, so that a stream takes them in several micro-batches."""
-        folder = shared_folder(self.spark, "events")
-        self.events.repartitionByRange(2, "event_id").write.parquet(folder)
-        return folder
+    def add_files(self, folder: str, file: Column, numbers: Sequence[int]) -> None:
+        """Write the events of each of these files, one after the other; ``file`` gives an event its file."""
+        for number in numbers:
+            self.events.filter(file == number).coalesce(1).write.mode("append").parquet(folder)
 
     @cached_property
     def damaged_payments(self) -> DataFrame:
@@ -168,13 +166,13 @@ class Inputs:
         )
         return retail.payment_changes(self.events, keep=("event_id",)).select(broken.cast("binary").alias("value"))
 
-    @cached_property
-    def spoiled(self) -> dict[str, dict[str, DataFrame]]:
-        """For each rule that clean tables keep, the table it looks at with violations in some rows."""
-        return {
-            rule: {table: self.rule_tables[table].withColumn(column, F.expr(sql).cast(self.rule_tables[table].schema[column].dataType))}
-            for rule, (table, column, sql) in retail.SPOILED.items()
-        }
+    def spoiled(self, rule: str) -> dict[str, DataFrame]:
+        """If clean tables keep the rule, the table it looks at with violations in some rows."""
+        if rule not in retail.SPOILED:
+            return {}
+        table, column, sql = retail.SPOILED[rule]
+        clean = self.rule_tables[table]
+        return {table: clean.withColumn(column, F.expr(sql).cast(clean.schema[column].dataType))}
 
 
 def _newest_event(events: DataFrame, kind: str) -> DataFrame:
@@ -250,16 +248,24 @@ def quality_report(q: Inputs) -> DataFrame:
 ONCE = {"availableNow": True}
 
 
+FILES = 4
+# The files hold events of all days, so their windows stay open for longer than that.
+ALL_DAYS = "60 days"
+
+
 def _restarted(q: Inputs, start: Callable[[DataFrame, str, str], StreamingQuery], changes) -> str:
-    """Run a live stream over all events: one file per trigger, a restart, then anew under another checkpoint."""
-    root = shared_folder(q.spark, "realtime")
-    for checkpoint, files in (("first", 1), ("first", 1), ("second", 2)):
-        start(changes(q.event_stream(files)), root, f"{root}/checkpoints/{checkpoint}").awaitTermination()
+    """Run a live stream over files whose windows lie in all of them: one file per trigger, a restart after more files
+    have come, then all anew under another checkpoint."""
+    root, folder = shared_folder(q.spark, "realtime"), shared_folder(q.spark, "events")
+    file = F.col("event_id") % FILES
+    for checkpoint, new_files, at_once in (("first", (0, 1), 1), ("first", (2, 3), 1), ("second", (), FILES)):
+        q.add_files(folder, file, new_files)
+        start(changes(q.event_stream(folder, at_once)), root, f"{root}/checkpoints/{checkpoint}").awaitTermination()
     return root
 
 
 def _start_revenue(raw: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    return live.start_revenue(raw, root, checkpoint, ONCE, _stamp(EVENTS_NOW))
+    return live.start_revenue(raw, root, checkpoint, ONCE, _stamp(EVENTS_NOW), ALL_DAYS)
 
 
 def live_revenue(q: Inputs) -> DataFrame:
@@ -270,11 +276,43 @@ def live_revenue(q: Inputs) -> DataFrame:
 
 def live_top_products(q: Inputs) -> DataFrame:
     def start(raw: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-        return live.start_top_products(raw, q.warehouse.stg_products, root, checkpoint, ONCE)
+        return live.start_top_products(raw, q.warehouse.stg_products, root, checkpoint, ONCE, ALL_DAYS)
 
     return live.read_product_windows(q.spark, _restarted(q, start, retail.item_changes)).drop("ingested_at")
 
 
+SLICES, DELAY = 6, 2
+
+
+def _late_root(q: Inputs) -> str:
+    """Payments in the order of their time, one file a trigger; every 37th comes two files later, behind the watermark."""
+    root, folder = shared_folder(q.spark, "realtime"), shared_folder(q.spark, "events")
+    size = q.events.agg(F.max("event_id") + 1).scalar()
+    slice_ = F.floor(F.col("event_id") * SLICES / size)
+    delayed = (F.col("event_id") % 37 == 0) & (slice_ + DELAY < SLICES)
+    q.add_files(folder, F.when(delayed, slice_ + DELAY).otherwise(slice_), range(SLICES))
+    raw = retail.payment_changes(q.event_stream(folder, 1))
+    # A payment without a time counts when its row was created.
+    now = F.try_to_timestamp("after.created_at")
+    live.start_revenue(raw, root, f"{root}/checkpoints", ONCE, now).awaitTermination()
+    return root
+
+
+def late_accounts(q: Inputs) -> DataFrame:
+    """What became of all events of a stream with late ones, and how many events the published totals hold."""
+    root = _late_root(q)
+    fates = live.read_accounts(q.spark, root, "payments").agg(*[F.sum(c).alias(c) for c in ("events", "rejected", "late", "published")])
+    held = live.newest_totals(
+        live.overlaid(live.read_compacted_revenue(q.spark, root), live.read_revenue_staging(q.spark, root)), ["bucket"]
+    ).agg(F.sum("events").alias("in_totals"))
+    return fates.withColumn("in_totals", held.scalar())
+
+
+def late_payments(q: Inputs) -> DataFrame:
+    """The payments that came too late for their window."""
+    return live.read_set_aside(q.spark, _late_root(q), "late", "payments").drop("generation", "batch_id")
+
+
 def _compacted_revenue_root(q: Inputs) -> str:
     root = shared_folder(q.spark, "realtime")
     _start_revenue(retail.payment_changes(q.event_stream()), root, f"{root}/checkpoints").awaitTermination()
@@ -285,7 +323,7 @@ def _compacted_revenue_root(q: Inputs) -> str:
 def _products_root(q: Inputs) -> str:
     root = shared_folder(q.spark, "realtime")
     raw = retail.item_changes(q.event_stream())
-    live.start_top_products(raw, q.warehouse.stg_products, root, f"{root}/checkpoints", ONCE).awaitTermination()
+    live.start_top_products(raw, q.warehouse.stg_products, root, f"{root}/checkpoints", ONCE, ALL_DAYS).awaitTermination()
     return root
 
 
@@ -293,7 +331,7 @@ def compacted_revenue(q: Inputs) -> DataFrame:
     """The stored windows after a compaction, and how many rows it left in the staging log."""
     root = _compacted_revenue_root(q)
     left = live.read_revenue_staging(q.spark, root).count()
-    stored = q.spark.read.parquet(f"{root}/revenue_by_minute").select(*REVENUE_BY_MINUTE.names)
+    stored = realtime.revenue_of_buckets(live.read_compacted_revenue(q.spark, root))
     return stored.withColumn("left_in_staging", F.lit(left).cast("long"))
 
 
@@ -319,7 +357,7 @@ def speed_layer(q: Inputs) -> DataFrame:
     """Both live streams together, then a total for each."""
     root = shared_folder(q.spark, "realtime")
     payments, items = retail.payment_changes(q.event_stream()), retail.item_changes(q.event_stream())
-    live.run_speed_layer(q.spark, payments, items, q.warehouse.stg_products, root, f"{root}/checkpoints", ONCE)
+    live.run_speed_layer(q.spark, payments, items, q.warehouse.stg_products, root, f"{root}/checkpoints", ONCE, ALL_DAYS)
 
     def total(frame: DataFrame, kind: str) -> DataFrame:
         return frame.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("rows"), F.sum("revenue").alias("revenue"))
@@ -361,7 +399,7 @@ def _health_fields(checks: DataFrame, *details: str) -> DataFrame:
 def _rule(name: str) -> Callable[[Inputs], DataFrame]:
     # The order fact is read without customer attributes, which no rule looks at.
     def find(q: Inputs) -> DataFrame:
-        tables = ChainMap(q.spoiled.get(name, {}), q.rule_tables)
+        tables = ChainMap(q.spoiled(name), q.rule_tables)
         return quality.RULES[name](tables, _stamp(FUTURE_AFTER), quality.MIN_ROWS)
 
     return find
@@ -489,6 +527,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "st_live_top_products": live_top_products,
     "st_closed_revenue": closed_revenue,
     "st_speed_layer": speed_layer,
+    "st_late_accounts": late_accounts,
+    "st_late_payments": late_payments,
     # what is served and kept after streaming
     "compact_realtime": compacted_revenue,
     "rt_served_revenue": served_revenue,

@@ -37,39 +37,22 @@ ORDER_ITEM_ROW = T.StructType(
 
 REGION_SEED = T.StructType([T.StructField("country", T.StringType()), T.StructField("region", T.StringType())])
 
-# Partial sums of one micro-batch, added up when they are read.
-REVENUE_PARTIALS = T.StructType(
-    [
-        T.StructField("window_start", T.TimestampType()),
-        T.StructField("order_id", T.LongType()),
-        T.StructField("amount", T.DecimalType(30, 6)),
-        T.StructField("generation", T.StringType()),
-        T.StructField("window_hour", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
+# Who published a row of a log: the stream's generation and its micro-batch, and when.
+_PUBLISHED = [
+    T.StructField("events", T.LongType()),
+    T.StructField("ingested_at", T.TimestampType()),
+    T.StructField("generation", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+]
 
-PRODUCT_PARTIALS = T.StructType(
-    [
-        T.StructField("window_start", T.TimestampType()),
-        T.StructField("product_id", T.LongType()),
-        T.StructField("units_sold", T.LongType()),
-        T.StructField("revenue", T.DecimalType(30, 6)),
-        T.StructField("generation", T.StringType()),
-        T.StructField("window_hour", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
-
-# Append-only logs of window totals, one folder per micro-batch.
+# Append-only logs of running totals, one folder per micro-batch: a row holds all of its key so far.
 REVENUE_STAGING = T.StructType(
     [
         T.StructField("window_start", T.TimestampType()),
+        T.StructField("bucket", T.LongType()),
         T.StructField("order_count", T.LongType()),
-        T.StructField("revenue", T.DecimalType(22, 2)),
-        T.StructField("ingested_at", T.TimestampType()),
-        T.StructField("generation", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
+        T.StructField("revenue", T.DecimalType(30, 6)),
+        *_PUBLISHED,
     ]
 )
 
@@ -80,14 +63,16 @@ PRODUCT_STAGING = T.StructType(
         T.StructField("product_name", T.StringType()),
         T.StructField("units_sold", T.LongType()),
         T.StructField("revenue", T.DecimalType(22, 2)),
-        T.StructField("ingested_at", T.TimestampType()),
-        T.StructField("generation", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
+        *_PUBLISHED,
     ]
 )
 
-TOP_PRODUCTS_5MIN = T.StructType(PRODUCT_STAGING.fields[:-2])
+# The same after compaction, with the times a key first came in and was last folded.
+_FOLDED = [T.StructField("first_at", T.TimestampType()), T.StructField("updated_at", T.TimestampType())]
+REVENUE_STORED = T.StructType([*REVENUE_STAGING.fields, *_FOLDED])
+PRODUCT_STORED = T.StructType([*PRODUCT_STAGING.fields, *_FOLDED])
 
+# As they are read.
 REVENUE_BY_MINUTE = T.StructType(
     [
         T.StructField("window_start", T.TimestampType()),
@@ -96,6 +81,18 @@ REVENUE_BY_MINUTE = T.StructType(
         T.StructField("updated_at", T.TimestampType()),
     ]
 )
+TOP_PRODUCTS_5MIN = T.StructType([*PRODUCT_STAGING.fields[:5], T.StructField("ingested_at", T.TimestampType())])
+
+# What became of the events of a micro-batch.
+ACCOUNTS = T.StructType(
+    [
+        T.StructField("generation", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("events", T.LongType()),
+        T.StructField("rejected", T.LongType()),
+        T.StructField("late", T.LongType()),
+    ]
+)
 
 RUN_LOG = T.StructType(
     [

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.plans import versions
-from tallyhouse.plans.batch_run import ChecksFailed, run_batch
+from tallyhouse.operators.upsert import read_current
+from tallyhouse.plans import batch_run, versions
+from tallyhouse.plans.batch_run import ChecksFailed, merged_today, run_batch
 from tallyhouse.plans.warehouse import Warehouse, read_marts
-from tallyhouse.schemas import REVENUE_BY_MINUTE, RUN_LOG
+from tallyhouse.schemas import RUN_LOG
 from tallyhouse.sources.tables import (
     key_ranges,
     load_raw,
@@ -19,7 +21,7 @@ from tallyhouse.sources.tables import (
     recompute_generated,
 )
 from tallyhouse.streaming import live
-from tests.conftest import rows, seed, shop
+from tests.conftest import at, rows, seed, shop
 
 FEW = {"customers": 3, "products": 3, "orders": 4, "order_items": 5, "payments": 4}
 
@@ -31,7 +33,7 @@ def now():
 def stage_one_window(spark, root):
     after = {"payment_id": 1, "order_id": 1, "amount": 7.0, "payment_status": "success", "paid_at": "2024-03-02T10:00:30Z"}
     raw = spark.createDataFrame([(json.dumps({"op": "c", "after": after}),)], "value string")
-    live.publish_revenue(live.payment_events(raw), 0, f"{root}/realtime")
+    live.publish_revenue(live.payment_rows(live.payment_events(raw)), 0, f"{root}/realtime")
 
 
 def test_good_run_compacts_and_logs(spark, frame, tmp_path):
@@ -40,10 +42,10 @@ def test_good_run_compacts_and_logs(spark, frame, tmp_path):
     for _ in range(2):
         assert run_batch(spark, shop(frame), seed(frame), root, "r1", now(), FEW) == FEW
     assert rows(read_marts(spark, root)["mart_daily_revenue"], "order_count") == [(1,), (3,)]
-    stored = spark.read.schema(REVENUE_BY_MINUTE).parquet(f"{root}/realtime/revenue_by_minute")
+    stored = live.read_compacted_revenue(spark, f"{root}/realtime")
     assert rows(stored, "order_count") == [(1,)]
     assert live.read_revenue_staging(spark, f"{root}/realtime").isEmpty()
-    log = spark.read.schema(RUN_LOG).parquet(f"{root}/monitoring/pipeline_runs")
+    log = read_current(spark, f"{root}/monitoring/pipeline_runs", RUN_LOG)
     assert rows(log, "run_id", "status", "failed_task") == [("r1", "SUCCESS", None)]
 
 
@@ -53,7 +55,7 @@ def test_failed_checks_stop_the_compaction(spark, frame, tmp_path):
     with pytest.raises(ChecksFailed, match="rule:min_row_counts"):
         run_batch(spark, shop(frame), seed(frame), root, "r1", now())
     assert live.read_revenue_staging(spark, f"{root}/realtime").count() == 1
-    log = spark.read.schema(RUN_LOG).parquet(f"{root}/monitoring/pipeline_runs")
+    log = read_current(spark, f"{root}/monitoring/pipeline_runs", RUN_LOG)
     assert rows(log, "status", "failed_task") == [("FAILED", "checks")]
 
 
@@ -67,7 +69,8 @@ def test_a_run_killed_between_marts_changes_nothing_for_readers(spark, frame, tm
         patch.setattr(Warehouse, "mart_top_products", property(lambda self: 1 / 0))
         with pytest.raises(ZeroDivisionError):
             run_batch(spark, more, seed(frame), root, "r2", now(), FEW)
-    assert len(list((tmp_path / "versions").iterdir())) == 2
+    # A run that fails takes its own folder with it.
+    assert len(list((tmp_path / "versions").iterdir())) == 1
     assert {name: rows(mart) for name, mart in read_marts(spark, root).items()} == before
     few = {**FEW, "customers": 4}
     with pytest.raises(ChecksFailed):
@@ -80,6 +83,52 @@ def test_a_run_killed_between_marts_changes_nothing_for_readers(spark, frame, tm
     assert kept == ["r1", "r4"]
 
 
+def test_kept_versions_and_runs_in_progress_stay(spark, tmp_path):
+    root = str(tmp_path)
+    folders = [versions.new_version(root, f"r{i}") for i in range(5)]
+    for folder in folders:
+        spark.range(1).write.parquet(f"{folder}/raw")
+    for folder in folders[:4]:
+        versions.publish(spark, root, folder)
+    versions.drop_old(spark, root, keep=3)
+    assert [run["folder"] for run in versions.published(spark, root)] == folders[3:0:-1]
+    assert sorted(p.name.split("-")[0] for p in (tmp_path / "versions").iterdir()) == ["r1", "r2", "r3", "r4"]
+    os.utime(folders[4], (0, 0))
+    versions.drop_old(spark, root, keep=200)
+    assert sorted(p.name.split("-")[0] for p in (tmp_path / "versions").iterdir()) == ["r1", "r2", "r3"]
+    # Old versions of the small table go too.
+    assert len(list((tmp_path / "published").iterdir())) <= 3
+
+
+def test_a_failing_compaction_does_not_deny_the_layers(spark, frame, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    monkeypatch.setattr(batch_run, "compact_revenue", lambda *args: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_batch(spark, shop(frame), seed(frame), root, "r1", now(), FEW)
+    log = read_current(spark, f"{root}/monitoring/pipeline_runs", RUN_LOG)
+    assert rows(log, "status", "failed_task") == [("SUCCESS", "compaction")]
+    assert rows(read_marts(spark, root)["mart_daily_revenue"], "order_count") == [(1,), (3,)]
+
+
+def test_a_minute_the_batch_holds_is_not_added_again(spark, frame, tmp_path):
+    """The newest payment of the layers is of 10:00:00; a window of that minute is in them, a later one is not."""
+    root = str(tmp_path)
+    day = F.lit("2024-03-01").cast("date")
+
+    def publish(time, batch):
+        after = {"payment_id": 1, "order_id": 1, "amount": 7.0, "payment_status": "success", "paid_at": f"2024-03-01T{time}Z"}
+        raw = spark.createDataFrame([(json.dumps({"op": "c", "after": after}),)], "value string")
+        live.publish_revenue(live.payment_rows(live.payment_events(raw)), batch, f"{root}/realtime")
+
+    publish("10:00:00", 0)
+    run_batch(spark, shop(frame), seed(frame), root, "r1", now(), FEW)
+    assert versions.newest(spark, root)["high_water"] == at("2024-03-01 10:00:00").replace(tzinfo=None)
+    columns = ("batch_orders", "speed_orders", "merged_orders", "speed_revenue")
+    assert rows(merged_today(spark, root, day), *columns) == [(3, 0, 3, 0)]
+    publish("10:01:30", 1)
+    assert rows(merged_today(spark, root, day), *columns) == [(3, 1, 4, 7)]
+
+
 def test_nothing_published(spark, tmp_path):
     with pytest.raises(LookupError):
         read_marts(spark, str(tmp_path))

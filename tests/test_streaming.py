@@ -118,13 +118,32 @@ def test_window_over_several_triggers_has_its_full_total(spark, topic, tmp_path)
     assert [r.order_count for r in live.read_revenue_series(spark, root).collect()] == [1, 3]
 
 
-def test_late_events_are_counted(spark, topic, tmp_path):
+def fates(spark, tmp_path, kind="payments"):
+    """(events, rejected, late, published) of all micro-batches."""
+    counts = live.read_accounts(spark, str(tmp_path / "rt"), kind)
+    return tuple(counts.agg(*[F.sum(c) for c in ("events", "rejected", "late", "published")]).first())
+
+
+def test_late_events_are_set_aside_and_accounted_for(spark, topic, tmp_path):
+    """A window stays open until a trigger has begun with a watermark behind it; nothing is lost without a row."""
+    root = str(tmp_path / "rt")
     topic.send(payment(1, 1, 10.0, "00:00:10"))
     topic.send(payment(2, 2, 1.0, "05:00:00"))
     topic.send(payment(3, 3, 2.0, "00:00:20"))
+    topic.send(payment(4, 4, 4.0, "00:00:30"), payment(5, 5, 1e20, "00:00:40"), payment(6, 6, 1.0, "05:00:10"))
+    topic.send(payment(7, 7, 4.0, "00:00:50"))
     run_revenue(topic, tmp_path)
-    assert published(spark, tmp_path)[0] == (minute("00:00"), 2, Decimal("12.00"))
-    assert published(spark, tmp_path) == batch_answer(topic)
+    assert published(spark, tmp_path) == [
+        (minute("00:00"), 2, Decimal("12.00")),
+        (minute("05:00"), 2, Decimal("2.00")),
+    ]
+    assert rows(live.read_set_aside(spark, root, "late", "payments"), "payment_id", "batch_id") == [(4, 3), (7, 4)]
+    assert rows(live.read_set_aside(spark, root, "rejected", "payments"), "payment_id") == [(5,)]
+    assert fates(spark, tmp_path) == (7, 1, 2, 4)
+    log = live.overlaid(live.read_compacted_revenue(spark, root), live.read_revenue_staging(spark, root))
+    assert rows(live.newest_totals(log, ["bucket"]).agg(F.sum("events"))) == [(4,)]
+    batch_run.compact_revenue(spark, root)
+    assert fates(spark, tmp_path) == (7, 1, 2, 4) and live.read_new_accounts(spark, root, "payments").isEmpty()
 
 
 def test_restart_goes_on_from_the_checkpoint(spark, topic, tmp_path):
@@ -136,16 +155,25 @@ def test_restart_goes_on_from_the_checkpoint(spark, topic, tmp_path):
     assert published(spark, tmp_path) == [(minute("00:00"), 2, Decimal("15.00"))]
 
 
-def test_replayed_batch_replaces_itself(spark, topic, tmp_path):
+def test_replayed_batch_replaces_itself(spark, topic, tmp_path, monkeypatch):
+    """A micro-batch that has published and then fails is run again from the state of the one before."""
     topic.send(payment(1, 1, 10.0, "00:00:10"))
     run_revenue(topic, tmp_path)
-    topic.send(payment(2, 2, 5.0, "00:00:20"))
-    run_revenue(topic, tmp_path)
-    again = live.payment_events(spark.createDataFrame([(payment(2, 2, 5.0, "00:00:20"),)], "value string"))
-    generation = live.generation_of(spark, str(tmp_path / "ck" / "revenue_by_minute"))
+    topic.send(payment(2, 2, 5.0, "00:00:20"), payment(3, 3, 1e20, "00:00:20"))
+    publish = live.publish_revenue
+
+    def publish_and_fail(*args):
+        publish(*args)
+        raise ValueError("lost")
+
     for _ in range(2):
-        live.publish_revenue(again, 1, str(tmp_path / "rt"), generation)
+        with monkeypatch.context() as patch:
+            patch.setattr(live, "publish_revenue", publish_and_fail)
+            with pytest.raises(Exception, match="lost"):
+                run_revenue(topic, tmp_path)
+    run_revenue(topic, tmp_path)
     assert published(spark, tmp_path) == [(minute("00:00"), 2, Decimal("15.00"))]
+    assert fates(spark, tmp_path) == (3, 1, 0, 2)
 
 
 def test_batches_without_payments_publish_nothing(spark, topic, tmp_path):
@@ -252,13 +280,13 @@ def test_bad_money_is_rejected_and_stops_nothing(spark, frame, topic, tmp_path):
     run_revenue(topic, tmp_path)
     root = str(tmp_path / "rt")
     assert published(spark, tmp_path) == [(minute("00:00"), 1, Decimal("5.00"))]
-    assert rows(live.read_rejects(spark, root, "payments"), "count") == [(1,)]
+    assert fates(spark, tmp_path) == (2, 1, 0, 1)
     products = frame("product_id bigint, product_name string", (1, "Lamp"))
     lines = [item(1, 1, 1e20, None, "00:01:00"), item(1, 1, 2.0, 1e30, "00:01:00"), item(1, 2, 2.0, None, "00:01:00")]
     raw = spark.createDataFrame([(x,) for x in lines], "value string")
-    live.publish_top_products(live.item_events(raw), 0, root, products)
+    live.publish_top_products(live.item_rows(live.item_events(raw)), 0, root, products)
     assert rows(live.read_product_windows(spark, root), "units_sold", "revenue") == [(2, Decimal("4.00"))]
-    assert rows(live.read_rejects(spark, root, "items"), "count") == [(2,)]
+    assert fates(spark, tmp_path, "items") == (3, 2, 0, 1)
 
 
 def test_payments_without_an_id_are_not_copies(spark, topic, tmp_path):
@@ -271,32 +299,113 @@ def test_payments_without_an_id_are_not_copies(spark, topic, tmp_path):
     assert rows(spark.read.parquet(path))[0] == (minute("00:00"), 3, Decimal("7.00"))
 
 
-def test_a_trigger_reads_the_partials_of_its_own_windows(spark, topic, tmp_path):
-    """The rows read for one more event do not grow with the hours, or the minutes, that came before."""
-    root = str(tmp_path / "rt")
-    read = []
-    for hour in (0, 6, 12, 18):
-        for k in range(3):
-            events = [payment(100 * hour + 10 * k + i, i, 1.0, f"{hour + k:02d}:00:{i:02d}") for i in range(9)]
-            raw = spark.createDataFrame([(e,) for e in events], "value string")
-            batch = live.payment_events(raw)
-            partials = realtime.revenue_partials(batch)
-            touched = live._add_partials(partials, "g", 10 * hour + k, f"{root}/revenue_partials", live.REVENUE_PARTIALS)
-            scans = touched._jdf.queryExecution().executedPlan().toString()
-            assert "PushedFilters: [IsNotNull" in scans or "GreaterThanOrEqual(window_start" in scans
-            assert len(touched.inputFiles()) <= 2 * (k + 1)
-            read.append(touched.count())
-    assert set(read) == {9}
-
-
-def test_expired_hours_are_final(spark, topic, tmp_path):
+def test_published_rows_do_not_grow_with_the_payments(spark, topic, tmp_path):
     root = str(tmp_path / "rt")
-    topic.send(payment(1, 1, 10.0, "00:00:10"), payment(2, 2, 1.0, "07:00:10"))
+    topic.send(*[payment(i, i % 3_000, 1.0, "00:00:10") for i in range(30)])
+    topic.send(*[payment(i, i % 3_000, 1.0, "00:00:20") for i in range(6_000)])
     run_revenue(topic, tmp_path)
-    live.expire_partials(spark, f"{root}/revenue_partials", "2024010101")
-    topic.send(payment(3, 3, 5.0, "00:00:20"), payment(4, 4, 5.0, "07:00:20"))
+    staged = live.read_revenue_staging(spark, root).groupBy("batch_id").count()
+    # Ids from 0 to 2,999 lie in two ranges of ids: 0 and below, and 1 to 32,768.
+    assert rows(staged) == [(0, 2), (1, 2)]
+    assert published(spark, tmp_path) == [(minute("00:00"), 3_000, Decimal("6030.00"))]
+
+
+def test_orders_are_counted_once_whatever_their_ids(spark, topic, tmp_path):
+    ids = [None, None, 0, -1, -1, 1, 32_768, 32_769, 32_769, 1 << 40, -(1 << 40)]
+    topic.send(*[payment(i, order, 1.0, "00:00:10") for i, order in enumerate(ids)])
+    topic.send(*[payment(i, order, 1.0, "00:00:20") for i, order in enumerate(reversed(ids))], payment(99, 5, 1.0, "00:00:30"))
     run_revenue(topic, tmp_path)
-    assert published(spark, tmp_path) == [(minute("00:00"), 1, Decimal("10.00")), (minute("07:00"), 2, Decimal("6.00"))]
+    assert published(spark, tmp_path) == [(minute("00:00"), 8, Decimal("23.00"))] == batch_answer(topic)
+
+
+def test_a_trigger_opens_no_file_of_earlier_ones(spark, frame, topic, tmp_path):
+    """All that earlier triggers have staged is made unreadable; the totals of the next one are complete all the same."""
+    root = tmp_path / "rt"
+    products = frame("product_id bigint, product_name string", (1, "Lamp"))
+
+    def run():
+        run_revenue(topic, tmp_path)
+        live.start_top_products(topic.stream(), products, str(root), str(tmp_path / "ck"), ONCE).awaitTermination()
+
+    topic.send(payment(1, 1, 10.0, "00:00:10"), item(1, 1, 1.0, 1.0, "00:00:30"))
+    run()
+    for path in root.rglob("*.parquet"):
+        if "staging" in str(path):
+            path.write_bytes(b"no parquet")
+    topic.send(payment(2, 2, 5.0, "00:00:20"), item(1, 1, 1.0, 2.0, "00:00:40"))
+    run()
+    for path in list(root.rglob("*.parquet")):
+        if path.read_bytes() == b"no parquet":
+            path.unlink()
+            path.with_name(f".{path.name}.crc").unlink()
+    assert published(spark, tmp_path) == [(minute("00:00"), 2, Decimal("15.00"))]
+    assert rows(live.read_product_windows(spark, str(root)), "units_sold", "revenue") == [(2, Decimal("3.00"))]
+
+
+def test_state_is_dropped_behind_the_watermark(spark, topic, tmp_path):
+    """However many hours have gone by, the state holds the windows of the last two minutes."""
+    kept = []
+    for hour in range(4):
+        topic.send(*[payment(1000 * hour + i, i, 1.0, f"{hour:02d}:{i:02d}:30") for i in range(60)])
+    now = F.lit(NOW).cast("timestamp")
+    query = live.start_revenue(topic.stream(), str(tmp_path / "rt"), str(tmp_path / "ck"), ONCE, now)
+    query.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert kept[-1] <= 4 and max(kept) <= 2 * 60 + 4
+    assert [r[2] for r in published(spark, tmp_path)] == [Decimal("1.00")] * 240
+
+
+def test_restart_with_new_files_goes_on_with_the_state(spark, topic, tmp_path):
+    for k in range(3):
+        topic.send(payment(k, k, 1.0, f"00:00:1{k}"), payment(10 + k, 50, 1.0, "00:01:05"))
+        run_revenue(topic, tmp_path)
+    assert published(spark, tmp_path) == [(minute("00:00"), 3, Decimal("3.00")), (minute("00:01"), 1, Decimal("3.00"))]
+
+
+class Query:
+    """Stands in for a streaming query that ends after some polls, with or without an error."""
+
+    def __init__(self, name, polls, error=None):
+        self.name, self.polls, self.error, self.isActive, self.stopped = name, polls, error, True, False
+
+    def awaitTermination(self, timeout):
+        self.polls -= 1
+        if self.polls < 0:
+            self.isActive = False
+            if self.error:
+                raise self.error
+
+    def stop(self):
+        self.isActive, self.stopped = False, True
+
+
+def test_the_end_of_one_stream_stops_the_other():
+    one, two = Query("one", 3), Query("two", 1000)
+    with pytest.raises(live.StreamEnded, match="one has ended"):
+        live.supervise([one, two], ends=False)
+    assert two.stopped and not one.stopped
+    for ends in (True, False):
+        one, two = Query("one", 1000), Query("two", 3, ValueError("no more disk"))
+        with pytest.raises(live.StreamEnded, match="two has failed: no more disk"):
+            live.supervise([one, two], ends)
+        assert one.stopped
+    one, two = Query("one", 1), Query("two", 5)
+    live.supervise([one, two], ends=True)
+    assert not one.stopped and not two.stopped and two.polls < 0
+
+
+def test_a_failing_stream_stops_the_speed_layer(spark, frame, topic, tmp_path, monkeypatch):
+    products = frame("product_id bigint, product_name string", (1, "Lamp"))
+    topic.send(payment(1, 1, 10.0, "00:00:10"), item(1, 1, 1.0, 1.0, "00:00:30"))
+
+    def fail(*args):
+        raise ValueError("no such table")
+
+    monkeypatch.setattr(live, "publish_top_products", fail)
+    root, often = str(tmp_path / "rt"), {"processingTime": "100 milliseconds"}
+    with pytest.raises(live.StreamEnded, match="(?s)top_products_5min has failed: .*no such table"):
+        live.run_speed_layer(spark, topic.stream(), topic.stream(), products, root, str(tmp_path / "ck"), often)
+    assert not spark.streams.active
 
 
 def test_both_streams_and_the_kept_list(spark, frame, topic, tmp_path):

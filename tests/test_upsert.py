@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import os
+import threading
 import uuid
+from datetime import date
 from decimal import Decimal
 from functools import partial
 
@@ -62,7 +64,7 @@ def test_run_log_keeps_the_first_start(spark, tmp_path):
     batch_run.log_run(spark, path, "r1", "hourly", at("2024-01-01 00:00:00"), "checks")
     batch_run.log_run(spark, path, "r1", "renamed", at("2024-01-01 05:00:00"), None)
     batch_run.log_run(spark, path, "r2", "hourly", at("2024-01-01 01:00:00"), "models")
-    log = spark.read.schema(RUN_LOG).parquet(path)
+    log = upsert.read_current(spark, path, RUN_LOG)
     assert rows(log, "run_id", "dag_id", "status", "failed_task") == [
         ("r1", "hourly", "SUCCESS", None),
         ("r2", "hourly", "FAILED", "models"),
@@ -75,37 +77,66 @@ def window(minute, count, day=1):
     return (at(f"2024-01-{day:02d} 00:{minute:02d}:00"), count, Decimal(count), at("2024-02-01 00:00:00"))
 
 
-def test_window_table_rewrites_only_touched_days(spark, frame, tmp_path):
+def test_window_table_rewrites_only_touched_days(spark, tmp_path):
     path = str(tmp_path / "revenue_by_minute")
-    columns = ["order_count", "revenue", "updated_at"]
 
-    def fold(*values):
-        upsert.upsert_windows(spark.createDataFrame(list(values), REVENUE_BY_MINUTE), path, ["window_start"], columns, REVENUE_BY_MINUTE)
-
-    def files(day):
-        return sorted(os.listdir(f"{path}/window_date=2024-01-{day:02d}"))
-
-    fold(window(0, 1, day=1), window(0, 5, day=2))
-    untouched = files(1)
-    fold(window(0, 6, day=2), window(1, 7, day=2), window(0, 9, day=3))
-    assert files(1) == untouched
-    stored = spark.read.schema(REVENUE_BY_MINUTE).parquet(path)
-    assert rows(stored, "order_count") == [(1,), (6,), (7,), (9,)]
-
-
-def test_upsert_that_was_cut_off_is_finished_by_the_next(spark, tmp_path):
-    """Merged rows were written and the table's own day was lost before they were moved in."""
-    path = str(tmp_path / "revenue_by_minute")
-    columns = ["order_count", "revenue", "updated_at"]
-
-    def table(*values):
-        return spark.createDataFrame(list(values), REVENUE_BY_MINUTE)
-
-    upsert.upsert_windows(table(window(0, 1, day=5)), path, ["window_start"], columns, REVENUE_BY_MINUTE)
-    table(window(0, 1), window(1, 2)).write.parquet(f"{path}__merged")
-    upsert.upsert_windows(table(window(1, 3)), path, ["window_start"], columns, REVENUE_BY_MINUTE)
-    assert rows(spark.read.schema(REVENUE_BY_MINUTE).parquet(path), "order_count") == [(1,), (1,), (3,)]
-    assert not os.path.exists(f"{path}__merged")
+    def put(*values):
+        upsert.replace_days(spark.createDataFrame(list(values), REVENUE_BY_MINUTE), path, REVENUE_BY_MINUTE)
+
+    def counts(days=None):
+        return rows(upsert.read_days(spark, path, REVENUE_BY_MINUTE, days), "order_count")
+
+    def folder(day):
+        return {r["window_date"]: r["folder"] for r in upsert.read_current(spark, f"{path}/days", upsert.DAYS).collect()}[date(2024, 1, day)]
+
+    put(window(0, 1, day=1), window(0, 5, day=2))
+    untouched = folder(1)
+    put(window(0, 6, day=2), window(1, 7, day=2), window(0, 9, day=3))
+    assert folder(1) == untouched and counts() == [(1,), (6,), (7,), (9,)]
+    assert counts([date(2024, 1, 2)]) == [(6,), (7,)] and counts([date(2024, 1, 9)]) == []
+    for k in range(4):
+        put(window(0, 10 + k, day=2))
+    assert sorted(counts()) == [(1,), (9,), (13,)]
+    # What no kept version of the table of days names is gone.
+    assert len(list((tmp_path / "revenue_by_minute" / "data").rglob("window_date=2024-01-02"))) <= upsert.KEPT_VERSIONS
+
+
+def test_a_replacement_that_is_cut_off_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "windows")
+    old = spark.createDataFrame([window(0, 1)], REVENUE_BY_MINUTE)
+    new = spark.createDataFrame([window(0, 2)], REVENUE_BY_MINUTE)
+    upsert.replace_days(old, path, REVENUE_BY_MINUTE)
+    with monkeypatch.context() as patch:
+        patch.setattr(upsert, "replace_table", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            upsert.replace_days(new, path, REVENUE_BY_MINUTE)
+    assert rows(upsert.read_days(spark, path, REVENUE_BY_MINUTE), "order_count") == [(1,)]
+    upsert.replace_days(new, path, REVENUE_BY_MINUTE)
+    assert rows(upsert.read_days(spark, path, REVENUE_BY_MINUTE), "order_count") == [(2,)]
+
+
+def test_readers_see_one_version_during_replacements(spark, tmp_path):
+    """A reader in the middle of writes sees whole versions."""
+    path, schema = str(tmp_path / "small"), spark.range(1).schema
+    upsert.replace_table(spark.range(1000), path, schema)
+    seen, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.append(upsert.read_current(spark, path, schema).agg(F.count("id"), F.max("id")).first())
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for k in range(1, 6):
+        upsert.replace_table(spark.range(1000 * k, 1000 * k + 1000).toDF("id"), path, schema)
+    stop.set()
+    reader.join()
+    assert seen and {n for n, _ in seen} == {1000} and {(top + 1) % 1000 for _, top in seen} == {0}
+    # A write without its success file is no version.
+    os.makedirs(tmp_path / "small" / "999999999999-x")
+    assert upsert.read_current(spark, path, schema).agg(F.max("id")).first()[0] == 5999
+    upsert.replace_table(upsert.read_current(spark, path, schema).filter("id < 5500"), path, schema)
+    assert upsert.read_current(spark, path, schema).count() == 500
 
 
 class RecordingConnection:
