@@ -519,7 +519,7 @@ FINAL = {
     "rt_history": """SELECT poll_seq, window_start, order_count, revenue FROM (
         SELECT *, lag(window_start) OVER (ORDER BY poll_seq) AS previous FROM (
             SELECT event_id AS poll_seq, time_bucket(INTERVAL '5 minutes', ts) AS window_start,
-                   user_id AS order_count, value AS revenue FROM ev))
+                   user_id AS order_count, value AS revenue FROM ev WHERE event_type <> 'error'))
         WHERE previous IS NULL OR previous <> window_start ORDER BY poll_seq DESC LIMIT 20""",
     "stream_static_join": """SELECT i.product_id, i.quantity, i.unit_price, i.line_total, i.event_time, i.window_start,
         p.product_name FROM item_ev i LEFT JOIN stg_products p ON i.product_id = p.product_id""",
@@ -566,6 +566,17 @@ FINAL = {
     "st_late_accounts": f"""SELECT count(*) AS events, CAST(0 AS BIGINT) AS rejected, count(*) FILTER (late) AS late,
         count(*) FILTER (NOT late) AS published, count(*) FILTER (NOT late) AS in_totals FROM ({LATE})""",
     "st_late_payments": f"""SELECT payment_id, order_id, amount, event_time, window_start FROM ({LATE}) WHERE late""",
+    "lambda_published_runs": """SELECT DATE '2024-01-31' AS order_date, kind,
+        count(DISTINCT order_id) FILTER (held AND today) AS batch_orders,
+        CAST(coalesce(sum(CAST(amount AS DECIMAL(18,2))) FILTER (held AND today), 0) AS DOUBLE) AS batch_revenue,
+        max(CASE WHEN kind = 'before' THEN w.window_start END) AS window_start,
+        max(CASE WHEN kind = 'before' THEN w.order_count ELSE 0 END) AS speed_orders,
+        max(CASE WHEN kind = 'before' THEN w.revenue ELSE 0 END) AS speed_revenue,
+        batch_orders + speed_orders AS merged_orders, round(batch_revenue + speed_revenue, 2) AS merged_revenue
+        FROM (SELECT *, event_time <= until AS held, CAST(event_time AS DATE) = DATE '2024-01-31' AS today
+              FROM pay, (VALUES ('before', TIMESTAMP '2024-01-30 12:00:00'), ('overlap', TIMESTAMP '2024-01-31 00:00:00')) AS t(kind, until)),
+             (SELECT * FROM revenue_windows ORDER BY window_start DESC LIMIT 1) w
+        GROUP BY kind""",
     "flt_point_lookup": "SELECT product_id FROM stg_products WHERE product_id IN (7, -1)",
     "src_cdc_damaged": """SELECT 'payments' AS kind, count(*) AS rows,
             count(*) FILTER (event_id % 50 = 0 OR event_id % 13 = 0) AS at_processing_time
@@ -578,4 +589,7 @@ FINAL = {
 for _name in ("product_details", "product_sales_history", "product_recent_orders"):
     FINAL[f"{_name}_one"] = f"SELECT * FROM ({FINAL[_name]}) WHERE product_id = 7"
 
+for _name in ("fact_orders", "daily_revenue", "top_products", "customer_metrics"):
+    FINAL[f"inc_{_name}"] = FINAL[_name if _name == "fact_orders" else f"mart_{_name}"]
+
 ORACLE = {name: SHARED + final for name, final in FINAL.items()}

@@ -76,6 +76,11 @@ def mart_top_products(items: DataFrame, products: DataFrame, orders: DataFrame)
         .groupBy("product_id")
         .agg(F.sum("quantity").alias("units_sold"), F.sum("line_total").alias("revenue"))
     )
+    return named_products(totals, products)
+
+
+def named_products(totals: DataFrame, products: DataFrame) -> DataFrame:
+    """Totals per product with the product's name and category."""
     names = products.select("product_id", "product_name", "category")
     return totals.join(names, "product_id").select(
         "product_id", "product_name", "category", "units_sold", "revenue"
@@ -84,8 +89,13 @@ def mart_top_products(items: DataFrame, products: DataFrame, orders: DataFrame)
 
 def mart_customer_metrics(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Every customer of the dimension with order totals; 0 (and no dates) without orders."""
+    return customer_metrics(customers, orders_per_customer(orders))
+
+
+def customer_metrics(customers: DataFrame, totals: DataFrame) -> DataFrame:
+    """Customers with their totals."""
     who = customers.select("customer_id", "full_name", "email", "country", "region")
-    return who.join(orders_per_customer(orders), "customer_id", "left").select(
+    return who.join(totals, "customer_id", "left").select(
         "customer_id",
         "full_name",
         "email",

@@ -75,9 +75,9 @@ def int_orders_enriched(
     )
 
 
-def orders_per_customer(measures: DataFrame) -> DataFrame:
-    """Totals per customer over orders of every status."""
-    return measures.groupBy("customer_id").agg(
+def orders_per_customer(measures: DataFrame, *by: str) -> DataFrame:
+    """Totals per customer over orders of every status, by further columns if any are named."""
+    return measures.groupBy("customer_id", *by).agg(
         F.countDistinct("order_id").alias("order_count"),
         or_zero(F.sum("order_value")).alias("total_order_value"),
         or_zero(F.sum("units_sold")).alias("total_units_sold"),
@@ -86,6 +86,17 @@ def orders_per_customer(measures: DataFrame) -> DataFrame:
     )
 
 
+def add_months(by_month: DataFrame) -> DataFrame:
+    """Totals per customer from totals per customer and month; no order is in two months."""
+    return by_month.groupBy("customer_id").agg(
+        F.sum("order_count").alias("order_count"),
+        F.sum("total_order_value").alias("total_order_value"),
+        F.sum("total_units_sold").alias("total_units_sold"),
+        F.min("first_order_date").alias("first_order_date"),
+        F.max("latest_order_date").alias("latest_order_date"),
+    )
+
+
 def int_customer_orders(measures: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per ordering customer. Aggregates first, so only one row per customer is joined."""
     return with_customer(orders_per_customer(measures), customers).select(

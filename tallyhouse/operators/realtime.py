@@ -6,7 +6,7 @@ as decimals, so a total does not depend on the order in which its parts were add
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import or_zero, product_label
@@ -178,18 +178,28 @@ def window_series(windows: DataFrame, limit: int = 60) -> DataFrame:
     return windows.select("window_start", "order_count").orderBy(F.desc("window_start")).limit(limit)
 
 
+# Ranges of poll numbers that are looked at side by side.
+POLL_RANGES = 1_024
+
+
 def poll_history(polls: DataFrame, limit: int = 20) -> DataFrame:
     """The newest polls at which the served window differs from the one served before.
 
-    ``polls`` are the polls that returned a window, numbered without gaps by ``poll_seq``. So the
-    previous poll is an equi-join away, and no window has to order the whole log.
-    """
-    before = polls.select(
-        (F.col("poll_seq") + 1).alias("poll_seq"), F.col("window_start").alias("previous_window")
-    )
+    ``polls`` are the polls that returned a window; their numbers may have gaps. Numbers are dealt to ranges, each with a
+    window function of its own; the first poll of a range looks at the last ones of the ranges before, one per range,
+    so no task sees the whole log."""
+    first, last = polls.agg(F.min("poll_seq")).scalar(), polls.agg(F.max("poll_seq")).scalar()
+    position = (F.col("poll_seq") - first) / (last - first + 1).cast("double")
+    ranged = polls.withColumn("_range", F.floor(position * POLL_RANGES))
+    inside = Window.partitionBy("_range").orderBy("poll_seq", "window_start")
+    here = F.struct("poll_seq", "window_start")
+    lasts = ranged.groupBy("_range").agg(F.max(here).alias("last")).agg(F.collect_list("last")).scalar()
+    earlier = F.array_max(F.filter("_lasts", lambda poll: poll["poll_seq"] < F.col("poll_seq")))["window_start"]
     return (
-        polls.join(before, "poll_seq", "left")
-        .filter(F.col("previous_window").isNull() | (F.col("previous_window") != F.col("window_start")))
+        ranged.withColumn("_before", F.lag("window_start").over(inside))
+        .withColumn("_lasts", F.when(F.col("_before").isNull(), lasts))
+        .withColumn("_previous", F.coalesce("_before", earlier))
+        .filter(F.col("_previous").isNull() | (F.col("_previous") != F.col("window_start")))
         .select("poll_seq", "window_start", "order_count", "revenue")
         .orderBy(F.desc("poll_seq"))
         .limit(limit)
@@ -229,8 +239,8 @@ def merge_layers(batch: DataFrame, speed: DataFrame) -> DataFrame:
 def lambda_today_revenue(daily: DataFrame, windows: DataFrame, as_of, cutoff=None) -> DataFrame:
     """Today's batch totals plus the newest minute.
 
-    ``cutoff`` leaves out windows up to the batch layer's high-water mark, which would be counted
-    twice otherwise.
+    ``cutoff`` is the batch layer's high-water mark: windows that begin up to then are in its totals and would be
+    counted twice.
     """
     batch = daily.filter(F.col("order_date") == as_of).agg(
         F.lit(as_of).cast("date").alias("order_date"),

@@ -61,6 +61,15 @@ def publish(spark: SparkSession, root: str, folder: str, high_water: datetime |
     _write(spark, root, [(number, folder, high_water), *runs])
 
 
+def forget(spark: SparkSession, root: str, folders: list[str]) -> None:
+    """Remove some published runs."""
+    runs = published(spark, root)
+    if folders:
+        _write(spark, root, [run for run in runs if run["folder"] not in folders])
+        for folder in folders:
+            delete_folder(spark, folder)
+
+
 def drop_old(spark: SparkSession, root: str, keep: int = 2) -> None:
     """Remove the layers of all published runs but the newest ``keep``, and of runs that were abandoned.
 

@@ -7,13 +7,14 @@ Staging, intermediate and monitoring models are lazy frames; marts are persisted
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import marts, monitoring, orders, staging
 from tallyhouse.plans import versions
+from tallyhouse.session import side_by_side
 
 MARTS = (
     "dim_customers",
@@ -148,7 +149,8 @@ class Warehouse:
         small months together and splits a month that is too large for one task.
         """
         months = {"fact_orders": ("order_month", "order_date"), "fact_payments": ("created_month", "created_at")}
-        for name in (*MARTS, *MONITORING):
+
+        def write(name: str) -> None:
             path = f"{root}/{name}"
             frame: DataFrame = getattr(self, name)
             month, column = months.get(name, (None, None))
@@ -160,10 +162,13 @@ class Warehouse:
             else:
                 frame.write.mode("overwrite").parquet(path)
             stored = frame.sparkSession.read.parquet(path)
-            stored = stored if month is None else stored.drop(month)
-            setattr(self, name, stored)
-            if name == "fact_orders":
-                self.order_measures = stored
+            setattr(self, name, stored if month is None else stored.drop(month))
+
+        # The marts over the order fact read what was written of it, the others read the raw tables.
+        of_orders = ("mart_daily_revenue", "mart_top_products", "mart_customer_metrics")
+        side_by_side(*[partial(write, name) for name in (*MARTS, *MONITORING) if name not in of_orders])
+        self.order_measures = self.fact_orders
+        side_by_side(*[partial(write, name) for name in of_orders])
 
 
 def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -65,6 +67,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
+def side_by_side(*steps: Callable[[], object]) -> list:
+    """Run steps that do not depend on each other at the same time; their results. The first failure is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [done.result() for done in [pool.submit(step) for step in steps]]
+
+
 @cache
 def _own_folder() -> str:
     """One folder for this process, removed at its end."""
