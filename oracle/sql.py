@@ -577,6 +577,22 @@ FINAL = {
               FROM pay, (VALUES ('before', TIMESTAMP '2024-01-30 12:00:00'), ('overlap', TIMESTAMP '2024-01-31 00:00:00')) AS t(kind, until)),
              (SELECT * FROM revenue_windows ORDER BY window_start DESC LIMIT 1) w
         GROUP BY kind""",
+    "src_cdc_stream": "SELECT payment_id, order_id, amount, event_time FROM pay",
+    "src_as_of_customers": """SELECT customer_id, full_name, email, country, signup_date,
+        CAST(signup_date AS TIMESTAMP) AS created_at, CAST(signup_date AS TIMESTAMP) AS updated_at FROM raw_customers""",
+    "src_as_of_products": """SELECT p_partkey AS product_id, ' ' || p_name AS product_name, p_type || ' ' AS category,
+        CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS unit_price,
+        TIMESTAMP '1995-01-01' AS created_at, TIMESTAMP '1995-01-01' AS updated_at FROM part""",
+    "src_as_of_orders": """SELECT order_id, customer_id, order_status, order_ts, order_ts AS created_at, order_ts AS updated_at
+        FROM raw_orders""",
+    "src_as_of_order_items": """SELECT order_item_id, order_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+        CAST(line_total AS DOUBLE) AS line_total, created_at FROM stg_order_items
+        QUALIFY row_number() OVER (PARTITION BY order_item_id ORDER BY order_id DESC, product_id DESC, quantity DESC,
+            unit_price DESC, line_total DESC, created_at DESC) = 1""",
+    "src_as_of_payments": """SELECT payment_id, order_id, CAST(amount AS DOUBLE) AS amount,
+        CASE payment_method WHEN 'card' THEN 'Card' WHEN 'eft' THEN ' EFT' ELSE payment_method END AS payment_method,
+        CASE payment_status WHEN 'success' THEN 'Success' WHEN 'failed' THEN ' failed' ELSE payment_status END AS payment_status,
+        paid_at, created_at FROM stg_payments""",
     "flt_point_lookup": "SELECT product_id FROM stg_products WHERE product_id IN (7, -1)",
     "src_cdc_damaged": """SELECT 'payments' AS kind, count(*) AS rows,
             count(*) FILTER (event_id % 50 = 0 OR event_id % 13 = 0) AS at_processing_time

@@ -20,7 +20,7 @@ from tallyhouse.plans.check_suite import check_report
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.schemas import ORDER_ITEM_ROW, PAYMENT_ROW, RUN_LOG
 from tallyhouse.session import configure, shared_folder
-from tallyhouse.sources import cdc, retail, tables
+from tallyhouse.sources import cdc, changelog, retail, snapshot, tables
 from tallyhouse.streaming import durable, live
 
 # "Now" for the order tables and for the event stream, which end at different times.
@@ -204,6 +204,44 @@ def full_snapshot(q: Inputs) -> DataFrame:
     return monitoring.source_row_counts(tables.read_layer(q.spark, root)).drop("checked_at")
 
 
+def _as_of(name: str) -> Callable[[Inputs], DataFrame]:
+    """A table of the raw layer as of one moment, from scans that came by hours later, each at another time."""
+
+    def build(q: Inputs) -> DataFrame:
+        moment = _stamp(ORDERS_NOW)
+        keys = {n: key for n, (key, _, _) in retail.UPDATES.items()}
+        # The test data repeats some keys of items; of each the greatest row is taken.
+        raw = {n: upsert.latest_per_key(q.raw[n], [key], []).select(*q.raw[n].columns) for n, key in keys.items()}
+        scans = {n: retail.scanned_after(n, raw[n], hours) for hours, n in enumerate(keys)}
+        logs = {n: retail.envelopes_of(retail.changes_after(n, raw[n]), moment) for n in keys}
+        root = shared_folder(q.spark, "snapshot")
+        return snapshot.load_as_of(q.spark, scans, logs, keys, moment, root)[name]
+
+    return build
+
+
+SEGMENTS = 6
+
+
+def segment_stream(q: Inputs) -> DataFrame:
+    """Payments read through the segment source: two segments a trigger, a restart after more segments have come."""
+    log, root = shared_folder(q.spark, "segments"), shared_folder(q.spark, "payments")
+    segment = (F.col("event_id") % SEGMENTS).alias("segment")
+    envelopes = retail.payment_changes(q.events, keep=("event_id",)).select("value", segment)
+    for new in (F.col("segment") < 4, F.col("segment") >= 4):
+        changelog.write_segments(envelopes.filter(new), log)
+        stream = changelog.change_stream(q.spark, log, segments_per_trigger=2)
+        payments = cdc.successful_payments(cdc.parse_changes(stream, PAYMENT_ROW), _stamp(EVENTS_NOW))
+        running = (
+            payments.writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/checkpoint").start()
+        )
+        try:
+            running.processAllAvailable()
+        finally:
+            running.stop()
+    return q.spark.read.parquet(f"{root}/rows")
+
+
 def seed_csv(q: Inputs) -> DataFrame:
     path = shared_folder(q.spark, "seed")
     retail.region_seed(q.star).write.csv(path, header=True)
@@ -471,6 +509,8 @@ def _rule(name: str) -> Callable[[Inputs], DataFrame]:
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # sources
     "src_full_snapshot": full_snapshot,
+    **{f"src_as_of_{name}": _as_of(name) for name in retail.UPDATES},
+    "src_cdc_stream": segment_stream,
     "src_seed_csv": seed_csv,
     "src_drop_generated": regenerated_items,
     "src_cdc_payments": lambda q: q.payment_changes.select("op", "after.*"),

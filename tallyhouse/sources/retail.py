@@ -7,6 +7,7 @@ noise (case, blanks) the staging layer removes.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -196,6 +197,62 @@ def item_changes(events: DataFrame) -> DataFrame:
     return events.select(_envelope(after, op).alias("value"))
 
 
+# --- changes during a snapshot -------------------------------------------------------------------
+
+# For each table: its key, a column that updates change, and how.
+UPDATES = {
+    "customers": ("customer_id", "full_name", "concat(full_name, '!')"),
+    "products": ("product_id", "unit_price", "CAST(unit_price + 1 AS DECIMAL(10,2))"),
+    "orders": ("order_id", "order_status", "'returned'"),
+    "order_items": ("order_item_id", "quantity", "quantity + 1"),
+    "payments": ("payment_id", "payment_status", "'refunded'"),
+}
+
+
+def changes_after(name: str, table: DataFrame) -> DataFrame:
+    """Changes of a table in the hours after a moment: (hour, position, op, before, after).
+
+    Every 5th row is updated in the first hour, every 10th again in the third, every 7th is deleted in the second unless it
+    was updated, and every 9th gets a new row, with a negative key, in the second hour, which is updated in the third."""
+    key, column, sql = UPDATES[name]
+    kind = table.schema[column].dataType
+    twice = table.withColumn("_once", F.expr(sql).cast(kind)).withColumn("_twice", F.expr(sql.replace(column, "_once")).cast(kind))
+    old, once, again = (
+        F.struct(*[F.col(source if c == column else c).alias(c) for c in table.columns]) for source in (column, "_once", "_twice")
+    )
+    nothing = F.lit(None).cast(table.select(F.struct(*table.columns).alias("row")).schema["row"].dataType)
+
+    def change(rows: DataFrame, hour: int, op: str, before: Column, after: Column) -> DataFrame:
+        position = F.col(key).alias("position")
+        return rows.select(F.lit(hour).alias("hour"), position, F.lit(op).alias("op"), before.alias("before"), after.alias("after"))
+
+    number = F.col(key)
+    new = twice.filter(number % 9 == 1).withColumn(key, -number)
+    changes = (
+        change(twice.filter(number % 5 == 0), 1, "u", old, once),
+        change(twice.filter(number % 10 == 0), 3, "u", once, again),
+        change(twice.filter((number % 7 == 0) & (number % 5 != 0)), 2, "d", old, nothing),
+        change(new, 2, "c", nothing, old),
+        change(new, 3, "u", old, once),
+    )
+    return reduce(DataFrame.unionByName, changes)
+
+
+def scanned_after(name: str, table: DataFrame, hours: int) -> DataFrame:
+    """What a scan finds that many hours after the moment."""
+    key = UPDATES[name][0]
+    seen = changes_after(name, table).filter(F.col("hour") <= hours)
+    last = seen.groupBy("position").agg(F.max_by("after", "hour").alias("after"))
+    same = table.join(last.select(F.col("position").alias(key)), key, "left_anti").select(*table.columns)
+    return same.unionByName(last.filter(F.col("after").isNotNull()).select("after.*"))
+
+
+def envelopes_of(changes: DataFrame, moment: Column) -> DataFrame:
+    """Changes as envelopes with both images: (position, value)."""
+    at = F.unix_millis(moment) + F.col("hour") * 3_600_000
+    return changes.select("position", F.to_json(F.struct("before", "after", "op", at.alias("ts_ms"))).alias("value"))
+
+
 # --- violations -----------------------------------------------------------------------------------
 
 # For each rule that the tables keep: a table, and a column of it that is spoiled in some rows.
