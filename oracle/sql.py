@@ -608,4 +608,10 @@ for _name in ("product_details", "product_sales_history", "product_recent_orders
 for _name in ("fact_orders", "daily_revenue", "top_products", "customer_metrics"):
     FINAL[f"inc_{_name}"] = FINAL[_name if _name == "fact_orders" else f"mart_{_name}"]
 
+FINAL["src_published_marts"] = FINAL["api_top_products"]
+FINAL["dq_report_bucketed"] = FINAL["dq_report"]
+FINAL["flt_stored_lookup"] = f"""SELECT 'product' AS kind, product_id AS id, units_sold AS n
+    FROM ({FINAL["mart_top_products"]}) WHERE product_id = 7
+    UNION ALL SELECT 'customer', customer_id, order_count FROM ({FINAL["mart_customer_metrics"]}) WHERE customer_id = 7"""
+
 ORACLE = {name: SHARED + final for name, final in FINAL.items()}

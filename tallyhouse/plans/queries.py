@@ -5,6 +5,7 @@ Decimals leave as doubles and intervals as seconds, so that results compare acro
 
 from __future__ import annotations
 
+import uuid
 from collections import ChainMap
 from collections.abc import Callable, Sequence
 from functools import cached_property, reduce
@@ -17,7 +18,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tallyhouse.operators import insights, marts, monitoring, orders, quality, realtime, serving, upsert
 from tallyhouse.plans import batch_run, incremental, versions
 from tallyhouse.plans.check_suite import check_report
-from tallyhouse.plans.warehouse import Warehouse
+from tallyhouse.plans.warehouse import Warehouse, read_marts
 from tallyhouse.schemas import ORDER_ITEM_ROW, PAYMENT_ROW, RUN_LOG
 from tallyhouse.session import configure, shared_folder
 from tallyhouse.sources import cdc, changelog, retail, snapshot, tables
@@ -274,6 +275,38 @@ def stored_marts(q: Inputs) -> DataFrame:
     return w.mart_daily_revenue
 
 
+def published_marts(q: Inputs) -> dict[str, DataFrame]:
+    """The marts of a published run, read through the pointer."""
+    root = shared_folder(q.spark, "shop")
+    folder = versions.new_version(root, "run")
+    q.new_warehouse().write_marts(f"{folder}/marts")
+    versions.publish(q.spark, root, folder)
+    return read_marts(q.spark, root)
+
+
+def stored_lookups(q: Inputs) -> DataFrame:
+    """One product and one customer, looked up in published marts."""
+    stored = published_marts(q)
+    product = stored["mart_top_products"].filter(F.col("product_id") == ONE_PRODUCT)
+    customer = stored["mart_customer_metrics"].filter(F.col("customer_id") == ONE_PRODUCT)
+    kinds = [product.select(F.lit("product").alias("kind"), F.col("product_id").alias("id"), F.col("units_sold").alias("n"))]
+    kinds.append(customer.select(F.lit("customer").alias("kind"), F.col("customer_id").alias("id"), F.col("order_count").alias("n")))
+    return kinds[0].unionByName(kinds[1])
+
+
+BUCKETS = 8
+
+
+def bucketed_report(q: Inputs) -> DataFrame:
+    """All checks, with the items and the order fact as catalogued tables bucketed by order."""
+    root, w = shared_folder(q.spark, "bucketed"), q.new_warehouse()
+    w.write_marts(f"{root}/marts")
+    database = f"layers_{uuid.uuid4().hex}"
+    q.spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/catalog'")
+    w.write_bucketed(root, database, BUCKETS)
+    return check_report(w, _stamp(FUTURE_AFTER), laid_out=w.bucketed)
+
+
 def quality_report(q: Inputs) -> DataFrame:
     """All declared checks over persisted marts."""
     w = q.new_warehouse()
@@ -550,6 +583,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # serving
     "api_daily_revenue": lambda q: serving.daily_revenue(q.warehouse.mart_daily_revenue),
     "api_top_products": lambda q: serving.top_products(q.warehouse.mart_top_products),
+    "src_published_marts": lambda q: serving.top_products(published_marts(q)["mart_top_products"]),
+    "flt_stored_lookup": stored_lookups,
     "api_customer_metrics": lambda q: serving.customer_metrics(q.warehouse.mart_customer_metrics),
     "customers_summary": lambda q: serving.customers_summary(q.warehouse.mart_customer_metrics),
     "customers_by_region": lambda q: serving.customers_by_region(q.warehouse.dim_customers),
@@ -609,6 +644,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     **{f"dq_{name}": _rule(name) for name in quality.RULES},
     "dq_report": quality_report,
+    "dq_report_bucketed": bucketed_report,
     # speed layer over the whole change stream
     "rt_revenue_by_minute": lambda q: q.revenue_windows,
     "rt_top_products_5min": lambda q: q.product_windows,

@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import marts, monitoring, orders, quality, realtime, serving
+from tallyhouse.plans.check_suite import bucketed_key_profile, key_profile
 from tallyhouse.plans.queries import Inputs, registry
 from tallyhouse.session import INITIAL_PARTITIONS, configure
-from tests.conftest import SMALL, rows
+from tests.conftest import SMALL, at, rows
 
 
 @pytest.fixture
@@ -68,7 +69,7 @@ def test_top_lists_sort_no_whole_table(spark):
         assert "TakeOrderedAndProject" in plan(registry()[name](spark, SMALL))
 
 
-NO_SINGLE_TASK = ("region_shares", "category_shares", "rt_history", "lambda_today_revenue")
+NO_SINGLE_TASK = ("region_shares", "category_shares", "lambda_today_revenue")
 
 
 @pytest.mark.parametrize("name", NO_SINGLE_TASK)
@@ -199,3 +200,76 @@ def test_initial_partitions_are_the_callers(spark):
     assert session.conf.get(INITIAL_PARTITIONS, None) is None
     configure(session, 820_000)
     assert session.conf.get(INITIAL_PARTITIONS) == "820000"
+
+
+def test_bucketed_tables_are_not_shuffled(spark, tmp_path, large_tables):
+    """The pass over orders and the reconciling rule shuffle neither the items nor the order fact."""
+    w = Inputs(spark, SMALL).new_warehouse()
+    w.write_marts(f"{tmp_path}/marts")
+    spark.sql(f"CREATE DATABASE bucket_test LOCATION '{tmp_path}/catalog'")
+    try:
+        plain = key_profile(w, "order_id").collect()
+        w.write_bucketed(str(tmp_path), "bucket_test", 8)
+        profile = bucketed_key_profile(w, w.bucketed["order_id"])
+        rule = quality.revenue_matches_items(w.fact_orders, w.stg_order_items)
+        assert shuffles(rule) == 0
+        for frame in (profile, rule):
+            text = plan(frame)
+            for name in ("stg_order_items", "fact_orders"):
+                scans = re.findall(rf"FileScan parquet [^\n]*bucket_test.{name}\[[^\n]*", text)
+                assert scans and all("Bucketed: true" in scan for scan in scans)
+            # Whatever is shuffled comes from the other tables.
+            for below in re.split(r"Exchange hashpartitioning", text)[1:]:
+                assert "bucket_test" not in re.split(r"SortMergeJoin|\+- Sort \[", below)[0]
+        assert sorted(map(tuple, profile.collect())) == sorted(map(tuple, plain))
+        assert rows(rule) == []
+    finally:
+        spark.sql("DROP DATABASE bucket_test CASCADE")
+
+
+def rows_read(df) -> int:
+    """Rows that left the scans of a query that has run: those of the row groups that were read."""
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_lookups_skip_row_groups(spark, tmp_path):
+    """A mart is sorted by its key; row groups that cannot hold the key are skipped, by bounds or by Bloom filters."""
+    people = spark.range(40_000).select(
+        (F.col("id") * 7919 % 40_000).alias("customer_id"), F.lit("x").alias("country"), F.lit("2024-01-01").cast("date").alias("order_date")
+    )
+    names = ("dim_customers", "dim_products", "fact_payments", "mart_daily_revenue", "mart_top_products", "mart_customer_metrics")
+    w = Inputs(spark, SMALL).new_warehouse()
+    for name in names:
+        setattr(w, name, people)
+    w.dim_products = w.mart_top_products = people.withColumnRenamed("customer_id", "product_id")
+    w.fact_payments = people.withColumnsRenamed({"customer_id": "payment_id"}).withColumns({"order_id": "payment_id", "created_at": "order_date"})
+    # Orders are sorted by order_id, customers lie anywhere in a month; the even ones only.
+    w.fact_orders = people.withColumns({"order_id": F.col("customer_id"), "customer_id": F.hash("customer_id") % 20_000 * 2})
+    spark.conf.set("parquet.block.size", "4096")
+    spark.conf.set("parquet.page.size", "1024")
+    try:
+        w.write_marts(str(tmp_path))
+    finally:
+        spark.conf.unset("parquet.block.size")
+        spark.conf.unset("parquet.page.size")
+    one = w.mart_customer_metrics.filter("customer_id = 12345")
+    assert len(one.collect()) == 1 and rows_read(one) < 10_000
+    order = w.fact_orders.filter("order_id = 777")
+    assert len(order.collect()) == 1 and rows_read(order) < 10_000
+    # An odd customer lies between the bounds of every row group, so only the Bloom filters can tell.
+    nobody = w.fact_orders.filter("customer_id = 12345")
+    assert nobody.collect() == [] and rows_read(nobody) < 10_000
+
+
+def test_poll_history_has_no_task_with_all_polls(spark, frame):
+    polls = frame(
+        "poll_seq bigint, window_start timestamp, order_count bigint, revenue double",
+        *[(seq, at(f"2024-01-01 00:{window:02d}:00"), 1, 1.0) for seq, window in ((1, 1), (2, 1), (4, 1), (5, 2), (900, 2), (901, 1), (5_000_000, 1))],
+    )
+    history = realtime.poll_history(polls)
+    assert [r.poll_seq for r in history.collect()] == [901, 5, 1]
+    text = plan(realtime.poll_history(polls))
+    for part in text.split("Window ")[1:]:
+        assert "Exchange SinglePartition" not in part.split("Exchange hashpartitioning")[0]
+    assert realtime.poll_history(polls.limit(0)).collect() == []
