@@ -8,23 +8,24 @@ same minimum is one node, and the windows' union its span, cut to a passage's le
 position. Every stretch of a passage's length lies in the span of its minimum. So a text of n shingles has about 2 n / length
 compact windows for each function, found with a few array operations.
 
-Windows of different texts with equal signature collide; signatures that only one text has are dropped. A group of
-few windows is compared whole. In a larger one every text is compared with two representatives. Windows that no
-verified passage of their text covers, and texts of another class than most of the group, are not settled by that:
-such groups are split by the minimum of a second function over the same stretch, then of a third and a fourth. Where
-a part is small, or nothing is left to split by, each unsettled text is compared with all others of it. So a frequent
-line in other surroundings is told apart by those, and texts stay uncompared only if they are of one class and their
-common windows covered. Pairs are verified on their whole texts: passages of at least 50 words whose shingle sets have
-a similarity of 0.8.
+Windows of different texts with equal signature collide; signatures that only one text has are dropped. Within a
+group of equal signatures every text is compared with two representatives. Windows that no verified passage of their
+text covers, and texts of another class than most of the group, are not settled by that: their groups are split by the
+minimum of a second function over the same stretch, then of a third and a fourth, an interval join within each text,
+and compared with the representatives of the parts; what is left in the end is compared with all of its part. So a
+frequent line in other surroundings is told apart by those, and texts stay uncompared only if they are of one class and
+their common windows covered. Pairs are verified on their whole texts: passages of at least 50 words whose shingle sets
+have a similarity of 0.8. All groups go the same way, whatever their size.
 
 Texts equal in their words are one text throughout and share a class. Texts linked by a passage, directly or
-over others, form a class, named by the smallest doc_id in it.
+over others, form a class, named by the smallest doc_id in it. Links within a class are not counted, as most of them are
+never looked at.
 
 What can be missed: a passage at similarity s collides under each function with probability s; s = 1 always does.
-At s = 0.8 none of the six functions collides with probability 0.0001; under large groups a second must, which fails
-with 0.0016, and more where the parts stay large. A window counts as covered if a passage's length of it is.
-Verification tries stretches from the first to the last match, widened to a passage's length, and the longest ones at
-several shares of matches. It leaves no false links.
+At s = 0.8 none of the six functions collides with probability 0.0001; for what the first representatives do not
+settle a second must, which fails with 0.0016. A window counts as covered if a passage's length of it is. Verification
+tries stretches from the first to the last match, widened to a passage's length, and the longest ones at several shares
+of matches. It leaves no false links.
 
 Defined cases: null and empty texts and those of under 50 words have no passages; only documents with a
 passage are returned, one row for each row of the input (repeated rows are copies of each other); rows
@@ -39,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import components, cut
@@ -49,9 +50,7 @@ SHINGLE_WORDS = 5
 PASSAGE_WORDS = 50
 SIMILARITY = 0.8
 FUNCTIONS = 6
-# Groups of so few windows are compared whole.
-WHOLE_WINDOWS = 8
-# Representatives with which the texts of larger groups are compared first.
+# Representatives with which the texts of a group are compared first.
 REPRESENTATIVES = 2
 # Functions whose minima over one stretch split a group, at most.
 SPLITS = 4
@@ -161,9 +160,13 @@ def compact_windows(
 
 
 def windows_of(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text) to (key, text_key, start, end) for every hash function; places are relative to their text."""
+    """(text) to (key, text_key, start, end) for every hash function; places are relative to their text.
+
+    Of the copies of a text that a task meets only the first counts."""
+    seen: set[int] = set()
     for batch in stream:
-        texts = Words(batch.column(0).cast(pa.binary()).to_pylist())
+        bodies = first_copies(batch.column(0).cast(pa.binary()).to_pylist(), seen)
+        texts = Words(bodies)
         text_of = np.repeat(np.arange(len(texts)), np.diff(texts.starts))
         reach = PASSAGE_WORDS - 1
         if len(text_of) <= reach:
@@ -184,16 +187,27 @@ def windows_of(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def first_copies(bodies: list[bytes | None], seen: set[int]) -> list[bytes | None]:
+    """The texts that are not among those seen, by a hash of their bytes; ``seen`` holds one number a text."""
+    kept = []
+    for body in bodies:
+        name = xxhash.xxh64_intdigest(body or b"", 1)
+        if name not in seen:
+            seen.add(name)
+            kept.append(body)
+    return kept
+
+
 def keyed(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, place, text) to (doc_id, place, text_key, n_words) for the texts that can hold a passage."""
+    """(doc_id, text) to (doc_id, text_key, n_words) for the texts that can hold a passage."""
     for batch in stream:
-        texts = Words(batch.column(2).cast(pa.binary()).to_pylist())
+        texts = Words(batch.column(1).cast(pa.binary()).to_pylist())
         sizes = np.diff(texts.starts)
         long = sizes >= PASSAGE_WORDS
         names = [text_key(texts[i]) if ok else 0 for i, ok in enumerate(long.tolist())]
         made = pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(names, pa.int64()), pa.array(sizes, pa.int64())],
-            names=["doc_id", "place", "text_key", "n_words"],
+            [batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int64())],
+            names=["doc_id", "text_key", "n_words"],
         )
         yield made.filter(pa.array(long))
 
@@ -337,17 +351,18 @@ def verify(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def colliding_windows(docs: DataFrame, text: str) -> DataFrame:
-    """(key, text_key, start, end) of the windows whose signature two texts have; one of each set of copies."""
-    windows = docs.select(F.col(text).alias("text")).mapInArrow(
-        windows_of, "key long, text_key long, start int, end int"
-    )
-    shared = (
-        windows.groupBy("key")
-        .agg(F.min("text_key").alias("_low"), F.max("text_key").alias("_high"))
+    """(key, text_key, start, end) of the windows whose signature two texts have; one of each set of copies.
+
+    The windows are made and shuffled once; those of one text alone go where they arrive."""
+    windows = docs.select(F.col(text).alias("text")).mapInArrow(windows_of, "key long, text_key long, start int, end int")
+    same_key = Window.partitionBy("key")
+    return cut(
+        windows.repartition("key")
+        .dropDuplicates(["key", "text_key", "start", "end"])
+        .withColumns({"_low": F.min("text_key").over(same_key), "_high": F.max("text_key").over(same_key)})
         .filter("_low < _high")
-        .select("key")
+        .select("key", "text_key", "start", "end")
     )
-    return cut(windows.join(shared, "key").distinct())
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -366,14 +381,13 @@ def first_holders(groups: DataFrame) -> DataFrame:
     return groups.groupBy("group").agg(F.array_distinct(F.array(*first)).alias("_r")).select("group", F.explode("_r").alias("r_text_key"))
 
 
-def with_sizes(groups: DataFrame) -> DataFrame:
-    """Whether a group is ``small``, so that it is compared whole."""
-    sizes = groups.groupBy("group").agg((F.count(F.lit(1)) <= WHOLE_WINDOWS).alias("small"))
-    return cut(groups.join(sizes, "group"))
+# Places of a text that meet in a join of its stretches.
+BIN = 128
 
 
-def others(groups: DataFrame) -> DataFrame:
-    return groups.select("group", F.col("text_key").alias("r_text_key"))
+def binned(frame: DataFrame, start: str, end: str) -> DataFrame:
+    """A row for each bin of the text that the stretch touches."""
+    return frame.withColumn("_bin", F.explode(F.expr(f"sequence({start} div {BIN}, ({end} - 1) div {BIN})")))
 
 
 def joint_groups(groups: DataFrame, windows: DataFrame) -> DataFrame:
@@ -384,7 +398,8 @@ def joint_groups(groups: DataFrame, windows: DataFrame) -> DataFrame:
     )
     start, end = F.greatest("start", "_start"), F.least("end", "_end")
     split = (
-        groups.join(more, "text_key")
+        binned(groups, "start", "end")
+        .join(binned(more, "_start", "_end"), ["text_key", "_bin"])
         .filter((F.col("functions").bitwiseAND(F.col("_function")) == 0) & (end - start >= LENGTH))
         .select(
             F.col("group").bitwiseXOR(F.col("_group")).alias("group"),
@@ -403,9 +418,10 @@ def unsettled(groups: DataFrame, found: DataFrame) -> DataFrame:
     """The windows of large groups that still need partners, with ``covered`` and the class of their text: those
     that no verified passage of their text covers, and those of other classes than most of their group. Texts of one
     class whose windows are covered need no comparison with each other."""
-    spans = both_sides(found).select("text_key", F.col("start").alias("_start"), (F.col("end") - (SHINGLE_WORDS - 1)).alias("_end")).distinct()
+    spans = merged_spans(found).select("text_key", F.col("start").alias("_start"), (F.col("end") - (SHINGLE_WORDS - 1)).alias("_end"))
     covered = (
-        groups.join(spans, "text_key")
+        binned(groups, "start", "end")
+        .join(binned(spans, "_start", "_end"), ["text_key", "_bin"])
         .filter(F.least("end", "_end") - F.greatest("start", "_start") >= LENGTH)
         .select("group", "text_key", "start", "end")
         .distinct()
@@ -435,20 +451,27 @@ def active_pairs(marked: DataFrame) -> DataFrame:
 
 
 def packed_texts(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(place, text) to (place, body): compressed, as texts are the bulk of what is shuffled."""
+    """(text) to (text_key, body): compressed, as texts are the bulk of what is shuffled; a task's copies once."""
+    seen: set[int] = set()
     for batch in stream:
-        bodies = [zstandard.compress(t or b"", 1) for t in batch.column(1).cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.binary())], names=["place", "body"])
+        bodies = first_copies(batch.column(0).cast(pa.binary()).to_pylist(), seen)
+        texts = Words(bodies)
+        long = [i for i, n in enumerate(np.diff(texts.starts).tolist()) if n >= PASSAGE_WORDS]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([text_key(texts[i]) for i in long], pa.int64()),
+                pa.array([zstandard.compress(bodies[i], 3) for i in long], pa.binary()),
+            ],
+            names=["text_key", "body"],
+        )
 
 
-def store_texts(docs: DataFrame, rows: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
-    """(text_key, body) of the wanted texts, written to the shared folder."""
-    first = rows.groupBy("text_key").agg(F.min("place").alias("place")).join(wanted, "text_key")
-    bodies = docs.select(F.monotonically_increasing_id().alias("place"), F.col(text).alias("text")).mapInArrow(
-        packed_texts, "place long, body binary"
-    )
+def store_texts(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
+    """(text_key, body) of the wanted texts, written to the shared folder. They are found by what they say."""
+    bodies = docs.select(F.col(text).alias("text")).mapInArrow(packed_texts, "text_key long, body binary")
     folder = shared_folder(docs.sparkSession, "passage-texts")
-    bodies.join(first, "place").select("text_key", "body").write.option("compression", "none").parquet(folder)
+    one = bodies.join(wanted, "text_key", "left_semi").groupBy("text_key").agg(F.min("body").alias("body"))
+    one.write.option("compression", "none").parquet(folder)
     return docs.sparkSession.read.parquet(folder)
 
 
@@ -471,12 +494,23 @@ def both_sides(found: DataFrame) -> DataFrame:
     ).union(found.select("b", "a", "b_start", "b_end"))
 
 
-def verified(docs: DataFrame, rows: DataFrame, text: str = "text") -> DataFrame:
-    """The shared passages; ``rows`` has the place and key of every text that can hold one.
+def merged_spans(found: DataFrame) -> DataFrame:
+    """(text_key, start, end) of the words that passages cover, as disjoint spans of at least a passage each.
+
+    The furthest end for each start is kept before the spans of a text are put in order, so a text that very many
+    share passages with has no more rows than words."""
+    ends = both_sides(found).groupBy("text_key", "start").agg(F.max("end").alias("end"))
+    order = Window.partitionBy("text_key").orderBy("start")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    first = F.when(reach >= F.col("start"), 0).otherwise(1)
+    islands = ends.withColumn("_first", first).withColumn("_island", F.sum("_first").over(order))
+    return islands.groupBy("text_key", "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
-    Groups of few windows are compared whole. In the others all texts are compared with representatives; those that
-    are not settled thereby are split by further functions, until a group is small or has no function left, and
-    then compared with the whole of it."""
+
+def verified(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The shared passages. All groups are treated alike: their texts are compared with representatives; the windows
+    that are not settled thereby are split by further functions, and what is left of a group in the end is compared
+    with the whole of it."""
     windows = colliding_windows(docs, text).select(
         F.col("key").alias("group"),
         F.expr(f"CAST(shiftleft(1, CAST(`key` & {(1 << KEY_BITS) - 1} AS int)) AS int)").alias("functions"),
@@ -484,53 +518,51 @@ def verified(docs: DataFrame, rows: DataFrame, text: str = "text") -> DataFrame:
         "start",
         "end",
     )
-    groups = with_sizes(windows)
-    small, large = groups.filter("small"), groups.filter("NOT small")
-    whole = small.select("group", "text_key").join(others(small), "group").filter("text_key < r_text_key")
-    by_first = large.select("group", "text_key").join(first_holders(large), "group")
-    tried = cut(ordered(whole.select("text_key", "r_text_key").union(by_first.select("text_key", "r_text_key"))))
-    texts = store_texts(docs, rows, windows.select("text_key").distinct(), text)
+
+    def with_representatives(groups: DataFrame) -> DataFrame:
+        return ordered(groups.select("group", "text_key").join(first_holders(groups), "group").select("text_key", "r_text_key"))
+
+    tried = cut(with_representatives(windows))
+    texts = store_texts(docs, windows.select("text_key").distinct(), text)
     found = verified_pairs(tried, texts)
 
     def compared(pairs: DataFrame) -> None:
         nonlocal tried, found
         new = cut(pairs.join(tried, ["a", "b"], "left_anti"))
-        tried, found = tried.union(new), found.union(verified_pairs(new, texts))
+        if not new.isEmpty():
+            tried, found = tried.union(new), found.union(verified_pairs(new, texts))
 
-    for depth in range(2, SPLITS + 1):
-        marked = unsettled(large.drop("small"), found)
+    groups = windows
+    for _ in range(2, SPLITS + 1):
+        marked = unsettled(groups, found)
         # A group without an unsettled window is done.
         rest = marked.join(marked.filter("active").select("group").distinct(), "group")
-        if rest.isEmpty():
+        groups = cut(joint_groups(rest.select("group", "functions", "text_key", "start", "end"), windows))
+        if groups.isEmpty():
             return found
-        groups = with_sizes(joint_groups(rest.select("group", "functions", "text_key", "start", "end"), windows))
-        small, large = groups.filter("small"), groups.filter("NOT small")
-        compared(active_pairs(unsettled(small.drop("small"), found)))
-    compared(ordered(large.select("group", "text_key").join(first_holders(large), "group").select("text_key", "r_text_key")))
-    compared(active_pairs(unsettled(large.drop("small"), found)))
+        compared(with_representatives(groups))
+    compared(active_pairs(unsettled(groups, found)))
     return found
 
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, class_id, n_links, n_copies and passages (start:end in words) of every document that shares one.
-
-    ``docs`` must be read from files or stored, so that its rows keep their place between two reads."""
+    """doc_id, class_id, n_copies and passages (start:end in words) of every document that shares one."""
     rows = cut(
-        docs.select(
-            F.col(doc_id).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("place"), F.col(text).alias("text")
-        ).mapInArrow(keyed, "doc_id long, place long, text_key long, n_words long")
-    )
-    found = verified(docs, rows, text)
-    spans = both_sides(found).groupBy("text_key").agg(
-        F.count_distinct("other").alias("n_links"), F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans")
+        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
+            keyed, "doc_id long, text_key long, n_words long"
+        )
     )
+    found = verified(docs, text)
+    spans = merged_spans(found).groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
     texts = rows.groupBy("text_key").agg(
         F.count(F.lit(1)).alias("n_copies"), F.min("doc_id").alias("_first"), F.max("n_words").alias("n_words")
     )
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
+    # All of a text that has copies is a passage.
     kept = cut(
         texts.join(spans, "text_key", "left")
-        .filter("n_links IS NOT NULL OR n_copies > 1")
-        .withColumn("_spans", F.coalesce("_spans", F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))))
+        .filter("_spans IS NOT NULL OR n_copies > 1")
+        .withColumn("_spans", F.when(F.col("n_copies") > 1, whole).otherwise(F.col("_spans")))
     )
     classes = components(kept.select(F.col("text_key").alias("node")), found.select("a", "b"))
     named = kept.join(classes.withColumnRenamed("node", "text_key"), "text_key")
@@ -538,7 +570,6 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     labelled = named.join(smallest, "component").select(
         "text_key",
         "class_id",
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
         "n_copies",
         F.array_join(F.transform("_spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("passages"),
     )

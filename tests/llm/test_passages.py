@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 from tallyhouse.llm import passages, queries
-from tests.llm.helpers import MIDDLE, documents, edge_documents, no_documents
+from tests.llm.helpers import MIDDLE, documents, edge_documents, no_documents, read
 
 
 def prose(rng, n):
@@ -96,7 +96,7 @@ def test_planted_passages_in_many_documents(spark):
     assert {found[i]["class_id"] for i in range(200, 204)} == {200}
     assert {found[i]["class_id"] for i in (250, 1000, 1001)} == {250}
     assert all(found[i]["passages"] == "60:130" for i in range(100))
-    assert found[250]["n_copies"] == 3 and found[250]["n_links"] == 0 and found[250]["passages"] == "0:150"
+    assert found[250]["n_copies"] == 3 and found[250]["passages"] == "0:150"
 
 
 def test_query_finds_all_verbatim_passages(spark):
@@ -180,3 +180,43 @@ def test_edits_at_every_position_are_found():
     loose = [[w if i % 14 < 6 else f"x{w}" for i, w in enumerate(s)] for s in sides]
     found = passages.shared_passages(hashes([*sides[0], *common, *sides[1]]), hashes([*loose[0], *edited, *loose[1]]))
     assert found and all(r[4] >= 0.8 for r in found)
+
+
+def jaccard(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_against_brute_force(spark):
+    """Texts of one passage each with random edits: every pair is compared by its sets; at least nine in ten are found."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(60):
+        base = prose(rng, rng.randint(80, 140))
+        for _ in range(rng.randint(2, 4)):
+            edited = list(base)
+            for _ in range(rng.randint(0, 3)):
+                edited[rng.randrange(len(edited))] = prose(rng, 1)[0]
+            texts.append(edited)
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    classes = {r["doc_id"]: r["class_id"] for r in passages.repeated_passages(frame.repartition(5)).collect()}
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if jaccard(texts[i], texts[j]) >= 0.8]
+    assert len(near) > 40
+    together = [(i, j) for i, j in near if i in classes and classes[i] == classes.get(j)]
+    assert len(together) >= 0.9 * len(near)
+    # Nobody is in a class without a near passage in common.
+    apart = [(i, j) for i in range(len(texts)) for j in range(i) if jaccard(texts[i], texts[j]) < 0.01]
+    assert not [(i, j) for i, j in apart if i in classes and classes[i] == classes.get(j)]
+
+
+def test_input_that_is_not_stored_gives_the_same(spark):
+    frame = read(spark, MIDDLE, "documents")
+    stored, dealt = (sorted(map(tuple, passages.repeated_passages(f).collect())) for f in (frame, frame.repartition(7)))
+    assert stored == dealt and len(stored) > 100
+
+
+def test_spans_of_a_text_are_disjoint(spark):
+    rows = [(1, 2, 0, 60, 5, 65), (1, 3, 50, 120, 0, 70), (1, 4, 0, 55, 0, 55), (1, 5, 200, 260, 0, 60), (6, 1, 0, 61, 199, 260)]
+    found = spark.createDataFrame(rows, "a long, b long, a_start int, a_end int, b_start int, b_end int")
+    spans = sorted(map(tuple, passages.merged_spans(found).filter("text_key = 1").collect()))
+    assert spans == [(1, 0, 120), (1, 199, 260)]
