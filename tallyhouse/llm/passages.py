@@ -8,8 +8,9 @@ same minimum is one node, and the windows' union its span, cut to a passage's le
 position. Every stretch of a passage's length lies in the span of its minimum. So a text of n shingles has about 2 n / length
 compact windows for each function, found with a few array operations.
 
-Windows of different texts with equal signature collide; signatures that only one text has are dropped. Within a
-group of equal signatures every text is compared with two representatives. Windows that no verified passage of their
+Windows of different texts with equal signature collide; signatures that only one text has are dropped. Every
+text meets two representatives in each group of equal signatures, and is compared with those that it meets under two
+functions or more. Windows that no verified passage of their
 text covers, and texts of another class than most of the group, are not settled by that: their groups are split by the
 minimum of a second function over the same stretch, then of a third and a fourth, an interval join within each text,
 and compared with the representatives of the parts; what is left in the end is compared with all of its part. So a
@@ -22,8 +23,7 @@ over others, form a class, named by the smallest doc_id in it. Links within a cl
 never looked at.
 
 What can be missed: a passage at similarity s collides under each function with probability s; s = 1 always does.
-At s = 0.8 none of the six functions collides with probability 0.0001; for what the first representatives do not
-settle a second must, which fails with 0.0016. A window counts as covered if a passage's length of it is. Verification
+Two functions must, which at s = 0.8 fails with probability 0.0016 under six functions. A window counts as covered if a passage's length of it is. Verification
 tries stretches from the first to the last match, widened to a passage's length, and the longest ones at several shares
 of matches. It leaves no false links.
 
@@ -520,7 +520,10 @@ def verified(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
     def with_representatives(groups: DataFrame) -> DataFrame:
-        return ordered(groups.select("group", "text_key").join(first_holders(groups), "group").select("text_key", "r_text_key"))
+        """Texts and the representatives with which they share the minima of two functions or more."""
+        meet = groups.select("group", "functions", "text_key").join(first_holders(groups), "group").filter("text_key <> r_text_key")
+        agreed = meet.groupBy(F.least("text_key", "r_text_key").alias("a"), F.greatest("text_key", "r_text_key").alias("b"))
+        return agreed.agg(F.bit_or("functions").alias("_functions")).filter(F.bit_count("_functions") > 1).select("a", "b")
 
     tried = cut(with_representatives(windows))
     texts = store_texts(docs, windows.select("text_key").distinct(), text)
