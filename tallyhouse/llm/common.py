@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.session import shared_folder
+
 # Rows per Arrow batch: texts may be long, so a batch of them must stay small.
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 TEXT_BATCH = "512"
@@ -40,11 +41,7 @@ def cut(frame: DataFrame) -> DataFrame:
     context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = frame.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local["):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="tallyhouse-llm-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(folder or shared_folder(frame.sparkSession, "checkpoints"))
     return frame.checkpoint(eager=True)
 
 
