@@ -608,6 +608,7 @@ for _name in ("product_details", "product_sales_history", "product_recent_orders
 for _name in ("fact_orders", "daily_revenue", "top_products", "customer_metrics"):
     FINAL[f"inc_{_name}"] = FINAL[_name if _name == "fact_orders" else f"mart_{_name}"]
 
+FINAL["sink_latest_window"] = FINAL["rt_latest_revenue"]
 FINAL["src_published_marts"] = FINAL["api_top_products"]
 FINAL["dq_report_bucketed"] = FINAL["dq_report"]
 FINAL["flt_stored_lookup"] = f"""SELECT 'product' AS kind, product_id AS id, units_sold AS n

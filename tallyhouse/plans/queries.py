@@ -457,6 +457,11 @@ def served_revenue(q: Inputs) -> DataFrame:
     return newest.unionByName(live.read_revenue_series(q.spark, root).withColumn("kind", F.lit("series")))
 
 
+def kept_window(q: Inputs) -> DataFrame:
+    """The newest window that the stream keeps apart, after windows that lie in several files."""
+    return live.read_kept_revenue(q.spark, _restarted(q, _start_revenue, retail.payment_changes))
+
+
 def served_products(q: Inputs) -> DataFrame:
     root = _products_root(q)
     batch_run.compact_top_products(q.spark, root)
@@ -678,6 +683,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "rt_served_revenue": served_revenue,
     "rt_served_products": served_products,
     "sink_top_products": kept_list,
+    "sink_latest_window": kept_window,
     # one product, damaged input, age as an interval
     "flt_point_lookup": point_lookups,
     "product_details_one": lambda q: serving.product_details(

@@ -120,32 +120,39 @@ PAYMENT = ("payment_id", "order_id", "amount", "event_time", "window_start")
 ITEM = ("product_id", "quantity", "unit_price", "line_total", "event_time", "window_start")
 
 
+def _published(spark: SparkSession, path: str, schema: T.StructType, generation: str, batch_id: int) -> DataFrame:
+    """What this micro-batch has published, from its own folder."""
+    stored = spark.read.schema(schema).option("basePath", path)
+    return stored.parquet(f"{path}/generation={generation}/batch_id={batch_id}")
+
+
+def _keep_newest(fresh: DataFrame, path: str, schema: T.StructType, keys: Sequence[str]) -> None:
+    """Bring the kept totals of the newest window up to date; a late micro-batch does not take a newer window's place."""
+    kept = read_current(fresh.sparkSession, path, schema)
+    newest, current = (frame.agg(F.max("window_start")).first()[0] for frame in (fresh, kept))
+    if current is None or newest >= current:
+        both = newest_totals(fresh.unionByName(kept).withColumn("first_at", F.col("ingested_at")), keys)
+        replace_table(both.filter(F.col("window_start") == F.lit(newest)).coalesce(1), path, schema)
+
+
 def publish_revenue(batch: DataFrame, batch_id: int, root: str, generation: str = "0") -> None:
-    """Publish the changed totals of a micro-batch of ``payment_rows``."""
+    """Publish the changed totals of a micro-batch of ``payment_rows``; those of the newest window are kept apart, too."""
     if _account(batch, generation, batch_id, root, "payments", PAYMENT):
-        _store(_totals(batch, REVENUE_STAGING), generation, batch_id, f"{root}/revenue_by_minute_staging")
+        staging = f"{root}/revenue_by_minute_staging"
+        _store(_totals(batch, REVENUE_STAGING), generation, batch_id, staging)
+        fresh = _published(batch.sparkSession, staging, REVENUE_STAGING, generation, batch_id)
+        _keep_newest(fresh, f"{root}/revenue_latest", REVENUE_STAGING, ["bucket"])
 
 
 def publish_top_products(
     batch: DataFrame, batch_id: int, root: str, products: DataFrame, generation: str = "0"
 ) -> None:
-    """The same for ``item_rows``; then the sales of the newest window, which are kept apart, are brought up to date."""
-    if not _account(batch, generation, batch_id, root, "items", ITEM):
-        return
-    staging = f"{root}/top_products_5min_staging"
-    named = realtime.with_product_names(_totals(batch, PRODUCT_STAGING), products)
-    _store(named, generation, batch_id, staging)
-    spark = batch.sparkSession
-    stored = spark.read.schema(PRODUCT_STAGING).option("basePath", staging)
-    fresh = stored.parquet(f"{staging}/generation={generation}/batch_id={batch_id}")
-    kept = read_current(spark, f"{root}/top_products_live", PRODUCT_STAGING)
-    newest = fresh.agg(F.max("window_start")).first()[0]
-    current = kept.agg(F.max("window_start")).first()[0]
-    # A late batch does not take the place of a newer window's list.
-    if current is None or newest >= current:
-        both = newest_totals(fresh.unionByName(kept).withColumn("first_at", F.col("ingested_at")), ["product_id"])
-        live = both.filter(F.col("window_start") == F.lit(newest))
-        replace_table(live, f"{root}/top_products_live", PRODUCT_STAGING)
+    """The same for ``item_rows``, with the products' names."""
+    if _account(batch, generation, batch_id, root, "items", ITEM):
+        staging = f"{root}/top_products_5min_staging"
+        _store(realtime.with_product_names(_totals(batch, PRODUCT_STAGING), products), generation, batch_id, staging)
+        fresh = _published(batch.sparkSession, staging, PRODUCT_STAGING, generation, batch_id)
+        _keep_newest(fresh, f"{root}/top_products_live", PRODUCT_STAGING, ["product_id"])
 
 
 def _start(
@@ -316,6 +323,12 @@ def read_latest_revenue(spark: SparkSession, root: str) -> DataFrame:
     return realtime.latest_window(read_revenue_windows(spark, root))
 
 
+def read_kept_revenue(spark: SparkSession, root: str) -> DataFrame:
+    """The newest window as the stream replaced it last; nothing else is read."""
+    kept = read_current(spark, f"{root}/revenue_latest", REVENUE_STAGING)
+    return realtime.latest_window(realtime.revenue_of_buckets(kept.withColumn("updated_at", F.col("ingested_at"))))
+
+
 def read_revenue_series(spark: SparkSession, root: str, limit: int = 60) -> DataFrame:
     return realtime.window_series(read_revenue_windows(spark, root), limit)
 

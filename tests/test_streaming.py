@@ -115,6 +115,7 @@ def test_window_over_several_triggers_has_its_full_total(spark, topic, tmp_path)
     assert published(spark, tmp_path) == batch_answer(topic)
     root = str(tmp_path / "rt")
     assert rows(live.read_latest_revenue(spark, root)) == [(minute("00:01"), 1, Decimal("0.25"))]
+    assert rows(live.read_kept_revenue(spark, root)) == [(minute("00:01"), 1, Decimal("0.25"))]
     assert [r.order_count for r in live.read_revenue_series(spark, root).collect()] == [1, 3]
 
 
