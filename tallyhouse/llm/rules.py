@@ -8,7 +8,8 @@ than RISK of the good documents of a stratum are rejected. ALPHA is divided by s
 along the candidates of one rule, which are fixed beforehand, tests go from the loosest to the strictest and
 stop at the first that fails, which needs no further correction. The strictest safe cutoff is taken.
 
-A stratum or rule without a safe cutoff rejects nothing by that rule.
+Equal texts of a stratum count once in the holdout, as copies are no independent trials. A stratum or rule without a
+safe cutoff rejects nothing by that rule.
 
 Defined cases: a null text and a text without words have zero counts and fail the base rule; a missing
 language is a stratum of its own; labels that are null or of unknown documents play no part; a document with
@@ -40,7 +41,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 
 def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
-    """doc_id, stratum and the counts of every row.
+    """doc_id, stratum, a hash of the text and the counts of every row.
 
     Repeated 3-word windows are found inside the row: after one sort of the pairs of a window's whole hash and its
     place, equal hashes are neighbours and their places known.
@@ -75,6 +76,7 @@ def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", stratu
     return rows.select(
         "doc_id",
         "stratum",
+        F.xxhash64("_text").alias("text_hash"),
         F.col("_n").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.regexp_count(F.coalesce("_text", F.lit("")), F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -126,10 +128,12 @@ def exceeded(rule: str, value: Column) -> Column:
 
 def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, alpha: float = ALPHA) -> DataFrame:
     """(stratum, rule, cutoff, n, x): the strictest safe cutoff of every stratum and rule that has one; there, x of
-    the n good documents exceed the cutoff."""
+    the n good texts exceed the cutoff."""
     good = labels.filter(F.col("quality") == 1).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     rules = [F.struct(F.lit(r).alias("rule"), exceeded(r, v).alias("over")) for r, v in statistics().items()]
-    held = measured.filter(~base_failed()).join(good, "doc_id").select("stratum", F.inline(F.array(*rules)))
+    # Copies of a text are one trial: they all exceed a cutoff or none does.
+    texts = measured.filter(~base_failed()).join(good, "doc_id").dropDuplicates(["stratum", "text_hash"])
+    held = texts.select("stratum", F.inline(F.array(*rules)))
     wide = max(map(len, CANDIDATES.values()))
     # One row for each stratum and rule: the documents that exceed the strictest candidate, the next, ...
     over = [F.count_if(F.col("over") > k) for k in range(wide)]

@@ -62,7 +62,7 @@ def holdout(spark, n, bad, stratum="en"):
         F.col("id").alias("doc_id"), F.lit(stratum).alias("stratum"), F.lit(100).cast("long").alias("n_words"),
         F.lit(500).cast("long").alias("word_chars"), F.when(F.col("id") < bad, 20).otherwise(0).cast("long").alias("n_symbols"),
         *[F.lit(0).cast("long").alias(c) for c in ("n_dup_lines", "n_repeat_words", "n_upper", "n_exclaim")],
-        F.lit(1).cast("long").alias("n_lines"),
+        F.lit(1).cast("long").alias("n_lines"), F.col("id").alias("text_hash"),
     )
 
 
@@ -76,6 +76,14 @@ def test_cutoffs_limit_false_rejection(spark):
     assert all(r["n"] == 4000 for r in found.values())
 
 
+def test_copies_are_one_trial(spark):
+    """Four thousand rows of a hundred texts prove no more than a hundred."""
+    measured = holdout(spark, 4000, 0).withColumn("text_hash", F.col("doc_id") % 100)
+    labels = measured.select("doc_id", F.lit(1).alias("quality"))
+    assert rules.cutoffs(measured, labels).count() == 0
+    assert {r["n"] for r in rules.cutoffs(measured.withColumn("text_hash", F.col("doc_id") % 2000), labels).collect()} == {2000}
+
+
 def test_small_holdouts_give_no_cutoff(spark):
     measured = holdout(spark, 100, 0)
     labels = measured.select("doc_id", F.lit(1).alias("quality"))
