@@ -6,10 +6,15 @@ length 23: every point lies within 3 bits of exactly one of them, its home. A fi
 every anchor within 3 + 1 bits of the part, so two fingerprints that differ by one bit there meet at the home
 of either. At an anchor, those at home are compared with all replicas, on all 64 bits.
 
+With more points than fill one cell of each of the 4,096 anchors, a finer code is taken: fingerprints at 4 or fewer
+differing bits agree in one of five blocks, and the other bits, in three parts, again differ by at most one in one of
+them. The code is the block's bits as they are and a Golay word of the part, about 2^25 anchors for each of the 15
+choices, so the points of an anchor stay few. Both codes find the same links.
+
 Equal fingerprints are taken together first, so a group of copies of any size is one point. Anchors of many
-points are split: each point at home belongs to one of the anchor's cells, and the replicas go to all cells.
-Within a cell the links found are reduced to a spanning forest, which keeps every connection; the forests are
-joined by ``components``, whose steps run as Spark joins.
+points are split into cells: each takes one share of the points at home and one share of all points, and every two
+shares meet in one cell, so no task holds an anchor whole. Within a cell the links found are reduced to a spanning
+forest, which keeps every connection; the forests are joined by ``components``, whose steps run as Spark joins.
 
 Defined cases: null and empty texts and texts without words have fingerprint zero and link like any other;
 texts of fewer words than a shingle are one shingle; every row of the input is returned, repeated ones too; a
@@ -33,13 +38,15 @@ from tallyhouse.llm.common import components, cut, fresh_name, map_texts, placed
 SHINGLE_WORDS = 4
 MOST_BITS = 4
 SEED = 42
-# Parts of the fingerprint as (shift, bits); the bits a part lacks to the length of the code are zero.
-PARTS = ((0, 22), (22, 21), (43, 21))
+BITS, PARTS = 64, 3
+# The bits a part lacks to the length of the code are zero.
 CODE_LENGTH, CODE_RADIUS = 23, 3
 # Fixed value: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, a generator of the binary Golay code.
 GENERATOR = 0b101011100011
-# Points of one cell of an anchor.
-CELL_POINTS = 2048
+# Points at home, and points they are compared with, of one cell of an anchor.
+CELL_POINTS, CELL_REPLICAS = 2048, 16_384
+# Distinct fingerprints up to which the anchors are those of a part alone.
+COARSE_POINTS = CELL_POINTS << 12
 # Pairs compared at once.
 BLOCK_PAIRS = 1 << 20
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -88,14 +95,27 @@ def code() -> tuple[np.ndarray, np.ndarray]:
     return home, words
 
 
-def anchors(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """(rows, anchors, at home): the home of each point, then every other anchor within radius + 1.
+def split(bits: int, pieces: int) -> list[tuple[int, int]]:
+    """Pieces of a number as (shift, bits), as even as can be."""
+    bounds = [-(-bits * k // pieces) for k in range(pieces + 1)]
+    return [(a, b - a) for a, b in zip(bounds, bounds[1:])]
+
+
+def covers(fine: bool, most_bits: int) -> list[tuple[int, int, int, int]]:
+    """(shift, bits) of a block, and of a part of the other bits, for every choice of both; a coarse code has no block."""
+    blocks = split(BITS, most_bits + 1) if fine else [(0, 0)]
+    return [(*block, *part) for block in blocks for part in split(BITS - block[1], PARTS)]
 
-    An anchor is that near exactly if it is the home of the point or of a point one bit away."""
+
+def anchors(points: np.ndarray, bits: int = CODE_LENGTH) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """(rows, anchors, at home): the home of each point of so many bits, then every other anchor within radius + 1 that
+    can be the home of such a point one bit away.
+
+    Of the full length, an anchor is that near exactly if it is the home of the point or of a point one bit away."""
     home, _ = code()
     own = home[points]
     yield np.arange(len(points)), own, True
-    near = np.stack([home[points ^ (1 << bit)] for bit in range(CODE_LENGTH)], axis=1)
+    near = np.stack([home[points ^ (1 << bit)] for bit in range(bits)], axis=1)
     near.sort(axis=1)
     new = near != own[:, None]
     new[:, 1:] &= near[:, 1:] != near[:, :-1]
@@ -103,16 +123,20 @@ def anchors(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]
     yield rows, near[rows, columns], False
 
 
-def replicate(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(fp) to (anchor, fp, home): one row at home and one for each replica, in each part."""
+def replicate(
+    stream: Iterator[pa.RecordBatch], chosen: list[tuple[int, int, int, int]]
+) -> Iterator[pa.RecordBatch]:
+    """(fp) to (anchor, fp, home): one row at home and one for each replica, in each cover."""
     for batch in stream:
         points = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        for part, (shift, bits) in enumerate(PARTS):
-            piece = (points >> np.uint64(shift) & np.uint64((1 << bits) - 1)).astype(np.int64)
-            for rows, found, at_home in anchors(piece):
+        for number, (shift, bits, part_shift, part_bits) in enumerate(chosen):
+            block, low = piece(points, shift, bits), points & np.uint64((1 << shift) - 1)
+            others = low | (points >> np.uint64(shift + bits) << np.uint64(shift))
+            name = (np.int64(number) << bits | block.astype(np.int64)) << 12
+            for rows, found, at_home in anchors(piece(others, part_shift, part_bits).astype(np.int64), part_bits):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(found.astype(np.int32) + (part << 12), pa.int32()),
+                        pa.array(name[rows] + found, pa.int64()),
                         pa.array(points[rows].view(np.int64), pa.int64()),
                         pa.array(np.full(len(rows), at_home)),
                     ],
@@ -120,46 +144,60 @@ def replicate(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def forest(points: np.ndarray, at_home: np.ndarray, most_bits: int = MOST_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links between points at home and all points of a cell."""
-    root = np.arange(len(points))
+def piece(points: np.ndarray, shift: int, bits: int) -> np.ndarray:
+    return points >> np.uint64(shift) & np.uint64((1 << bits) - 1)
 
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
 
+def forest(points: np.ndarray, at_home: np.ndarray, most_bits: int = MOST_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links between points at home and all points of a cell."""
+    tree = np.arange(len(points))
     left, right = [], []
     homes = np.flatnonzero(at_home)
     step = max(1, BLOCK_PAIRS // max(1, len(points)))
     for at in range(0, len(homes), step):
         rows = homes[at : at + step]
-        a, b = np.nonzero(np.bitwise_count(points[rows, None] ^ points[None, :]) <= most_bits)
-        a = rows[a]
-        linked = a != b
-        for i, j in zip(a[linked].tolist(), b[linked].tolist()):
-            x, y = find(i), find(j)
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                left.append(i)
-                right.append(j)
+        near = np.bitwise_count(points[rows, None] ^ points[None, :]) <= most_bits
+        for k in np.flatnonzero(near.sum(axis=1) > 1).tolist():
+            i, linked = rows[k], np.flatnonzero(near[k])
+            trees, first = np.unique(tree[linked], return_index=True)
+            if len(trees) > 1:
+                new = linked[first[trees != tree[i]]]
+                left += [i] * len(new)
+                right += new.tolist()
+                tree[np.isin(tree, trees)] = trees[0]
     return points[left], points[right]
 
 
 def links(fingerprints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """(a, b): links between distinct fingerprints (column fp) that connect all that are near enough."""
-    if most_bits // len(PARTS) != 1:
+    if most_bits // PARTS != 1:
         raise ValueError("the anchors cover 3 to 5 differing bits")
-    replicas = fingerprints.select("fp").mapInArrow(replicate, "anchor int, fp long, home boolean")
-    counts = replicas.groupBy("anchor").agg(F.count_if("home").alias("_homes"))
+    fine = fingerprints.count() > COARSE_POINTS
+    chosen = covers(fine, most_bits)
+    replicas = fingerprints.select("fp").mapInArrow(
+        lambda stream: replicate(stream, chosen), "anchor long, fp long, home boolean"
+    )
+    counts = replicas.groupBy("anchor").agg(
+        F.ceil(F.count_if("home") / CELL_POINTS).cast("int").alias("_homes"),
+        F.ceil(F.count(F.lit(1)) / CELL_REPLICAS).cast("int").alias("_shares"),
+    )
+    # A coarse code has 3 x 4096 anchors.
+    counts = counts.filter("_homes > 0") if fine else F.broadcast(counts.filter("_homes > 0"))
+    share = "CAST(pmod(xxhash64(fp, 1), _shares) AS int)"
+    own = "CAST(pmod(xxhash64(fp), _homes) AS int) * _shares"
+    mine = f"IF(home, sequence({own}, {own} + _shares - 1), CAST(array() AS array<int>))"
     cells = (
-        # One row for each of the 3 x 4096 anchors at most.
-        replicas.join(F.broadcast(counts.withColumn("_cells", F.expr(f"CAST(ceil(_homes / {CELL_POINTS}) AS int)"))), "anchor")
-        .filter("_homes > 0")
-        .withColumn("_own", F.expr("CAST(pmod(xxhash64(fp), _cells) AS int)"))
-        .withColumn("cell", F.explode(F.expr("CASE WHEN _cells = 1 THEN array(0) ELSE sequence(0, _cells - 1) END")))
-        .select("anchor", "cell", "fp", (F.col("home") & (F.col("cell") == F.col("_own"))).alias("home"))
+        replicas.join(counts, "anchor")
+        .withColumn(
+            "cell",
+            F.explode(
+                F.expr(
+                    "CASE WHEN _homes = 1 AND _shares = 1 THEN array(0) "
+                    f"ELSE array_union({mine}, sequence({share}, {share} + (_homes - 1) * _shares, _shares)) END"
+                )
+            ),
+        )
+        .select("anchor", "cell", "fp", F.expr(f"home AND cell >= {own} AND cell < {own} + _shares").alias("home"))
     )
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -60,9 +61,28 @@ def test_anchors_within_radius_and_threshold():
         assert anchors == set(np.flatnonzero(np.bitwise_count(words ^ p) <= simhash.CODE_RADIUS + 1).tolist())
 
 
-@pytest.mark.parametrize("cell", [2048, 7])
-def test_dense_families_by_brute_force(spark, monkeypatch, cell):
+def test_near_points_meet_at_the_home_of_one_of_them():
+    """Both codes: of points that differ in 4 bits, wherever, one is replicated to the home of the other."""
+    rng = np.random.default_rng(8)
+    for fine in (False, True):
+        chosen = simhash.covers(fine, 4)
+        assert len(chosen) == (15 if fine else 3)
+        for _ in range(30):
+            one = int(rng.integers(0, 1 << 63, dtype=np.uint64)) << 1 | 1
+            other = one ^ sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
+            batch = pa.record_batch([pa.array([simhash.signed(one), simhash.signed(other)], pa.int64())], names=["fp"])
+            made = [r for b in simhash.replicate(iter([batch]), chosen) for r in b.to_pylist()]
+            homes = {r["anchor"] for r in made if r["home"] and r["fp"] == simhash.signed(one)}
+            assert len(homes) == len(chosen)
+            assert homes & {r["anchor"] for r in made if r["fp"] == simhash.signed(other)}
+            assert len({(r["anchor"], r["fp"]) for r in made}) == len(made)
+
+
+@pytest.mark.parametrize("cell, share, coarse", [(2048, 16_384, 1 << 23), (7, 16_384, 1 << 23), (7, 11, 1 << 23), (2048, 16_384, 0), (2, 3, 0)])
+def test_dense_families_by_brute_force(spark, monkeypatch, cell, share, coarse):
     monkeypatch.setattr(simhash, "CELL_POINTS", cell)
+    monkeypatch.setattr(simhash, "CELL_REPLICAS", share)
+    monkeypatch.setattr(simhash, "COARSE_POINTS", coarse)
     rng = np.random.default_rng(6)
     prints = []
     for centre in rng.integers(0, 1 << 63, 12, dtype=np.uint64):
