@@ -1,5 +1,7 @@
 """SQL that a query must agree with, where SQL can express it; the others are held against brute force in tests/llm."""
 
+from tallyhouse.llm.rules import ALPHA, CANDIDATES, LEAST_WORDS, MOST_REPEATED_PERCENT, RISK
+
 _ALL_FINITE = """embedding IS NOT NULL AND len(embedding) > 0
           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
 
@@ -108,7 +110,78 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM doc_words LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
 """
 
+# The statistic of each rule over the counts of a text.
+_STATISTICS = {
+    "symbol_share": "n_symbols / greatest(n_words, 1)",
+    "repeat_share": "n_repeat_words / greatest(n_words, 1)",
+    "dup_line_share": "n_dup_lines / greatest(n_lines, 1)",
+    "upper_share": "n_upper / greatest(word_chars, 1)",
+    "exclaim_share": "n_exclaim / greatest(n_words, 1)",
+    "word_length": "word_chars / greatest(n_words, 1)",
+}
+
+
+def risk_rules_sql(risk: float = RISK, alpha: float = ALPHA) -> str:
+    """Counts, cutoffs by binomial tails over distinct good texts of each language, and verdicts."""
+    share = risk / len(CANDIDATES)
+    bounds = ", ".join(f"('{r}', {k}, CAST({c!r} AS DOUBLE))" for r, cs in CANDIDATES.items() for k, c in enumerate(cs))
+    values = " UNION ALL ".join(f"SELECT r, '{r}' AS rule, {k} AS place, {v} AS v FROM counted" for k, (r, v) in enumerate(_STATISTICS.items()))
+    return rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, lang AS stratum, text, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), words AS (
+    SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM texts
+), windows AS (
+    SELECT r, i
+    FROM (SELECT r, i, word AS a, lead(word) OVER same AS b, lead(word, 2) OVER same AS c FROM words WINDOW same AS (PARTITION BY r ORDER BY i))
+    WHERE c IS NOT NULL QUALIFY count(*) OVER (PARTITION BY r, a, b, c) > 1
+), repeated AS (
+    SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM windows) GROUP BY r
+), counted AS MATERIALIZED (
+    SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words AS base_failed
+    FROM (
+        SELECT r, doc_id, stratum, text, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+               len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+               coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines, len(regexp_extract_all(t, '[A-Z]')) AS n_upper,
+               len(regexp_extract_all(t, '!')) AS n_exclaim
+        FROM texts LEFT JOIN repeated USING (r)
+    )
+), bounds(rule, step, cutoff) AS (
+    VALUES {bounds}
+), valued AS MATERIALIZED (
+    {values}
+), held AS (
+    SELECT min(r) AS r, stratum FROM counted
+    WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL)
+    GROUP BY stratum, text
+), tests AS (
+    SELECT stratum, rule, step, cutoff, count(*) AS n, count(*) FILTER (WHERE v > cutoff) AS x
+    FROM held JOIN valued USING (r) JOIN bounds USING (rule) GROUP BY ALL
+), tails AS (
+    SELECT stratum, rule, step, cutoff, x <= n * {share!r} AND list_sum(list_transform(range(0, x + 1), lambda i:
+               exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share!r}) + (n - i) * ln(1 - {share!r}))))
+           <= {alpha!r} / ({len(CANDIDATES)} * (SELECT count(*) FROM (SELECT DISTINCT stratum FROM tests))) AS safe
+    FROM tests
+), cutoffs AS (
+    SELECT stratum, rule, min(cutoff) AS cutoff
+    FROM (SELECT *, bool_and(safe) OVER (PARTITION BY stratum, rule ORDER BY step) AS so_far FROM tails)
+    WHERE so_far GROUP BY stratum, rule
+), broken AS (
+    SELECT r, string_agg(rule, ',' ORDER BY place) AS listed
+    FROM valued JOIN counted USING (r) JOIN cutoffs USING (rule)
+    WHERE counted.stratum IS NOT DISTINCT FROM cutoffs.stratum AND v > cutoff GROUP BY r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND listed IS NULL AS kept, coalesce(listed, '') AS broken_rules
+FROM counted LEFT JOIN broken USING (r)
+"""
+
+
 ORACLE: dict[str, str] = {
+    "op9_risk_rules": risk_rules_sql(),
     "op11_hilbert_codes": _codes_sql(),
     "op12_hard_negatives": _NEGATIVES,
     "op13_suffix_arrays": _LEAKS,

@@ -4,10 +4,11 @@ import math
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import queries, rules
+from tallyhouse.llm import queries, rules, sql
 from tests.llm.helpers import MIDDLE, documents, edge_documents, no_documents, read
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -90,6 +91,20 @@ def test_small_holdouts_give_no_cutoff(spark):
     assert rules.cutoffs(measured, labels).count() == 0
 
 
+def test_verdicts_agree_with_sql_where_cutoffs_exist(spark):
+    """At a risk of 0.6 the languages with the most labels have cutoffs in the small tables too."""
+    docs, labels = read(spark, MIDDLE, "documents"), read(spark, MIDDLE, "labels")
+    found = rules.verdicts(docs, labels, risk=0.6)
+    duck = duckdb.connect()
+    for name in ("documents", "labels"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{MIDDLE}/{name}.parquet')")
+    expected = duck.execute(sql.risk_rules_sql(risk=0.6))
+    assert [d[0] for d in expected.description] == found.columns
+    rows = sorted(map(tuple, found.collect()))
+    assert rows == sorted(expected.fetchall())
+    assert any(r[-1] for r in rows) and any(r[-2] for r in rows)
+
+
 def test_verdicts_follow_the_cutoffs(spark):
     words = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(1200)]
     rows = [(i, t, "en") for i, t in enumerate(words)] + [(9000, " ".join(f"w{j}***" for j in range(60)), "en"), (9001, " ".join(f"w{j}***" for j in range(60)), "xx")]
