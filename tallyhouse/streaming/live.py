@@ -132,7 +132,9 @@ def _keep_newest(fresh: DataFrame, path: str, schema: T.StructType, keys: Sequen
     newest, current = (frame.agg(F.max("window_start")).first()[0] for frame in (fresh, kept))
     if current is None or newest >= current:
         both = newest_totals(fresh.unionByName(kept).withColumn("first_at", F.col("ingested_at")), keys)
-        replace_table(both.filter(F.col("window_start") == F.lit(newest)).coalesce(1), path, schema)
+        # The totals are made in tasks of their own: a streaming batch has no adaptive execution, and a task that takes
+        # over all its partitions holds a sort buffer for each.
+        replace_table(both.filter(F.col("window_start") == F.lit(newest)).repartition(1), path, schema)
 
 
 def publish_revenue(batch: DataFrame, batch_id: int, root: str, generation: str = "0") -> None:

@@ -426,3 +426,19 @@ def test_each_envelope_is_parsed_once(spark, topic):
     for events in (live.payment_events(topic.static()), live.item_events(topic.static())):
         plan = events._jdf.queryExecution().executedPlan().toString()
         assert plan.count("from_json") == 1
+
+
+def test_a_stream_makes_the_kept_totals_in_tasks_of_their_own(spark, tmp_path, monkeypatch):
+    """Streaming batches run without adaptive execution; one task over all partitions would hold all their sorts."""
+    frames = []
+    monkeypatch.setattr(live, "replace_table", lambda frame, *_: frames.append(frame))
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    start, end = at("2024-01-01 00:00:00"), at("2024-01-01 00:05:00")
+    values = {"window_start": start, "product_id": 1, "product_name": "a", "units_sold": 2, "revenue": Decimal("1.00"), "ingested_at": end}
+    values |= {"events": 1, "generation": "g", "batch_id": 0}
+    fresh = session.createDataFrame([tuple(values[n] for n in live.PRODUCT_STAGING.names)], live.PRODUCT_STAGING)
+    live._keep_newest(fresh, str(tmp_path / "kept"), live.PRODUCT_STAGING, ["product_id"])
+    text = frames[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce 1" not in text and text.lstrip().startswith("Exchange")
+    assert [r["product_id"] for r in frames[0].collect()] == [1]
