@@ -102,6 +102,12 @@ def folder_times(spark: SparkSession, path: str) -> dict[str, float]:
     return {entry.getPath().getName(): entry.getModificationTime() / 1000 for entry in entries}
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files in a folder, 0 if it does not exist."""
+    fs, where = _hadoop(spark, path)
+    return fs.getContentSummary(where).getLength() if fs.exists(where) else 0
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, where = _hadoop(spark, path)
     fs.delete(where, True)

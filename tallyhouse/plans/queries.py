@@ -20,7 +20,7 @@ from tallyhouse.plans import batch_run, incremental, versions
 from tallyhouse.plans.check_suite import check_report
 from tallyhouse.plans.warehouse import Warehouse, read_marts
 from tallyhouse.schemas import ORDER_ITEM_ROW, PAYMENT_ROW, RUN_LOG
-from tallyhouse.session import configure, shared_folder
+from tallyhouse.session import configure, partitions_for, shared_folder
 from tallyhouse.sources import cdc, changelog, retail, snapshot, tables
 from tallyhouse.streaming import durable, live
 
@@ -41,7 +41,8 @@ class Inputs:
     """Everything the queries start from, built lazily over one folder of tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = configure(spark)
+        sizes = [upsert.stored_bytes(spark, f"{folder}/{name}.parquet") for name in retail.TABLES]
+        self.spark = configure(spark, partitions_for(spark, sum(sizes)))
         self.folder = folder
 
     @cached_property

@@ -23,6 +23,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Shuffled bytes of a task; rows of an item take about 25 times that in the sorts and hash maps of a join with sums.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     # Streaming state lives outside the heap, on a laptop as on a cluster.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -47,6 +49,15 @@ def configure(spark: SparkSession, initial_partitions: int | None = None) -> Spa
 
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Input files are compressed; a shuffle of all their rows is about twice their size.
+INPUT_PER_PARTITION = 4 << 20
+
+
+def partitions_for(spark: SparkSession, input_bytes: int) -> int | None:
+    """The number of partitions shuffles should start with for that much input; None if the session's is enough."""
+    own = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    needed = input_bytes // INPUT_PER_PARTITION
+    return needed if needed > int(own) else None
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:

@@ -31,6 +31,9 @@ class LazyTables:
         return self.frames[name]
 
 
+TABLES = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
+
+
 def star_tables(spark: SparkSession, folder: str) -> LazyTables:
     return LazyTables(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 

@@ -7,10 +7,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import marts, monitoring, orders, quality, realtime, serving
+from tallyhouse.operators import marts, monitoring, orders, quality, realtime, serving, upsert
 from tallyhouse.plans.check_suite import bucketed_key_profile, key_profile
 from tallyhouse.plans.queries import Inputs, registry
-from tallyhouse.session import INITIAL_PARTITIONS, configure
+from tallyhouse.session import INITIAL_PARTITIONS, configure, partitions_for
+from tallyhouse.sources import retail
 from tests.conftest import SMALL, at, rows
 
 
@@ -273,3 +274,19 @@ def test_poll_history_has_no_task_with_all_polls(spark, frame):
     for part in text.split("Window ")[1:]:
         assert "Exchange SinglePartition" not in part.split("Exchange hashpartitioning")[0]
     assert realtime.poll_history(polls.limit(0)).collect() == []
+
+
+def test_shuffles_start_with_partitions_by_the_size_of_the_input(spark, monkeypatch):
+    session = spark.newSession()
+    assert partitions_for(session, 1 << 20) is None and partitions_for(session, 6 << 30) == 1536
+    monkeypatch.setattr(upsert, "stored_bytes", lambda *_: 1 << 30)
+    Inputs(session, SMALL)
+    assert int(session.conf.get(INITIAL_PARTITIONS)) == 256 * len(retail.TABLES)
+    assert session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def test_stored_bytes_of_files_and_folders(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a").write_bytes(b"123")
+    (tmp_path / "t" / "b").write_bytes(b"12")
+    assert [upsert.stored_bytes(spark, str(tmp_path / p)) for p in ("t", "t/a", "none")] == [5, 3, 0]
