@@ -212,8 +212,11 @@ def _as_of(name: str) -> Callable[[Inputs], DataFrame]:
     def build(q: Inputs) -> DataFrame:
         moment = _stamp(ORDERS_NOW)
         keys = {n: key for n, (key, _, _) in retail.UPDATES.items()}
-        # The test data repeats some keys of items; of each the greatest row is taken.
-        raw = {n: upsert.latest_per_key(q.raw[n], [key], []).select(*q.raw[n].columns) for n, key in keys.items()}
+        # The test data repeats some keys of items; of each the greatest row is taken, once for the scan and the log.
+        once = {n: upsert.latest_per_key(q.raw[n], [key], []).select(*q.raw[n].columns) for n, key in keys.items()}
+        source = shared_folder(q.spark, "source")
+        tables.load_raw(once, source, regenerate=False)
+        raw = tables.read_layer(q.spark, source)
         scans = {n: retail.scanned_after(n, raw[n], hours) for hours, n in enumerate(keys)}
         logs = {n: retail.envelopes_of(retail.changes_after(n, raw[n]), moment) for n in keys}
         root = shared_folder(q.spark, "snapshot")

@@ -7,7 +7,6 @@ noise (case, blanks) the staging layer removes.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -225,29 +224,36 @@ def changes_after(name: str, table: DataFrame) -> DataFrame:
     )
     nothing = F.lit(None).cast(table.select(F.struct(*table.columns).alias("row")).schema["row"].dataType)
 
-    def change(rows: DataFrame, hour: int, op: str, before: Column, after: Column) -> DataFrame:
-        position = F.col(key).alias("position")
-        return rows.select(F.lit(hour).alias("hour"), position, F.lit(op).alias("op"), before.alias("before"), after.alias("after"))
-
     number = F.col(key)
-    new = twice.filter(number % 9 == 1).withColumn(key, -number)
-    changes = (
-        change(twice.filter(number % 5 == 0), 1, "u", old, once),
-        change(twice.filter(number % 10 == 0), 3, "u", once, again),
-        change(twice.filter((number % 7 == 0) & (number % 5 != 0)), 2, "d", old, nothing),
-        change(new, 2, "c", nothing, old),
-        change(new, 3, "u", old, once),
+    new_old, new_once = (image.withField(key, -number) for image in (old, once))
+    # Which rows, then position, hour, operation and images.
+    kinds = (
+        (number % 5 == 0, number, 1, "u", old, once),
+        (number % 10 == 0, number, 3, "u", once, again),
+        ((number % 7 == 0) & (number % 5 != 0), number, 2, "d", old, nothing),
+        (number % 9 == 1, -number, 2, "c", nothing, new_old),
+        (number % 9 == 1, -number, 3, "u", new_old, new_once),
     )
-    return reduce(DataFrame.unionByName, changes)
+    # One pass over the table: a row gives the numbers of its changes, each of which then gets its images.
+    numbered = F.explode(F.array(*[F.when(kind[0], F.lit(i)) for i, kind in enumerate(kinds)])).alias("_kind")
+    changed = twice.select("*", numbered).filter(F.col("_kind").isNotNull())
+
+    def chosen(field: int, name: str) -> Column:
+        values = [kind[field] if isinstance(kind[field], Column) else F.lit(kind[field]) for kind in kinds]
+        found = F.when(F.col("_kind") == 0, values[0])
+        for i, value in enumerate(values[1:], 1):
+            found = found.when(F.col("_kind") == i, value)
+        return found.alias(name)
+
+    return changed.select(*[chosen(i, name) for i, name in enumerate(("position", "hour", "op", "before", "after"), 1)])
 
 
 def scanned_after(name: str, table: DataFrame, hours: int) -> DataFrame:
-    """What a scan finds that many hours after the moment."""
-    key = UPDATES[name][0]
-    seen = changes_after(name, table).filter(F.col("hour") <= hours)
+    """What a scan finds that many hours after the moment, of a table whose keys are unique."""
+    before = table.select(F.lit(0).alias("hour"), F.col(UPDATES[name][0]).alias("position"), F.struct(*table.columns).alias("after"))
+    seen = before.unionByName(changes_after(name, table).filter(F.col("hour") <= hours).select(*before.columns))
     last = seen.groupBy("position").agg(F.max_by("after", "hour").alias("after"))
-    same = table.join(last.select(F.col("position").alias(key)), key, "left_anti").select(*table.columns)
-    return same.unionByName(last.filter(F.col("after").isNotNull()).select("after.*"))
+    return last.filter(F.col("after").isNotNull()).select("after.*")
 
 
 def envelopes_of(changes: DataFrame, moment: Column) -> DataFrame:

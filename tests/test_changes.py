@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.schemas import PAYMENT_ROW
-from tallyhouse.sources import changelog, snapshot
+from tallyhouse.sources import changelog, retail, snapshot
 from tallyhouse.sources.cdc import parse_changes, parse_images, successful_payments
 from tests.conftest import at, rows
 
@@ -137,3 +137,17 @@ def test_layer_as_of_a_moment(spark, frame, tmp_path):
     logs = {"orders": frame("position long, value string", (1, value))}
     layer = snapshot.load_as_of(spark, scans, logs, dict.fromkeys(names, "id"), F.lit(at("2024-01-01 00:00:00")), str(tmp_path))
     assert {n: rows(layer[n], "status") for n in names} == {n: [("old" if n == "orders" else f"{n} changed",)] for n in names}
+
+
+def test_changes_of_a_table_come_from_one_pass(spark, tmp_path):
+    kinds = "order_id bigint, customer_id bigint, order_status string"
+    table = spark.createDataFrame([(k, 1, "paid") for k in (10, 14, 3)] + [(None, 1, "paid")], kinds)
+    table.write.parquet(str(tmp_path / "orders"))
+    table = spark.read.parquet(str(tmp_path / "orders"))
+    changes = retail.changes_after("orders", table)
+    assert changes._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    found = sorted((r["position"], r["hour"], r["op"], r["before"] and r["before"]["order_status"], r["after"] and r["after"]["order_id"]) for r in changes.collect())
+    assert found == [(-10, 2, "c", None, -10), (-10, 3, "u", "paid", -10), (10, 1, "u", "paid", 10), (10, 3, "u", "returned", 10), (14, 2, "d", "paid", None)]
+    assert rows(retail.scanned_after("orders", table, 2), "order_id", "order_status") == sorted(
+        [(-10, "paid"), (10, "returned"), (3, "paid"), (None, "paid")], key=repr
+    )
