@@ -8,7 +8,8 @@ products, and writes new folders for the months that hold touched orders; its ma
 other months. Then it is published by the pointer (``plans.versions``), so readers see the old tables or the new ones.
 
 The marts over all months are sums of roll-ups that merge exactly: sales per day and product, and orders per month
-and customer. Only the days, customers and products that a change touched are summed again; the others are copied.
+and customer. Only the touched days, the products sold on them and the touched customers are summed again; the others
+are copied.
 
 The five tables have primary keys (the checks of a run assert them), and a change holds the newest row of a key; a row
 with a true ``_deleted`` goes. Names of regions are read anew in each run. The first run is the same as any other, on
@@ -51,6 +52,8 @@ MANIFEST = T.StructType(
 )
 # The month by which a table is laid out, and the column that carries it in tables without the order's date.
 PART, MONTH = "_part", "order_month"
+# Every run writes its tables anew for the touched months; smaller than Spark's own choice.
+CODEC = "zstd"
 
 
 def month_of(day: Column | str) -> Column:
@@ -74,11 +77,11 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def _without(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
-    return rows.join(keys.select(column).distinct(), column, "left_anti")
+    return rows.join(keys.select(column), column, "left_anti")
 
 
 def _only(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
-    return rows.join(keys.select(column).distinct(), column, "left_semi")
+    return rows.join(keys.select(column), column, "left_semi")
 
 
 def _found(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
@@ -132,15 +135,21 @@ class Refresh:
             self.opened[key] = self.spark.read.schema(like.schema).parquet(*folders)
         return self.opened[key]
 
-    def write(self, name: str, rows: DataFrame, months: Sequence[str] | None = None, month: Column | None = None) -> None:
-        """Replace some months of a table, or the whole of one without months; the manifest follows."""
+    def write(self, name: str, rows: DataFrame, months: Sequence[str] | None = None, month: Column | str | None = None) -> None:
+        """Replace some months of a table, or the whole of one without months; the manifest follows.
+
+        ``month`` may be a column of the rows, which then is shuffled once and not beside a copy of itself."""
         path = f"{self.folder}/{name}"
         parts = self.manifest.setdefault(name, {})
         if months is None:
-            rows.write.parquet(f"{path}/{PART}={WHOLE}")
+            rows.write.parquet(f"{path}/{PART}={WHOLE}", compression=CODEC)
             parts[WHOLE] = f"{path}/{PART}={WHOLE}"
             return
-        rows.withColumn(PART, month).hint("rebalance", PART).write.partitionBy(PART).parquet(path)
+        if isinstance(month, str):
+            laid_out = rows.hint("rebalance", month).withColumn(PART, F.col(month))
+        else:
+            laid_out = rows.withColumn(PART, month).hint("rebalance", PART)
+        laid_out.write.partitionBy(PART).parquet(path, compression=CODEC)
         for old in months:
             parts.pop(old, None)
         written = [f for f in list_folder(self.spark, path) if f.startswith(f"{PART}=")]
@@ -152,7 +161,7 @@ class Refresh:
     def kept(self, name: str, rows: DataFrame) -> DataFrame:
         """The rows, computed once and written beside the tables."""
         path = f"{self.folder}/work/{name}"
-        rows.write.parquet(path)
+        rows.write.parquet(path, compression=CODEC)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def overlaid(self, name: str, rows: DataFrame) -> DataFrame:
@@ -160,7 +169,8 @@ class Refresh:
         if name not in self.changed:
             return rows
         fresh = self.changed[name]
-        return _without(rows, fresh, KEYS[name]).unionByName(fresh.filter(~F.col("_deleted")).select(*rows.columns))
+        # Changes of items and payments have no month yet.
+        return _without(rows, fresh, KEYS[name]).unionByName(fresh.filter(~F.col("_deleted")).drop("_deleted"), MONTH in rows.columns)
 
     def source(self, name: str, months: Sequence[str] | None = None) -> DataFrame:
         """A source table as the former run left it."""
@@ -174,14 +184,15 @@ class Refresh:
         """Write all that the changes touch, and the run's manifest."""
         self.touched = self.kept("touched_orders", self._touched_orders())
         self.old_orders = self.kept("old_orders", _found(self.source("orders"), self.touched, "order_id"))
-        changed = _only(self.overlaid("orders", self.old_orders), self.touched, "order_id")
+        # Changed orders with an id are touched.
+        changed = self.overlaid("orders", self.old_orders).filter(F.col("order_id").isNotNull())
         self.new_orders = self.kept("new_orders", changed)
         dates = self.old_orders.select("order_date").unionByName(self.new_orders.select("order_date"))
         self.days = self.kept("touched_days", dates.distinct())
         # A row for each month; rows whose order is unknown may get one, and the other way round.
         found = [row[0] for row in self.days.select(month_of("order_date")).distinct().collect()]
         self.months = sorted({*found, NO_MONTH})
-        _, (old_items, items), (_, payments), customers, products = side_by_side(
+        _, items, payments, customers, products = side_by_side(
             self._orders,
             lambda: self._of_orders("order_items"),
             lambda: self._of_orders("payments"),
@@ -189,8 +200,7 @@ class Refresh:
             lambda: self._whole("products"),
         )
         self._facts(items, payments, customers)
-        sold = old_items.select("product_id").unionByName(items.select("product_id"))
-        side_by_side(lambda: self._sales(products, sold), self._daily, lambda: self._customers(customers))
+        side_by_side(lambda: self._sales(products), self._daily, lambda: self._customers(customers))
         rows = [(table, part, folder) for table, parts in self.manifest.items() for part, folder in parts.items()]
         replace_table(self.spark.createDataFrame(rows, MANIFEST).coalesce(1), f"{self.folder}/manifest", MANIFEST)
 
@@ -210,19 +220,18 @@ class Refresh:
         same = _without(self.source("orders", self.months), self.touched, "order_id")
         self.write("orders", same.unionByName(self.new_orders), self.months, month_of("order_date"))
 
-    def _of_orders(self, name: str) -> tuple[DataFrame, DataFrame]:
-        """Rewrite the items or payments of the touched months; those of touched orders, as they were and as they are."""
+    def _of_orders(self, name: str) -> DataFrame:
+        """Rewrite the items or payments of the touched months, which are returned.
+
+        The changes take the place of the stored rows of their keys. Then rows of touched orders get the month of their
+        order as it is now, those of an order that is not there no month, and all others keep theirs."""
         stored = self.source(name, self.months)
-        old = self.kept(f"old_{name}", _only(stored, self.touched, "order_id"))
-        months = self.new_orders.select("order_id", month_of("order_date").alias(MONTH))
-        fresh = self.overlaid(name, old.drop(MONTH)).join(months, "order_id", "left")
-        fresh = self.kept(f"new_{name}", fresh.withColumn(MONTH, F.coalesce(MONTH, F.lit(NO_MONTH))))
-        same = _without(stored, self.touched, "order_id")
-        if name in self.changed:
-            # Rows without an order belong to no touched one.
-            same = _without(same, self.changed[name], KEYS[name])
-        self.write(name, same.unionByName(fresh), self.months, F.col(MONTH))
-        return old, fresh.drop(MONTH)
+        rows = self.overlaid(name, stored)
+        touched = self.touched.join(self.new_orders.select("order_id", month_of("order_date").alias("_now")), "order_id", "left")
+        touched = touched.select("order_id", F.coalesce("_now", F.lit(NO_MONTH)).alias("_now"))
+        moved = rows.join(touched, "order_id", "left").withColumn(MONTH, F.coalesce("_now", MONTH, F.lit(NO_MONTH)))
+        self.write(name, moved.select(*stored.columns), self.months, MONTH)
+        return self.stored(name, stored, self.months, before=False).drop(MONTH)
 
     def _whole(self, name: str) -> DataFrame:
         """A source table without months, with its changes."""
@@ -247,13 +256,16 @@ class Refresh:
         facts = _same_day(self.facts, self.days, "left_semi")
         self._by_day("mart_daily_revenue", marts.mart_daily_revenue(facts))
 
-    def _sales(self, products: DataFrame, sold: DataFrame) -> None:
-        """Units and revenue of the touched days per product, then the totals of the touched products."""
+    def _sales(self, products: DataFrame) -> None:
+        """Units and revenue of the touched days per product, then the totals of the products sold on them."""
         facts = _same_day(self.facts, self.days, "left_semi")
         items = self.stored("order_items", self.source("order_items"), self.months, before=False)
         sales = marts.sold_items(items, facts).groupBy("order_date", "product_id")
-        self._by_day("sales_by_day", sales.agg(F.sum("quantity").alias("units_sold"), F.sum("line_total").alias("revenue")))
-        self._products(products, sold)
+        fresh = sales.agg(F.sum("quantity").alias("units_sold"), F.sum("line_total").alias("revenue"))
+        self._by_day("sales_by_day", fresh)
+        both = [self.stored("sales_by_day", fresh, self.months, before=before) for before in (True, False)]
+        sold = [_same_day(rows, self.days, "left_semi").select("product_id") for rows in both]
+        self._products(products, sold[0].unionByName(sold[1]))
 
     def _touched(self, name: str, column: str, ids: DataFrame) -> DataFrame:
         if name in self.changed:
@@ -261,7 +273,7 @@ class Refresh:
         return self.kept(f"touched_{name}", ids.distinct())
 
     def _products(self, products: DataFrame, ids: DataFrame) -> None:
-        """Totals of the products that a touched order holds or held, or whose own row changed."""
+        """Totals of the products that sold on a touched day, before or now, or whose own row changed."""
         ids = self._touched("products", "product_id", ids)
         self.write("dim_products", marts.dim_products(products))
         sales = _only(self.stored("sales_by_day", before=False), ids, "product_id")
@@ -278,7 +290,7 @@ class Refresh:
         of_month = _only(self.facts, ids, "customer_id").withColumn(MONTH, month_of("order_date"))
         fresh = orders.orders_per_customer(of_month, MONTH)
         same = _without(self.stored("orders_by_month", fresh, self.months), ids, "customer_id")
-        self.write("orders_by_month", same.unionByName(fresh), self.months, F.col(MONTH))
+        self.write("orders_by_month", same.unionByName(fresh), self.months, MONTH)
         by_month = _only(self.stored("orders_by_month", fresh, before=False), ids, "customer_id")
         everyone = marts.dim_customers(customers, self.region_seed)
         self.write("dim_customers", everyone)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -131,3 +132,37 @@ def test_changes_since_a_moment(frame):
     late = {n: f.count() for n, f in incremental.changes_since(raw, F.lit("2024-03-01 09:00:00").cast("timestamp")).items()}
     assert late == {"customers": 3, "products": 3, "orders": 4, "order_items": 5, "payments": 4}
     assert not any(f.count() for f in incremental.changes_since(raw, F.lit("2024-03-01 10:00:00").cast("timestamp")).values())
+
+
+def test_rows_of_orders_are_joined_once_and_written_once(spark, frame, tmp_path, monkeypatch):
+    """With tables too large to broadcast, items and payments meet the changed keys once and their orders once."""
+    written, wide = [], {"order_items": 0, "payments": 0}
+    kept, write = incremental.Refresh.kept, incremental.Refresh.write
+
+    def seen(how, self, name, frame, *args):
+        written.append(name)
+        for table in wide:
+            if name.endswith(table) and not name.startswith("changed"):
+                text = frame._jdf.queryExecution().executedPlan().toString()
+                wide[table] += len(re.findall("Exchange hashpartitioning", text))
+        return how(self, name, frame, *args)
+
+    root, tables = str(tmp_path), shop(frame)
+    refresh(spark, frame, root, "r1", **tables)
+    tables["payments"] = tables["payments"].withColumn("payment_status", F.lit("success"))
+    tables["order_items"] = tables["order_items"].withColumn("quantity", F.col("quantity") + 1)
+    monkeypatch.setattr(incremental.Refresh, "kept", lambda *args: seen(kept, *args))
+    monkeypatch.setattr(incremental.Refresh, "write", lambda *args: seen(write, *args))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in keys:
+        spark.conf.set(key, "-1")
+    try:
+        refresh(spark, frame, root, "r2", payments=tables["payments"], order_items=tables["order_items"])
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+    # Rows and changes by key; rows, touched orders and their months by order.
+    assert wide == {"order_items": 5, "payments": 5}
+    assert [name for name in written if name.endswith(("order_items", "payments"))].count("order_items") == 1
+    assert not {"old_order_items", "new_order_items", "old_payments", "new_payments"} & set(written)
+    same_as_full(spark, frame, root, tables)
