@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 
@@ -220,3 +222,65 @@ def test_spans_of_a_text_are_disjoint(spark):
     found = spark.createDataFrame(rows, "a long, b long, a_start int, a_end int, b_start int, b_end int")
     spans = sorted(map(tuple, passages.merged_spans(found).filter("text_key = 1").collect()))
     assert spans == [(1, 0, 120), (1, 199, 260)]
+
+
+def test_shuffle_files_go_with_their_step(spark):
+    """Nothing but stored steps is left on disk, whether or not the driver has collected its garbage."""
+    rng = random.Random(12)
+    common = prose(rng, 60)
+    rows = [(i, " ".join([*prose(rng, 40), *common, *prose(rng, 40)])) for i in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    root = Path(spark.conf.get("spark.local.dir", "/tmp"))
+
+    def files():
+        return set(root.glob("blockmgr-*/*/shuffle_*.data"))
+
+    setting = spark.conf.get(passages.CLEANUP, "false")
+    earlier = files()
+    result = passages.repeated_passages(frame)
+    for _ in range(100):
+        left = files() - earlier
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(passages.CLEANUP) == setting
+    assert result.count() == 8
+
+
+def test_small_groups_are_not_split(spark):
+    """Three texts under a signature, of which two are representatives, are all compared at once; four are not."""
+    rng = random.Random(13)
+    three, four = prose(rng, 60), prose(rng, 60)
+    texts = [" ".join([*prose(rng, 60), *common, *prose(rng, 60)]) for common, n in ((three, 3), (four, 4)) for _ in range(n)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    windows = passages.colliding_windows(frame, "text")
+    key = {passages.text_key(passages.Words([t.encode()])[0]): i for i, t in enumerate(texts)}
+    by_group = {}
+    for r in windows.collect():
+        by_group.setdefault(r["group"], []).append((key[r["text_key"]], len(r["representatives"]), r["large"]))
+    small = [rows for rows in by_group.values() if {i for i, *_ in rows} <= {0, 1, 2}]
+    assert small and not any(large for rows in small for *_, large in rows)
+    whole = [rows for rows in by_group.values() if {i for i, *_ in rows} == {3, 4, 5, 6}]
+    assert whole and all(large == (n == 2 or n == 1) for rows in whole for _, n, large in rows)
+
+
+def test_feasible_keeps_every_passage():
+    """Stretches without a passage's length of enough matches are left out, all others are kept, repeats included."""
+    rng = np.random.default_rng(14)
+    ruled_out = 0
+    for _ in range(100):
+        n = int(rng.integers(40, 160))
+        matched = rng.random(n) < rng.choice([0.6, 0.75, 0.9])
+        before = np.full(n, -1)
+        whole = any(
+            matched[x:y].sum() >= passages.SIMILARITY * (y - x)
+            for x in range(n)
+            for y in range(x + passages.LENGTH, n + 1)
+        )
+        assert passages.feasible(matched, before, 0, n) == whole
+        ruled_out += not whole
+        # Repeats of unmatched shingles may make up for nothing.
+        before[rng.random(n) < 0.2] = 0
+        assert passages.feasible(matched, before, 0, n) >= whole
+    assert 0 < ruled_out < 100
