@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tallyhouse.operators import marts, orders, staging
 from tallyhouse.operators.upsert import delete_folder, list_folder, read_current, replace_table
 from tallyhouse.plans import versions
-from tallyhouse.session import side_by_side
+from tallyhouse.session import most_broadcast, only_measured, settings, side_by_side
 
 KEYS = {
     "customers": "customer_id",
@@ -54,6 +54,7 @@ MANIFEST = T.StructType(
 PART, MONTH = "_part", "order_month"
 # Every run writes its tables anew for the touched months; smaller than Spark's own choice.
 CODEC = "zstd"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def month_of(day: Column | str) -> Column:
@@ -76,29 +77,13 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(*sorted(parts.values()))
 
 
-def _without(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
-    return rows.join(keys.select(column), column, "left_anti")
-
-
-def _only(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
-    return rows.join(keys.select(column), column, "left_semi")
-
-
-def _found(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
-    """The same for few keys of a large table: row groups outside the keys' bounds are not read."""
-    low, high = keys.agg(F.min(column), F.max(column)).first()
-    return _only(rows.filter(F.col(column).between(F.lit(low), F.lit(high))), keys, column)
-
-
-def _same_day(rows: DataFrame, days: DataFrame, how: str) -> DataFrame:
-    return rows.join(days, rows["order_date"].eqNullSafe(days["order_date"]), how)
-
-
 class Refresh:
     """One run: ``changes`` has raw rows by table name, of those tables that have any."""
 
     def __init__(self, spark: SparkSession, root: str, run_id: str, changes: Mapping[str, DataFrame], region_seed: DataFrame):
-        self.spark, self.region_seed = spark, region_seed
+        self.spark = spark
+        # Written tables with so few rows that a join may broadcast their keys.
+        self.most, self.small = most_broadcast(spark), set()
         self.folder = versions.new_version(root, run_id)
         runs = versions.published(spark, root)
         self.before = read_manifest(spark, runs[0]["folder"]) if runs else {}
@@ -108,8 +93,9 @@ class Refresh:
         if missing:
             raise ValueError(f"the first run needs all tables, not {missing}")
         names = [name for name in KEYS if name in changes]
-        cleaned = side_by_side(*[partial(self._cleaned, name, changes[name]) for name in names]) if names else []
-        self.changed = dict(zip(names, cleaned))
+        cleaned = [partial(self._cleaned, name, changes[name]) for name in names]
+        self.regions, *changed = side_by_side(lambda: self.kept("regions", region_seed), *cleaned)
+        self.changed = dict(zip(names, changed))
 
     def _cleaned(self, name: str, raw: DataFrame) -> DataFrame:
         """Changed rows through the staging model, with ``_deleted``, written once."""
@@ -162,7 +148,33 @@ class Refresh:
         """The rows, computed once and written beside the tables."""
         path = f"{self.folder}/work/{name}"
         rows.write.parquet(path, compression=CODEC)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        stored = self.spark.read.schema(rows.schema).parquet(path)
+        if stored.count() <= self.most:
+            self.small.add(stored)
+        return stored
+
+    # --- joins with kept rows: broadcast by their number, as the size of files tells little of that in memory ---
+
+    def keys(self, kept: DataFrame, *columns: Column | str) -> DataFrame:
+        """Columns of kept rows, for the side of a join that is looked up."""
+        chosen = kept.select(*columns)
+        return F.broadcast(chosen) if kept in self.small else chosen
+
+    def without(self, rows: DataFrame, kept: DataFrame, column: str) -> DataFrame:
+        return rows.join(self.keys(kept, column), column, "left_anti")
+
+    def only(self, rows: DataFrame, kept: DataFrame, column: str) -> DataFrame:
+        return rows.join(self.keys(kept, column), column, "left_semi")
+
+    def found(self, rows: DataFrame, kept: DataFrame, column: str) -> DataFrame:
+        """The same for few keys of a large table: row groups outside the keys' bounds are not read."""
+        low, high = kept.agg(F.min(column), F.max(column)).first()
+        return self.only(rows.filter(F.col(column).between(F.lit(low), F.lit(high))), kept, column)
+
+    def same_day(self, rows: DataFrame, how: str) -> DataFrame:
+        """Rows of the touched days, or the others."""
+        days = self.keys(self.days, "order_date")
+        return rows.join(days, rows["order_date"].eqNullSafe(days["order_date"]), how)
 
     def overlaid(self, name: str, rows: DataFrame) -> DataFrame:
         """Rows of a source table with the changes of the run in place of the old rows of their keys."""
@@ -170,7 +182,7 @@ class Refresh:
             return rows
         fresh = self.changed[name]
         # Changes of items and payments have no month yet.
-        return _without(rows, fresh, KEYS[name]).unionByName(fresh.filter(~F.col("_deleted")).drop("_deleted"), MONTH in rows.columns)
+        return self.without(rows, fresh, KEYS[name]).unionByName(fresh.filter(~F.col("_deleted")).drop("_deleted"), MONTH in rows.columns)
 
     def source(self, name: str, months: Sequence[str] | None = None) -> DataFrame:
         """A source table as the former run left it."""
@@ -183,7 +195,7 @@ class Refresh:
     def run(self) -> None:
         """Write all that the changes touch, and the run's manifest."""
         self.touched = self.kept("touched_orders", self._touched_orders())
-        self.old_orders = self.kept("old_orders", _found(self.source("orders"), self.touched, "order_id"))
+        self.old_orders = self.kept("old_orders", self.found(self.source("orders"), self.touched, "order_id"))
         # Changed orders with an id are touched.
         changed = self.overlaid("orders", self.old_orders).filter(F.col("order_id").isNotNull())
         self.new_orders = self.kept("new_orders", changed)
@@ -209,15 +221,15 @@ class Refresh:
         ids = [self.changed[name].select("order_id") for name in ("orders", "order_items", "payments") if name in self.changed]
         for name in ("order_items", "payments"):
             if name in self.changed:
-                ids.append(_found(self.source(name), self.changed[name], KEYS[name]).select("order_id"))
+                ids.append(self.found(self.source(name), self.changed[name], KEYS[name]).select("order_id"))
         if "customers" in self.changed:
-            ids.append(_only(self.source("orders"), self.changed["customers"], "customer_id").select("order_id"))
+            ids.append(self.only(self.source("orders"), self.changed["customers"], "customer_id").select("order_id"))
         if not ids:
             return self.source("orders").select("order_id").filter(F.lit(False))
         return reduce(DataFrame.unionByName, ids).filter(F.col("order_id").isNotNull()).distinct()
 
     def _orders(self) -> None:
-        same = _without(self.source("orders", self.months), self.touched, "order_id")
+        same = self.without(self.source("orders", self.months), self.touched, "order_id")
         self.write("orders", same.unionByName(self.new_orders), self.months, month_of("order_date"))
 
     def _of_orders(self, name: str) -> DataFrame:
@@ -227,8 +239,10 @@ class Refresh:
         order as it is now, those of an order that is not there no month, and all others keep theirs."""
         stored = self.source(name, self.months)
         rows = self.overlaid(name, stored)
-        touched = self.touched.join(self.new_orders.select("order_id", month_of("order_date").alias("_now")), "order_id", "left")
-        touched = touched.select("order_id", F.coalesce("_now", F.lit(NO_MONTH)).alias("_now"))
+        now = self.keys(self.new_orders, "order_id", month_of("order_date").alias("_now"))
+        touched = self.touched.join(now, "order_id", "left").select("order_id", F.coalesce("_now", F.lit(NO_MONTH)).alias("_now"))
+        if self.touched in self.small:
+            touched = F.broadcast(touched)
         moved = rows.join(touched, "order_id", "left").withColumn(MONTH, F.coalesce("_now", MONTH, F.lit(NO_MONTH)))
         self.write(name, moved.select(*stored.columns), self.months, MONTH)
         return self.stored(name, stored, self.months, before=False).drop(MONTH)
@@ -242,29 +256,29 @@ class Refresh:
 
     def _facts(self, items: DataFrame, payments: DataFrame, customers: DataFrame) -> None:
         facts = marts.fact_orders(orders.int_orders_enriched(self.new_orders, customers, items, payments))
-        same = _without(self.stored("fact_orders", facts, self.months), self.touched, "order_id")
+        same = self.without(self.stored("fact_orders", facts, self.months), self.touched, "order_id")
         self.write("fact_orders", same.unionByName(facts), self.months, month_of("order_date"))
         self.facts = self.stored("fact_orders", facts, self.months, before=False)
 
     def _by_day(self, name: str, fresh: DataFrame) -> None:
         """Replace the touched days of a table by day."""
-        same = _same_day(self.stored(name, fresh, self.months), self.days, "left_anti")
+        same = self.same_day(self.stored(name, fresh, self.months), "left_anti")
         self.write(name, same.unionByName(fresh), self.months, month_of("order_date"))
 
     def _daily(self) -> None:
         """Revenue of the touched days."""
-        facts = _same_day(self.facts, self.days, "left_semi")
+        facts = self.same_day(self.facts, "left_semi")
         self._by_day("mart_daily_revenue", marts.mart_daily_revenue(facts))
 
     def _sales(self, products: DataFrame) -> None:
         """Units and revenue of the touched days per product, then the totals of the products sold on them."""
-        facts = _same_day(self.facts, self.days, "left_semi")
+        facts = self.same_day(self.facts, "left_semi")
         items = self.stored("order_items", self.source("order_items"), self.months, before=False)
         sales = marts.sold_items(items, facts).groupBy("order_date", "product_id")
         fresh = sales.agg(F.sum("quantity").alias("units_sold"), F.sum("line_total").alias("revenue"))
         self._by_day("sales_by_day", fresh)
         both = [self.stored("sales_by_day", fresh, self.months, before=before) for before in (True, False)]
-        sold = [_same_day(rows, self.days, "left_semi").select("product_id") for rows in both]
+        sold = [self.same_day(rows, "left_semi").select("product_id") for rows in both]
         self._products(products, sold[0].unionByName(sold[1]))
 
     def _touched(self, name: str, column: str, ids: DataFrame) -> DataFrame:
@@ -276,26 +290,26 @@ class Refresh:
         """Totals of the products that sold on a touched day, before or now, or whose own row changed."""
         ids = self._touched("products", "product_id", ids)
         self.write("dim_products", marts.dim_products(products))
-        sales = _only(self.stored("sales_by_day", before=False), ids, "product_id")
+        sales = self.only(self.stored("sales_by_day", before=False), ids, "product_id")
         fresh = marts.named_products(
             sales.groupBy("product_id").agg(F.sum("units_sold").alias("units_sold"), F.sum("revenue").alias("revenue")), products
         )
-        same = _without(self.stored("mart_top_products", fresh), ids, "product_id")
+        same = self.without(self.stored("mart_top_products", fresh), ids, "product_id")
         self.write("mart_top_products", same.unionByName(fresh))
 
     def _customers(self, customers: DataFrame) -> None:
         """Totals of the customers that have or had a touched order, or whose own row changed."""
         ids = self.old_orders.select("customer_id").unionByName(self.new_orders.select("customer_id"))
         ids = self._touched("customers", "customer_id", ids)
-        of_month = _only(self.facts, ids, "customer_id").withColumn(MONTH, month_of("order_date"))
+        of_month = self.only(self.facts, ids, "customer_id").withColumn(MONTH, month_of("order_date"))
         fresh = orders.orders_per_customer(of_month, MONTH)
-        same = _without(self.stored("orders_by_month", fresh, self.months), ids, "customer_id")
+        same = self.without(self.stored("orders_by_month", fresh, self.months), ids, "customer_id")
         self.write("orders_by_month", same.unionByName(fresh), self.months, MONTH)
-        by_month = _only(self.stored("orders_by_month", fresh, before=False), ids, "customer_id")
-        everyone = marts.dim_customers(customers, self.region_seed)
+        by_month = self.only(self.stored("orders_by_month", fresh, before=False), ids, "customer_id")
+        everyone = marts.dim_customers(customers, self.keys(self.regions, *self.regions.columns))
         self.write("dim_customers", everyone)
-        metrics = marts.customer_metrics(_only(everyone, ids, "customer_id"), orders.add_months(by_month))
-        same = _without(self.stored("mart_customer_metrics", metrics), ids, "customer_id")
+        metrics = marts.customer_metrics(self.only(everyone, ids, "customer_id"), orders.add_months(by_month))
+        same = self.without(self.stored("mart_customer_metrics", metrics), ids, "customer_id")
         self.write("mart_customer_metrics", same.unionByName(metrics))
 
 
@@ -311,7 +325,9 @@ def refresh(
     """Bring the layers under ``root`` up to date with the changed rows and publish them."""
     run = Refresh(spark, root, run_id, changes, region_seed)
     try:
-        run.run()
+        # Shuffle files go with the step that wrote them.
+        with settings(spark, only_measured(spark) | {CLEANUP: "true"}):
+            run.run()
         versions.publish(spark, root, run.folder, high_water)
     except Exception:
         delete_folder(spark, run.folder)

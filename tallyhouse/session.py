@@ -6,8 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -60,6 +61,38 @@ def partitions_for(spark: SparkSession, input_bytes: int) -> int | None:
     return needed if needed > int(own) else None
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Runtime settings for some steps; what the session had comes back."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+# The size up to which a table is broadcast, as its files suggest it and as adaptive execution measures it.
+BROADCAST, MEASURED_BROADCAST = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+# What a row with a key takes in a broadcast hash table.
+KEY_BYTES = 100
+
+
+def most_broadcast(spark: SparkSession) -> int:
+    """Rows with a key that may be broadcast; none if the session has broadcasts turned off."""
+    return max(0, spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()) // KEY_BYTES
+
+
+def only_measured(spark: SparkSession) -> dict[str, str]:
+    """Settings under which tables are broadcast by their measured size and never by that of their files.
+
+    Rows may take a hundred times their compressed files: 5.4 million ids, a sixth of a file of 25 MB, took more than a
+    driver of 750 MB has."""
+    return {BROADCAST: "-1", MEASURED_BROADCAST: spark.conf.get(MEASURED_BROADCAST, None) or spark.conf.get(BROADCAST)}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

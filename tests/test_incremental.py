@@ -166,3 +166,42 @@ def test_rows_of_orders_are_joined_once_and_written_once(spark, frame, tmp_path,
     assert [name for name in written if name.endswith(("order_items", "payments"))].count("order_items") == 1
     assert not {"old_order_items", "new_order_items", "old_payments", "new_payments"} & set(written)
     same_as_full(spark, frame, root, tables)
+
+
+def most_broadcast_rows(spark, after):
+    """The largest number of rows broadcast in executions that began after one; the ids of executions are numbers."""
+    store, most = spark._jsparkSession.sharedState().statusStore(), 0
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = store.executionsList()
+    for i in range(runs.size()):
+        run = runs.apply(i).executionId()
+        if run <= after:
+            continue
+        values, nodes = store.executionMetrics(run), store.planGraph(run).allNodes()
+        for node in (nodes.apply(k) for k in range(nodes.size())):
+            if node.name() == "BroadcastExchange":
+                counted = [node.metrics().apply(k) for k in range(node.metrics().size())]
+                shown = [values.get(m.accumulatorId()) for m in counted if m.name() == "number of output rows"]
+                most = max([most, *[int(v.get().replace(",", "")) for v in shown if v.isDefined()]])
+    return most
+
+
+def test_keys_are_broadcast_by_their_number_not_by_their_files(spark, frame, tmp_path):
+    """The ids of many customers are a few compressed kilobytes, of which a driver makes a large hash table."""
+    root, tables, many = str(tmp_path), shop(frame), 3_000
+    first = tables["customers"].filter("customer_id = 1").drop("customer_id")
+    tables["customers"] = spark.range(1, many + 1).withColumnRenamed("id", "customer_id").crossJoin(F.broadcast(first)).select(tables["customers"].columns)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        refresh(spark, frame, root, "r1", **tables)
+        runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+        before = max(runs.apply(i).executionId() for i in range(runs.size()))
+        tables["customers"] = tables["customers"].withColumn("full_name", F.lit("Zoe"))
+        refresh(spark, frame, root, "r2", customers=tables["customers"])
+        threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Few keys are still broadcast, so stored tables need no shuffle to meet them.
+    assert 0 < most_broadcast_rows(spark, before) < many
+    assert threshold == "20k"
+    same_as_full(spark, frame, root, tables)
