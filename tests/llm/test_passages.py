@@ -5,6 +5,8 @@ import time
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import zstandard
 
 from tallyhouse.llm import passages, queries
 from tests.llm.helpers import MIDDLE, documents, edge_documents, no_documents, read
@@ -284,3 +286,28 @@ def test_feasible_keeps_every_passage():
         before[rng.random(n) < 0.2] = 0
         assert passages.feasible(matched, before, 0, n) >= whole
     assert 0 < ruled_out < 100
+
+
+def test_texts_of_a_batch_are_hashed_together_and_places_tried_once(monkeypatch):
+    """A pair costs no hashing of its own, and a place of two texts is tried once however often it comes up."""
+    made, tried = [], []
+    words, passage_at = passages.Words.__init__, passages.Pair.passage_at
+    monkeypatch.setattr(passages.Words, "__init__", lambda self, texts: made.append(len(texts)) or words(self, texts))
+    monkeypatch.setattr(
+        passages.Pair, "passage_at", lambda self, before, *place: tried.append((self, place)) or passage_at(self, before, *place)
+    )
+    body, junk = [f"w{i}" for i in range(180)], [f"x{i}" for i in range(180)]
+    # The second text has the parts of the first in another order and apart, the third only a few words of it.
+    apart = body[60:120] + junk[:90] + body[:60] + junk[90:] + body[120:]
+    texts = [" ".join(body), " ".join(apart), " ".join(body[:20] + [f"y{i}" for i in range(90)])]
+    packed = [zstandard.compress(t.encode()) for t in texts]
+    rows = [(0, 1), (0, 2), (1, 2)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([a for a, _ in rows]), pa.array([b for _, b in rows]), pa.array([packed[a] for a, _ in rows]), pa.array([packed[b] for _, b in rows])],
+        names=["a", "b", "a_body", "b_body"],
+    )
+    found = [row for out in passages.verify(iter([batch])) for row in out.to_pylist()]
+    assert sorted(made) == [2, 3]
+    assert len(tried) == len(set(tried))
+    spans = [(r["a"], r["b"], r["a_start"], r["a_end"], r["b_start"], r["b_end"]) for r in found]
+    assert sorted(spans) == [(0, 1, 0, 60, 150, 210), (0, 1, 60, 120, 0, 60), (0, 1, 120, 180, 300, 360)]
